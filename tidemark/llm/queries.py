@@ -15,8 +15,20 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import best_fit_packing
+
+    return best_fit_packing(table(spark, sf_dir, "documents"))
+
+
+def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts,)}
+    return {f.__name__: f for f in (op2_token_counts, op4_best_fit_packing, op9_water_filling_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
