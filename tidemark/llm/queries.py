@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 
 
+def op1_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lattice import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import token_counts
 
@@ -28,7 +34,7 @@ def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op4_best_fit_packing, op9_water_filling_mix)}
+    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op4_best_fit_packing, op9_water_filling_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
