@@ -219,7 +219,7 @@ def learnt(counts: DataFrame, ends: int, vocabulary: str, rounds: int, smoothing
     return logp
 
 
-def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int = 1, smoothing: float = 0.1, frequent: int = 200_000) -> DataFrame:
+def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int = 3, smoothing: float = 0.1, frequent: int = 200_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs.
 
     Rows whose crc32 of doc_id as text is 2 modulo 7 are held out, the others train. A null text is empty and scores its
