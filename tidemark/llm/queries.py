@@ -21,6 +21,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import best_fit_packing
 
@@ -34,7 +40,7 @@ def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op4_best_fit_packing, op9_water_filling_mix)}
+    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op3_simhash_pivots, op4_best_fit_packing, op9_water_filling_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
