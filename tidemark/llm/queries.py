@@ -33,6 +33,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality
+
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -40,8 +46,10 @@ def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op3_simhash_pivots, op4_best_fit_packing, op9_water_filling_mix)}
+    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op3_simhash_pivots, op4_best_fit_packing, op5_quality_cascade, op9_water_filling_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from .quality import ORACLE_SQL as op5
+
+    return {"op5_quality_cascade": op5}
