@@ -39,6 +39,12 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -46,7 +52,7 @@ def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op3_simhash_pivots, op4_best_fit_packing, op5_quality_cascade, op9_water_filling_mix)}
+    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op3_simhash_pivots, op4_best_fit_packing, op5_quality_cascade, op6_personal_data, op9_water_filling_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
