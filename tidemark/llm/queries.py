@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -45,14 +46,26 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op10_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .top_k import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op3_simhash_pivots, op4_best_fit_packing, op5_quality_cascade, op6_personal_data, op9_water_filling_mix)}
+    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op3_simhash_pivots, op4_best_fit_packing, op5_quality_cascade, op6_personal_data, op8_url_filter, op9_water_filling_mix, op10_ball_tree_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
