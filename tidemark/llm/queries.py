@@ -46,6 +46,12 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import through_archives
+
+    return through_archives(table(spark, sf_dir, "pages"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import judge_urls
 
@@ -65,7 +71,7 @@ def op10_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op3_simhash_pivots, op4_best_fit_packing, op5_quality_cascade, op6_personal_data, op8_url_filter, op9_water_filling_mix, op10_ball_tree_top_k)}
+    return {f.__name__: f for f in (op1_lattice_likelihood, op2_token_counts, op3_simhash_pivots, op4_best_fit_packing, op5_quality_cascade, op6_personal_data, op7_warc_archives, op8_url_filter, op9_water_filling_mix, op10_ball_tree_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
