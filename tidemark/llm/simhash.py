@@ -159,6 +159,14 @@ def links(nodes: DataFrame, most_members: int = MOST_MEMBERS) -> DataFrame:
     return cold.union(sorted_rows(split, "mask", "bits", "p", "q").mapInPandas(bucket_links, "a long, b long"))
 
 
+def _roots(each: DataFrame, most_members: int) -> DataFrame:
+    """fp, node and root of each distinct fingerprint of each (doc_id, fp)."""
+    nameless = F.lit(NAMELESS) + F.shiftrightunsigned("fp", 3)
+    nodes = written(each.groupBy("fp").agg(F.min("doc_id").alias("node")).select("fp", F.coalesce("node", nameless).alias("node")), "nodes")
+    roots = components(links(nodes, most_members))
+    return nodes.join(roots, "node", "left").select("fp", "node", F.coalesce("root", "node").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, most_members: int = MOST_MEMBERS) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of each row of docs.
 
@@ -168,16 +176,27 @@ def near_duplicates(docs: DataFrame, most_members: int = MOST_MEMBERS) -> DataFr
     columns are not read.
     """
     each = written(fingerprints(docs), "fingerprints")
-    nameless = F.lit(NAMELESS) + F.shiftrightunsigned("fp", 3)
-    nodes = written(each.groupBy("fp").agg(F.min("doc_id").alias("node")).select("fp", F.coalesce("node", nameless).alias("node")), "nodes")
-    roots = components(links(nodes, most_members))
-    named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("root"))
+    named = _roots(each, most_members).select("fp", "root")
     component = F.when(F.col("root") < NAMELESS, F.col("root"))
     return each.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), component.alias("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs with the smallest doc_id of each component, one row each, with the same columns."""
-    kept = near_duplicates(docs).where("component_id = doc_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("kept_id"))
-    return rows.join(kept, "kept_id", "left_semi").dropDuplicates(["kept_id"]).select("row.*")
+def one_of_each(docs: DataFrame, most_members: int = MOST_MEMBERS) -> DataFrame:
+    """One row of docs for each component, with the same columns: one of the smallest doc_id's.
+
+    Of components without any doc_id, one row of the smallest node's fingerprint stays.
+    """
+    each = written(fingerprints(docs), "fingerprints")
+    roots = written(_roots(each, most_members).where("node = root"), "roots")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("node"))
+    named = rows.join(roots.where(F.col("node") < NAMELESS).select("node"), "node", "left_semi").dropDuplicates(["node"]).select("row.*")
+    nameless = roots.where(F.col("node") >= NAMELESS).select("fp")
+    if nameless.isEmpty():
+        return named
+
+    @F.pandas_udf("long")
+    def fp(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
+
+    rows = docs.where(F.col("doc_id").isNull()).select(F.struct("*").alias("row"), fp(text_of()).alias("fp"))
+    return named.union(rows.join(nameless, "fp", "left_semi").dropDuplicates(["fp"]).select("row.*"))
