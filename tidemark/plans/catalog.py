@@ -1,15 +1,421 @@
-"""All queries by name, with their SQL."""
+"""All queries by name, each with DuckDB SQL for the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.events import from_millis
+from ..operators import clean, dedup, pages, trending, wars
+from . import adapter, dashboard, reports
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+#: The moment that queries take for now, and their window.
+NOW, MINUTES = datetime(2024, 1, 15, 12, 0, 30), 360
+WINDOW_SQL = "> TIMESTAMP '2024-01-15 06:00:30' AND {0} <= TIMESTAMP '2024-01-15 12:00:30'"
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+EDITS = f"WITH e AS ({adapter.EVENTS_SQL})"
+COUNTS = f"{EDITS}, m AS (SELECT wiki, title, date_trunc('minute', event_time) AS minute, count(*) AS edit_count FROM e GROUP BY ALL)"
+IN_EDITS, IN_COUNTS = "event_time " + WINDOW_SQL.format("event_time"), "minute " + WINDOW_SQL.format("minute")
+REVERTS = f"{EDITS}, r AS (SELECT event_id, wiki, title, \"user\", event_ms FROM e WHERE is_revert AND NOT bot)"
+WARS = f"""{REVERTS},
+g AS (SELECT *, CASE WHEN event_ms - lag(event_ms) OVER p <= 1800000 THEN 0 ELSE 1 END AS fresh FROM r WINDOW p AS (PARTITION BY wiki, title ORDER BY event_ms, event_id)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY wiki, title ORDER BY event_ms, event_id) AS spell FROM g),
+n AS (
+  SELECT a.wiki, a.title, a.spell, a.event_id, a.event_ms, count(*) AS revert_count, list(b.event_id ORDER BY b.event_ms, b.event_id) AS event_ids,
+    list_sort(list(DISTINCT b."user")) AS users, min(b.event_ms) AS from_ms
+  FROM s a JOIN s b ON a.wiki = b.wiki AND a.title = b.title AND b.event_ms >= a.event_ms - 1800000
+    AND (b.event_ms < a.event_ms OR b.event_ms = a.event_ms AND b.event_id <= a.event_id)
+  GROUP BY ALL
+),
+w AS (SELECT *, row_number() OVER (PARTITION BY wiki, title, spell ORDER BY event_ms, event_id) AS k FROM n WHERE revert_count >= 3 AND len(users) >= 2),
+alerts AS (SELECT substr(sha256(wiki || chr(0) || title || chr(0) || event_ids[1]), 1, 32) AS alert_id, wiki, title, CAST(revert_count AS INT) AS revert_count, users,
+  event_ids, make_timestamp(from_ms * 1000) AS window_start, make_timestamp(event_ms * 1000) AS window_end FROM w WHERE k = 1)"""
+CHANGES = f"""{EDITS}, u AS (
+  SELECT *, CASE WHEN type IN ('edit', 'new') THEN 'U' ELSE 'D' END AS op, rev_new AS rev_id, length_new AS length FROM e
+  WHERE type IN ('edit', 'new') OR type = 'log' AND log_type = 'delete' AND log_action = 'delete'
+), c AS (SELECT *, event_ms >= coalesce(max(event_ms) OVER (PARTITION BY wiki, title ORDER BY arrival_ms, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS applied FROM u)"""
+STATE = ", ".join(f'"{c}"' for c in pages.STATE)
+LATEST = f"{CHANGES}, l AS (SELECT *, row_number() OVER (PARTITION BY wiki, title ORDER BY event_ms DESC, arrival_ms DESC, seq DESC) AS k FROM u), p AS (SELECT wiki, title, {STATE} FROM l WHERE k = 1 AND op = 'U')"
+ARRIVAL = ("arrival_ms", "seq")
+
+
+def query(sql: str | None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trending.minute_counts(adapter.edits(spark, sf_dir))
+
+
+def _reverts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adapter.edits(spark, sf_dir).where("is_revert AND NOT bot").select("event_id", "wiki", "title", "user", "event_ms")
+
+
+def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wars.edit_wars(_reverts(spark, sf_dir))
+
+
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.latest(adapter.edits(spark, sf_dir), *ARRIVAL)
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.with_duplicates(clean.parsed(adapter.raw(spark, sf_dir)), "arrival_ms", "seq", "copy")
+
+
+@query(f"SELECT outcome, reason, count(*) AS n FROM ({adapter.RAW_SQL}) GROUP BY ALL")
+def clean_outcomes(spark, sf_dir):
+    return _parsed(spark, sf_dir).groupBy("outcome", "reason").agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT event_id, wiki, title, type, namespace, "user", bot, minor, comment, event_ms, rev_old, rev_new, length_old, length_new, server_name, log_type, log_action
+  FROM ({adapter.RAW_SQL}) WHERE outcome = 'clean'""")
+def clean_events(spark, sf_dir):
+    rows = _parsed(spark, sf_dir).where("outcome = 'clean'").select("event.*")
+    return rows.withColumn("event_ms", F.unix_millis("event_time")).drop("event_time")
+
+
+@query(f"SELECT 'clean' AS stage, reason, seq FROM ({adapter.RAW_SQL}) WHERE outcome = 'rejected'")
+def dead_letters(spark, sf_dir):
+    letters = clean.dead_letters(_parsed(spark, sf_dir), "clean", "raw", position=("seq",))
+    return letters.select("stage", "reason", F.col("position")["seq"].cast("long").alias("seq"))
+
+
+@query(f"""{EDITS}, d AS (SELECT * FROM e UNION ALL SELECT * REPLACE (arrival_ms + 1 AS arrival_ms) FROM e WHERE seq % 3 = 0)
+  SELECT event_id, min(arrival_ms) AS arrival_ms FROM d GROUP BY event_id""")
+def dedup_events(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    again = e.where("seq % 3 = 0").withColumn("arrival_ms", F.col("arrival_ms") + 1)
+    return dedup.first_arrivals(e.unionByName(again), "event_id", *ARRIVAL).select("event_id", "arrival_ms")
+
+
+@query(f"{COUNTS} SELECT * FROM m")
+def trending_minutes(spark, sf_dir):
+    return _counts(spark, sf_dir)
+
+
+@query(f"{COUNTS} SELECT wiki, title, CAST(sum(edit_count) AS BIGINT) AS edits FROM m GROUP BY ALL ORDER BY edits DESC, wiki, title LIMIT 20")
+def top_pages(spark, sf_dir):
+    rows = _counts(spark, sf_dir).groupBy("wiki", "title").agg(F.sum("edit_count").alias("edits"))
+    return rows.orderBy(F.desc("edits"), "wiki", "title").limit(20)
+
+
+@query(f"{COUNTS} SELECT wiki, title, CAST(sum(edit_count) AS BIGINT) AS edits FROM m WHERE {IN_COUNTS} AND wiki = 'w1' GROUP BY ALL ORDER BY edits DESC, wiki, title LIMIT 2")
+def top_pages_filtered(spark, sf_dir):
+    return dashboard.top_pages(_counts(spark, sf_dir), NOW, MINUTES, "w1", 2)
+
+
+@query(f"""{COUNTS}, t AS (SELECT wiki, title FROM m WHERE {IN_COUNTS} GROUP BY ALL ORDER BY sum(edit_count) DESC, wiki, title LIMIT 3)
+  SELECT m.* FROM m SEMI JOIN t USING (wiki, title) WHERE {IN_COUNTS}""")
+def page_minutes_semijoin(spark, sf_dir):
+    return dashboard.page_minutes(_counts(spark, sf_dir), NOW, MINUTES, limit=3)
+
+
+@query(f"""{COUNTS}, t AS (SELECT wiki, title, CAST(sum(edit_count) AS BIGINT) AS edits FROM m WHERE {IN_COUNTS} GROUP BY ALL ORDER BY edits DESC, wiki, title LIMIT 3),
+  k AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-15 06:00:00', TIMESTAMP '2024-01-15 11:59:00', INTERVAL 1 MINUTE)) AS minute)
+  SELECT t.wiki, t.title, t.edits, array_to_string(list(coalesce(i.edit_count, 0) ORDER BY k.minute), ',') AS per_minute
+  FROM t CROSS JOIN k LEFT JOIN (SELECT * FROM m WHERE {IN_COUNTS}) i ON i.wiki = t.wiki AND i.title = t.title AND i.minute = k.minute GROUP BY ALL""")
+def trending_sparkline(spark, sf_dir):
+    return dashboard.trending(_counts(spark, sf_dir), NOW, MINUTES, limit=3).withColumn("per_minute", F.array_join(F.col("per_minute").cast("array<string>"), ","))
+
+
+@query(f"{EDITS} SELECT count(*) AS edits, count(*) FILTER (bot) AS bot_edits, count(DISTINCT wiki) AS wikis, count(DISTINCT wiki || ':' || title) AS pages FROM e WHERE {IN_EDITS}")
+def overview_totals(spark, sf_dir):
+    return dashboard.overview_totals(adapter.edits(spark, sf_dir), NOW, MINUTES)
+
+
+@query(f"""{EDITS}, k AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-15 06:00:00', TIMESTAMP '2024-01-15 11:59:00', INTERVAL 1 MINUTE)) AS minute),
+  c AS (SELECT date_trunc('minute', event_time) AS minute, count(*) AS edits FROM e WHERE {IN_EDITS} GROUP BY 1)
+  SELECT k.minute, coalesce(c.edits, 0) AS edits FROM k LEFT JOIN c USING (minute)""")
+def edits_per_minute_filled(spark, sf_dir):
+    return dashboard.minute_series(adapter.edits(spark, sf_dir), NOW, MINUTES)
+
+
+@query(f"{EDITS} SELECT count(*) AS edits, round(count(*) / 60, 2) AS edits_per_second FROM e WHERE event_time > TIMESTAMP '2024-01-15 11:59:30' AND event_time <= TIMESTAMP '2024-01-15 12:00:30'")
+def last_minute_rate(spark, sf_dir):
+    return dashboard.last_minute(adapter.edits(spark, sf_dir), NOW)
+
+
+@query(f"""{WARS} SELECT (SELECT count(*) FROM e) AS rows, (SELECT max(ingested_at) FROM e) AS newest_ingested, (SELECT max(event_time) FROM e) AS newest_event,
+  (SELECT count(*) FROM alerts WHERE window_end > TIMESTAMP '2024-01-15 06:00:30' AND window_start <= TIMESTAMP '2024-01-15 12:00:30') AS alerts""")
+def stored_summary(spark, sf_dir):
+    return dashboard.stored_summary(adapter.edits(spark, sf_dir), _alerts(spark, sf_dir), NOW, MINUTES)
+
+
+@query(f"""{WARS}, x AS (SELECT * FROM e WHERE {IN_EDITS}), k AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-15 06:00:00', TIMESTAMP '2024-01-15 11:59:00', INTERVAL 1 MINUTE)) AS minute),
+  c AS (SELECT date_trunc('minute', event_time) AS minute, count(*) AS edits FROM x GROUP BY 1)
+  SELECT count(*) AS edits, count(*) FILTER (bot) AS bot_edits, count(DISTINCT wiki) AS wikis, count(DISTINCT wiki || ':' || title) AS pages,
+  coalesce(round(count(*) FILTER (bot) / nullif(count(*), 0), 4), 0) AS bot_share, (SELECT round(count(*) / 60, 2) FROM e WHERE event_time > TIMESTAMP '2024-01-15 11:59:30' AND event_time <= TIMESTAMP '2024-01-15 12:00:30') AS edits_per_second,
+  (SELECT count(*) FROM e) AS rows, (SELECT max(ingested_at) FROM e) AS newest_ingested, (SELECT max(event_time) FROM e) AS newest_event,
+  (SELECT count(*) FROM alerts WHERE window_end > TIMESTAMP '2024-01-15 06:00:30' AND window_start <= TIMESTAMP '2024-01-15 12:00:30') AS alerts,
+  (SELECT array_to_string(list(coalesce(c.edits, 0) ORDER BY k.minute), ',') FROM k LEFT JOIN c USING (minute)) AS per_minute FROM x""")
+def overview(spark, sf_dir):
+    one = dashboard.overview(adapter.edits(spark, sf_dir), _alerts(spark, sf_dir), NOW, MINUTES)
+    return one.withColumn("per_minute", F.array_join(F.col("per_minute").cast("array<string>"), ","))
+
+
+@query(f"{EDITS} SELECT wiki, count(*) AS edits, count(*) FILTER (bot) AS bot_edits, round(count(*) FILTER (bot) / count(*), 4) AS bot_share FROM e WHERE {IN_EDITS} GROUP BY wiki ORDER BY edits DESC, wiki LIMIT 20")
+def top_wikis(spark, sf_dir):
+    return dashboard.top_wikis(adapter.edits(spark, sf_dir), NOW, MINUTES)
+
+
+FEED = """SELECT event_id, wiki, title, type, "user", bot, minor, is_revert, comment, length_new - length_old AS size_change, event_time,
+  CAST(floor((epoch_us(ingested_at) - epoch_us(event_time)) / 1000) AS BIGINT) AS stored_after_ms, 'https://' || server_name || '/wiki/' || replace(title, ' ', '_') AS url FROM e"""
+
+
+@query(f"{EDITS} {FEED} ORDER BY event_time DESC, event_id DESC LIMIT 50")
+def latest_edits(spark, sf_dir):
+    return dashboard.latest_edits(adapter.edits(spark, sf_dir))
+
+
+@query(f"{EDITS} {FEED} WHERE wiki = 'w0' AND NOT bot AND is_revert AND event_time < TIMESTAMP '2024-01-15 12:00:30' ORDER BY event_time DESC, event_id DESC LIMIT 20")
+def latest_edits_keyset(spark, sf_dir):
+    return dashboard.latest_edits(adapter.edits(spark, sf_dir), 20, "w0", True, True, NOW)
+
+
+FLAT = "SELECT alert_id, wiki, title, revert_count, array_to_string(users, ',') AS users, array_to_string(event_ids, ',') AS event_ids, window_start, window_end"
+
+
+def _flat(alerts: DataFrame) -> DataFrame:
+    return alerts.withColumn("users", F.array_join("users", ",")).withColumn("event_ids", F.array_join("event_ids", ","))
+
+
+@query(f"{WARS} {FLAT} FROM alerts")
+def edit_wars(spark, sf_dir):
+    return _flat(_alerts(spark, sf_dir))
+
+
+@query(f"{WARS} {FLAT}, round((epoch_us(window_end) - epoch_us(window_start)) / 60e6, 1) AS minutes FROM alerts ORDER BY window_end DESC, alert_id LIMIT 50")
+def alerts_recent(spark, sf_dir):
+    return _flat(dashboard.latest_alerts(_alerts(spark, sf_dir)))
+
+
+@query(f"{WARS} {FLAT} FROM alerts WHERE window_end > TIMESTAMP '2024-01-15 06:00:30' AND window_start <= TIMESTAMP '2024-01-15 12:00:30'")
+def alerts_overlap(spark, sf_dir):
+    a = _alerts(spark, sf_dir)
+    return _flat(a.where((F.col("window_end") > dashboard.at(dashboard.since(NOW, MINUTES))) & (F.col("window_start") <= dashboard.at(NOW))))
+
+
+@query(f"{LATEST} SELECT * FROM p")
+def page_latest(spark, sf_dir):
+    return _latest(spark, sf_dir)
+
+
+@query(f"{CHANGES} SELECT wiki, title, event_id, op, applied FROM c")
+def page_changelog(spark, sf_dir):
+    return pages.changelog(adapter.edits(spark, sf_dir), *ARRIVAL).select("wiki", "title", "event_id", "op", "applied")
+
+
+@query(f"""{CHANGES}, a AS (SELECT wiki, title, count(*) AS n, count(*) FILTER (op = 'D') AS d, arg_max(op, (event_ms, arrival_ms, seq)) AS last FROM c WHERE applied GROUP BY ALL)
+  SELECT CAST(sum(n) AS BIGINT) AS records, CAST(sum(d) AS BIGINT) AS tombstones, count(*) FILTER (last = 'U') AS live_pages, count(*) FILTER (last = 'D') AS removed_pages, CAST(sum(n - 1) AS BIGINT) AS superseded FROM a""")
+def changelog_stats(spark, sf_dir):
+    return reports.changelog_stats(pages.changelog(adapter.edits(spark, sf_dir), *ARRIVAL))
+
+
+@query(f"{LATEST} SELECT * FROM p WHERE contains(lower(title), 'age 1') ORDER BY event_time DESC, wiki, title LIMIT 20")
+def page_search(spark, sf_dir):
+    return pages.search(_latest(spark, sf_dir), " AGE 1")
+
+
+@query(f"{LATEST} SELECT * FROM p WHERE wiki = 'w0' AND title = 'Page 1'")
+def page_lookup(spark, sf_dir):
+    return pages.lookup(_latest(spark, sf_dir), "w0", "Page 1")
+
+
+@query(f"{LATEST} SELECT wiki, count(*) AS pages FROM p GROUP BY wiki ORDER BY pages DESC, wiki LIMIT 8")
+def pages_per_wiki(spark, sf_dir):
+    return reports.pages_per_wiki(_latest(spark, sf_dir))
+
+
+LATE = f"""{EDITS}, l AS (SELECT *, max(event_ms) OVER (PARTITION BY partition ORDER BY arrival_ms, seq ROWS UNBOUNDED PRECEDING) AS watermark_ms FROM e),
+  f AS (SELECT *, event_ms // 60000 < (watermark_ms - 120000) // 60000 AS late FROM l)"""
+
+
+def _lateness(spark, sf_dir):
+    return trending.with_lateness(adapter.edits(spark, sf_dir), "partition", list(ARRIVAL), "event_ms", 120_000)
+
+
+@query(f"{LATE} SELECT event_id, watermark_ms FROM f")
+def watermark_running(spark, sf_dir):
+    return _lateness(spark, sf_dir).select("event_id", "watermark_ms")
+
+
+@query(f"{LATE} SELECT partition, count(*) AS events, count(*) FILTER (late) AS late_events FROM f GROUP BY partition")
+def late_events(spark, sf_dir):
+    return _lateness(spark, sf_dir).groupBy("partition").agg(F.count("*").alias("events"), F.count_if("late").alias("late_events"))
+
+
+@query(f"{LATE} SELECT wiki, title, date_trunc('minute', event_time) AS minute, count(*) AS edit_count FROM f WHERE NOT late GROUP BY ALL")
+def on_time_minutes(spark, sf_dir):
+    return trending.minute_counts(_lateness(spark, sf_dir).where("NOT late"))
+
+
+MS = "(epoch_us(ingested_at) - epoch_us(event_time)) / 1000"
+
+
+@query(f"{EDITS} SELECT count(*) AS rows, quantile_cont({MS}, 0.5) AS p50_ms, quantile_cont({MS}, 0.95) AS p95_ms, quantile_cont({MS}, 0.99) AS p99_ms, max({MS}) AS max_ms FROM e")
+def latency_percentiles(spark, sf_dir):
+    return reports.latency(adapter.edits(spark, sf_dir))
+
+
+@query(f"{EDITS}, s AS (SELECT date_trunc('second', event_time) AS s, count(*) AS n FROM e GROUP BY 1) SELECT max(n) AS peak, avg(n) AS mean FROM s")
+def per_second_peak(spark, sf_dir):
+    return reports.per_second(adapter.edits(spark, sf_dir))
+
+
+@query(f"{EDITS} SELECT partition, count(*) AS records, count(*) / sum(count(*)) OVER () AS share FROM e GROUP BY partition")
+def partition_balance(spark, sf_dir):
+    return reports.partition_balance(adapter.edits(spark, sf_dir))
+
+
+@query(f"""{EDITS}, g AS (SELECT event_ms - event_ms % 60000 AS m, partition, wiki || ':' || title AS page, count(*) AS n FROM e GROUP BY ALL),
+  q AS (SELECT m, partition, sum(n) AS n, arg_min(page, (-n, page)) AS page, max(n) AS top FROM g GROUP BY ALL),
+  t AS (SELECT m, sum(n) AS total, arg_min(partition, (-n, partition)) AS partition, max(n) AS n, arg_min(page, (-n, partition)) AS page, arg_min(top, (-n, partition)) AS page_events FROM q GROUP BY m)
+  SELECT make_timestamp(m * 1000) AS minute, CAST(total AS BIGINT) AS total, partition, n / total AS share, page, CAST(page_events AS BIGINT) AS page_events FROM t WHERE total >= 3 ORDER BY share DESC, minute LIMIT 5""")
+def hot_minutes(spark, sf_dir):
+    return reports.hot_minutes(adapter.edits(spark, sf_dir), 3)
+
+
+REPEATED = f"{EDITS}, d AS (SELECT event_id FROM e UNION ALL SELECT event_id FROM e WHERE seq % 30 = 0 UNION ALL SELECT event_id FROM e WHERE seq % 90 = 0)"
+
+
+def _repeated(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir).select("event_id", "seq")
+    return e.unionByName(e.where("seq % 30 = 0")).unionByName(e.where("seq % 90 = 0")).select("event_id")
+
+
+@query(f"{REPEATED}, i AS (SELECT event_id, count(*) AS n FROM d GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS records, count(*) AS unique_ids, count(*) FILTER (n > 1) AS repeated_ids, CAST(0 AS BIGINT) AS unreadable FROM i")
+def duplicate_report(spark, sf_dir):
+    return reports.duplicates(_repeated(spark, sf_dir))
+
+
+@query(f"{REPEATED} SELECT event_id, count(*) AS copies FROM d GROUP BY 1 HAVING copies > 1 ORDER BY copies DESC, event_id LIMIT 5")
+def worst_duplicates(spark, sf_dir):
+    return reports.worst_duplicates(_repeated(spark, sf_dir))
+
+
+@query(f"{EDITS}, o AS (SELECT partition, seq // {adapter.PARTITIONS} AS k FROM e WHERE seq % 17 <> 5) SELECT partition, max(k) - min(k) + 1 - count(DISTINCT k) AS missing, CAST(count(*) - count(DISTINCT k) AS BIGINT) AS repeats FROM o GROUP BY partition")
+def source_gaps(spark, sf_dir):
+    rows = adapter.edits(spark, sf_dir).where("seq % 17 <> 5").withColumn("offset", F.expr(f"seq div {adapter.PARTITIONS}"))
+    return reports.source_gaps(rows)
+
+
+@query(f"{COUNTS} SELECT minute, CAST(sum(edit_count) AS BIGINT) AS edits, count(*) AS pages FROM m WHERE minute > TIMESTAMP '2024-01-14 12:00:30' GROUP BY minute ORDER BY minute DESC LIMIT 10")
+def busiest_minutes(spark, sf_dir):
+    return dashboard.busiest_minutes(_counts(spark, sf_dir), NOW, 24)
+
+
+@query(f"{COUNTS} SELECT wiki, title, CAST(sum(edit_count) AS BIGINT) AS edits, count(*) AS active_minutes FROM m WHERE minute > TIMESTAMP '2024-01-14 12:00:30' GROUP BY ALL ORDER BY edits DESC, title, wiki LIMIT 10")
+def active_pages(spark, sf_dir):
+    return dashboard.active_pages(_counts(spark, sf_dir), NOW, 24)
+
+
+@query(f"{COUNTS} SELECT count(*) AS rows, CAST(sum(edit_count) AS BIGINT) AS edits, max(minute) AS newest_minute FROM m")
+def count_totals(spark, sf_dir):
+    return dashboard.count_totals(_counts(spark, sf_dir))
+
+
+@query(f"{EDITS} SELECT count(*) AS events, count(*) FILTER (is_revert) AS reverts, count(*) FILTER (bot) AS bots, count(DISTINCT wiki) AS wikis FROM e")
+def sample_stats(spark, sf_dir):
+    return reports.sample_stats(adapter.edits(spark, sf_dir))
+
+
+@query(f"""{EDITS}, s AS (SELECT partition AS span, event_ms / 1000.0 AS "at" FROM e WHERE event_time < TIMESTAMP '2024-01-03'),
+  b AS (SELECT span, min("at") - 10 AS a, max("at") + 10 AS z FROM s GROUP BY span),
+  p AS (SELECT * FROM s UNION ALL SELECT span, a FROM b UNION ALL SELECT span, z FROM b), g AS (SELECT span, lead("at") OVER (PARTITION BY span ORDER BY "at") - "at" AS gap FROM p)
+  SELECT span, round(max(gap), 3) AS longest, round(coalesce(sum(gap) FILTER (gap >= 600), 0), 3) AS paused FROM g GROUP BY span""")
+def longest_gap(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir).where(F.col("event_time") < dashboard.at(datetime(2024, 1, 3)))
+    s = e.select(F.col("partition").alias("span"), (F.col("event_ms") / 1000.0).alias("at"))
+    spans = s.groupBy("span").agg((F.min("at") - 10).alias("start"), (F.max("at") + 10).alias("end"))
+    return reports.longest_gaps(s, spans, 600).select("span", F.round("longest", 3).alias("longest"), F.round("paused", 3).alias("paused"))
+
+
+@query(f"{EDITS} SELECT event_id, wiki, title FROM e WHERE seq % 4 <> 0")
+def insert_if_absent(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir).select("event_id", "wiki", "title", "seq")
+    stored, batch = e.where("seq % 2 = 1"), e.where("seq % 4 <> 0")
+    return stored.unionByName(dedup.only_new(batch.unionByName(batch), stored, "event_id")).select("event_id", "wiki", "title")
+
+
+@query(f"{COUNTS} SELECT wiki, title, minute, edit_count + 1 AS edit_count FROM m")
+def upsert_keep_max(spark, sf_dir):
+    m = _counts(spark, sf_dir)
+    return trending.keep_largest(m, m.withColumn("edit_count", F.col("edit_count") + 1)).select("wiki", "title", "minute", "edit_count")
+
+
+@query(f"{EDITS} SELECT event_id, is_revert FROM e")
+def backfill_revert(spark, sf_dir):
+    from ..sinks.tables import backfilled
+
+    e = adapter.edits(spark, sf_dir).withColumn("is_revert", F.when(F.col("seq") % 3 > 0, F.col("is_revert")))
+    return backfilled(e).select("event_id", "is_revert")
+
+
+@query(f"""{EDITS}, n AS (SELECT partition, max(seq) AS end_offset, max(seq) FILTER (seq % 5 = 0) AS committed FROM e GROUP BY partition)
+  SELECT 'g' AS "group", CAST(sum(end_offset - committed) AS BIGINT) AS lag, max(end_offset - committed) <= 1 AS caught_up FROM n""")
+def consumer_lag(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    ends = e.groupBy("partition").agg(F.max("seq").alias("end_offset"))
+    done = e.where("seq % 5 = 0").groupBy("partition").agg(F.max("seq").alias("committed")).withColumn("group", F.lit("g"))
+    return reports.group_lag(ends, done)
+
+
+@query(f"{EDITS}, o AS (SELECT min(seq) FILTER (seq % 7 = 0) AS f FROM e WHERE seq > 20), c AS (SELECT * FROM e WHERE seq > 20 AND seq < (SELECT f FROM o)) SELECT arg_max(event_id, seq) AS newest, count(*) AS released FROM c")
+def delivery_prefix(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir).where("seq > 20")
+    return reports.confirmed_prefix(e.select("seq", F.col("event_id").alias("id"), (F.col("seq") % 7 != 0).alias("confirmed")))
+
+
+@query(f"{EDITS} SELECT partition, min(seq) + 1000 - max(seq) FILTER (seq < 500) AS lost FROM e GROUP BY partition HAVING lost > 0")
+def retention_gaps(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    offsets = e.groupBy("partition").agg(F.max(F.when(F.col("seq") < 500, F.col("seq"))).alias("committed"), (F.min("seq") + 1000).alias("log_start"))
+    return reports.retention_gaps(offsets)
+
+
+@query(f"""{EDITS}, l AS (SELECT CAST(namespace AS BIGINT) AS instances, event_ms / 1000.0 AS at_s, 1000000 - seq AS lag FROM e)
+  SELECT instances, (arg_min(lag, at_s) - arg_max(lag, at_s)) / (max(at_s) - min(at_s)) AS rate FROM l GROUP BY instances""")
+def drain_rates(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    return reports.drain_rates(e.select(F.col("namespace").cast("long").alias("instances"), (F.col("event_ms") / 1000.0).alias("at_s"), (1_000_000 - F.col("seq")).alias("lag")))
+
+
+@query(f"{EDITS}, l AS (SELECT namespace AS partition, \"user\" AS worker, seq % 5 <> 0 AS assigned, row_number() OVER (PARTITION BY namespace ORDER BY seq DESC) AS k FROM e) SELECT partition, worker FROM l WHERE k = 1 AND assigned")
+def owned_partitions(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    return reports.owned_partitions(e.select("seq", F.col("user").alias("worker"), F.col("namespace").alias("partition"), F.when(F.col("seq") % 5 != 0, "assign").otherwise("revoke").alias("action")))
+
+
+@query(f"{EDITS} SELECT median(event_ms % 1000) FILTER (partition = 0) AS slow, median(event_ms % 1000) FILTER (partition = 1) AS fast, fast / slow AS speedup FROM e")
+def median_speedup(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    return reports.median_speedup(e.select(F.when(F.col("partition") == 0, "slow").otherwise("fast").alias("setting"), (F.col("event_ms") % 1000).alias("rate")), "slow", "fast")
+
+
+@query(f"{EDITS} SELECT wiki || ':' || title AS page, min(event_time) AS first_edit, epoch_us(min(event_time)) // 1000 AS first_ms, count(*) AS events FROM e GROUP BY 1")
+def page_keys(spark, sf_dir):
+    from ..functions.events import page_key
+
+    e = adapter.edits(spark, sf_dir).groupBy(page_key(F.col("wiki"), F.col("title")).alias("page")).agg(F.min("event_time").alias("first_edit"), F.min("event_ms").alias("first_ms"), F.count("*").alias("events"))
+    return e.withColumn("first_edit", F.coalesce("first_edit", from_millis(F.col("first_ms"))))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
