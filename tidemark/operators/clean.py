@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.events import collapsed, stripped
@@ -14,121 +14,135 @@ from ..schema import EVENT_TYPES
 KINDS = {"STRING": "str", "BOOLEAN": "bool", "DOUBLE": "float", "FLOAT": "float", "VOID": "NoneType"}
 
 
-def _get(path: str, kind: str = "variant") -> Column:
-    return F.try_variant_get("v", path, kind)
+#: Paths that are read, and the columns that hold their type (t_), text (s_) and number (n_).
+PATHS = {
+    "id": "$.meta.id", "dt": "$.meta.dt", "domain": "$.meta.domain", "type": "$.type", "wiki": "$.wiki", "title": "$.title", "namespace": "$.namespace",
+    "timestamp": "$.timestamp", "user": "$.user", "bot": "$.bot", "minor": "$.minor", "comment": "$.comment", "server_name": "$.server_name",
+    "log_type": "$.log_type", "log_action": "$.log_action", "revision": "$.revision", "rev_old": "$.revision.old", "rev_new": "$.revision.new",
+    "length": "$.length", "length_old": "$.length.old", "length_new": "$.length.new",
+}
+NUMBERS = {"namespace": 32, "timestamp": 64, "rev_old": 64, "rev_new": 64, "length_old": 32, "length_new": 32}
 
 
-def _type(path: str) -> Column:
-    """The variant's type at path; null if there is nothing."""
-    return F.schema_of_variant(_get(path))
+def _t(name: str) -> Column:
+    return F.col(f"t_{name}")
 
 
-def _whole(kind: Column) -> Column:
-    """Whether the type is that of a JSON integer, of any size."""
-    return (kind == "BIGINT") | kind.rlike(r"^DECIMAL\([0-9]+,0\)$")
+def _s(name: str) -> Column:
+    return F.col(f"s_{name}")
 
 
-def _kind_name(kind: Column) -> Column:
-    named = reduce(lambda c, kv: F.when(kind == kv[0], kv[1]).otherwise(c), KINDS.items(), F.lit("float"))
-    return F.when(F.startswith(kind, F.lit("ARRAY")), "list").when(F.startswith(kind, F.lit("OBJECT")), "dict").otherwise(named)
+def _absent(name: str) -> Column:
+    """Nothing there, or a JSON null."""
+    return _t(name).isNull() | (_t(name) == "VOID")
 
 
-def _absent(path: str) -> Column:
-    """Nothing there, or a JSON null."""
-    kind = _type(path)
-    return kind.isNull() | (kind == "VOID")
+def _whole(name: str) -> Column:
+    """Whether the value is a JSON integer, of any size."""
+    return F.coalesce((_t(name) == "BIGINT") | _t(name).rlike(r"^DECIMAL\([0-9]+,0\)$"), F.lit(False))
+
+
+def _kind_name(name: str) -> Column:
+    kind = _t(name)
+    named = reduce(lambda c, kv: F.when(kind == kv[0], kv[1]).otherwise(c), KINDS.items(), F.lit("float"))
+    return F.when(F.startswith(kind, F.lit("ARRAY")), "list").when(F.startswith(kind, F.lit("OBJECT")), "dict").otherwise(named)
 
 
-def _truthy(path: str) -> Column:
+def _truthy(name: str) -> Column:
     """JSON truth: not null, false, zero, or an empty string, list or object."""
-    kind = _type(path)
-    text = _get(path, "string")
+    kind, text = _t(name), _s(name)
     filled = F.when(kind == "BOOLEAN", text == "true").when(kind == "STRING", F.length(text) > 0)
-    filled = filled.when(kind.rlike("^(ARRAY|OBJECT)"), ~F.to_json(_get(path)).isin("[]", "{}")).otherwise(_get(path, "double") != 0)
-    return F.when(_absent(path), False).otherwise(F.coalesce(filled, F.lit(True)))
+    filled = filled.when(kind.rlike("^(ARRAY|OBJECT)"), ~text.isin("[]", "{}")).otherwise(text.try_cast("double") != 0)
+    return F.when(_absent(name), False).otherwise(F.coalesce(filled, F.lit(True)))
 
 
-def _text(path: str) -> Column:
+def _text(name: str) -> Column:
     """A value as text, "" if it is not truthy."""
-    text = F.when(_type(path) == "BOOLEAN", F.initcap(_get(path, "string"))).otherwise(F.coalesce(_get(path, "string"), F.to_json(_get(path))))
-    return F.when(_truthy(path), text).otherwise("")
+    return F.when(_truthy(name), F.when(_t(name) == "BOOLEAN", F.initcap(_s(name))).otherwise(_s(name))).otherwise("")
 
 
-def _name(path: str) -> Column:
+def _name(name: str) -> Column:
     """A string that is not empty, else null."""
-    return F.when((_type(path) == "STRING") & (F.length(_get(path, "string")) > 0), _get(path, "string"))
+    return F.when((_t(name) == "STRING") & (F.length(_s(name)) > 0), _s(name))
 
 
-def _number_fault(path: str, bits: int) -> Column:
+def _number_fault(name: str) -> Column:
     """The reason why an optional integer is none; null if it is fine."""
-    kind = _type(path)
-    wide = _get(path, "decimal(38,0)")
-    far = wide.isNull() | (F.abs(wide) >= F.lit(str(2 ** (bits - 1))).cast("decimal(38,0)"))
-    return F.when(_absent(path), F.lit(None)).when(~_whole(kind), F.concat(F.lit("expected int, got "), _kind_name(kind))).when(far, "int out of range")
+    expected = F.concat(F.lit("expected int, got "), _kind_name(name))
+    return F.when(_absent(name), F.lit(None)).when(~_whole(name), expected).when(F.col(f"n_{name}").isNull(), "int out of range")
+
+
+def _container_fault(name: str) -> Column:
+    return F.when(_truthy(name) & ~F.startswith(_t(name), F.lit("OBJECT")), f"{name} is not an object")
 
 
 def _event_time() -> Column:
     """meta.dt if it is a time, else the whole seconds of timestamp."""
-    dt = F.when(_type("$.meta.dt") == "STRING", _get("$.meta.dt", "string"))
+    dt = F.when(_t("dt") == "STRING", _s("dt"))
     zoned = F.when(dt.rlike(r"([zZ]|[+-][0-9]{2}:?[0-9]{2})$"), dt).otherwise(F.concat(dt, F.lit("Z")))
     basic = F.try_to_timestamp(F.regexp_replace(dt, "[zZ]$", "+0000"), F.lit("yyyyMMdd'T'HHmmssxx"))
-    seconds = F.when(_whole(_type("$.timestamp")), _get("$.timestamp", "long"))
+    seconds = F.when(_whole("timestamp"), F.col("n_timestamp"))
     seconds = F.when(F.abs(seconds) < 253_402_300_800, seconds)
     return F.coalesce(zoned.try_cast("timestamp"), basic, F.timestamp_seconds(seconds))
 
 
+def _extracted(rows: DataFrame) -> DataFrame:
+    """rows (with v, a variant) and the type and text of every path, then numbers, title and time: each read once."""
+    kinds = {f"t_{n}": F.schema_of_variant(F.try_variant_get("v", p, "variant")) for n, p in PATHS.items()}
+    texts = {f"s_{n}": F.try_variant_get("v", p, "string") for n, p in PATHS.items()}
+    rows = rows.withColumns({"t_whole": F.schema_of_variant("v")} | kinds | texts)
+    numbers = {f"n_{n}": F.when(_whole(n), _s(n).try_cast("long" if bits == 64 else "int")) for n, bits in NUMBERS.items()}
+    return rows.withColumns(numbers).withColumns({"c_title": collapsed(F.coalesce(_name("title"), F.lit(""))), "c_time": _event_time()})
+
+
 def parsed(rows: DataFrame, value: str = "value") -> DataFrame:
     """rows with outcome (clean, rejected or skipped), reason and event, a struct of a clean event's fields.
 
     The first fault in the order of validation is the reason. Heartbeats (meta.domain canary) are skipped before they
     are validated. value may be binary or a string; null is rejected. Timestamps need a session in UTC.
     """
-    column = F.col(value)
+    names, column = rows.columns, F.col(value)
     text = column if dict(rows.dtypes)[value] == "string" else F.try_validate_utf8(column.cast("string"))
-    rows = rows.withColumn("body", text).withColumn("v", F.try_parse_json("body"))
-    kind = F.schema_of_variant("v")
-    is_object = F.startswith(kind, F.lit("OBJECT"))
-    title = collapsed(F.coalesce(_name("$.title"), F.lit("")))
-    of = {c: f"$.{a}.{b}" for c, a, b in (("rev_old", "revision", "old"), ("rev_new", "revision", "new"), ("length_old", "length", "old"), ("length_new", "length", "new"))}
-    container = lambda p: F.when(_truthy(p) & ~F.startswith(_type(p), F.lit("OBJECT")), f"{p[2:]} is not an object")
-    event_type = _get("$.type", "string")
+    rows = _extracted(rows.withColumn("body", text).withColumn("v", F.try_parse_json("body")))
+    is_object = F.startswith(F.col("t_whole"), F.lit("OBJECT"))
+    known_type = F.coalesce((_t("type") == "STRING") & _s("type").isin(*EVENT_TYPES), F.lit(False))
     reason = F.coalesce(
         F.when(F.col("body").isNull(), "value is not valid utf-8"),
         F.when(F.col("v").isNull(), "invalid json"),
         F.when(~is_object, "event is not a json object"),
-        F.when(_type("$.meta.id").isNull(), "missing meta.id"),
-        F.when(_name("$.meta.id").isNull(), "meta.id is not a non-empty string"),
-        F.when(~((_type("$.type") == "STRING") & event_type.isin(*EVENT_TYPES)) | _type("$.type").isNull(), F.concat(F.lit("unknown event type: "), F.coalesce(event_type, F.lit("None")))),
-        F.when(_name("$.wiki").isNull(), "missing wiki"),
-        F.when(F.length(title) == 0, "missing title"),
-        F.when(~F.coalesce(_whole(_type("$.namespace")), F.lit(False)), "namespace is not an int"),
-        F.when(_get("$.namespace", "int").isNull(), "namespace is not an int"),
-        F.when(_event_time().isNull(), "no usable event time"),
-        container("$.revision"), _number_fault(of["rev_old"], 64), _number_fault(of["rev_new"], 64),
-        container("$.length"), _number_fault(of["length_old"], 32), _number_fault(of["length_new"], 32),
+        F.when(_t("id").isNull(), "missing meta.id"),
+        F.when(_name("id").isNull(), "meta.id is not a non-empty string"),
+        F.when(~known_type, F.concat(F.lit("unknown event type: "), F.coalesce(_s("type"), F.lit("None")))),
+        F.when(_name("wiki").isNull(), "missing wiki"),
+        F.when(F.length("c_title") == 0, "missing title"),
+        F.when(F.col("n_namespace").isNull(), "namespace is not an int"),
+        F.when(F.col("c_time").isNull(), "no usable event time"),
+        _container_fault("revision"), _number_fault("rev_old"), _number_fault("rev_new"),
+        _container_fault("length"), _number_fault("length_old"), _number_fault("length_new"),
     )
-    canary = F.coalesce(is_object & (_type("$.meta.domain") == "STRING") & (_get("$.meta.domain", "string") == "canary"), F.lit(False))
+    canary = F.coalesce(is_object & (_t("domain") == "STRING") & (_s("domain") == "canary"), F.lit(False))
     event = F.struct(
-        _get("$.meta.id", "string").alias("event_id"), _get("$.wiki", "string").alias("wiki"), title.alias("title"), event_type.alias("type"),
-        _get("$.namespace", "int").alias("namespace"), _text("$.user").alias("user"), _truthy("$.bot").alias("bot"), _truthy("$.minor").alias("minor"),
-        stripped(_text("$.comment")).alias("comment"), _event_time().alias("event_time"),
-        _get(of["rev_old"], "long").alias("rev_old"), _get(of["rev_new"], "long").alias("rev_new"),
-        _get(of["length_old"], "int").alias("length_old"), _get(of["length_new"], "int").alias("length_new"),
-        _text("$.server_name").alias("server_name"), _name("$.log_type").alias("log_type"), _name("$.log_action").alias("log_action"),
+        _s("id").alias("event_id"), _s("wiki").alias("wiki"), F.col("c_title").alias("title"), _s("type").alias("type"), F.col("n_namespace").alias("namespace"),
+        _text("user").alias("user"), _truthy("bot").alias("bot"), _truthy("minor").alias("minor"), stripped(_text("comment")).alias("comment"), F.col("c_time").alias("event_time"),
+        *(F.col(f"n_{n}").alias(n) for n in ("rev_old", "rev_new", "length_old", "length_new")),
+        _text("server_name").alias("server_name"), _name("log_type").alias("log_type"), _name("log_action").alias("log_action"),
     )
-    rows = rows.withColumn("reason", F.when(~canary, reason))
-    outcome = F.when(canary, "skipped").when(F.col("reason").isNotNull(), "rejected").otherwise("clean")
-    return rows.withColumn("outcome", outcome).withColumn("event", F.when(F.col("outcome") == "clean", event)).drop("v", "body")
+    rows = rows.withColumn("reason", F.when(~canary, reason)).withColumn("canary", canary)
+    outcome = F.when(F.col("canary"), "skipped").when(F.col("reason").isNotNull(), "rejected").otherwise("clean")
+    rows = rows.withColumn("outcome", outcome).withColumn("event", F.when(F.col("outcome") == "clean", event))
+    return rows.select(*names, "reason", "outcome", "event")
 
 
-def with_duplicates(rows: DataFrame, *arrival: str) -> DataFrame:
-    """parsed rows whose outcome is duplicate where a clean event of the same id arrived before, by the columns given."""
-    from pyspark.sql import Window
+def with_duplicates(rows: DataFrame, *arrival: str, value: str = "value") -> DataFrame:
+    """parsed rows whose outcome is duplicate where a clean event of the same id arrived before, by the columns given.
 
-    order = Window.partitionBy("event.event_id", "outcome").orderBy(*arrival)
-    clean = rows.where("outcome = 'clean'").withColumn("n", F.row_number().over(order))
-    clean = clean.withColumn("outcome", F.when(F.col("n") > 1, "duplicate").otherwise("clean")).drop("n")
-    return clean.unionByName(rows.where("outcome <> 'clean'"))
+    One shuffle for all outcomes: rows that are not clean have no id and are dealt by their value's hash.
+    """
+    key = F.coalesce(F.col("event.event_id"), F.xxhash64(value).cast("string"))
+    order = Window.partitionBy("_key").orderBy(F.col("event").isNull(), *arrival)
+    numbered = rows.withColumn("_key", key).withColumn("_n", F.row_number().over(order))
+    again = (F.col("outcome") == "clean") & (F.col("_n") > 1)
+    return numbered.withColumn("outcome", F.when(again, "duplicate").otherwise(F.col("outcome"))).drop("_key", "_n")
 
 
 def dead_letters(rows: DataFrame, stage: str, source: str, value: str = "value", position: tuple[str, ...] = ()) -> DataFrame:
