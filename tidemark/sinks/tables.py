@@ -1,7 +1,7 @@
 """Keyed tables as versioned Parquet folders, with writes that can be repeated.
 
-A table is a folder of versions and a pointer file that names the current one. A write makes the version that its batch id
-names, then moves the pointer; a batch that runs again after a crash makes the same version once more, and one whose
+A table is a folder of versions and pointer files, the newest of which names the version of each part. A write makes the version that its batch id
+names, then adds a pointer; a batch that runs again after a crash makes the same version once more, and one whose
 version is current already, or older, does nothing. So each batch takes effect once, like rows and offsets that commit
 together. Large tables are partitioned by ``parts`` and only the partitions that a batch touches are written: the
 others stay in the versions that hold them.
@@ -31,20 +31,21 @@ class Table:
         self.fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _pointer(self) -> dict:
-        """batch (the last one written) and parts (which version holds each)."""
-        p = self._path(f"{self.path}/_current.json")
-        if not self.fs.exists(p):
+        """batch (the last one written) and parts (which version holds each): the newest pointer file."""
+        folder = self._path(f"{self.path}/pointers")
+        names = [x.getPath().getName() for x in self.fs.listStatus(folder)] if self.fs.exists(folder) else []
+        found = max((n for n in names if n.startswith("pointer-")), default=None)
+        if found is None:
             return {"batch": -1, "parts": {}}
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/_current.json").collect()))
+        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/pointers/{found}").collect()))
 
     def _move_pointer(self, state: dict) -> None:
-        """Writes a new pointer beside the old one and renames it: readers see either."""
-        new, at = self._path(f"{self.path}/_next-{uuid.uuid4().hex}.json"), self._path(f"{self.path}/_current.json")
+        """Writes a new pointer under another name and renames it: readers see it whole or not at all."""
+        new = self._path(f"{self.path}/pointers/.next-{uuid.uuid4().hex}")
         out = self.fs.create(new, True)
         out.write(bytearray(json.dumps(state).encode()))
         out.close()
-        self.fs.delete(at, False)
-        self.fs.rename(new, at)
+        self.fs.rename(new, self._path(f"{self.path}/pointers/pointer-{state['batch']:020}.json"))
 
     def _part(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.parts)).cast("int")
