@@ -119,6 +119,7 @@ def _pairs(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         return pd.DataFrame({"query_id": own[row], "vec_id": found, "score": score}).astype("int64")
 
     keys = ["dims", "shard", "block"]
+    candidates, queries = (d.select(*(F.col(c).alias(c) for c in d.columns)) for d in (candidates, queries))  # both come from one table
     return candidates.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(one, "query_id long, vec_id long, score long")
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -144,8 +145,8 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64, shard
     first = written(_pairs(everywhere, asked.withColumn("shard", F.col("home")).withColumn("kth", F.lit(float("-inf"))), k), "first-shard")
     if shards == 1:
         return _best(first, k).select("query_id", "rank", "vec_id", "score")
-    kth = first.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k)
-    asked = asked.join(kth, asked.vec_id == kth.query_id, "left").withColumn("kth", F.coalesce(F.col("least").cast("double"), F.lit(float("-inf"))))
+    kth = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k)
+    asked = asked.join(kth, "vec_id", "left").withColumn("kth", F.coalesce(F.col("least").cast("double"), F.lit(float("-inf"))))
     others = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
     rest = _pairs(everywhere, others.select("dims", "shard", "block", "vec_id", "v", "kth"), k)
     return _best(first.union(rest), k).select("query_id", "rank", "vec_id", "score")
