@@ -5,8 +5,8 @@ min(cap, level * weight) over all sources sums to the total: sources are ordered
 from running sums over the sources that are full before. A source's target over its size is the number of repetitions:
 each document is taken the whole number of times, and the fraction is made up by the documents of smallest seeded hash.
 Documents are dealt by that hash into fine buckets; running sums over the buckets' sizes find the bucket in which the
-fraction is reached, and only that bucket's documents are ordered one by one. So the words taken come as near to the
-target as one document allows, and no source is ever gathered in one task.
+fraction is reached, and only that bucket's documents are ordered one by one; what a long document leaves open, shorter
+ones fill. No source is ever gathered in one task.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from .common import text_of, written
 
 #: Weights of the sources in order of their names, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
-#: Hash buckets a source is dealt into.
-BUCKETS = 1 << 12
+#: Sources' plans are broadcast up to so many bytes; beyond, a source's rows are dealt out by so many salts.
+MOST_BROADCAST, SALTS = 8 << 20, 64
 WORDS = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -57,63 +57,96 @@ def key_of(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), "doc_id")
 
 
-def plan(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, seed: int = 9) -> DataFrame:
-    """source, source_size, target, whole and last_key for each source of sized (doc_id, source, size).
+def _by_source(rows: DataFrame, side: DataFrame, few: bool) -> DataFrame:
+    """rows (with source) joined to side (with s, a row for each source): broadcast if few, else with sources salted."""
+    same = F.col("source").eqNullSafe(F.col("s"))
+    if few:
+        return rows.join(F.broadcast(side), same)
+    salted = side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("own_salt", F.floor(F.rand(1) * SALTS).cast("int")).join(salted, same & (F.col("own_salt") == F.col("salt"))).drop("own_salt", "salt")
+
+
+def _few(side: DataFrame) -> bool:
+    """Whether a written row for each source is small enough to broadcast, by its measured size."""
+    n, longest = side.agg(F.count("*"), F.coalesce(F.max(F.octet_length("s")), F.lit(0))).first()
+    return n * (longest + 128) <= MOST_BROADCAST
+
 
-    A document is taken ``whole`` times, and once more if its key_of(seed) is at most last_key.
+def _cut(keyed: DataFrame, goals: DataFrame, below: bool, few: bool) -> DataFrame:
+    """s, last_key and reached: documents up to last_key, by key, sum to reached, which comes nearest to the source's goal.
+
+    keyed: source, size, key. goals: s, goal. below: reached does not exceed the goal.
     """
-    keyed = sized.select("source", "size", key_of(seed).alias("key"))
     keyed = keyed.withColumn("bucket", F.shiftright(F.col("key"), 52))
     buckets = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("size"))
-    mixed = targets(buckets.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")), weights, most)
-    times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(times + 1e-12)
-    mixed = mixed.withColumn("whole", whole).withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
     running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     edges = (
         buckets.withColumn("before", F.coalesce(F.sum("size").over(running), F.lit(0)))
-        .join(mixed.select(F.col("source").alias("s"), "rest"), F.col("source").eqNullSafe(F.col("s")))
-        .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("size") >= F.col("rest")))
-        .select(F.col("source").alias("s"), F.col("bucket").alias("b"), "before", "rest")
-    )
-    one_by_one = Window.partitionBy("source", "bucket").orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = (
-        keyed.join(edges, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-        .withColumn("upto", F.col("before") + F.sum("size").over(one_by_one))
-        .withColumn("off", F.abs(F.col("upto") - F.col("rest")))
-        .groupBy("source")
-        .agg(F.min(F.struct("off", "key")).alias("best"), F.min(F.struct(F.abs(F.col("before") - F.col("rest")), F.lit(0))).alias("none"), F.first("b").alias("b"))
+        .transform(_by_source, goals, few)
+        .where((F.col("before") <= F.col("goal")) & (F.col("before") + F.col("size") > F.col("goal")))
+        .select("s", F.col("bucket").alias("b"), "before", "goal")
     )
-    # Stopping short of the bucket's first document may be nearer still.
-    first_key = F.shiftleft(F.col("b"), 52)
-    last = inside.select(F.col("source").alias("s"), F.when(F.col("none.col1") < F.col("best.off"), first_key - 1).otherwise(F.col("best.key")).alias("last_key"))
-    return mixed.join(last, F.col("source").eqNullSafe(F.col("s")), "left").select("source", "source_size", "target", "whole", "last_key")
+    one_by_one = Window.partitionBy("s", "b").orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = _by_source(keyed, edges, few).where(F.col("bucket") == F.col("b")).withColumn("upto", F.col("before") + F.sum("size").over(one_by_one))
+    # The bucket's start is a place to stop as well.
+    stops = inside.select("s", "goal", "key", "upto").union(edges.select("s", "goal", F.shiftleft("b", 52) - 1, "before"))
+    # So is the end, which is the place where all documents are short of the goal.
+    totals = buckets.groupBy("source").agg(F.sum("size").alias("upto")).transform(_by_source, goals, few)
+    stops = stops.union(totals.where("upto <= goal").select("s", "goal", F.lit((1 << 63) - 1), "upto"))
+    if below:
+        stops = stops.where("upto <= goal")
+    best = stops.groupBy("s").agg(F.min(F.struct(F.abs(F.col("upto") - F.col("goal")).alias("off"), "key", "upto")).alias("m"))
+    return best.select("s", F.col("m.key").alias("last_key"), F.col("m.upto").alias("reached"))
+
+
+def plan(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, seed: int = 9) -> DataFrame:
+    """s (source), source_size, target, whole, last_key, small and small_key for each source of sized (doc_id, source, size).
+
+    A document is taken ``whole`` times, and once more if its key_of(seed) is at most last_key, or its size is at most
+    ``small`` and its key at most small_key: where a long document stops the fraction short, shorter ones fill the rest.
+    """
+    keyed = sized.select("source", "size", key_of(seed).alias("key"))
+    mixed = targets(keyed.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")), weights, most)
+    times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    mixed = mixed.withColumn("whole", F.floor(times + 1e-12)).withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
+    mixed = written(mixed, "targets")
+    goals = mixed.select(F.col("source").alias("s"), F.col("rest").alias("goal"))
+    few = _few(goals)
+    first = written(_cut(keyed, goals, True, few).join(goals.withColumnRenamed("s", "t"), F.col("s").eqNullSafe(F.col("t"))).drop("t"), "first-cut")
+    first = first.withColumn("open", F.col("goal") - F.col("reached")).withColumn("small", F.floor(F.col("open") / 4).cast("long"))
+    short = _by_source(keyed, first.where("small > 0").select("s", "last_key", "small"), few)
+    short = short.where((F.col("size") <= F.col("small")) & (F.col("size") > 0) & (F.col("key") > F.col("last_key"))).select("source", "size", "key")
+    second = _cut(short, first.select("s", F.col("open").alias("goal")), False, few).select(F.col("s").alias("t"), F.col("last_key").alias("small_key"))
+    keys = first.select("s", "last_key", "small").join(second, F.col("s").eqNullSafe(F.col("t")), "left").drop("t")
+    whole = mixed.join(keys, F.col("source").eqNullSafe(F.col("s")), "left")
+    return written(whole.select(F.col("source").alias("s"), "source_size", "target", "whole", "last_key", "small", "small_key"), "plans")
 
 
 def times_taken(seed: int = 9) -> Column:
-    """How often a document is taken, given its source's plan."""
-    return F.col("whole") + F.when(key_of(seed) <= F.col("last_key"), 1).otherwise(0)
+    """How often a document is taken, given its size and its source's plan."""
+    key = key_of(seed)
+    once = (key <= F.col("last_key")) | ((F.col("size") > 0) & (F.col("size") <= F.col("small")) & (key <= F.col("small_key")))
+    return F.col("whole") + F.when(once, 1).otherwise(0)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, seed: int = 9) -> DataFrame:
     """doc_id, size, source_size, target and taken (words, repeats counted) of each document.
 
     A null text has size 0; null sources are one source, ordered last; a null doc_id is hashed as such; rows of the same
-    doc_id are taken alike; sources without a word have target 0; an empty table gives no rows; other columns are not
-    read. The same rows and seed give the same result. The sources' plans are joined by Spark's own choice, which
-    broadcasts them only where their measured size allows and else splits hot sources.
+    doc_id and size are taken alike; sources without a word have target 0; an empty table gives no rows; other columns
+    are not read. The same rows and seed give the same result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), text_of().alias("text"))
     sized = written(rows.select("doc_id", "source", words_in(F.col("text")).alias("size")), "sizes")
-    plans = plan(sized, weights, most, seed).withColumnRenamed("source", "s")
-    return sized.join(plans, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "source_size", "target", (times_taken(seed) * F.col("size")).cast("long").alias("taken"))
+    plans = plan(sized, weights, most, seed)
+    planned = _by_source(sized, plans, _few(plans))
+    return planned.select("doc_id", "size", "source_size", "target", (times_taken(seed) * F.col("size")).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = 3, seed: int = 9) -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with the same columns, whatever their names."""
-    doc_id, source = F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source")
-    rows = docs.select(doc_id, source, words_in(text_of()).alias("size"))
-    plans = plan(written(rows, "sizes"), weights, most, seed).withColumnRenamed("source", "s")
-    joined = docs.select(doc_id, source, F.struct("*").alias("row")).join(plans, F.col("source").eqNullSafe(F.col("s")))
-    taken = joined.select("row", times_taken(seed).cast("int").alias("times")).where("times > 0")
+    doc_id, source, size = F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words_in(text_of()).alias("size")
+    plans = plan(written(docs.select(doc_id, source, size), "sizes"), weights, most, seed)
+    planned = _by_source(docs.select(doc_id, source, size, F.struct("*").alias("row")), plans, _few(plans))
+    taken = planned.select("row", times_taken(seed).cast("int").alias("times")).where("times > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
