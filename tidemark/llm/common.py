@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,11 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def appended(batch: pa.RecordBatch, keep: tuple[str, ...], **new: pa.Array) -> pa.RecordBatch:
+    """The columns to keep of a batch, as they are (whole numbers stay exact beside nulls), and new ones."""
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *new.values()], [*keep, *new])
+
+
 def tokenizer_path(name: str) -> str:
     """Where a public vocabulary file lies on this machine; an existing path is returned as it is."""
     if os.path.exists(name):

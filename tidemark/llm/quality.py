@@ -14,11 +14,13 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import appended, text_of
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 SPACES, SYMBOLS = "\t\n\x0b\x0c\r ", "#*$%&|<>"
 #: A letter, for the rule on words: ASCII, or any code point from U+00C0.
 LETTER = re.compile("[A-Za-zÀ-\U0010ffff]")
@@ -112,20 +114,19 @@ def quality(docs: DataFrame, sample: int = 256) -> DataFrame:
     """
     names = ordered([r[0] for r in docs.select(text_of().alias("text")).limit(sample).collect()])
 
-    def judge(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = [RULES[n] for n in names]
         for x in batches:
             out = []
-            for d in map(Document, x.pop("text")):
+            for d in (Document(t.as_py()) for t in x.column("text")):
                 failed = d.base_failed
                 kept = not failed and not any(rule(d) for rule in rules)
                 out.append((d.n_words, d.word_chars, d.n_symbols, d.n_dup_lines, d.n_repeat_words, failed, kept))
-            for k, c in enumerate(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")):
-                x[c] = [r[k] for r in out]
-            yield x
+            new = {c: pa.array([r[k] for r in out], pa.int64() if k < 5 else pa.bool_()) for k, c in enumerate(COUNTS)}
+            yield appended(x, ("doc_id",), **new)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInPandas(judge, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
+    return rows.mapInArrow(judge, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
 
 
 def good_documents(docs: DataFrame, sample: int = 256) -> DataFrame:

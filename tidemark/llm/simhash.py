@@ -15,10 +15,11 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import appended, text_of, written
 from .components import components
 
 SEED, SHINGLE, MOST_BITS = 42, 4, 4
@@ -55,12 +56,12 @@ def fingerprint(text: str) -> int:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of each row of docs."""
 
-    def each(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            x["fp"] = np.array([fingerprint(t) for t in x.pop("text")], dtype=np.uint64).view(np.int64)
-            yield x
+            fp = np.array([fingerprint(t.as_py()) for t in x.column("text")], dtype=np.uint64).view(np.int64)
+            yield appended(x, ("doc_id",), fp=pa.array(fp))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInPandas(each, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(each, "doc_id long, fp long")
 
 
 def masks(n: int) -> list[int]:

@@ -18,11 +18,11 @@ import re
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, tokenizer_path
+from .common import appended, text_of, tokenizer_path
 
 SPACE = "▁"
 #: A synchronised chunk: spaces, then other characters.
@@ -242,12 +242,12 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
     counted each; an empty table gives no rows; other columns are not read. Texts of any length are counted whole.
     """
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = transducer(model)
         for x in batches:
-            x["n_tokens"] = [t.count(s, chunk_chars) for s in x.pop("text")]
-            yield x
+            n = pa.array([t.count(s.as_py(), chunk_chars) for s in x.column("text")], pa.int64())
+            yield appended(x, ("doc_id", "n_bytes"), n_tokens=n)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
-    return rows.mapInPandas(count, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
+    return rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)

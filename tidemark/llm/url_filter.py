@@ -11,10 +11,12 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import appended
+
 #: (action, host, path): fixed by contract.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Labelled URLs of either kind that models are fitted and calibrated on, at most.
@@ -115,13 +117,12 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
     chosen = [labelled.where(F.col("action") == a).orderBy(F.xxhash64("url"), "url").limit(sample) for a in ("allow", "block")]
     models = pages.sparkSession.sparkContext.broadcast(fitted([(r.url, r.action) for r in chosen[0].union(chosen[1]).collect()]))
 
-    def judge(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, bad, threshold = models.value
         for x in batches:
-            open_at = x["action"].isna()
-            ratio = [bad.mean_log(t) - good.mean_log(t) if o else None for t, o in zip(map(model_text, x.pop("url")), open_at, strict=True)]
-            x["verdict"] = [a if not o else "block" if r > threshold else "allow" for a, o, r in zip(x.pop("action"), open_at, ratio, strict=True)]
-            x["ratio"] = pd.Series(ratio, index=x.index, dtype="float64")
-            yield x
+            actions, texts = x.column("action").to_pylist(), map(model_text, x.column("url").to_pylist())
+            ratio = [bad.mean_log(t) - good.mean_log(t) if a is None else None for t, a in zip(texts, actions, strict=True)]
+            verdict = [a or ("block" if r > threshold else "allow") for a, r in zip(actions, ratio, strict=True)]
+            yield appended(x, ("page_id", "host", "path", "rule"), verdict=pa.array(verdict, pa.string()), ratio=pa.array(ratio, pa.float64()))
 
-    return rows.select("page_id", "host", "path", "rule", "action", "url").mapInPandas(judge, "page_id long, host string, path string, rule string, verdict string, ratio double")
+    return rows.select("page_id", "host", "path", "rule", "action", "url").mapInArrow(judge, "page_id long, host string, path string, rule string, verdict string, ratio double")
