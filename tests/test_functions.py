@@ -49,3 +49,14 @@ def test_partition_is_that_of_crc32(spark):
     keys = ["a", "enwiki:Roma", "é"]
     got = [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k string").select(fn.partition_of(F.col("k"), 6)).collect()]
     assert got == [zlib.crc32(k.encode()) % 6 for k in keys]
+
+
+def test_links_and_display(spark):
+    one = spark.range(1).select(
+        fn.site_url(F.lit("zh_yuewiki"), F.lit("A b:c/d?é")), fn.site_url(F.lit("mediawikiwiki"), F.lit("x")), fn.site_url(F.lit("nowhere"), F.lit("x")),
+        fn.percent(F.lit(0.256)), fn.signed_size(F.lit(-1234)), fn.signed_size(F.lit(0)), fn.duration(F.lit(90_000)), fn.duration(F.lit(12)), fn.duration(F.lit(9e7)),
+        fn.group_status(F.lit(5), F.lit(0)), fn.group_status(F.lit(1), F.lit(2)),
+    ).first()
+    assert list(one) == [
+        "https://zh-yue.wikipedia.org/wiki/A_b:c/d%3F%C3%A9", "https://www.mediawiki.org/wiki/x", None, "26%", "−1,234", "0", "2 min", "12 ms", "1.0 days", "stopped", "caught up",
+    ]

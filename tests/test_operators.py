@@ -108,3 +108,14 @@ def test_reports(spark):
     assert tuple(reports.group_lag(ends, done).first()) == ("g", 6, False)
     health = spark.createDataFrame([("t", 0, 1, [1, 2], [1]), ("t", 1, None, [1, 2], [1, 2])], "topic string, partition int, leader int, replicas array<int>, in_sync array<int>")
     assert tuple(reports.topic_health(health).first()) == ("t", 2, 1, 1)
+
+
+def test_reports_by_name(spark, tmp_path, capsys):
+    from tidemark import cli
+
+    rows = [("e1", "w", "T", "edit", "u", False, False, False, "", datetime(2026, 1, 1, 11, 59, 50), 1, 2, "w.org", datetime(2026, 1, 1, 11, 59, 51))]
+    schema = "event_id string, wiki string, title string, type string, username string, bot boolean, minor boolean, is_revert boolean, comment string, event_time timestamp_ntz, length_old int, length_new int, server_name string, ingested_at timestamp_ntz"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "e"))
+    for name in cli.REPORTS:
+        cli.main([name, "--edits", str(tmp_path / "e"), "--now", "2026-01-01T12:00:00"])
+    assert "https://w.org/wiki/T" in capsys.readouterr().out

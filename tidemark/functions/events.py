@@ -109,16 +109,54 @@ def human_millis(ms: Column) -> Column:
     )
 
 
-#: Hosts of sites by their database name: fixed values.
-SPECIAL_HOSTS = {"commonswiki": "commons.wikimedia.org", "wikidatawiki": "www.wikidata.org", "metawiki": "meta.wikimedia.org", "specieswiki": "species.wikimedia.org"}
+#: Hosts of sites whose names have a form of their own.
+SPECIAL_HOSTS = {
+    "commonswiki": "commons.wikimedia.org",
+    "wikidatawiki": "www.wikidata.org",
+    "metawiki": "meta.wikimedia.org",
+    "specieswiki": "species.wikimedia.org",
+    "mediawikiwiki": "www.mediawiki.org",
+}
+#: What site names end in.
+PROJECTS = ("wiki", "wiktionary", "wikisource", "wikibooks", "wikinews", "wikiquote", "wikivoyage", "wikiversity")
 
 
 def site_host(wiki: Column) -> Column:
     """The host of a site by its database name, such as enwiki or frwiktionary; null if the name has no known form."""
-    host = F.lit(None).cast("string")
-    lang, project = F.regexp_extract(wiki, "^(.+?)(wiki|wiktionary|wikibooks|wikinews|wikiquote|wikisource|wikiversity|wikivoyage)$", 1), F.regexp_extract(wiki, "(wiki|wiktionary|wikibooks|wikinews|wikiquote|wikisource|wikiversity|wikivoyage)$", 1)
+    form = f"^([a-z_-]+?)({'|'.join(PROJECTS)})$"
+    language, project = F.regexp_extract(wiki, form, 1), F.regexp_extract(wiki, form, 2)
     domain = F.when(project == "wiki", "wikipedia").otherwise(project)
-    host = F.when(F.length(lang) > 0, F.concat(F.replace(lang, F.lit("_"), F.lit("-")), F.lit("."), domain, F.lit(".org"))).otherwise(host)
-    for name, special in SPECIAL_HOSTS.items():
-        host = F.when(wiki == name, special).otherwise(host)
-    return host
+    host = F.when(F.length(language) > 0, F.concat(F.translate(language, "_", "-"), F.lit("."), domain, F.lit(".org")))
+    special = F.create_map(*(F.lit(x) for pair in SPECIAL_HOSTS.items() for x in pair))
+    return F.coalesce(F.element_at(special, wiki), host)
+
+
+def site_url(wiki: Column, title: Column) -> Column:
+    """A page's address from its site's name alone: only : and / stay as they are besides what never needs encoding."""
+    path = F.url_encode(F.translate(title, " ", "_"))
+    for code, char in (("%3A", ":"), ("%2F", "/"), ("%21", "!"), ("%27", "'"), ("%28", "("), ("%29", ")"), ("%7E", "~"), ("+", "%20")):
+        path = F.replace(path, F.lit(code), F.lit(char))
+    return F.concat(F.lit("https://"), site_host(wiki), F.lit("/wiki/"), path)
+
+
+def percent(fraction: Column, digits: int = 0) -> Column:
+    return F.coalesce(F.format_string(f"%.{digits}f%%", fraction * 100), F.lit("n/a"))
+
+
+def signed_size(change: Column) -> Column:
+    """A change in bytes with its sign, as histories show it."""
+    digits = F.format_number(F.abs(change), 0)
+    return F.when(change.isNull(), "").when(change == 0, "0").otherwise(F.concat(F.when(change > 0, "+").otherwise("−"), digits))
+
+
+def duration(ms: Column) -> Column:
+    """Milliseconds in the largest unit below which they fall: ms, s, min, h or days."""
+    text = F.format_string("%.1f days", ms / 86_400_000)
+    for limit, form, unit in ((86_400_000, "%.1f h", 3_600_000), (3_600_000, "%.0f min", 60_000), (60_000, "%.1f s", 1000), (1000, "%.0f ms", 1)):
+        text = F.when(ms < limit, F.format_string(form, (ms / unit).cast("double"))).otherwise(text)
+    return F.coalesce(text, F.lit("n/a"))
+
+
+def group_status(lag: Column, members: Column) -> Column:
+    """How a consumer group does: stopped without members, else behind or caught up."""
+    return F.when(members.isNull() | (members == 0), "stopped").when(lag > 1, "behind").otherwise("caught up")
