@@ -42,7 +42,7 @@ HEADERS = {
 }
 MANIFEST = "_MANIFEST.json"
 #: Bytes inflated at first, in which headers mostly end, and records in a batch handed to Spark.
-HEAD, AT_ONCE = 2048, 256
+HEAD, AT_ONCE = 2048, 128
 
 
 def file_system(path: str):
@@ -252,8 +252,14 @@ def records_of(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def archived(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     """Writes the archives of pages under path."""
-    registered(pages.sparkSession)
-    records_of(pages, least_bytes).write.format("warc").mode("append").save(path)
+    spark = pages.sparkSession
+    registered(spark)
+    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(AT_ONCE))  # payloads are large: few go to a worker at once
+    try:
+        records_of(pages, least_bytes).write.format("warc").mode("append").save(path)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
 def through_archives(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
