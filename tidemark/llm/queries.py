@@ -76,5 +76,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     from .quality import ORACLE_SQL as op5
+    from .top_k import ORACLE_SQL as op10
 
-    return {"op5_quality_cascade": op5}
+    return {"op5_quality_cascade": op5, "op10_ball_tree_top_k": op10}

@@ -150,3 +150,18 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64, shard
     others = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home")
     rest = _pairs(everywhere, others.select("dims", "shard", "block", "vec_id", "v", "kth"), k)
     return _best(first.union(rest), k).select("query_id", "rank", "vec_id", "score")
+
+
+#: Vectors of one length only, as in the test tables.
+ORACLE_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
