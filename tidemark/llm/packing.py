@@ -13,23 +13,25 @@ from __future__ import annotations
 
 import bisect
 import os
-import sys
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_of, tokenizer_path, written
 
 #: A worker's memorised words are dropped beyond this number.
-MOST_WORDS = 500_000
+MOST_WORDS = 800_000
 #: Marks that often end a word.
 MARKS = (".", ",")
-#: Texts encoded at a time.
-AT_ONCE = 128
+#: Parts words that are encoded together.
+PARTING = "\x01"
+#: Texts encoded at a time, and words.
+AT_ONCE, LEARNT_AT_ONCE = 128, 2_000
 #: Hash buckets that a length is dealt out to while its documents are ranked, so that a hot length is in no single task.
 RANK_BUCKETS = 256
 
@@ -38,7 +40,8 @@ class WordIds(dict):
     """The ids of each space-separated word, as little-endian unsigned 32-bit integers.
 
     White space separates tokens for this tokenizer and neither composes with nor changes what follows it, so the ids of
-    a text are those of its words in turn.
+    a text are those of its words in turn. Words not met before are encoded many at a time, parted by a control
+    character that is a token of its own.
     """
 
     def __init__(self, vocabulary: str):
@@ -47,27 +50,56 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_path(vocabulary))
+        (self.parting,) = self.tokenizer.encode(PARTING, add_special_tokens=False).ids
 
     def __missing__(self, word: str) -> bytes:
-        if word[-1:] in MARKS and word[-2:-1].lower()[-1:].isalpha():  # letters and a mark are tokens of their own
-            return self[word[:-1]] + self[word[-1]]
-        return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        simple = self._simpler(word)
+        if simple is not None:
+            return self[simple[0]] + (self[simple[1]] if simple[1] else b"")
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return array("I", ids).tobytes() if sys.byteorder == "little" else b"".join(i.to_bytes(4, "little") for i in ids)
+    def _simpler(word: str) -> tuple[str, str] | None:
+        """A word of the same ids, and a mark after it: letters and a mark are tokens of their own, and case is dropped."""
+        if word[-1:] in MARKS and word[-2:-1].lower()[-1:].isalpha():
+            return word[:-1], word[-1]
+        if word.isascii() and not word.islower() and "<" not in word and word != (low := word.lower()):
+            return low, ""
+        return None
+
+    def learn(self, words: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode(f" {PARTING} ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        cuts = [-1, *np.flatnonzero(ids == self.parting).tolist(), len(ids)]
+        if len(cuts) != len(words) + 1:
+            raise ValueError("a word holds the parting character")
+        packed = ids.tobytes()
+        for word, a, b in zip(words, cuts, cuts[1:], strict=False):
+            self[word] = packed[4 * a + 4 : 4 * b]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The packed ids of each text. Words not met before are encoded together."""
+        """The packed ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
         new = {w for words in split for w in words if w not in self}
-        new |= {w[:-1] for w in new if w[-1:] in MARKS and w[-2:-1].lower()[-1:].isalpha()} - self.keys()
         if len(self) + len(new) > MOST_WORDS:
             self.clear()
             new = {w for words in split for w in words}
-        learnt = [w for w in new if len(w) <= 64 and not (w[-1:] in MARKS and w[-2:-1].lower()[-1:].isalpha())]
-        for word, found in zip(learnt, self.tokenizer.encode_batch_fast(learnt, add_special_tokens=False), strict=True):
-            self[word] = self._packed(found.ids)
+        simple, learnt = [], set()
+        for w in new:
+            if len(w) > 64 or PARTING in w:
+                continue
+            base = w
+            while (s := self._simpler(base)) is not None:
+                base = s[0]
+                learnt.update(s[1:])
+            learnt.add(base)
+            if base is not w:
+                simple.append(w)
+        learnt = [w for w in learnt if w and w not in self]
+        for at in range(0, len(learnt), LEARNT_AT_ONCE):
+            self.learn(learnt[at : at + LEARNT_AT_ONCE])
+        self[""] = b""
+        for w in simple:
+            self[w] = self.__missing__(w)
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
@@ -83,23 +115,24 @@ def word_ids(vocabulary: str) -> WordIds:
 def pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of each document's pieces: its ids and end_id, cut every capacity ids."""
 
-    def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, end = word_ids(vocabulary), end_id.to_bytes(4, "little")
         for x in batches:
             out: list[tuple] = []
-            texts = x["text"].tolist()
+            texts = x.column("text").to_pylist()
             encoded = (e for i in range(0, len(texts), AT_ONCE) for e in ids.encode_all(texts[i : i + AT_ONCE]))
-            for doc_id, whole in zip(x["doc_id"], encoded, strict=True):
+            for doc_id, whole in zip(x.column("doc_id").to_pylist(), encoded, strict=True):
                 whole += end
                 for k, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
-                    out.append((None if pd.isna(doc_id) else int(doc_id), k, at // 4, len(part) // 4, zlib.crc32(part)))
+                    out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
             if out:
-                made = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                yield made.astype({"doc_id": "Int64"})
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def sweep(runs: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
