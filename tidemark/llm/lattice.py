@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ SIDE_BY_SIDE = 48
 #: Rows of such a layout.
 ROWS = 4096
 #: A worker's memorised words, and the distinct words that a counting task holds, at most.
-MOST_WORDS, MOST_COUNTED = 500_000, 250_000
+MOST_WORDS, MOST_COUNTED = 1_000_000, 250_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.uint64(46)  # slots: 2 ** (64 - 46)
 
@@ -219,7 +220,25 @@ def learnt(counts: DataFrame, ends: int, vocabulary: str, rounds: int, smoothing
     return logp
 
 
-def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int = 3, smoothing: float = 0.1, frequent: int = 200_000) -> DataFrame:
+def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """word to n of the words that occur most in all rows: all with at least so many that there are ``most`` at most.
+
+    The number comes from a histogram, so that no task sends more than these words. Words over 64 bytes are left out.
+    """
+    short = counts.where(F.octet_length("word") <= 64).withColumn("bin", F.floor(F.log2("n_all") * 8))
+    least, total = None, 0
+    for r in short.groupBy("bin").agg(F.count("*").alias("n")).orderBy(F.desc("bin")).collect():  # a row for each eighth of a doubling
+        total += r.n
+        if total > most:
+            break
+        least = r.bin
+    if least is None:
+        return {}
+    found = short.where(F.col("bin") >= least).select("word", "n").toArrow()
+    return dict(zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True))
+
+
+def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int = 2, smoothing: float = 0.1, frequent: int = 100_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs.
 
     Rows whose crc32 of doc_id as text is 2 modulo 7 are held out, the others train. A null text is empty and scores its
@@ -239,42 +258,55 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     n, v = n + ends, v + (ends > 0)
     logp = learnt(counts, ends, vocabulary, rounds, smoothing)
-    short = counts.where(F.octet_length("word") <= 64)
-    often = {bytes(r.word): r.n for r in short.orderBy(F.desc("n_all"), "word").limit(frequent).collect()}
-    sent = spark.sparkContext.broadcast((often, logp))
+    sent = spark.sparkContext.broadcast((most_frequent(counts, frequent), logp))
     divisor = math.log10(n + v + 1)
 
-    def begin(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def begin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known_words, logp = sent.value
-        own, memo, ten = lattice(vocabulary), {}, math.log(10)
-        bases = {w: math.log10(c + 1) - divisor for w, c in known_words.items()}
-        end_base, end_score = math.log10(ends + 1) - divisor, logp[-1]
+        own, ten = lattice(vocabulary), math.log(10)
+        memo: dict[bytes, tuple[float, float | None, int]] = {}
+        end_base, end_score = math.log10(ends + 1) - divisor, float(logp[-1])
+
+        def learn(new: list[bytes]) -> None:
+            likely = own.likelihoods([w.decode("utf-8", "replace") for w in new], logp).tolist()
+            for w, score in zip(new, likely, strict=True):
+                c = known_words.get(w)
+                memo[w] = (score, None, 0) if c is None else (score, math.log10(c + 1) - divisor, 1 if c else 0)
+
         for x in batches:
-            texts, out = x.pop("text").tolist(), []
+            texts = x.column("text").to_pylist()
+            out: list[tuple] = []
+            words: list[bytes] = []
+            times: list[int] = []
+            cuts = [0]
             for at in range(0, len(texts), 512):
                 tallies = [Counter(words_of(t)) for t in texts[at : at + 512]]
-                new = list({w for t in tallies for w in t if w not in memo})
+                new = {w for t in tallies for w in t if w not in memo}
                 if len(memo) + len(new) > MOST_WORDS:
                     memo.clear()
-                    new = list({w for t in tallies for w in t})
-                memo.update(zip(new, own.likelihoods([w.decode("utf-8", "replace") for w in new], logp).tolist(), strict=True))
+                    new = {w for t in tallies for w in t}
+                learn(list(new))
                 for t in tallies:
-                    base, scored, known, total, rest = end_base, end_score, 1 if ends else 0, 1, []
+                    base, scored, known = end_base, end_score, 1 if ends else 0
                     for w, k in t.items():
-                        total += k
-                        scored += k * memo[w]
-                        b = bases.get(w)
+                        score, b, is_known = memo[w]
+                        scored += k * score
                         if b is None:
-                            rest.append({"word": w, "k": k})
+                            words.append(w)
+                            times.append(k)
                         else:
                             base += k * b
-                            known += k if known_words[w] else 0
-                    out.append((total, known, base, scored / ten, rest))
-            x[["n_tokens", "known", "base", "score", "rest"]] = pd.DataFrame(out, columns=list("abcde"), index=x.index) if out else pd.DataFrame(columns=list("abcde"))
-            yield x
+                            known += k * is_known
+                    out.append((t.total() + 1, known, base, scored / ten))
+                    cuts.append(len(words))
+            columns = list(zip(*out, strict=True)) if out else [()] * 4
+            rest = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int64())], ["word", "k"])
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            made = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)] + [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rest)]
+            yield pa.RecordBatch.from_arrays([x.column(c) for c in ("row", "doc_id", "held_out")] + made, ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rest"])
 
     kept = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<struct<word: binary, k: long>>"
-    begun = written(rows.select(F.monotonically_increasing_id().alias("row"), "*").mapInPandas(begin, kept), "scores")
+    begun = written(rows.select(F.monotonically_increasing_id().alias("row"), "*").mapInArrow(begin, kept), "scores")
     rest = begun.select("row", F.explode("rest").alias("w")).select("row", F.col("w.word").alias("word"), F.col("w.k").alias("k"))
     c = F.coalesce(F.col("n"), F.lit(0))
     sums = (
