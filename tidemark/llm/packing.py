@@ -15,6 +15,7 @@ import bisect
 import os
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,8 +31,8 @@ MOST_WORDS = 800_000
 MARKS = (".", ",")
 #: Parts words that are encoded together.
 PARTING = "\x01"
-#: Texts encoded at a time, and words.
-AT_ONCE, LEARNT_AT_ONCE = 128, 2_000
+#: Characters of the texts that are encoded at a time (a longer text is alone), and words learnt at a time.
+AT_ONCE, LEARNT_AT_ONCE = 6_000_000, 2_000
 #: Hash buckets that a length is dealt out to while its documents are ranked, so that a hot length is in no single task.
 RANK_BUCKETS = 256
 
@@ -68,7 +69,8 @@ class WordIds(dict):
         return None
 
     def learn(self, words: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(f" {PARTING} ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        (found,) = self.tokenizer.encode_batch_fast([f" {PARTING} ".join(words)], add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
         cuts = [-1, *np.flatnonzero(ids == self.parting).tolist(), len(ids)]
         if len(cuts) != len(words) + 1:
             raise ValueError("a word holds the parting character")
@@ -79,10 +81,11 @@ class WordIds(dict):
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {w for words in split for w in words if w not in self}
+        here = set(chain.from_iterable(split))
+        new = {w for w in here if w not in self}
         if len(self) + len(new) > MOST_WORDS:
             self.clear()
-            new = {w for words in split for w in words}
+            new = here
         simple, learnt = [], set()
         for w in new:
             if len(w) > 64 or PARTING in w:
@@ -100,7 +103,20 @@ class WordIds(dict):
         self[""] = b""
         for w in simple:
             self[w] = self.__missing__(w)
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        near = {w: self[w] for w in here}.__getitem__  # few words, so lookups stay in the processor's caches
+        return [b"".join(map(near, words)) for words in split]
+
+
+def together(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in turn, some at a time."""
+    first, held = 0, 0
+    for k, text in enumerate(texts):
+        held += len(text)
+        if held > AT_ONCE and k > first:
+            yield texts[first:k]
+            first, held = k, len(text)
+    if texts:
+        yield texts[first:]
 
 
 _loaded: dict[str, WordIds] = {}
@@ -120,7 +136,7 @@ def pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int
         for x in batches:
             out: list[tuple] = []
             texts = x.column("text").to_pylist()
-            encoded = (e for i in range(0, len(texts), AT_ONCE) for e in ids.encode_all(texts[i : i + AT_ONCE]))
+            encoded = (e for some in together(texts) for e in ids.encode_all(some))
             for doc_id, whole in zip(x.column("doc_id").to_pylist(), encoded, strict=True):
                 whole += end
                 for k, at in enumerate(range(0, len(whole), 4 * capacity)):
