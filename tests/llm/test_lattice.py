@@ -79,3 +79,45 @@ def test_held_out_text_is_likelier_than_shuffled_letters(spark):
     rows = [(k, text * 3) for k in range(20)] + [(100, text), (101, "".join(sorted(text.replace(" ", ""), key=lambda c: zlib.crc32(c.encode()))).replace("z", "z "))]
     got = {r.doc_id: r.score for r in score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[100] > got[101]
+
+
+def used_by_hand(own, logp, word):
+    """How often each piece is expected in word: all segmentations, written out one after the other."""
+    s, ways = "▁" + word, []
+
+    def cut(at, pieces, total):
+        if at == len(s):
+            ways.append((pieces, total))
+        for end in range(at + 1, min(len(s), at + own.longest) + 1):
+            if s[at:end] in own.names:
+                k = own.names[s[at:end]]
+                cut(end, [*pieces, k], total + logp[k])
+            elif end == at + 1:
+                ks = [own.bytes_at[b] for b in s[at:end].encode()]
+                cut(end, pieces + ks, total + sum(logp[k] for k in ks))
+
+    cut(0, [], 0.0)
+    whole, used = log_sum([t for _, t in ways]), Counter()
+    for pieces, t in ways:
+        for k in pieces:
+            used[k] += math.exp(t - whole)
+    return used
+
+
+def test_three_rounds_against_all_segmentations(spark):
+    rows = [(k, t) for k, t in enumerate(["the cat sat", "the thing 漢a", "cats thing", "thing the the", "é cat", "the sat rings", "thing cats 漢漢"])]
+    own = Lattice("piece_bpe_32k.model")
+    words = {k: t.encode().lower().decode().split() for k, t in rows}
+    train = [k for k in words if zlib.crc32(str(k).encode()) % 7 != 2]
+    logp = own.initial()
+    for _ in range(3):
+        expected = np.full(own.size, 0.1)
+        for k in train:
+            for w in words[k]:
+                for piece, n in used_by_hand(own, logp, w).items():
+                    expected[piece] += n
+        expected[-1] += len(train)
+        logp = np.log(expected / expected.sum())
+    got = {r.doc_id: r.score for r in score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, own_words in words.items():
+        assert math.isclose(got[k], (sum(by_hand(own, logp, w) for w in own_words) + logp[-1]) / math.log(10), rel_tol=1e-9)

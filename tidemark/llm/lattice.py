@@ -29,6 +29,8 @@ SIDE_BY_SIDE = 48
 ROWS = 4096
 #: A worker's memorised words, and the distinct words that a counting task holds, at most.
 MOST_WORDS, MOST_COUNTED = 1_000_000, 250_000
+#: Words from which a task of expected counts goes over what it has read: many of each length side by side.
+MOST_AT_ONCE = 50_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.uint64(46)  # slots: 2 ** (64 - 46)
 
@@ -56,13 +58,18 @@ class Lattice:
         self.names, self.longest = names, max(map(len, names))
         #: The last one is the end of a document.
         self.size = len(order) + 1
-        keys = np.zeros(len(names), dtype=np.uint64)
-        for k, p in enumerate(names):
+        #: Every beginning of a piece, with the piece or else -1: a search ends where no piece goes on.
+        begun: dict[int, int] = {}
+        for p, piece in names.items():
             h = 0
             for c in p:
                 h = (h * int(_MULTIPLIER) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
-            keys[k] = h
-        self.keys, self.ids = keys, np.fromiter(names.values(), dtype=np.int64)
+                begun.setdefault(h, -1)
+            begun[h] = piece
+        keys = np.fromiter(begun, dtype=np.uint64)
+        if 2 * keys.size > 1 << int(64 - _BITS):
+            raise ValueError("too many beginnings of pieces for the slots")
+        self.keys, self.ids = keys, np.fromiter(begun.values(), dtype=np.int64)
         self.slots = np.full(1 << int(64 - _BITS), -1, dtype=np.int32)
         for k, slot in enumerate(self._slot(keys)):
             while self.slots[slot] >= 0:
@@ -73,7 +80,7 @@ class Lattice:
         return ((keys ^ (keys >> np.uint64(29))) * _MULTIPLIER >> _BITS).astype(np.int64)
 
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where keys are pieces, and which."""
+        """Where keys are beginnings of pieces, and the pieces, -1 for those that are none yet."""
         slot = self._slot(keys)
         k = self.slots[slot]
         hit = (k >= 0) & (self.keys[k] == keys)
@@ -97,15 +104,20 @@ class Lattice:
     def edges(self, codes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray | None]]:
         """start, end, rows, pieces (None: bytes) for each piece in any row of codes, by start."""
         rows, length = codes.shape
+        columns = np.ascontiguousarray(codes.T) + np.uint64(1)
         for i in range(length):
-            h = np.zeros(rows, dtype=np.uint64)
+            own, h = np.arange(rows), np.zeros(rows, dtype=np.uint64)
             for end in range(i + 1, min(length, i + self.longest) + 1):
-                h = h * _MULTIPLIER + codes[:, end - 1] + np.uint64(1)
-                at, piece = self._find(h)
+                h = h * _MULTIPLIER + columns[end - 1, own]
+                begun, piece = self._find(h)
+                own, h, whole = own[begun], h[begun], piece >= 0
+                at = own[whole]
                 if end == i + 1 and at.size < rows:
                     yield i, end, np.setdiff1d(np.arange(rows), at, assume_unique=True), None
                 if at.size:
-                    yield i, end, at, piece
+                    yield i, end, at, piece[whole]
+                if not own.size:
+                    break
 
     def by_bytes(self, codes: np.ndarray, logp: np.ndarray) -> np.ndarray:
         """Log probability of characters as their bytes."""
@@ -145,15 +157,20 @@ class Lattice:
         if weights is not None:
             beta = np.full((length + 1, rows), -np.inf)
             beta[length] = 0
+            pieces, uses = [], []
             for i, end, at, piece, value in reversed(kept):
                 through = value + beta[end, at]
                 beta[i, at] = np.logaddexp(beta[i, at], through)
                 used = np.exp(alpha[i, at] + through - alpha[length, at]) * weights[at]
                 if piece is not None:
-                    counts += np.bincount(piece, used, self.size)
+                    pieces.append(piece)
+                    uses.append(used)
                 else:
-                    for c, u in zip(codes[at, i], used, strict=True):
+                    found, back = np.unique(codes[at, i], return_inverse=True)
+                    for c, u in zip(found, np.bincount(back, used), strict=True):
                         np.add.at(counts, self.bytes_at[list(chr(int(c)).encode("utf-8", "surrogatepass"))], u)
+            if pieces:
+                counts += np.bincount(np.concatenate(pieces), np.concatenate(uses), self.size)
         return alpha[length]
 
 
@@ -206,8 +223,21 @@ def learnt(counts: DataFrame, ends: int, vocabulary: str, rounds: int, smoothing
         def expect(batches: Iterable[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             here = lattice(vocabulary)
             total = np.zeros(here.size)
+            words: list[str] = []
+            times: list[np.ndarray] = []
+
+            def add() -> None:
+                if words:
+                    here.likelihoods(words, sent.value, np.concatenate(times), total)
+                    words.clear()
+                    times.clear()
+
             for x in batches:
-                here.likelihoods([w.decode("utf-8", "replace") for w in x["word"]], sent.value, x["n"].to_numpy(dtype=float), total)
+                words += [w.decode("utf-8", "replace") for w in x["word"]]
+                times.append(x["n"].to_numpy(dtype=float))
+                if len(words) >= MOST_AT_ONCE:
+                    add()
+            add()
             at = np.flatnonzero(total)
             yield pd.DataFrame({"piece": at, "expected": total[at]})
 
@@ -238,7 +268,7 @@ def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
     return dict(zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True))
 
 
-def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int = 2, smoothing: float = 0.1, frequent: int = 100_000) -> DataFrame:
+def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int = 3, smoothing: float = 0.1, frequent: int = 200_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs.
 
     Rows whose crc32 of doc_id as text is 2 modulo 7 are held out, the others train. A null text is empty and scores its
@@ -279,8 +309,8 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
             words: list[bytes] = []
             times: list[int] = []
             cuts = [0]
-            for at in range(0, len(texts), 512):
-                tallies = [Counter(words_of(t)) for t in texts[at : at + 512]]
+            for at in range(0, len(texts), 1024):
+                tallies = [Counter(words_of(t)) for t in texts[at : at + 1024]]
                 new = {w for t in tallies for w in t if w not in memo}
                 if len(memo) + len(new) > MOST_WORDS:
                     memo.clear()
