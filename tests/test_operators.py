@@ -119,3 +119,27 @@ def test_reports_by_name(spark, tmp_path, capsys):
     for name in cli.REPORTS:
         cli.main([name, "--edits", str(tmp_path / "e"), "--now", "2026-01-01T12:00:00"])
     assert "https://w.org/wiki/T" in capsys.readouterr().out
+
+
+def test_gaps_in_and_between_parts(spark):
+    r3 = random.Random(3)
+    spans = {"even": (0.0, 1000.0), "dense": (0.0, 1e6), "none": (5.0, 6.0), "point": (1.0, 1.0)}
+    at = {"even": [r3.uniform(-10, 1010) for _ in range(700)], "dense": [r3.choice((0, 5e5)) + r3.random() for _ in range(700)], "none": [9.0], "point": [1.0]}
+    received = spark.createDataFrame([(s, t) for s in at for t in at[s]], "span string, at double")
+    got = reports.longest_gaps(received, spark.createDataFrame([(s, *e) for s, e in spans.items()], "span string, start double, end double"), 3)
+    for r in got.collect():
+        start, end = spans[r.span]
+        own = sorted([start, end, *(t for t in at[r.span] if start < t < end)])
+        gaps = [b - a for a, b in zip(own, own[1:])]
+        assert abs(r.longest - max(gaps)) < 1e-9 and abs(r.paused - sum(g for g in gaps if g >= 3)) < 1e-6
+    assert got.count() == 4
+
+
+def test_longest_gap_covers_all_events(spark, tmp_path):
+    from tidemark.plans import catalog
+
+    rows = [(k, 1, datetime(2024, 1, day), "view", 1.0) for k, day in ((0, 1), (2, 2), (4, 20), (6, 29))]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = catalog.queries()["longest_gap"](spark, str(tmp_path)).collect()
+    day = 86400
+    assert [tuple(r) for r in got] == [(0, 18.0 * day, 28.0 * day)]

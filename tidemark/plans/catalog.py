@@ -332,13 +332,12 @@ def sample_stats(spark, sf_dir):
     return reports.sample_stats(adapter.edits(spark, sf_dir))
 
 
-@query(f"""{EDITS}, s AS (SELECT partition AS span, event_ms / 1000.0 AS "at" FROM e WHERE event_time < TIMESTAMP '2024-01-03'),
+@query(f"""{EDITS}, s AS (SELECT partition AS span, event_ms / 1000.0 AS "at" FROM e),
   b AS (SELECT span, min("at") - 10 AS a, max("at") + 10 AS z FROM s GROUP BY span),
   p AS (SELECT * FROM s UNION ALL SELECT span, a FROM b UNION ALL SELECT span, z FROM b), g AS (SELECT span, lead("at") OVER (PARTITION BY span ORDER BY "at") - "at" AS gap FROM p)
   SELECT span, round(max(gap), 3) AS longest, round(coalesce(sum(gap) FILTER (gap >= 600), 0), 3) AS paused FROM g GROUP BY span""")
 def longest_gap(spark, sf_dir):
-    e = adapter.edits(spark, sf_dir).where(F.col("event_time") < dashboard.at(datetime(2024, 1, 3)))
-    s = e.select(F.col("partition").alias("span"), (F.col("event_ms") / 1000.0).alias("at"))
+    s = adapter.edits(spark, sf_dir).select(F.col("partition").alias("span"), (F.col("event_ms") / 1000.0).alias("at"))
     spans = s.groupBy("span").agg((F.min("at") - 10).alias("start"), (F.max("at") + 10).alias("end"))
     return reports.longest_gaps(s, spans, 600).select("span", F.round("longest", 3).alias("longest"), F.round("paused", 3).alias("paused"))
 

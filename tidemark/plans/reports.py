@@ -9,6 +9,9 @@ from ..functions.events import from_millis, micros, minute_ms
 
 PERCENTILES = (0.5, 0.95, 0.99)
 
+#: Into so many parts of equal time longest_gaps cuts a span.
+GAP_PARTS = 512
+
 
 def latency(edits: DataFrame, approximate: bool = False) -> DataFrame:
     """rows, p50, p95, p99 and max of milliseconds from edit to row, by linear interpolation.
@@ -109,12 +112,22 @@ def retention_gaps(offsets: DataFrame) -> DataFrame:
 def longest_gaps(received: DataFrame, spans: DataFrame, least: float = 0.5) -> DataFrame:
     """For each span (span, start, end) the longest time without a record, the sum of gaps of at least ``least``.
 
-    received: span, at. A span's edges count as records.
+    received: span, at. A span's edges count as records. Spans are few and broadcast. Each is cut into GAP_PARTS equal
+    parts: gaps in a part are a window of its own, gaps between parts follow from the first and last record of each.
     """
-    edges = spans.select("span", F.explode(F.array("start", "end")).alias("at"))
-    inside = received.join(spans, "span").where((F.col("at") > F.col("start")) & (F.col("at") < F.col("end"))).select("span", "at")
-    gaps = inside.unionByName(edges).withColumn("gap", F.lead("at").over(Window.partitionBy("span").orderBy("at")) - F.col("at")).where("gap IS NOT NULL")
-    return gaps.groupBy("span").agg(F.max("gap").alias("longest"), F.coalesce(F.sum(F.when(F.col("gap") >= least, F.col("gap"))), F.lit(0.0)).alias("paused"))
+    part = F.least(F.floor((F.col("at") - F.col("start")) / (F.col("end") - F.col("start")) * GAP_PARTS), F.lit(GAP_PARTS - 1))
+    inside = received.join(F.broadcast(spans), "span").where((F.col("at") > F.col("start")) & (F.col("at") < F.col("end"))).select("span", part.alias("part"), "at")
+    gaps = inside.withColumn("gap", F.lead("at").over(Window.partitionBy("span", "part").orderBy("at")) - F.col("at"))
+    paused = lambda gap: F.when(gap >= least, gap).otherwise(F.lit(0.0))
+    parts = gaps.groupBy("span", "part").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.max("gap").alias("longest"), F.sum(paused(F.col("gap"))).alias("paused"))
+    edge = lambda at, part: spans.select("span", F.lit(part).cast("long").alias("part"), F.col(at).alias("first"), F.col(at).alias("last"), F.lit(None).cast("double").alias("longest"), F.lit(0.0).alias("paused"))
+    each = parts.unionByName(edge("start", -1)).unionByName(edge("end", GAP_PARTS))
+    runs = each.groupBy("span").agg(F.array_sort(F.collect_list(F.struct("part", "first", "last"))).alias("r"), F.max("longest").alias("longest"), F.sum("paused").alias("paused"))  # GAP_PARTS + 2 a span at most
+    between = F.zip_with(F.slice("r", 1, F.size("r") - 1), F.slice("r", 2, F.size("r") - 1), lambda x, y: y["first"] - x["last"])
+    return runs.withColumn("between", between).select(
+        "span", F.greatest("longest", F.array_max("between")).alias("longest"),
+        (F.col("paused") + F.aggregate("between", F.lit(0.0), lambda total, gap: total + paused(gap))).alias("paused"),
+    )
 
 
 def drain_rates(lags: DataFrame) -> DataFrame:
