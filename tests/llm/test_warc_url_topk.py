@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -41,6 +42,29 @@ def test_payloads_pushdown_and_plain_gzip(spark, tmp_path):
     assert [len(r.payload) for r in rows] == [9000]
 
 
+def test_rows_tell_the_payloads_that_were_written(spark, monkeypatch):
+    """Payloads damaged on writing, under headers as they should be, show in length and digest."""
+    real = warc.archived
+
+    def damaged(pages, path, least_bytes=0):
+        real(pages, path, least_bytes)
+        for f in Path(path.removeprefix("file:")).glob("*.gz"):
+            records = gzip.decompress(f.read_bytes()).split(b"WARC/1.1\r\n")[1:] if f.stat().st_size else []
+            f.write_bytes(b"".join(warc.member(b"WARC/1.1\r\n" + r.replace(b"whole", b"wh0le").replace(b"cut\r\n\r\n", b"cu")) for r in records))
+
+    monkeypatch.setattr(warc, "archived", damaged)
+    pages = spark.createDataFrame([(1, "u", "whole"), (2, "u", "cut")], "page_id long, url string, html string").repartition(2, "page_id")
+    got = {r.page_id: (r.payload_bytes, base64.b32decode(r.payload_digest)) for r in warc.through_archives(pages).collect()}
+    assert got == {1: (5, hashlib.sha1(b"wh0le").digest()), 2: (2, hashlib.sha1(b"cu").digest())}
+
+
+def test_a_second_append_keeps_the_first(spark, tmp_path):
+    path = str(tmp_path / "w")
+    for k in (1, 2):
+        warc.archived(spark.createDataFrame([(k, "u", f"page {k}")], "page_id long, url string, html string"), path)
+    assert sorted(bytes(r.payload) for r in spark.read.format("warc").load(path).collect()) == [b"page 1", b"page 2"]
+
+
 def test_unwanted_payloads_are_not_inflated(monkeypatch, tmp_path):
     rows = [{"record_type": "response", "payload_digest": "00", "payload": random.Random(1).randbytes(100_000)} | dict.fromkeys(("record_id", "target_uri", "date", "refers_to", "payload_length"))]
     (tmp_path / "x.warc.gz").write_bytes(warc.member(warc.record(rows[0])) * 3)

@@ -16,7 +16,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
@@ -86,9 +86,19 @@ class Committed(WriterCommitMessage):
     records: int
 
 
+def listed(fs, folder: str) -> list[str] | None:
+    """The files that a folder's manifest names; None without a manifest."""
+    from pyarrow import fs as pfs
+
+    if fs.get_file_info(f"{folder}/{MANIFEST}").type != pfs.FileType.File:
+        return None
+    with fs.open_input_stream(f"{folder}/{MANIFEST}") as f:
+        return json.loads(f.read())
+
+
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool = False):
+        self.path, self.overwrite = path, overwrite
 
     def write(self, iterator) -> Committed:
         fs, folder = file_system(self.path)
@@ -105,8 +115,10 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Committed | None]) -> None:
         fs, folder = file_system(self.path)
         fs.create_dir(folder, recursive=True)
+        names = [] if self.overwrite else listed(fs, folder) or []
+        names += [m.file for m in messages if m and m.records]
         with fs.open_output_stream(f"{folder}/{MANIFEST}") as out:
-            out.write(json.dumps([m.file for m in messages if m and m.records]).encode())
+            out.write(json.dumps(list(dict.fromkeys(names))).encode())
 
     def abort(self, messages: list[Committed | None]) -> None:
         fs, folder = file_system(self.path)
@@ -142,10 +154,8 @@ class WarcReader(DataSourceReader):
         info = fs.get_file_info(folder)
         if info.type == pfs.FileType.File:
             return [WarcFile(self.path)]
-        if fs.get_file_info(f"{folder}/{MANIFEST}").type == pfs.FileType.File:
-            with fs.open_input_stream(f"{folder}/{MANIFEST}") as f:
-                names = json.loads(f.read())
-        else:
+        names = listed(fs, folder)
+        if names is None:
             names = sorted(x.base_name for x in fs.get_file_info(pfs.FileSelector(folder)) if x.base_name.endswith(".warc.gz"))
         return [WarcFile(f"{self.path.rstrip('/')}/{n}") for n in names]
 
@@ -219,7 +229,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options["path"], self.options.get("payloads", "true").lower() == "true")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"])
+        return WarcWriter(self.options["path"], overwrite)
 
 
 def registered(spark) -> None:
@@ -262,16 +272,26 @@ def archived(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+def base32(sha1: Column) -> Column:
+    """40 hexadecimal digits in base 32, as digests are written in archives: five digits give four."""
+    fours = [F.lpad(F.conv(F.substring(sha1, at, 5), 16, 32), 4, "0") for at in range(1, 41, 5)]
+    return F.translate(F.concat(*fours), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
 def through_archives(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Writes pages as archives in the shared folder and reads their headers back.
+    """Writes pages as archives in the shared folder and reads their records back.
 
     page_id, payload_bytes, payload_digest, record_type and refers_to of each row of pages. A null html is the empty
     payload; a null page_id stays null and is never the smallest, unless all are; rows of the same page_id and payload
     are records each; an empty table gives no rows; a null url writes no target header; other columns are not read.
+    Length and digest of a response are those of the payload that was read; a revisit has none but its headers'.
     """
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
     archived(pages, path, least_bytes)
-    back = spark.read.format("warc").option("payloads", "false").load(path).where(F.col("record_type").isin("response", "revisit"))
+    back = spark.read.format("warc").load(path).where(F.col("record_type").isin("response", "revisit"))
     number = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(-?[0-9]+)>$", 1), F.lit("")).cast("long")
-    return back.select(number("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"), F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "record_type", number("refers_to").alias("refers_to"))
+    read = F.col("record_type") == "response"
+    size = F.when(read, F.octet_length("payload").cast("long")).otherwise(F.col("payload_length"))
+    digest = F.when(read, base32(F.sha1("payload"))).otherwise(F.regexp_replace("payload_digest", "^sha1:", ""))
+    return back.select(number("record_id").alias("page_id"), size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", number("refers_to").alias("refers_to"))
