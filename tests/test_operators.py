@@ -143,3 +143,11 @@ def test_longest_gap_covers_all_events(spark, tmp_path):
     got = catalog.queries()["longest_gap"](spark, str(tmp_path)).collect()
     day = 86400
     assert [tuple(r) for r in got] == [(0, 18.0 * day, 28.0 * day)]
+
+
+def test_delivery_prefix_counts_from_the_first_event(spark, tmp_path):
+    from tidemark.plans import catalog
+
+    rows = [(k, 1, datetime(2024, 1, 1), "view", 1.0) for k in range(101)]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    assert tuple(catalog.queries()["delivery_prefix"](spark, str(tmp_path)).first()) == ("e76", 77)

@@ -372,10 +372,13 @@ def consumer_lag(spark, sf_dir):
     return reports.group_lag(ends, done)
 
 
-@query(f"{EDITS}, o AS (SELECT min(seq) FILTER (seq % 7 = 0) AS f FROM e WHERE seq > 20), c AS (SELECT * FROM e WHERE seq > 20 AND seq < (SELECT f FROM o)) SELECT arg_max(event_id, seq) AS newest, count(*) AS released FROM c")
+@query(f"""{EDITS}, l AS (SELECT max(seq) AS last FROM e), o AS (SELECT min(seq) FILTER (seq % 7 = 0 AND 4 * seq >= 3 * last) AS f FROM e, l), c AS (SELECT e.* FROM e, o WHERE f IS NULL OR seq < f)
+  SELECT arg_max(event_id, seq) AS newest, count(*) AS released FROM c""")
 def delivery_prefix(spark, sf_dir):
-    e = adapter.edits(spark, sf_dir).where("seq > 20")
-    return reports.confirmed_prefix(e.select("seq", F.col("event_id").alias("id"), (F.col("seq") % 7 != 0).alias("confirmed")))
+    e = adapter.edits(spark, sf_dir).select("seq", F.col("event_id").alias("id"))
+    sent = e.crossJoin(F.broadcast(e.agg(F.max("seq").alias("last"))))  # one row
+    is_open = (F.col("seq") % 7 == 0) & (4 * F.col("seq") >= 3 * F.col("last"))  # in the last quarter, so that a prefix is counted
+    return reports.confirmed_prefix(sent.select("seq", "id", (~is_open).alias("confirmed")))
 
 
 @query(f"{EDITS} SELECT partition, min(seq) + 1000 - max(seq) FILTER (seq < 500) AS lost FROM e GROUP BY partition HAVING lost > 0")
