@@ -5,8 +5,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tidemark.llm import packing
 from tidemark.llm.common import tokenizer_path
-from tidemark.llm.packing import WordIds, best_fit_packing, sweep
+from tidemark.llm.packing import WordIds, best_fit_packing, sweep, whole_ids
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -18,13 +19,15 @@ def library():
     return Tokenizer.from_file(tokenizer_path(VOCABULARY))
 
 
-def test_ids_are_the_librarys(library):
+def test_ids_are_the_librarys(library, monkeypatch):
     r = random.Random(1)
-    parts = [*"abcABC<|>\x01  \n\t\x0b\x1c\x85  　ßñΣσ漢字😀.,'\"-0123", "the", "'s", "ing", "'ll", "İ", "ﬁ", "Å", "́", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    parts = [*"abcABC<|>\x01  \n\t\x0b\x1c\x85  　ßñΣσ漢字😀.,'\"-0123", "the", "The,", "ÉTÉ.", "Ångström", "naïve", "'s", "ing", "'ll", "İ", "ﬁ", "Å", "́", "<|endoftext|>", "<|ENDOFTEXT|>"]
     texts = ["", " ", "a.", "İ.", "a" * 3000, *("".join(r.choice(parts) for _ in range(r.randint(0, 40))) for _ in range(4000))]
     own = WordIds(VOCABULARY)
-    got = [np.frombuffer(x, "<u4").tolist() for k in range(0, len(texts), 100) for x in own.encode_all(texts[k : k + 100])]
-    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for at in (packing.AT_ONCE, 50):  # texts whole, and cut at spaces
+        monkeypatch.setattr(packing, "AT_ONCE", at)
+        assert [x.tolist() for k in range(0, len(texts), 100) for x in whole_ids(texts[k : k + 100], own)] == wanted
 
 
 def packed(plan):

@@ -15,108 +15,151 @@ import bisect
 import os
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_of, tokenizer_path, written
 
-#: A worker's memorised words are dropped beyond this number.
-MOST_WORDS = 800_000
-#: Marks that often end a word.
-MARKS = (".", ",")
-#: Parts words that are encoded together.
+#: Words of letters, and a mark that may end them: the letters are one token sequence, the mark another, case is dropped.
+#: The letters are those that composition leaves alone and whose lower case is one letter.
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+PLAIN = f"^(?P<letters>{LETTERS}+)(?P<mark>[.,]?)$"
+#: Parts other words that are encoded together.
 PARTING = "\x01"
-#: Characters of the texts that are encoded at a time (a longer text is alone), and words learnt at a time.
-AT_ONCE, LEARNT_AT_ONCE = 6_000_000, 2_000
-#: Hash buckets that a length is dealt out to while its documents are ranked, so that a hot length is in no single task.
-RANK_BUCKETS = 256
+#: Characters of text that are encoded at a time (longer texts are cut at spaces), and words at a time.
+AT_ONCE, WORDS_AT_ONCE = 8_000_000, 2_000
 
 
-class WordIds(dict):
-    """The ids of each space-separated word, as little-endian unsigned 32-bit integers.
+class WordIds:
+    """The ids of each distinct space-separated word of some texts.
 
     White space separates tokens for this tokenizer and neither composes with nor changes what follows it, so the ids of
-    a text are those of its words in turn. Words not met before are encoded many at a time, parted by a control
-    character that is a token of its own.
+    a text are those of its words in turn. Words of plain letters need no normalisation beyond lower case, so the
+    library's model gets them as they are, many at a time, and its word-end tokens part them; the library's whole chain
+    takes all others, parted by a control character that is a token of its own. Nothing is kept from texts to texts.
     """
 
     def __init__(self, vocabulary: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(tokenizer_path(vocabulary))
-        (self.parting,) = self.tokenizer.encode(PARTING, add_special_tokens=False).ids
-
-    def __missing__(self, word: str) -> bytes:
-        simple = self._simpler(word)
-        if simple is not None:
-            return self[simple[0]] + (self[simple[1]] if simple[1] else b"")
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    @staticmethod
-    def _simpler(word: str) -> tuple[str, str] | None:
-        """A word of the same ids, and a mark after it: letters and a mark are tokens of their own, and case is dropped."""
-        if word[-1:] in MARKS and word[-2:-1].lower()[-1:].isalpha():
-            return word[:-1], word[-1]
-        if word.isascii() and not word.islower() and "<" not in word and word != (low := word.lower()):
-            return low, ""
-        return None
-
-    def learn(self, words: list[str]) -> None:
-        (found,) = self.tokenizer.encode_batch_fast([f" {PARTING} ".join(words)], add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4")
-        cuts = [-1, *np.flatnonzero(ids == self.parting).tolist(), len(ids)]
-        if len(cuts) != len(words) + 1:
-            raise ValueError("a word holds the parting character")
-        packed = ids.tobytes()
-        for word, a, b in zip(words, cuts, cuts[1:], strict=False):
-            self[word] = packed[4 * a + 4 : 4 * b]
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The packed ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        here = set(chain.from_iterable(split))
-        new = {w for w in here if w not in self}
-        if len(self) + len(new) > MOST_WORDS:
-            self.clear()
-            new = here
-        simple, learnt = [], set()
-        for w in new:
-            if len(w) > 64 or PARTING in w:
-                continue
-            base = w
-            while (s := self._simpler(base)) is not None:
-                base = s[0]
-                learnt.update(s[1:])
-            learnt.add(base)
-            if base is not w:
-                simple.append(w)
-        learnt = [w for w in learnt if w and w not in self]
-        for at in range(0, len(learnt), LEARNT_AT_ONCE):
-            self.learn(learnt[at : at + LEARNT_AT_ONCE])
-        self[""] = b""
-        for w in simple:
-            self[w] = self.__missing__(w)
-        near = {w: self[w] for w in here}.__getitem__  # few words, so lookups stay in the processor's caches
-        return [b"".join(map(near, words)) for words in split]
-
-
-def together(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in turn, some at a time."""
-    first, held = 0, 0
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        path = tokenizer_path(vocabulary)
+        self.whole, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        (self.parting,) = self.whole.encode(PARTING, add_special_tokens=False).ids
+        names = self.whole.get_vocab()
+        self.ends = np.zeros(max(names.values()) + 1, dtype=bool)
+        self.ends[[k for name, k in names.items() if name.endswith("</w>")]] = True
+        self.marks = {m: self.whole.encode(m, add_special_tokens=False).ids[0] for m in (".", ",")}
+        # A vocabulary without word ends, or that treats plain words otherwise, gets the whole chain for all words.
+        trial = ["The", "été", "unhappinesses", "a", "Größe"]
+        lone = [np.array(self.whole.encode(w, add_special_tokens=False).ids, dtype=np.uint32) for w in trial]
+        found = self._plain([w.lower() for w in trial])
+        self.is_plain = len(found[1]) == len(trial) and np.array_equal(found[0], np.concatenate(lone))
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ids and the end of each word's, for words of lower-case letters."""
+        flat = [np.empty(0, dtype=np.uint32)]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            (found,) = self.plain.encode_batch_fast([" ".join(words[at : at + WORDS_AT_ONCE])], add_special_tokens=False)
+            flat.append(np.array(found.ids, dtype=np.uint32))
+        ids = np.concatenate(flat)
+        return ids, np.flatnonzero(self.ends[ids]) + 1
+
+    def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ids and the end of each word's, for any words."""
+        flat, ends, total = [np.empty(0, dtype=np.uint32)], [], 0
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            part = words[at : at + WORDS_AT_ONCE]
+            (found,) = self.whole.encode_batch_fast([f" {PARTING} ".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, dtype=np.uint32)
+            cuts = np.flatnonzero(ids == self.parting)
+            if len(cuts) == len(part) - 1:
+                ends.append(total + np.append(cuts, len(ids)) - np.arange(len(part)))
+                flat.append(np.delete(ids, cuts))
+            else:  # a word holds the parting token: one by one
+                lone = [np.array(self.whole.encode(w, add_special_tokens=False).ids, dtype=np.uint32) for w in part]
+                ends.append(total + np.cumsum([len(x) for x in lone]))
+                flat += lone
+            total = int(ends[-1][-1])
+        return np.concatenate(flat), np.concatenate([np.empty(0, dtype=np.int64), *ends])
+
+    def of(self, words: pa.Array) -> pa.ListArray:
+        """The ids of each of words, all distinct."""
+        split = pc.extract_regex(words, PLAIN) if self.is_plain else pa.nulls(len(words), pa.struct([("letters", pa.string()), ("mark", pa.string())]))
+        plain = split.is_valid()
+        letters = pc.utf8_lower(split.field("letters").filter(plain)).dictionary_encode()
+        ids, ends = self._plain(letters.dictionary.to_pylist())
+        own = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids)).take(letters.indices)
+        marked = split.field("mark").filter(plain)
+        # Each plain word is followed by its mark, if any: insert it where the word ends.
+        flat, ends = own.flatten().to_numpy(), np.cumsum(own.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+        mark = np.zeros(len(marked), dtype=np.uint32)
+        for m, k in self.marks.items():
+            mark[pc.equal(marked, m).to_numpy(zero_copy_only=False)] = k
+        has = mark > 0
+        flat, ends = np.insert(flat, ends[has], mark[has]), ends + np.cumsum(has)
+        rest, rest_ends = self._others(words.filter(pc.invert(plain)).to_pylist())
+        both = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends, len(flat) + rest_ends]), pa.int32()), pa.array(np.concatenate([flat, rest])))
+        at = plain.to_numpy(zero_copy_only=False)
+        return both.take(pa.array(np.where(at, np.cumsum(at) - 1, int(at.sum()) + np.cumsum(~at) - 1)))
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in turn, and where each text's end."""
+        split = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        taken = self.of(words.dictionary).take(words.indices)
+        return taken.flatten().to_numpy(), np.append(0, np.cumsum(taken.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))[split.offsets.to_numpy()[1:]]
+
+
+def cut_at_spaces(text: str) -> Iterator[str]:
+    """The text in parts of about AT_ONCE characters that begin with a space, but for the first."""
+    at = 0
+    while len(text) - at > AT_ONCE:
+        cut = text.rfind(" ", at + 1, at + AT_ONCE)
+        cut = cut if cut > 0 else text.find(" ", at + AT_ONCE)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def together(texts: Iterable[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """The texts in turn, some at a time, as their places and (parts of) texts."""
+    places: list[int] = []
+    some: list[str] = []
+    held = 0
     for k, text in enumerate(texts):
-        held += len(text)
-        if held > AT_ONCE and k > first:
-            yield texts[first:k]
-            first, held = k, len(text)
-    if texts:
-        yield texts[first:]
+        for part in cut_at_spaces(text):
+            if some and held + len(part) > AT_ONCE:
+                yield places, some
+                places, some, held = [], [], 0
+            places.append(k)
+            some.append(part)
+            held += len(part)
+    if some:
+        yield places, some
+
+
+def whole_ids(texts: list[str], ids: WordIds) -> Iterator[np.ndarray]:
+    """The ids of each text."""
+    at, held = 0, []
+    for places, some in together(texts):
+        flat, ends = ids.encode_all(some)
+        for k, own in zip(places, np.split(flat, ends[:-1]), strict=True):
+            if k != at:
+                yield np.concatenate(held)
+                at, held = k, []
+            held.append(own)
+    if held:
+        yield np.concatenate(held)
 
 
 _loaded: dict[str, WordIds] = {}
@@ -128,27 +171,34 @@ def word_ids(vocabulary: str) -> WordIds:
     return _loaded[vocabulary]
 
 
+PIECES = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "task": pa.int64(), "own_rank": pa.int64()}
+
+
 def pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = 4096, end_id: int = 1) -> DataFrame:
-    """doc_id, piece, start, length and ids_crc32 of each document's pieces: its ids and end_id, cut every capacity ids."""
+    """doc_id, piece, start, length and ids_crc32 of each document's pieces: its ids and end_id, cut every capacity ids.
+
+    task and own_rank number the pieces of each length in the task that cuts them.
+    """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, end = word_ids(vocabulary), end_id.to_bytes(4, "little")
+        ids, end = word_ids(vocabulary), np.array([end_id], dtype=np.uint32)
+        context, ranks = TaskContext.get(), np.zeros(capacity + 1, dtype=np.int64)
+        task = context.partitionId() if context else 0
         for x in batches:
             out: list[tuple] = []
-            texts = x.column("text").to_pylist()
-            encoded = (e for some in together(texts) for e in ids.encode_all(some))
-            for doc_id, whole in zip(x.column("doc_id").to_pylist(), encoded, strict=True):
-                whole += end
+            for doc_id, found in zip(x.column("doc_id").to_pylist(), whole_ids(x.column("text").to_pylist(), ids), strict=True):
+                whole = memoryview(np.append(found, end).astype("<u4", copy=False)).cast("B")
                 for k, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
-                    out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
+                    length = len(part) // 4
+                    out.append((doc_id, k, at // 4, length, zlib.crc32(part), task, int(ranks[length])))
+                    ranks[length] += 1
             if out:
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
+                columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), PIECES.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, list(PIECES))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, task long, own_rank long")
 
 
 def sweep(runs: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -192,36 +242,42 @@ def sweep(runs: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, in
 
 
 def packed(parts: DataFrame, capacity: int = 4096) -> DataFrame:
-    """parts with sequence_id and offset. parts: has doc_id, piece, start, ids_crc32 and length from 1 to capacity."""
-    spark = parts.sparkSession
-    parts = parts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(RANK_BUCKETS)).cast("int"))
-    counts = parts.groupBy("length", "bucket").agg(F.count("*").alias("n"))
+    """parts, as pieces() gives them and once written, with sequence_id and offset in place of task and own_rank."""
+    context = parts.sparkSession.sparkContext
+    counts = parts.groupBy("length", "task").agg(F.count("*").alias("n"))
     runs = [(r.length, r.n) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()]  # a row for each length
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("length", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
-    own = Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "start", "ids_crc32")
-    ranked = (
-        parts.withColumn("own", F.row_number().over(own) - 1)
-        .join(offsets, ["length", "bucket"])
-        .withColumn("rank", F.col("before") + F.col("own"))
-        .drop("bucket", "own", "before")
-    )
-    plan = pd.DataFrame(sweep(runs, capacity), columns=["length", "first", "end", "sequence", "at", "places"]).astype("int64")
-    intervals = spark.createDataFrame(plan, "length long, first long, end long, sequence long, at long, places long")
-    each = F.col("rank") - F.col("first")
+    # A piece's rank in its length is its rank in its task after the pieces of earlier tasks.
+    before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("length", "task", F.coalesce(before, F.lit(0)).alias("before"))
+    ranked = parts.join(offsets, ["length", "task"]).withColumn("rank", F.col("before") + F.col("own_rank"))
     # The intervals number a few for each length up to the capacity, whatever the rows: their size is bounded.
-    return ranked.join(F.broadcast(intervals), ["length"]).where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end"))).select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
-        (F.col("sequence") + F.floor(each / F.col("places"))).cast("long").alias("sequence_id"),
-        (F.col("at") + each % F.col("places") * F.col("length")).cast("long").alias("offset"),
-    )
+    plan = np.array(sorted(sweep(runs, capacity)), dtype=np.int64).reshape(-1, 6)
+    sent = context.broadcast(plan)
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths, firsts, _, sequences, ats, places = sent.value.T
+        begins = np.searchsorted(lengths, np.arange(capacity + 2))
+        for x in batches:
+            length, rank = (x.column(c).to_numpy() for c in ("length", "rank"))
+            at = np.empty(len(rank), dtype=np.int64)
+            order = np.argsort(length, kind="stable")
+            own, starts = np.unique(length[order], return_index=True)
+            for n, rows in zip(own, np.split(order, starts[1:]), strict=True):
+                at[rows] = begins[n] + np.searchsorted(firsts[begins[n] : begins[n + 1]], rank[rows], side="right") - 1
+            each = rank - firsts[at]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            new = [pa.array(sequences[at] + each // places[at]), pa.array(ats[at] + each % places[at] * length)]
+            yield pa.RecordBatch.from_arrays([*(x.column(c) for c in names), *new], [*names, "sequence_id", "offset"])
+
+    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def best_fit_packing(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """Packs all documents: doc_id, piece, start, length, ids_crc32, sequence_id and offset of each piece.
 
     A null text is empty and becomes the end id alone; a null doc_id stays null; repeated rows are packed each; ties of
-    length are ranked by hash bucket and doc_id; an empty table gives no rows; other columns are not read. Pieces of the
-    full capacity have a sequence of their own, as none has a gap. Texts are not shuffled: only a row of numbers a piece.
+    length are ranked by the task that cuts them and by their order there; an empty table gives no rows; other columns
+    are not read; long texts are encoded in parts that end at spaces. Pieces of the full capacity have a sequence of
+    their own, as none has a gap. Texts are not shuffled: only a row of numbers a piece.
     """
     return packed(written(pieces(docs, vocabulary, capacity, end_id), "pieces"), capacity)
