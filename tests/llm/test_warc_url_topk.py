@@ -132,7 +132,22 @@ def test_top_k_against_all_products(spark, shard, block, k):
 
 
 def test_few_candidates_and_huge_components(spark):
-    df = spark.createDataFrame([(0, [1e9, 1.0]), (1, [1e9, 2.0]), (2, [1e9, 2.0])], "vec_id long, embedding array<double>")
+    x = [[4e7, 1.0], [4e7, 2.0], [4e7, 2.0], [-3e7, 5e5]]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
     got = [(t.vec_id, t.score) for t in top_k.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
-    assert [v for v, _ in got] == [1, 2]
+    whole = [[int(64 * c) for c in v] for v in x]
+    dot = [sum(a * b for a, b in zip(whole[0], v, strict=True)) for v in whole]
+    assert dot[1] > 1 << 53 and got == [(1, dot[1]), (2, dot[2]), (3, dot[3])]
+    over = spark.createDataFrame([(0, [1e300]), (1, [1e300]), (2, [-1e300]), (3, [1e308])], "vec_id long, embedding array<double>")
+    assert [(t.vec_id, t.score) for t in top_k.top_k(over, F.col("vec_id") == 0).orderBy("rank").collect()] == [(1, top_k.MOST), (2, top_k.LEAST)]
     assert top_k.top_k(df.limit(0), F.col("vec_id") == 0).collect() == []
+
+
+@pytest.mark.parametrize("shard", [50_000, 2])
+def test_rows_that_share_an_id_are_candidates_each(spark, shard):
+    rows = [(0, [1.0]), (1, [2.0]), (1, [3.0]), (2, [1.0]), (2, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((t.query_id, t.rank, t.vec_id, t.score) for t in top_k.top_k(df, F.col("vec_id") % 2 == 0, shard=shard).collect())
+    n = 64 * 64
+    one = [(2, 1, 1, 3 * n), (2, 2, 1, 2 * n), (2, 3, 0, n), (2, 4, 2, n)]
+    assert got == sorted([(0, 1, 1, 3 * n), (0, 2, 1, 2 * n), (0, 3, 2, n), (0, 4, 2, n), *one, *one])
