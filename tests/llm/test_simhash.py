@@ -36,13 +36,28 @@ def test_fingerprints():
     assert [simhash.fingerprint(t) for t in texts] == [fingerprint(t) for t in texts]
 
 
-@pytest.mark.parametrize("n", [10, 5000, 1 << 22, 1 << 30])
-def test_masks_leave_no_pair_apart(n):
-    r = random.Random(n)
-    own = simhash.masks(n)
-    for _ in range(500):
-        flips = sum(1 << b for b in r.sample(range(64), 4))
-        assert any(not flips & m for m in own)
+@pytest.mark.parametrize("e", [1, 3, 5, 12])
+def test_pairs_within_four_bits_agree_in_a_key(e):
+    r = random.Random(e)
+    own = simhash.masks(e)
+    steps = lambda f: sum((2 - (f ^ b).bit_count() + (f ^ a).bit_count()) // 2 << 2 * k for k, (a, b) in enumerate(zip(simhash.PIVOTS, simhash.PIVOTS[1:], strict=False)))
+    for _ in range(300):
+        x = r.getrandbits(64)
+        y = x ^ sum(1 << b for b in r.sample(range(64), 4))
+        assert any(steps(x) & m == steps(y) & m for m in own)
+
+
+def test_pivot_vectors_and_steps_in_spark(spark):
+    fps = [0, 1, (1 << 64) - 1, simhash.FIRST, random.Random(2).getrandbits(64)]
+    rows = spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp long").select("fp", simhash.pivot_vector(simhash.F.col("fp")).alias("p"))
+    for r in rows.withColumn("s", simhash.steps(simhash.F.col("p"))).collect():
+        f = r.fp & ((1 << 64) - 1)
+        assert list(r.p) == [(f ^ p).bit_count() for p in simhash.PIVOTS]
+        assert [r.s >> 2 * k & 3 for k in range(32)] == [((f ^ simhash.FIRST) >> 2 * k & 3).bit_count() for k in range(32)]
+
+
+def test_keys_grow_finer_with_the_number_of_nodes():
+    assert [simhash.agreeing(n) for n in (0, 10, 10_000, 235_000, 10**7, 10**10)] == sorted(simhash.agreeing(n) for n in (0, 10, 10_000, 235_000, 10**7, 10**10))
 
 
 @pytest.mark.parametrize("most_members", [2, 6, 4096])
@@ -80,9 +95,16 @@ def test_rows_and_one_of_each(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-def test_pivot_table_discards_no_link():
+def test_pivot_table_discards_far_pairs_and_no_link():
     r = np.random.default_rng(1)
-    a = r.integers(0, 1 << 64, 200, dtype=np.uint64)
+    a = r.integers(0, 1 << 64, 2000, dtype=np.uint64)
     b = a ^ np.array([np.bitwise_or.reduce(np.uint64(1) << r.choice(64, 4, replace=False).astype(np.uint64)) for _ in a])
-    table = lambda x: np.bitwise_count(x[:, None] ^ simhash.PIVOTS[None, :]).astype(int)
+    pivots = np.array(simhash.PIVOTS, dtype=np.uint64)
+    table = lambda x: np.bitwise_count(x[:, None] ^ pivots[None, :]).astype(int)
     assert (np.abs(table(a) - table(b)).max(axis=1) <= 4).all()
+    assert (np.abs(table(a[1:]) - table(a[:-1])).max(axis=1) > 4).mean() > 0.5
+
+
+def test_a_long_text_is_hashed_whole():
+    text = " ".join(f"w{k % 7919}" for k in range(150_000))
+    assert simhash.fingerprint(text) == fingerprint(text)

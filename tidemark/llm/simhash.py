@@ -1,11 +1,12 @@
 """Near-duplicates by 64-bit fingerprints, with pivot distance tables.
 
-Equal fingerprints are one node. Two fingerprints that differ in at most four bits agree in e of any 4 + e blocks of
-bits, so pairs only meet in buckets of fingerprints that agree in e blocks; e grows with the number of fingerprints. A
-pivot alone tells too little to shard by (distances between fingerprints crowd around 32), so buckets deal out the work and
-pivots do the discarding: for the members of a bucket a table of Hamming distances to many reference fingerprints is
-computed once. By the triangle inequality, a pair whose distances to any pivot differ by more than four is discarded;
-survivors are verified bit by bit. A bucket yields a spanning forest of its links, never all pairs.
+Equal fingerprints are one node, whose Hamming distances to PIVOTS reference fingerprints are computed once and kept with it:
+its pivot vector. The references are nested, each differs from the one before in two more bits, so that the vector's steps
+tell how far a fingerprint is from each pair of references. Two fingerprints within four bits differ by four at most in
+each coordinate (triangle inequality), and of any 4 + e disjoint runs of references they agree in every step of e runs.
+So pairs are sought among the nodes whose pivot vectors take equal steps over e runs; e grows with the number of nodes. Of
+these, a pair is discarded by its largest coordinate difference, and survivors are verified bit by bit. What many nodes
+share (a hot key) is sought again over more and finer runs. A key yields a spanning forest of its links, never all pairs.
 """
 
 from __future__ import annotations
@@ -14,20 +15,25 @@ from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import appended, text_of, written
 from .components import components
 
 SEED, SHINGLE, MOST_BITS = 42, 4, 4
-#: Reference fingerprints, from a fixed seed.
-PIVOTS = np.random.default_rng(64).integers(0, 1 << 64, size=24, dtype=np.uint64)
-#: Members of a bucket in one task; larger buckets are split and each pair of parts is a task's.
+#: The first reference, from a fixed seed; reference k differs from it in the 2 * k lowest bits.
+FIRST = int(np.random.default_rng(64).integers(0, 1 << 64, dtype=np.uint64))
+STEPS = 32
+PIVOTS = [FIRST ^ ((1 << 2 * k) - 1) for k in range(STEPS + 1)]
+#: Bits that a step tells on average, of a random pair: -log2(3 / 8).
+BITS_A_STEP = 1.415
+#: Runs that agree, from coarse to fine.
+MOST_AGREEING = 12
+#: Members of a key in one task; those of larger keys are sought again over finer runs, and in the end pairs of parts.
 MOST_MEMBERS = 4096
-#: Buckets up to this size are compared side by side.
+#: Keys of up to so many members are compared side by side.
 SIDE_BY_SIDE = 8
 #: Nodes of fingerprints without a doc_id lie above all doc_ids.
 NAMELESS = 1 << 62
@@ -64,20 +70,38 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(each, "doc_id long, fp long")
 
 
-def masks(n: int) -> list[int]:
-    """Bit masks of which any two fingerprints within MOST_BITS agree on one at least, fine enough for n fingerprints."""
-    for agree in range(1, 6):
-        blocks = MOST_BITS + agree
-        if n < 1 << (64 * agree // blocks) or agree == 5:
-            edges = [64 * k // blocks for k in range(blocks + 1)]
-            own = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
-            return [sum(x) for x in combinations(own, agree)]
-    return []
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
-def linked(fps: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A star to the smallest node for each component of one bucket's links."""
-    table = np.bitwise_count(fps[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+def pivot_vector(fp: Column) -> Column:
+    """The distances to all references, in order."""
+    return F.array(*(F.bit_count(fp.bitwiseXOR(F.lit(signed(p)))).cast("byte") for p in PIVOTS))
+
+
+def steps(pivots: Column) -> Column:
+    """The steps of a pivot vector as one long: two bits for each, 0 to 2 where the distance grows by 2, 0 or -2."""
+    out = F.lit(0).cast("long")
+    for k in range(STEPS):
+        step = F.shiftright(F.lit(2).cast("long") - F.get(pivots, F.lit(k + 1)) + F.get(pivots, F.lit(k)), 1)
+        out = out.bitwiseOR(F.shiftleft(step, 2 * k))
+    return out
+
+
+def agreeing(n: int) -> int:
+    """How many runs of references must agree, for keys fine enough for n nodes."""
+    return next((e for e in range(1, MOST_AGREEING) if 2 ** (BITS_A_STEP * (STEPS * e // (MOST_BITS + e))) > n), MOST_AGREEING)
+
+
+def masks(e: int) -> list[int]:
+    """Which steps (two bits each) make a key: every e of 4 + e runs. Any two fingerprints within MOST_BITS agree on one at least."""
+    edges = [2 * (STEPS * k // (MOST_BITS + e)) for k in range(MOST_BITS + e + 1)]
+    own = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [sum(x) for x in combinations(own, e)]
+
+
+def linked(fps: np.ndarray, nodes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A star to the smallest node for each component of one key's links. table: the pivot vectors."""
     left, roots, out = np.arange(len(fps)), [], []
     while left.size:
         group, frontier, left = [left[0]], [left[0]], left[1:]
@@ -96,68 +120,90 @@ def linked(fps: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out), np.concatenate(roots)) if out else (nodes[:0], nodes[:0])
 
 
-def bucket_links(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links a, b among rows (key columns, fp, node) that come sorted by key, so that a bucket's rows follow each other."""
-    kept: list[pd.DataFrame] = []
-
-    def found(x: pd.DataFrame) -> pd.DataFrame:
-        names = [c for c in x.columns if c not in ("fp", "node")]
-        keys = x[names].to_numpy()
-        fps, nodes = x["fp"].to_numpy().view(np.uint64), x["node"].to_numpy()
-        cuts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1), True])
-        sizes = np.diff(cuts)
-        a, b = [], []
-        small = np.repeat((sizes > 1) & (sizes <= SIDE_BY_SIDE), sizes)
-        own = np.repeat(np.arange(len(sizes)), sizes)
-        for lag in range(1, SIDE_BY_SIDE):
-            at = np.flatnonzero(small[:-lag] & (own[:-lag] == own[lag:])) if len(own) > lag else np.empty(0, dtype=np.int64)
-            for pivot in PIVOTS:
-                far = np.bitwise_count(fps[at] ^ pivot).astype(np.int8) - np.bitwise_count(fps[at + lag] ^ pivot).astype(np.int8)
-                at = at[np.abs(far) <= MOST_BITS]
-            at = at[np.bitwise_count(fps[at] ^ fps[at + lag]) <= MOST_BITS]
-            a.append(nodes[at])
-            b.append(nodes[at + lag])
-        for k in np.flatnonzero(sizes > SIDE_BY_SIDE):
-            star = linked(fps[cuts[k] : cuts[k + 1]], nodes[cuts[k] : cuts[k + 1]])
-            a.append(star[0])
-            b.append(star[1])
-        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
-
+#: What a task needs of a member of a key: key is a hash of what its rows share.
+MEMBER = ["key", "fp", "node", "pivots"]
+
+
+def _found(x: pa.Table) -> pa.RecordBatch:
+    """Links a, b among whole keys."""
+    key, nodes = x.column("key").to_numpy(), x.column("node").to_numpy()
+    fps = x.column("fp").to_numpy().view(np.uint64)
+    table = x.column("pivots").combine_chunks().flatten().to_numpy().reshape(len(fps), STEPS + 1)
+    cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+    sizes = np.diff(cuts)
+    a, b = [nodes[:0]], [nodes[:0]]
+    small = np.repeat((sizes > 1) & (sizes <= SIDE_BY_SIDE), sizes)
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    for lag in range(1, SIDE_BY_SIDE):
+        at = np.flatnonzero(small[:-lag] & (own[:-lag] == own[lag:])) if len(own) > lag else np.empty(0, dtype=np.int64)
+        at = at[np.abs(table[at] - table[at + lag]).max(axis=1) <= MOST_BITS]
+        at = at[np.bitwise_count(fps[at] ^ fps[at + lag]) <= MOST_BITS]
+        a.append(nodes[at])
+        b.append(nodes[at + lag])
+    for k in np.flatnonzero(sizes > SIDE_BY_SIDE):
+        part = slice(cuts[k], cuts[k + 1])
+        star = linked(fps[part], nodes[part], table[part])
+        a.append(star[0])
+        b.append(star[1])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+
+def key_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links a, b among members that come sorted by key, so that a key's rows follow each other."""
+    kept: list[pa.RecordBatch] = []
     for x in batches:
-        if not len(x):
+        if not x.num_rows:
             continue
-        names = [c for c in x.columns if c not in ("fp", "node")]
-        keys = x[names].to_numpy()
-        same = (keys == keys[-1]).all(axis=1)
-        cut = len(x) - int(np.argmin(same[::-1])) if not same.all() else 0
-        if cut:  # the last bucket may go on in the next batch
-            yield found(pd.concat([*kept, x.iloc[:cut]], ignore_index=True))
-            kept = [x.iloc[cut:]]
-        elif kept and (kept[-1][names].to_numpy()[-1] != keys[0]).any():
-            yield found(pd.concat(kept, ignore_index=True))
-            kept = [x]
-        else:
-            kept.append(x)
+        key = x.column("key").to_numpy()
+        last = len(key) - int(np.argmax(key[::-1] != key[-1])) if key[0] != key[-1] else 0
+        if kept and (last or kept[-1].column("key")[0].as_py() != key[0]):  # the last key may go on in the next batch
+            yield _found(pa.Table.from_batches([*kept, x.slice(0, last)]))
+            kept = []
+        elif last:
+            yield _found(pa.Table.from_batches([x.slice(0, last)]))
+        kept.append(x.slice(last))
     if kept:
-        yield found(pd.concat(kept, ignore_index=True))
+        yield _found(pa.Table.from_batches(kept))
+
+
+def _by_key(members: DataFrame) -> DataFrame:
+    return members.select(*MEMBER).repartition("key").sortWithinPartitions("key", "fp").mapInArrow(key_links, "a long, b long")
+
+
+def _keyed(nodes: DataFrame, e: int) -> DataFrame:
+    """A row for each node and key over e agreeing runs."""
+    masked = F.posexplode(F.array(*(F.col("steps").bitwiseAND(F.lit(signed(m))) for m in masks(e))))
+    return nodes.select("fp", "node", "pivots", "steps", masked.alias("mask", "agreed")).withColumn("key", F.xxhash64("mask", "agreed"))
 
 
 def links(nodes: DataFrame, most_members: int = MOST_MEMBERS) -> DataFrame:
-    """Links a, b that join all fingerprints within MOST_BITS of each other. nodes: distinct fp, and node."""
-    own = masks(nodes.count())
-    keys = F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in own)))
-    keyed = nodes.select("fp", "node", keys.alias("mask", "bits"))
-    counts = keyed.groupBy("mask", "bits").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    hot = written(counts.where(F.col("n") > most_members), "hot-buckets")
-    sorted_rows = lambda rows, *by: rows.select(*by, "fp", "node").repartition(*by).sortWithinPartitions(*by)
-    if hot.isEmpty():
-        return sorted_rows(keyed, "mask", "bits").mapInPandas(bucket_links, "a long, b long")
-    cold = sorted_rows(keyed.join(hot, ["mask", "bits"], "left_anti"), "mask", "bits").mapInPandas(bucket_links, "a long, b long")
+    """Links a, b that join all fingerprints within MOST_BITS of each other. nodes: distinct fp, and node; written.
+
+    Keys with more than most_members are set apart, and their members are sought again over more and finer runs, in which
+    every pair of them meets as well. Over the finest runs a key that is still hot is dealt out in pairs of parts. (Equal
+    hashes of different keys only bring together more candidates.)
+    """
+    current = written(nodes.select("fp", "node", pivot_vector(F.col("fp")).alias("pivots")).withColumn("steps", steps(F.col("pivots"))), "pivots")
+    e, out = agreeing(current.count()), None
+    while True:
+        keyed = _keyed(current, e)
+        hot = written(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > most_members), "hot-keys")
+        none_hot = hot.isEmpty()
+        cold = _by_key(keyed if none_hot else keyed.join(hot, "key", "left_anti"))
+        out = cold if out is None else out.unionByName(cold)
+        if none_hot:
+            return out
+        if e >= MOST_AGREEING:
+            break
+        # A semi-join on the hot keys; a node may be in several.
+        again = keyed.join(hot, "key", "left_semi").select("fp", "node", "pivots", "steps").distinct()
+        current = written(again, "hot-nodes")
+        e = min(MOST_AGREEING, max(e + 3, agreeing(current.count())))
     parts = F.ceil(F.col("n") / (most_members / 2)).cast("int")
-    split = keyed.join(hot, ["mask", "bits"]).withColumn("own", F.pmod(F.xxhash64("fp"), parts).cast("int"))
+    split = keyed.join(hot, "key").withColumn("own", F.pmod(F.xxhash64("fp"), parts).cast("int"))
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    split = split.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other"))
-    return cold.union(sorted_rows(split, "mask", "bits", "p", "q").mapInPandas(bucket_links, "a long, b long"))
+    split = split.withColumn("key", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+    return out.unionByName(_by_key(split))
 
 
 def _roots(each: DataFrame, most_members: int) -> DataFrame:
@@ -172,9 +218,9 @@ def near_duplicates(docs: DataFrame, most_members: int = MOST_MEMBERS) -> DataFr
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of each row of docs.
 
     component_id is the smallest doc_id that links of at most four bits reach. A text without a word, or null, has
-    fingerprint zero and links like any other; a null doc_id counts for nothing in the minimum, and a component without
-    any doc_id has a null component_id; repeated rows are linked and returned each; an empty table gives no rows; other
-    columns are not read.
+    fingerprint zero and links like any other; a text of any length is hashed whole, in parts; a null doc_id counts for
+    nothing in the minimum, and a component without any doc_id has a null component_id; repeated rows are linked and
+    returned each; an empty table gives no rows; other columns are not read.
     """
     each = written(fingerprints(docs), "fingerprints")
     named = _roots(each, most_members).select("fp", "root")
@@ -185,19 +231,22 @@ def near_duplicates(docs: DataFrame, most_members: int = MOST_MEMBERS) -> DataFr
 def one_of_each(docs: DataFrame, most_members: int = MOST_MEMBERS) -> DataFrame:
     """One row of docs for each component, with the same columns: one of the smallest doc_id's.
 
-    Of components without any doc_id, one row of the smallest node's fingerprint stays.
+    Where rows repeat that doc_id, the one of smallest hash of its text and then of its whole content stays. Of components
+    without any doc_id, one row of the smallest node's fingerprint stays.
     """
     each = written(fingerprints(docs), "fingerprints")
     roots = written(_roots(each, most_members).where("node = root"), "roots")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("node"))
-    named = rows.join(roots.where(F.col("node") < NAMELESS).select("node"), "node", "left_semi").dropDuplicates(["node"]).select("row.*")
+    content = F.struct(F.xxhash64(text_of()), F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind)))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("node"), content.alias("order"))
+    own = rows.join(roots.where(F.col("node") < NAMELESS).select("node"), "node", "left_semi")
+    named = own.groupBy("node").agg(F.min_by("row", "order").alias("row")).select("row.*")
     nameless = roots.where(F.col("node") >= NAMELESS).select("fp")
     if nameless.isEmpty():
         return named
 
-    @F.pandas_udf("long")
-    def fp(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
+    @F.arrow_udf("long")
+    def fp(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t.as_py()) for t in texts], dtype=np.uint64).view(np.int64))
 
-    rows = docs.where(F.col("doc_id").isNull()).select(F.struct("*").alias("row"), fp(text_of()).alias("fp"))
-    return named.union(rows.join(nameless, "fp", "left_semi").dropDuplicates(["fp"]).select("row.*"))
+    rows = docs.where(F.col("doc_id").isNull()).select(F.struct("*").alias("row"), fp(text_of()).alias("fp"), content.alias("order"))
+    return named.union(rows.join(nameless, "fp", "left_semi").groupBy("fp").agg(F.min_by("row", "order").alias("row")).select("row.*"))
