@@ -1,7 +1,9 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -103,14 +105,62 @@ def test_urls(spark):
     assert url_filter.judge_urls(rows.limit(0)).collect() == []
 
 
-def test_character_models_tell_held_out_urls():
-    r = random.Random(4)
-    good = [f"http://news.{r.choice('abc')}.org/fr/{r.choice(['article', 'culture', 'sport'])}-{r.randint(1, 999)}" for _ in range(400)]
-    bad = [f"http://win-casino.{r.choice('abc')}.net/{r.choice(['bonus', 'xxx', 'spin'])}?{r.randint(1, 999)}" for _ in range(400)]
-    sample = [(u, "allow") for u in good[:300]] + [(u, "block") for u in bad[:300]]
-    a, b, threshold = url_filter.fitted(sample)
-    ratio = lambda u: b.mean_log(url_filter.model_text(u)) - a.mean_log(url_filter.model_text(u))
-    assert sum(ratio(u) > threshold for u in bad[300:]) >= 95 and sum(ratio(u) > threshold for u in good[300:]) <= 5
+def by_hand(texts, text, order=url_filter.ORDER):
+    """Mean log likelihood, each context found by counting substrings."""
+    padded = [url_filter.START * order + t + url_filter.END for t in texts]
+    whole, total = url_filter.START * order + text + url_filter.END, 0.0
+    for i in range(order, len(whole)):
+        p = 1 / 65_536
+        for k in range(order + 1):
+            context = whole[i - k : i]
+            after = Counter(t[j] for t in padded for j in range(order, len(t)) if t[j - k : j] == context)
+            if not after:
+                break
+            p = (after[whole[i]] + (len(after) + url_filter.SMOOTHING) * p) / (after.total() + len(after) + url_filter.SMOOTHING)
+        total += math.log(p)
+    return total / (len(text) + 1)
+
+
+def sampled(r, n):
+    good = lambda tld, path: f"http://{r.choice(['news', 'daily', 'press'])}.x{tld}{path}{r.choice(['article', 'culture', 'sport'])}-{r.randint(1, 999)}"
+    bad = lambda tld, path: f"http://win-{r.choice(['casino', 'bets'])}.x{tld}{path}{r.choice(['bonus', 'xxx', 'spin'])}?{r.randint(1, 999)}"
+    kinds = [("allow", "example.net/en/", ".example.net", "/en/", good), ("allow", "org/fr/", ".org", "/fr/", good), ("block", "net/", ".net", "/q/", bad), ("block", "example.com/de/", ".example.com", "/de/", bad)]
+    return [(made(tld, path), action, rule) for action, rule, tld, path, made in kinds for _ in range(n)]
+
+
+def test_models_are_calibrated_on_left_out_rules():
+    models = url_filter.fitted(sampled(random.Random(4), 150))
+    assert models.left_out["example.net/en/"] <= 0.02 and models.left_out["org/fr/"] <= 0.02 and models.left_out["net/"] > 0.9
+    other = sampled(random.Random(5), 50)
+    assert all((models.ratio(u.replace("/en/", "/zz/")) > models.threshold) == (a == "block") for u, a, _ in other)
+
+
+def test_models_do_not_read_what_rules_look_at():
+    hidden = url_filter.hidden_by(url_filter.RULES)
+    assert hidden == (2, 1)
+    assert url_filter.model_text("http://A.b.example.net/en/x/1?q=2#f", hidden) == "a.b/x/1?q=2#f" == url_filter.model_text("http://a.b.c.org/fr/x/1?q=2#f", hidden)
+    assert [url_filter.model_text(u, hidden) for u in ("", "no scheme", "http://net", "x://h?://a")] == ["/", "/", "/", "/?://a"]
+    # Rules that differ by nothing else teach nothing: everything else is allowed.
+    r = random.Random(6)
+    same = [(f"http://h{r.randint(1, 50)}.example.{tld}/{path}/{r.randint(1, 999)}", action, rule) for action, rule, tld, path in (("allow", "example.net/en/", "net", "en"), ("allow", "org/fr/", "org", "fr"), ("block", "net/", "net", "es"), ("block", "example.com/de/", "com", "de")) for _ in range(200)]
+    models = url_filter.fitted(same)
+    assert all(share <= 0.02 or models.threshold < math.inf for share in models.left_out.values()) and max(models.left_out[k] for k in ("example.net/en/", "org/fr/")) <= 0.02
+
+
+def test_verdicts_and_ratios_against_brute_force(spark):
+    sample = sampled(random.Random(7), 12)
+    others = ["http://press.y.example.info/es/culture-1", "http://win-bets.y.example.info/es/spin?2", "gopher", "http://" + "long." * 800 + "info/es/" + "z" * 3000]
+    rows = [(k, u) for k, u in enumerate([u for u, *_ in sample] + others)]
+    got = {r.page_id: r for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    distinct = sorted(set(sample))
+    models, hidden = url_filter.fitted(distinct), (2, 1)
+    texts = {kind: [url_filter.model_text(u, hidden) for u, a, _ in distinct if a == kind] for kind in ("allow", "block")}
+    for k in range(len(sample), len(rows)):
+        text = url_filter.model_text(rows[k][1], hidden)
+        if len(text) < 100:
+            assert got[k].ratio == pytest.approx(by_hand(texts["block"], text) - by_hand(texts["allow"], text), abs=1e-9)
+        assert got[k].rule is None and got[k].verdict == ("block" if got[k].ratio > models.threshold else "allow")
+    assert got[len(sample) + 1].ratio > got[len(sample)].ratio
 
 
 @pytest.mark.parametrize("shard, block, k", [(10_000, 10_000, 5), (40, 7, 5), (300, 20, 20)])

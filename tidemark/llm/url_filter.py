@@ -2,7 +2,11 @@
 
 Rules name a host and the beginning of a path; the longest that fits wins. URLs that a rule decides teach two smoothed
 variable-order Markov models, of accepted and of rejected URLs, on a bounded sample; a URL that no rule fits is blocked if
-the rejected model's log likelihood exceeds the accepted one's, per character, by more than a calibrated threshold.
+the rejected model's log likelihood exceeds the accepted one's, per character, by more than a calibrated threshold. The
+models never read what rules look at: as many last labels of the host and first segments of the path as any rule names are
+hidden. Calibration leaves out one rule at a time: models of the other rules judge its URLs. The threshold is the least at
+which no left-out accepting rule has more than the stated share of false blocks; if too few URLs of left-out rejecting
+rules exceed it, what rules teach does not carry over to other URLs, and all of them are allowed.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,8 +27,10 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 #: Labelled URLs of either kind that models are fitted and calibrated on, at most.
 SAMPLE = 10_000
 ORDER, SMOOTHING = 4, 0.5
-#: Share of held-out accepted URLs that the threshold lets be blocked.
-FALSE_BLOCKS = 0.02
+#: Bytes of a URL that models are fitted on, at most; longer ones are judged whole, but teach nothing.
+LONGEST = 2_048
+#: Share of a left-out accepting rule's URLs that may be blocked, and least share of left-out rejecting rules' that must be.
+FALSE_BLOCKS, LEAST_BLOCKS = 0.02, 0.2
 START, END = "\x02", "\x03"
 
 
@@ -85,44 +92,77 @@ class CharacterModel:
         return total / (len(text) + 1)
 
 
-def model_text(url: str) -> str:
-    """What the models read of a URL: all after the scheme, and of the host no suffix that decides rules."""
-    rest = url.partition("://")[2] or url
-    cut = min((k for k in map(rest.find, "/?#") if k >= 0), default=len(rest))
-    return rest[:cut].rpartition(".")[0].lower() + rest[cut:]
+class Fitted(NamedTuple):
+    """Both models, what is hidden from them, the threshold, and the share blocked of each rule's URLs when it was left out."""
+
+    good: CharacterModel
+    bad: CharacterModel
+    hidden: tuple[int, int]
+    threshold: float
+    left_out: dict[str, float]
+
+    def ratio(self, url: str) -> float:
+        text = model_text(url, self.hidden)
+        return self.bad.mean_log(text) - self.good.mean_log(text)
 
 
-def fitted(sample: list[tuple[str, str]]) -> tuple[CharacterModel, CharacterModel, float]:
-    """The accepted and the rejected model, and the threshold calibrated on the half of the sample they do not learn from."""
-    halves: dict[tuple[str, int], list[str]] = {}
-    for k, (url, action) in enumerate(sample):
-        halves.setdefault((action, k % 2), []).append(model_text(url))
-    good, bad = CharacterModel(halves.get(("allow", 0), [])), CharacterModel(halves.get(("block", 0), []))
-    held = sorted(bad.mean_log(t) - good.mean_log(t) for t in halves.get(("allow", 1), []))
-    threshold = held[math.ceil(len(held) * (1 - FALSE_BLOCKS)) - 1] if held and halves.get(("block", 0)) else math.inf
-    return good, bad, max(0.0, threshold)
+def hidden_by(rules: tuple[tuple[str, str, str], ...]) -> tuple[int, int]:
+    """How many last labels of a host and first segments of a path rules look at."""
+    return max((host.count(".") + 1 for _, host, _ in rules), default=0), max((len([x for x in path.split("/") if x]) for *_, path in rules), default=0)
+
+
+def model_text(url: str, hidden: tuple[int, int]) -> str:
+    """What the models read of a URL: all after the scheme but the host's last labels and the path's first segments."""
+    rest = url.partition("://")[2] or url
+    cut = min((k for k in map(rest.find, "/?#") if k >= 0), default=len(rest))
+    end = min((k for k in map(rest.find, "?#") if k >= 0), default=len(rest))
+    labels, segments = rest[:cut].lower().split("."), rest[cut:end].split("/")
+    return ".".join(labels[: max(0, len(labels) - hidden[0])]) + "/" + "/".join(segments[1 + hidden[1] :]) + rest[end:]
+
+
+def fitted(sample: list[tuple[str, str, str]], rules: tuple[tuple[str, str, str], ...] = RULES) -> Fitted:
+    """Models and threshold from a sample of url, action and rule. Without both kinds, or without a rule to leave out, all is allowed."""
+    hidden = hidden_by(rules)
+    of: dict[tuple[str, str], list[str]] = {}
+    for url, action, rule in sample:
+        of.setdefault((action, rule), []).append(model_text(url, hidden))
+    models = lambda without: [CharacterModel(t for (action, rule), own in of.items() if action == kind and rule != without for t in own) for kind in ("allow", "block")]
+    kinds = lambda without: {action for action, rule in of if rule != without}
+    ratios: dict[tuple[str, str], list[float]] = {}
+    for action, rule in of:
+        if len(kinds(rule)) == 2:
+            good, bad = models(rule)
+            ratios[action, rule] = sorted(bad.mean_log(t) - good.mean_log(t) for t in of[action, rule])
+    accepted = [r for (action, _), r in ratios.items() if action == "allow"]
+    rejected = [x for (action, _), r in ratios.items() if action == "block" for x in r]
+    threshold = max([0.0, *(r[math.ceil(len(r) * (1 - FALSE_BLOCKS)) - 1] for r in accepted)])
+    if not accepted or not rejected or sum(x > threshold for x in rejected) < LEAST_BLOCKS * len(rejected):
+        threshold = math.inf
+    good, bad = models(None)
+    return Fitted(good, bad, hidden, threshold, {rule: sum(x > threshold for x in r) / len(r) for (_, rule), r in ratios.items()})
 
 
 def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, sample: int = SAMPLE) -> DataFrame:
     """page_id, host, path, rule, verdict and ratio (null where a rule decides) of each row of pages.
 
     A null url, or one without "://", has an empty host and path and fits no rule; a null page_id stays null; repeated
-    rows are judged each; an empty table gives no rows; other columns are not read. Models are fitted on at most
-    ``sample`` decided URLs of either kind, those of smallest hash; without both kinds all other URLs are allowed.
+    rows are judged each; an empty table gives no rows; other columns are not read. URLs of any length are judged whole.
+    Models are fitted on at most ``sample`` decided URLs of either kind, those of smallest hash among URLs of up to
+    LONGEST bytes, so that what is collected and broadcast is bounded.
     """
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     host, path = parts(F.col("url"))
     rows = ruled(pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url")).withColumn("host", host).withColumn("path", path), rules)
-    labelled = rows.where("action IS NOT NULL").select("url", "action").distinct()
+    labelled = rows.where(F.col("action").isNotNull() & (F.octet_length("url") <= LONGEST)).select("url", "action", "rule").distinct()
     chosen = [labelled.where(F.col("action") == a).orderBy(F.xxhash64("url"), "url").limit(sample) for a in ("allow", "block")]
-    models = pages.sparkSession.sparkContext.broadcast(fitted([(r.url, r.action) for r in chosen[0].union(chosen[1]).collect()]))
+    sent = pages.sparkSession.sparkContext.broadcast(fitted([tuple(r) for r in chosen[0].union(chosen[1]).collect()], rules))
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        good, bad, threshold = models.value
+        models = sent.value
         for x in batches:
-            actions, texts = x.column("action").to_pylist(), map(model_text, x.column("url").to_pylist())
-            ratio = [bad.mean_log(t) - good.mean_log(t) if a is None else None for t, a in zip(texts, actions, strict=True)]
-            verdict = [a or ("block" if r > threshold else "allow") for a, r in zip(actions, ratio, strict=True)]
+            actions, urls = x.column("action").to_pylist(), x.column("url").to_pylist()
+            ratio = [models.ratio(u) if a is None else None for u, a in zip(urls, actions, strict=True)]
+            verdict = [a or ("block" if r > models.threshold else "allow") for a, r in zip(actions, ratio, strict=True)]
             yield appended(x, ("page_id", "host", "path", "rule"), verdict=pa.array(verdict, pa.string()), ratio=pa.array(ratio, pa.float64()))
 
     return rows.select("page_id", "host", "path", "rule", "action", "url").mapInArrow(judge, "page_id long, host string, path string, rule string, verdict string, ratio double")
