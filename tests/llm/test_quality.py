@@ -1,7 +1,9 @@
 import re
 from collections import Counter
 
-from tidemark.llm.quality import RULES, Document, good_documents, ordered, quality
+import numpy as np
+
+from tidemark.llm.quality import ALL_RULES, good_documents, measured, ordered, quality
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 CLEAN = " ".join(f"some{chr(97 + k % 26)} words{chr(97 + k % 25)} here{chr(97 + k // 26)}" for k in range(80))
@@ -34,8 +36,18 @@ def test_counts_and_verdicts(spark):
     assert quality(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
-def test_order_follows_rejection_per_cost_and_changes_no_verdict():
-    names = ordered([CLEAN + " ### $$$" * 60] * 30 + [CLEAN])
-    assert set(names) == set(RULES) and names[0] == "symbols"
-    docs = [Document(t or "") for t in TEXTS]
-    assert all(any(RULES[n](d) for n in names) == any(rule(d) for rule in RULES.values()) for d in docs)
+def test_order_is_by_rejections_per_cost_among_what_is_left():
+    took = np.array([[1.0, 1.0, 4.0]] * 10)
+    broken = np.zeros((10, 3), dtype=bool)
+    broken[:6, 0] = broken[:5, 1] = broken[5:, 2] = True  # a rejects most; what b rejects a has rejected already
+    assert ordered(["a", "b", "c"], took, broken) == ["a", "c", "b"]
+    assert ordered(["a", "b", "c"], took * [10, 1, 1], broken) == ["b", "c", "a"]
+    assert ordered(["a", "b"], np.empty((0, 2)), np.empty((0, 2), dtype=bool)) == ["a", "b"]
+
+
+def test_sample_is_priced_and_the_order_changes_no_verdict(spark):
+    docs = spark.createDataFrame([(k, CLEAN + " ### $$$" * 60 if k % 3 else CLEAN) for k in range(60)], "doc_id long, text string").repartition(3)
+    took, broken = measured(docs, list(ALL_RULES), False, 1000)
+    assert took.shape == broken.shape == (60, len(ALL_RULES)) and (took >= 0).all() and broken[:, list(ALL_RULES).index("symbols")].sum() == 40
+    assert set(ordered(list(ALL_RULES), took, broken)) == set(ALL_RULES)
+    assert good_documents(docs, 1).count() == good_documents(docs, 1000).count() == 20

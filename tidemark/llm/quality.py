@@ -1,8 +1,10 @@
 """Quality rules as a short-circuit cascade.
 
-A document is rejected by the first rule that it breaks. On a bounded sample each rule's cost (seconds a document) and
-selectivity (share rejected) are measured, and rules run in the order of rejection per cost, so that most rejected
-documents meet few rules. The order changes the work, never the verdict. What the base needs is counted for all.
+A document is rejected by the first rule that it breaks. On a sample by hash over the whole table each rule's cost (seconds
+a document, beyond what is computed for all anyway) and rejections are measured where the documents are; rules are then
+ordered one by one: next is the rule with the most rejections per cost among the sampled documents that all rules ahead of
+it pass. The order changes the work, never the verdict. What the base needs is counted for all where it is returned; where
+only the verdict is wanted, the base's two rules are in the cascade as well.
 """
 
 from __future__ import annotations
@@ -13,14 +15,12 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import appended, text_of
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 SPACES, SYMBOLS = "\t\n\x0b\x0c\r ", "#*$%&|<>"
 #: A letter, for the rule on words: ASCII, or any code point from U+00C0.
 LETTER = re.compile("[A-Za-zÀ-\U0010ffff]")
@@ -84,6 +84,10 @@ class Document:
 
 
 #: Name and test (true: rejected). Whole numbers, so that every engine agrees.
+BASE_RULES: dict[str, Callable[[Document], bool]] = {
+    "too_short": lambda d: d.n_words < 50,
+    "repeated_words": lambda d: 100 * d.n_repeat_words > 50 * d.n_words,
+}
 RULES: dict[str, Callable[[Document], bool]] = {
     "symbols": lambda d: 10 * d.n_symbols > d.n_words,
     "short_words": lambda d: d.word_chars < 3 * d.n_words,
@@ -92,27 +96,71 @@ RULES: dict[str, Callable[[Document], bool]] = {
     "few_letters": lambda d: 10 * d.n_letter_words < 8 * d.n_words,
     "one_word": lambda d: 10 * d.n_top_word > 3 * d.n_words,
 }
+ALL_RULES = BASE_RULES | RULES
+#: Columns that the base counts, in order.
+BASE_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: Documents sampled, about.
+SAMPLE = 1024
+
 
+def counted(d: Document) -> list[int]:
+    return [getattr(d, c) for c in BASE_COUNTS]
 
-def ordered(texts: list[str]) -> list[str]:
-    """The rules' names, by rejection per cost on a sample of texts; of equals the one listed first."""
-    gain = {}
-    for name, rule in RULES.items():
-        docs = [d for d in map(Document, texts) if d.n_words]
-        began = time.perf_counter()
-        rejected = sum(map(rule, docs))
-        gain[name] = (rejected + 1e-3) / (time.perf_counter() - began + 1e-9)
-    return sorted(RULES, key=gain.__getitem__, reverse=True)
 
+def measured(docs: DataFrame, names: list[str], base_known: bool, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Seconds and rejections (documents by rules) over a sample by hash of all rows, about so many.
+
+    Rules are timed where the documents are: only numbers come to the driver, and no more than four times the sample.
+    base_known: the base is counted already, so a rule costs what it needs beyond that.
+    """
 
-def quality(docs: DataFrame, sample: int = 256) -> DataFrame:
+    def price(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            took, broken = [], []
+            for text in x.column("text"):
+                seconds, rejected = [], []
+                for name in names:
+                    d = Document(text.as_py())
+                    if base_known:
+                        counted(d)
+                        if d.base_failed:
+                            break
+                    began = time.perf_counter()
+                    rejected.append(bool(ALL_RULES[name](d)))
+                    seconds.append(time.perf_counter() - began)
+                if len(seconds) == len(names):
+                    took.append(seconds)
+                    broken.append(rejected)
+            yield pa.RecordBatch.from_arrays([pa.array(took, pa.list_(pa.float64())), pa.array(broken, pa.list_(pa.bool_()))], ["took", "broken"])
+
+    n = docs.count()
+    share = (1 << 30) * min(n, sample) // max(n, 1)
+    hashed = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1 << 30))
+    rows = docs.select("doc_id", text_of().alias("text")).where(hashed < share).select("text")
+    found = rows.mapInArrow(price, "took array<double>, broken array<boolean>").limit(4 * sample).collect()
+    return np.array([r.took for r in found], dtype=float).reshape(-1, len(names)), np.array([r.broken for r in found], dtype=bool).reshape(-1, len(names))
+
+
+def ordered(names: list[str], took: np.ndarray, broken: np.ndarray) -> list[str]:
+    """The names by rejections per cost, each among the documents that pass those ahead; of equals the one listed first."""
+    out: list[str] = []
+    left = np.ones(len(took), dtype=bool)
+    while len(out) < len(names):
+        gain = {k: (broken[left, k].sum() + 1e-3) / (took[left, k].sum() + 1e-9) for k, name in enumerate(names) if name not in out}
+        best = max(gain, key=gain.__getitem__)
+        out.append(names[best])
+        left &= ~broken[:, best]
+    return out
+
+
+def quality(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and kept of each row of docs.
 
-    One pass without a shuffle; the sample only sets the order of rules. A null text has no words and fails the base; a
-    null doc_id stays null; repeated rows are judged each; an empty table gives no rows; other columns are not read.
-    Texts of any length are judged whole.
+    Two passes without a shuffle; the first, over the sample, only sets the order of rules. A null text has no words and
+    fails the base; a null doc_id stays null; repeated rows are judged each; an empty table gives no rows; other columns
+    are not read. Texts of any length are judged whole.
     """
-    names = ordered([r[0] for r in docs.select(text_of().alias("text")).limit(sample).collect()])
+    names = ordered(list(RULES), *measured(docs, list(RULES), True, sample))
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = [RULES[n] for n in names]
@@ -121,24 +169,22 @@ def quality(docs: DataFrame, sample: int = 256) -> DataFrame:
             for d in (Document(t.as_py()) for t in x.column("text")):
                 failed = d.base_failed
                 kept = not failed and not any(rule(d) for rule in rules)
-                out.append((d.n_words, d.word_chars, d.n_symbols, d.n_dup_lines, d.n_repeat_words, failed, kept))
-            new = {c: pa.array([r[k] for r in out], pa.int64() if k < 5 else pa.bool_()) for k, c in enumerate(COUNTS)}
+                out.append((*counted(d), failed, kept))
+            new = {c: pa.array([r[k] for r in out], pa.int64() if k < 5 else pa.bool_()) for k, c in enumerate((*BASE_COUNTS, "base_failed", "kept"))}
             yield appended(x, ("doc_id",), **new)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return rows.mapInArrow(judge, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
 
 
-def good_documents(docs: DataFrame, sample: int = 256) -> DataFrame:
-    """The rows of docs that are kept, with the same columns, whatever their names."""
-    from pyspark.sql.functions import pandas_udf
-
-    names = ordered([r[0] for r in docs.select(text_of().alias("text")).limit(sample).collect()])
+def good_documents(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of docs that are kept, with the same columns, whatever their names. Nothing is counted that no rule asks for."""
+    names = ordered(list(ALL_RULES), *measured(docs, list(ALL_RULES), False, sample))
 
-    @pandas_udf("boolean")
-    def kept(texts: pd.Series) -> pd.Series:
-        rules = [RULES[n] for n in names]
-        return pd.Series([not d.base_failed and not any(rule(d) for rule in rules) for d in map(Document, texts)], dtype=bool)
+    @F.arrow_udf("boolean")
+    def kept(texts: pa.Array) -> pa.Array:
+        rules = [ALL_RULES[n] for n in names]
+        return pa.array([not any(rule(d) for rule in rules) for d in (Document(t.as_py()) for t in texts)], pa.bool_())
 
     return docs.where(kept(text_of()))
 
