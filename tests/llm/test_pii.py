@@ -1,8 +1,14 @@
 import hashlib
+import json
 import random
 import re
+import time
+
+import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import pii
+from tidemark.llm import pii_training as training
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -49,6 +55,63 @@ def test_added_spans_and_look_alikes(spark):
     assert [got[k] for k in range(len(found))] == list(found.values())
 
 
+def test_trees_in_spark_are_those_of_the_training(spark):
+    r = random.Random(8)
+    rows = [(k, b, v) for k, (_, v, b, _) in enumerate(training.made(r, 400, 0) + training.made(r, 400, 1))]
+    model = json.loads(pii.MODEL.read_text())
+    trees = model["trees"]
+    df = spark.createDataFrame(rows, "k long, before string, value string").select("k", pii._features(F.col("value"), F.right("before", F.lit(training.CONTEXT))).alias("f"))
+    got = {x.k: x for x in df.select("k", "f", pii._score(F.col("f"), trees).alias("score")).collect()}
+    for k, before, value in rows:
+        assert list(got[k].f) == training.features(value, before[-training.CONTEXT :]), (before, value)
+        assert got[k].score == pytest.approx(training.score(trees, value, before), abs=1e-9)
+
+
+def test_model_is_what_the_training_gives_and_holds_on_formats_it_has_not_seen():
+    model = training.trained()
+    assert model == json.loads(pii.MODEL.read_text())
+    for generator, (precision, recall) in training.tested(model).items():
+        assert precision >= 0.95 and recall >= 0.8, (generator, precision, recall)
+
+
+def chosen(spans):
+    """Of each cluster of overlapping spans (start, end, kind, score) the base's, or the one of the highest score."""
+    out, cluster, reach = [], [], 0
+    for s in [*sorted(spans), None]:
+        if cluster and (s is None or s[0] >= reach):
+            base = [x for x in cluster if x[2] < 4]
+            out += base or [min(cluster, key=lambda x: (-x[3], x))]
+            cluster, reach = [], 0
+        if s:
+            cluster.append(s)
+            reach = max(reach, s[1])
+    return sorted((x[2], x[0], x[1]) for x in out)
+
+
+def test_overlaps_are_settled_by_score(spark):
+    r = random.Random(9)
+    parts = ["555-867-5309", " call ", "token=", "0123456789abcdef0123456789", "jane (at) example.com", "+1 555 010 9999", "x@y.org", "-", "_", " ", "4111111111111111", "tel. 01 23 45 67 89", "\n"]
+    own = ["".join(r.choice(parts) for _ in range(r.randint(1, 25))) for _ in range(400)]
+    rows = pii.scored(spark.createDataFrame(list(enumerate(own)), "k long, text string"))
+    overlapping = 0
+    every = {x.k: [tuple(s) for s in x["all"]] for x in rows.select("k", "all").collect()}
+    for x in pii.found(spark.createDataFrame(list(enumerate(own)), "k long, text string")).select("k", "spans").collect():
+        assert [tuple(s) for s in x.spans] == chosen(every[x.k]), own[x.k]
+        overlapping += len(x.spans) < len(every[x.k])
+    assert overlapping > 20
+
+
+def test_a_text_with_very_many_matches(spark):
+    n = 30_000
+    text = "call " + ", ".join(f"555-{k % 1000:03}-{k % 10_000:04} or +1 555 010 {k % 10_000:04}" for k in range(n))
+    docs = spark.createDataFrame([(1, text, 0)], "doc_id long, text string, n_chars long")
+    began = time.perf_counter()
+    r = pii.personal_data(docs).collect()[0]
+    assert r.n_phone == n and r.spans.startswith(by_hand(text)[2][:1000])
+    assert "+1 555" not in pii.redacted(docs).collect()[0].text
+    assert time.perf_counter() - began < 60
+
+
 def test_redaction(spark):
     rows = [(1, "é😀 write a@b.cc or +1 (555) 010-9999!", 5, "x"), (2, None, 0, "y"), (3, "nothing", 7, "z"), (3, "nothing", 7, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, spans string")
