@@ -46,6 +46,42 @@ def test_mix(spark):
     assert mixing.mix(docs.limit(0)).collect() == []
 
 
+def brute(rows, weights=mixing.WEIGHTS, most=3):
+    """Taken words by source, from (source, size) alone: whole repetitions and, at best, a subset of documents for the rest."""
+    sizes = {}
+    for source, size in rows:
+        sizes[source] = sizes.get(source, 0) + size
+    return filled(sizes, weights, most)
+
+
+@pytest.mark.parametrize("ids", ["unique", "null", "one"])
+def test_mix_comes_near_its_target_whatever_the_ids(spark, ids):
+    rows = [({"unique": k, "null": None, "one": 7}[ids], "same words here", f"s{k % 4}") for k in range(3000)] + [(None, "x y", "s9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    target = brute([(s, len(t.split())) for _, t, s in rows])
+    assert len(got) == 3001 and sorted({r.target for r in got}) == pytest.approx(sorted(set(target.values())))
+    taken = {}
+    for r in got:
+        taken.setdefault((r.source_size, r.target), []).append(r.taken)
+        assert r.taken in {0, r.size, 2 * r.size, 3 * r.size}
+    of = {}
+    for s, t in target.items():
+        of[t] = of.get(t, 0) + t
+    for (_, t), v in taken.items():
+        assert abs(sum(v) - of[t]) <= 3 * of[t] / t, (ids, t, sum(v))  # within a document of each source
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs).collect()))
+    times = sum(r.taken // r.size for r in got)
+    assert abs(mixing.mixed_documents(docs).count() - times) <= 0.05 * times
+
+
+def test_more_sources_than_one_task_orders(spark):
+    rows = [(k, "w " * (k % 13 + 1), f"host{k % 700:03}") for k in range(2100)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)).collect()
+    target = brute([(s, k % 13 + 1) for k, _, s in rows])
+    assert {r.doc_id: r.target for r in got} == pytest.approx({k: target[s] for k, _, s in rows})
+
+
 def test_salted_plans_give_the_same(spark, monkeypatch):
     docs = documents(spark)
     whole = sorted(map(str, mixing.mix(docs).collect()))

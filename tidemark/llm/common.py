@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Folders made for sessions that name none, as in tests.
@@ -20,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir; a temporary one where it is unset and all run on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = "file://" + tempfile.mkdtemp(prefix="tidemark-")
@@ -54,6 +57,22 @@ def deleted(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def ranked(df: DataFrame, by: list[Column], sums: tuple[str, ...] = (), rank: str = "at") -> DataFrame:
+    """df with each row's rank from 0 in the order of by, and for each column of sums the sum over all rows before it, as c_before.
+
+    Rows are dealt out by ranges; only a row of totals for each range is ordered in one place.
+    """
+    each = written(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = each.groupBy("_range").agg(F.count("*").alias("_n"), *(F.sum(c).alias(f"_{c}") for c in sums))
+    starts = totals.select("_range", *(F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in ("n", *sums)))
+    own = Window.partitionBy("_range").orderBy(*by)
+    upto = own.rowsBetween(Window.unboundedPreceding, -1)
+    local = each.select("*", (F.row_number().over(own) - 1).alias("_at"), *(F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(f"_{c}_own") for c in sums))
+    added = [(F.col("_n") + F.col("_at")).alias(rank), *((F.col(f"_{c}") + F.col(f"_{c}_own")).alias(f"{c}_before") for c in sums)]
+    return local.join(F.broadcast(starts), "_range").select(*df.columns, *added)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, with null as the empty string."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
