@@ -32,7 +32,7 @@ PLAIN = f"^(?P<letters>{LETTERS}+)(?P<mark>[.,]?)$"
 #: Parts other words that are encoded together.
 PARTING = "\x01"
 #: Characters of text that are encoded at a time (longer texts are cut at spaces), and words at a time.
-AT_ONCE, WORDS_AT_ONCE = 8_000_000, 2_000
+AT_ONCE, WORDS_AT_ONCE = 4_000_000, 2_000
 
 
 class WordIds:
