@@ -136,9 +136,9 @@ def parsed(rows: DataFrame, value: str = "value") -> DataFrame:
 def with_duplicates(rows: DataFrame, *arrival: str, value: str = "value") -> DataFrame:
     """parsed rows whose outcome is duplicate where a clean event of the same id arrived before, by the columns given.
 
-    One shuffle for all outcomes: rows that are not clean have no id and are dealt by their value's hash.
+    One shuffle for all outcomes: rows that are not clean have no id and are dealt by their arrival, so that equal ones spread.
     """
-    key = F.coalesce(F.col("event.event_id"), F.xxhash64(value).cast("string"))
+    key = F.coalesce(F.col("event.event_id"), F.concat(F.lit("\x00"), F.xxhash64(value, *arrival).cast("string")))
     order = Window.partitionBy("_key").orderBy(F.col("event").isNull(), *arrival)
     numbered = rows.withColumn("_key", key).withColumn("_n", F.row_number().over(order))
     again = (F.col("outcome") == "clean") & (F.col("_n") > 1)

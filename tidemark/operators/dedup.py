@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,10 +16,25 @@ def first_arrivals(events: DataFrame, key: str, *arrival: str) -> DataFrame:
 
 
 def within_window(events: DataFrame, key: str, time_ms: str, window_ms: int, *arrival: str) -> DataFrame:
-    """Rows whose key did not arrive before within window_ms of event time; an older repeat passes as new."""
-    order = Window.partitionBy(key).orderBy(*arrival)
-    last = F.lag(time_ms).over(order)
-    return events.withColumn("_last", last).where(F.col("_last").isNull() | (F.col(time_ms) - F.col("_last") > window_ms)).drop("_last")
+    """Rows whose key was not accepted before, by arrival, or was so more than window_ms of event time ago.
+
+    Only accepted rows count, so that a repeat does not extend the window: which rows are accepted follows from row to row.
+    Each task folds its keys in order and holds no more than the time last accepted, however often a key repeats. Rows
+    without a key or a time are all kept.
+    """
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, accepted = None, 0
+        for x in batches:
+            keep = []
+            for k, t in zip(x.column(key).to_pylist(), x.column(time_ms).to_pylist(), strict=True):
+                fresh = k is None or t is None or k != last_key or t - accepted > window_ms
+                if fresh and k is not None and t is not None:
+                    last_key, accepted = k, t
+                keep.append(fresh)
+            yield x.filter(pa.array(keep, pa.bool_()))
+
+    return events.repartition(key).sortWithinPartitions(key, *arrival).mapInArrow(fold, events.schema)
 
 
 def only_new(batch: DataFrame, table: DataFrame, key: str) -> DataFrame:

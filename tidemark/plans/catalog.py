@@ -101,6 +101,15 @@ def dedup_events(spark, sf_dir):
     return dedup.first_arrivals(e.unionByName(again), "event_id", *ARRIVAL).select("event_id", "arrival_ms")
 
 
+@query(f"{EDITS} SELECT event_id, event_ms FROM e UNION ALL SELECT event_id, event_ms + 6000000 AS event_ms FROM e WHERE seq % 3 = 0")
+def dedup_window(spark, sf_dir):
+    """Each third event again after 50 and 100 minutes: the first repeat is within the hour, the second is not."""
+    e = adapter.edits(spark, sf_dir).select("event_id", "event_ms", "arrival_ms", "seq")
+    later = lambda minutes: e.where("seq % 3 = 0").withColumn("event_ms", F.col("event_ms") + minutes * 60_000).withColumn("arrival_ms", F.col("arrival_ms") + minutes * 60_000)
+    whole = e.unionByName(later(50)).unionByName(later(100))
+    return dedup.within_window(whole, "event_id", "event_ms", 3_600_000, *ARRIVAL).select("event_id", "event_ms")
+
+
 @query(f"{COUNTS} SELECT * FROM m")
 def trending_minutes(spark, sf_dir):
     return _counts(spark, sf_dir)
@@ -202,10 +211,10 @@ def alerts_recent(spark, sf_dir):
     return _flat(dashboard.latest_alerts(_alerts(spark, sf_dir)))
 
 
-@query(f"{WARS} {FLAT} FROM alerts WHERE window_end > TIMESTAMP '2024-01-15 06:00:30' AND window_start <= TIMESTAMP '2024-01-15 12:00:30'")
+@query(f"{WARS} {FLAT} FROM alerts WHERE window_end > TIMESTAMP '2024-01-08 00:00:00' AND window_start <= TIMESTAMP '2024-01-22 12:00:30'")
 def alerts_overlap(spark, sf_dir):
     a = _alerts(spark, sf_dir)
-    return _flat(a.where((F.col("window_end") > dashboard.at(dashboard.since(NOW, MINUTES))) & (F.col("window_start") <= dashboard.at(NOW))))
+    return _flat(a.where((F.col("window_end") > dashboard.at(datetime(2024, 1, 8))) & (F.col("window_start") <= dashboard.at(datetime(2024, 1, 22, 12, 0, 30)))))
 
 
 @query(f"{LATEST} SELECT * FROM p")
@@ -229,9 +238,9 @@ def page_search(spark, sf_dir):
     return pages.search(_latest(spark, sf_dir), " AGE 1")
 
 
-@query(f"{LATEST} SELECT * FROM p WHERE wiki = 'w0' AND title = 'Page 1'")
+@query(f"{LATEST} SELECT * FROM p WHERE wiki = 'w0' AND title = 'Page 0'")
 def page_lookup(spark, sf_dir):
-    return pages.lookup(_latest(spark, sf_dir), "w0", "Page 1")
+    return pages.lookup(_latest(spark, sf_dir), "w0", "Page 0")
 
 
 @query(f"{LATEST} SELECT wiki, count(*) AS pages FROM p GROUP BY wiki ORDER BY pages DESC, wiki LIMIT 8")
@@ -395,6 +404,98 @@ def drain_rates(spark, sf_dir):
     return reports.drain_rates(e.select(F.col("namespace").cast("long").alias("instances"), (F.col("event_ms") / 1000.0).alias("at_s"), (1_000_000 - F.col("seq")).alias("lag")))
 
 
+@query(f"""{EDITS}, n AS (SELECT partition, max(seq) AS end_offset, max(seq) FILTER (seq % 5 = 0) AS committed FROM e GROUP BY partition)
+  SELECT 'g' AS "group", partition, end_offset, committed, end_offset - committed AS lag FROM n""")
+def lag_by_partition(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    ends = e.groupBy("partition").agg(F.max("seq").alias("end_offset"))
+    done = e.where("seq % 5 = 0").groupBy("partition").agg(F.max("seq").alias("committed")).withColumn("group", F.lit("g"))
+    return reports.lag_by_partition(ends, done)
+
+
+@query(f"""{EDITS}, x AS (SELECT event_id, partition FROM e UNION ALL SELECT event_id, 1 - partition FROM e WHERE seq % 30 = 0 UNION ALL SELECT event_id, partition FROM e WHERE seq % 90 = 0),
+  f AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY partition) AS k FROM x)
+  SELECT partition, count(*) AS records, count(*) FILTER (k > 1) AS repeats FROM f GROUP BY partition""")
+def duplicates_by_partition(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir).select("event_id", "partition", "seq")
+    again = e.where("seq % 30 = 0").withColumn("partition", 1 - F.col("partition"))
+    return reports.duplicates_by_partition(e.unionByName(again).unionByName(e.where("seq % 90 = 0")))
+
+
+@query(f"""{EDITS}, s AS (SELECT event_id AS id, seq % 3 <> 0 AS acked, seq FROM e), p AS (SELECT event_id AS id FROM e WHERE seq % 5 <> 0 UNION ALL SELECT 'x' || event_id FROM e WHERE seq % 50 = 1)
+  SELECT count(*) FILTER (acked) AS acked, count(*) FILTER (NOT acked) AS refused, count(*) FILTER (acked AND id NOT IN (SELECT id FROM p)) AS acked_lost,
+  count(*) FILTER (NOT acked AND id IN (SELECT id FROM p)) AS refused_present, (SELECT count(*) FROM p WHERE id NOT IN (SELECT id FROM s)) AS unknown FROM s""")
+def write_outcomes(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir).select(F.col("event_id").alias("id"), "seq")
+    present = e.where("seq % 5 <> 0").select("id").unionByName(e.where("seq % 50 = 1").select(F.concat(F.lit("x"), "id").alias("id")))
+    return reports.write_outcomes(e.withColumn("acked", F.col("seq") % 3 != 0), present)
+
+
+JOINS = "(VALUES ('cooperative', 1704844800.0), ('eager', 1705449600.0)) j(label, \"at\")"
+
+
+@query(f"""{EDITS}, r AS (SELECT "user" AS worker, partition, event_ms / 1000.0 AS at_s FROM e), o AS (
+  SELECT label, partition, arg_max(worker, (at_s, worker)) FILTER (at_s <= "at" - 1) AS owner_before, arg_max(worker, (at_s, worker)) AS owner_after FROM r, {JOINS} WHERE at_s <= "at" + 9 GROUP BY ALL)
+  SELECT * FROM o""")
+def owner_changes(spark, sf_dir):
+    return reports.owner_changes(_received(spark, sf_dir), _joins(spark))
+
+
+def _received(spark, sf_dir):
+    return adapter.edits(spark, sf_dir).select(F.col("user").alias("worker"), "partition", (F.col("event_ms") / 1000.0).alias("at_s"))
+
+
+def _joins(spark):
+    return spark.createDataFrame([("cooperative", 1704844800.0), ("eager", 1705449600.0)], "label string, at double")
+
+
+@query(f"""{EDITS}, r AS (SELECT "user" AS worker, partition, event_ms / 1000.0 AS at_s FROM e), o AS (
+  SELECT label, partition, arg_max(worker, (at_s, worker)) FILTER (at_s <= "at" - 3600) AS b, arg_max(worker, (at_s, worker)) AS a FROM r, {JOINS} WHERE at_s <= "at" + 3600 GROUP BY ALL),
+  p AS (SELECT label, partition, at_s AS t FROM r, {JOINS} WHERE at_s > "at" - 3600 AND at_s < "at" + 3600
+    UNION ALL SELECT label, partition, "at" - 3600 FROM {JOINS}, (SELECT DISTINCT partition FROM r) UNION ALL SELECT label, partition, "at" + 3600 FROM {JOINS}, (SELECT DISTINCT partition FROM r)),
+  g AS (SELECT label, partition, max(gap) AS longest FROM (SELECT label, partition, lead(t) OVER (PARTITION BY label, partition ORDER BY t) - t AS gap FROM p) GROUP BY ALL)
+  SELECT label, count(*) FILTER (b IS DISTINCT FROM a) AS moved, count(*) FILTER (longest >= 600) AS stopped, round(max(longest), 3) AS longest, round(avg(longest), 3) AS mean,
+  round(coalesce(sum(longest) FILTER (longest >= 600), 0), 3) AS lost FROM g LEFT JOIN o USING (label, partition) GROUP BY label""")
+def rebalance_summary(spark, sf_dir):
+    received, joins = _received(spark, sf_dir), _joins(spark)
+    owners = reports.owner_changes(received, joins, 3600, 3600)
+    span = F.concat_ws(":", "label", F.col("partition").cast("string"))
+    partitions = received.select("partition").distinct()
+    spans = joins.crossJoin(partitions).select(span.alias("span"), (F.col("at") - 3600).alias("start"), (F.col("at") + 3600).alias("end"))  # joins by partitions: both few
+    near = received.join(F.broadcast(joins), (F.col("at_s") > F.col("at") - 3600) & (F.col("at_s") < F.col("at") + 3600))
+    gaps = reports.longest_gaps(near.select(span.alias("span"), F.col("at_s").alias("at")), spans, 600)
+    pauses = gaps.select(F.split("span", ":")[0].alias("label"), F.split("span", ":")[1].cast("int").alias("partition"), "longest")
+    out = reports.rebalance_summary(pauses, owners, 600)
+    return out.select("label", "moved", "stopped", *(F.round(c, 3).alias(c) for c in ("longest", "mean", "lost")))
+
+
+TOPICS = """(SELECT 't' || partition AS topic, namespace AS partition, CASE WHEN namespace < 3 THEN namespace % 2 END AS leader, [0, 1, 2] AS replicas,
+  CASE WHEN namespace = 1 THEN [0, 1] ELSE [0, 1, 2] END AS in_sync FROM (SELECT DISTINCT partition, namespace FROM e))"""
+
+
+def _topics(spark, sf_dir):
+    n, each = F.col("namespace"), adapter.edits(spark, sf_dir).select("partition", "namespace").distinct()
+    whole = F.array(F.lit(0), F.lit(1), F.lit(2))
+    return each.select(
+        F.concat(F.lit("t"), F.col("partition").cast("string")).alias("topic"), n.alias("partition"), F.when(n < 3, n % 2).alias("leader"), whole.alias("replicas"), F.when(n == 1, F.slice(whole, 1, 2)).otherwise(whole).alias("in_sync")
+    )
+
+
+@query(f"""{EDITS} SELECT topic, count(*) AS partitions, count(*) FILTER (len(in_sync) < len(replicas)) AS under_replicated, count(*) FILTER (leader IS NULL) AS leaderless FROM {TOPICS} GROUP BY topic""")
+def topic_health(spark, sf_dir):
+    return reports.topic_health(_topics(spark, sf_dir))
+
+
+@query(f"{EDITS} SELECT leader AS broker, count(*) AS leads FROM {TOPICS} WHERE leader >= 0 GROUP BY leader")
+def leaders_by_broker(spark, sf_dir):
+    return reports.leaders_by_broker(_topics(spark, sf_dir))
+
+
+@query(f"{EDITS} SELECT max(event_ms) AS newest_ms, 1706745600000 - max(event_ms) AS age_ms, 1706745600000 - max(event_ms) <= 172800000 AS healthy FROM e")
+def health(spark, sf_dir):
+    return reports.health(adapter.edits(spark, sf_dir), 1_706_745_600_000, 172_800_000)
+
+
 @query(f"{EDITS}, l AS (SELECT namespace AS partition, \"user\" AS worker, seq % 5 <> 0 AS assigned, row_number() OVER (PARTITION BY namespace ORDER BY seq DESC) AS k FROM e) SELECT partition, worker FROM l WHERE k = 1 AND assigned")
 def owned_partitions(spark, sf_dir):
     e = adapter.edits(spark, sf_dir)

@@ -71,13 +71,45 @@ def stored_summary(edits: DataFrame, alerts: DataFrame, now: datetime, minutes:
     return stored.crossJoin(overlapping)  # one row each
 
 
+def minutes_of(now: datetime, minutes: int) -> Column:
+    """The full minutes of the window, as an array."""
+    end = now.replace(second=0, microsecond=0)
+    first = end - timedelta(minutes=clamped(minutes, LEAST_MINUTES, MOST_MINUTES))
+    return F.sequence(at(first), at(end - timedelta(minutes=1)), F.expr("INTERVAL '1' MINUTE"))
+
+
+def series_of(entries: Column, now: datetime, minutes: int) -> Column:
+    """The counts by minute in entries (an array of minute and n, a row for each), zero-filled over the window."""
+    known = F.map_from_entries(entries)
+    return F.transform(minutes_of(now, minutes), lambda m: F.coalesce(F.get(F.transform(F.array(m), lambda k: F.try_element_at(known, k)), F.lit(0)), F.lit(0)).cast("long"))
+
+
 def overview(edits: DataFrame, alerts: DataFrame, now: datetime, minutes: int) -> DataFrame:
-    """The front page in one row, per_minute a zero-filled series."""
-    totals = overview_totals(edits, now, minutes).withColumn("bot_share", share(F.col("bot_edits"), F.col("edits")))
-    series = minute_series(edits, now, minutes).agg(F.sort_array(F.collect_list(F.struct("minute", "edits"))).alias("s"))
-    series = series.select(F.transform("s", lambda x: x["edits"]).alias("per_minute"))
-    rate = last_minute(edits, now).select("edits_per_second")
-    return totals.crossJoin(rate).crossJoin(stored_summary(edits, alerts, now, minutes)).crossJoin(series)  # one row each
+    """The front page in one row, per_minute a zero-filled series.
+
+    One scan of edits counts everything by minute of the window, another the pages in the window, a third feeds alerts.
+    """
+    time = F.col("event_time")
+    inside = (time > at(since(now, minutes))) & (time <= at(now))
+    recent = (time > at(now - timedelta(seconds=60))) & (time <= at(now))
+    by_minute = edits.groupBy(F.when(inside, F.date_trunc("minute", time).cast("timestamp_ntz")).alias("minute")).agg(
+        F.count("*").alias("n"), F.count_if("bot").alias("bots"), F.count_if(recent).alias("recent"), F.max("ingested_at").alias("newest_ingested"), F.max("event_time").alias("newest_event")
+    )
+    known = F.col("minute").isNotNull()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    entries = F.collect_list(F.when(known, F.struct("minute", "n")))  # a row for each minute of the window
+    one = by_minute.agg(
+        total(F.when(known, F.col("n"))).alias("edits"), total(F.when(known, F.col("bots"))).alias("bot_edits"), F.round(total("recent") / 60, 2).alias("edits_per_second"), total("n").alias("rows"),
+        F.max("newest_ingested").alias("newest_ingested"), F.max("newest_event").alias("newest_event"), entries.alias("entries"),
+    )
+    pages = in_window(edits, "event_time", now, minutes).groupBy("wiki").agg(F.count_distinct("title").alias("pages"))
+    pages = pages.agg(F.count("*").alias("wikis"), F.coalesce(F.sum("pages"), F.lit(0)).cast("long").alias("pages"))
+    overlapping = alerts.where((F.col("window_end") > at(since(now, minutes))) & (F.col("window_start") <= at(now))).agg(F.count("*").alias("alerts"))
+    whole = one.crossJoin(pages).crossJoin(overlapping)  # one row each
+    return whole.select(
+        "edits", "bot_edits", "wikis", "pages", share(F.col("bot_edits"), F.col("edits")).alias("bot_share"), "edits_per_second", "rows", "newest_ingested", "newest_event", "alerts",
+        series_of(F.col("entries"), now, minutes).alias("per_minute"),
+    )
 
 
 def top_pages(counts: DataFrame, now: datetime, minutes: int, wiki: str | None = None, limit: int = 20) -> DataFrame:
@@ -96,13 +128,12 @@ def page_minutes(counts: DataFrame, now: datetime, minutes: int, wiki: str | Non
 
 
 def trending(counts: DataFrame, now: datetime, minutes: int, wiki: str | None = None, limit: int = 20) -> DataFrame:
-    """The top pages, each with its zero-filled counts by minute."""
-    top = top_pages(counts, now, minutes, wiki, limit)
-    calendar = minute_calendar(counts.sparkSession, now, minutes)
-    own = in_window(counts, "minute", now, minutes)
-    filled = F.broadcast(top.select("wiki", "title").crossJoin(calendar)).join(own, ["wiki", "title", "minute"], "left")  # 50 pages by 360 minutes at most
-    series = filled.groupBy("wiki", "title").agg(F.sort_array(F.collect_list(F.struct("minute", F.coalesce("edit_count", F.lit(0)).cast("long").alias("n")))).alias("s"))
-    return top.join(series, ["wiki", "title"], "left").select("wiki", "title", "edits", F.transform("s", lambda x: x["n"]).alias("per_minute"))
+    """The top pages, each with its zero-filled counts by minute: two scans, the second only keeps the top pages' minutes."""
+    top = top_pages(counts, now, minutes, wiki, limit)  # 50 pages at most, by 360 minutes
+    own = in_window(counts, "minute", now, minutes).join(F.broadcast(top), ["wiki", "title"])
+    by_minute = own.groupBy("wiki", "title", "edits", "minute").agg(F.sum("edit_count").alias("n"))
+    entries = F.collect_list(F.struct(F.col("minute").cast("timestamp_ntz").alias("minute"), "n"))
+    return by_minute.groupBy("wiki", "title", "edits").agg(entries.alias("entries")).select("wiki", "title", "edits", series_of(F.col("entries"), now, minutes).alias("per_minute"))
 
 
 def top_wikis(edits: DataFrame, now: datetime, minutes: int, limit: int = 20) -> DataFrame:

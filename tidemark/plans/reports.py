@@ -63,6 +63,15 @@ def duplicates(events: DataFrame, key: str = "event_id") -> DataFrame:
     )
 
 
+def duplicates_by_partition(events: DataFrame, key: str = "event_id", partition: str = "partition") -> DataFrame:
+    """records and repeats (records beyond the first of an id in all partitions, by the smallest) of each partition."""
+    each = events.where(F.col(key).isNotNull()).groupBy(key, partition).agg(F.count("*").alias("n"))
+    first = F.min(partition).over(Window.partitionBy(key))
+    return each.withColumn("first", first).groupBy(F.col(partition).alias("partition")).agg(
+        F.sum("n").cast("long").alias("records"), F.sum(F.col("n") - (F.col(partition) == F.col("first")).cast("int")).cast("long").alias("repeats")
+    )
+
+
 def worst_duplicates(events: DataFrame, key: str = "event_id", limit: int = 5) -> DataFrame:
     return events.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("copies")).where("copies > 1").orderBy(F.desc("copies"), key).limit(limit)
 
@@ -165,3 +174,58 @@ def topic_health(partitions: DataFrame) -> DataFrame:
     return partitions.groupBy("topic").agg(
         F.count("*").alias("partitions"), F.count_if(F.size("in_sync") < F.size("replicas")).alias("under_replicated"), F.count_if(F.col("leader").isNull() | (F.col("leader") < 0)).alias("leaderless")
     )
+
+
+def leaders_by_broker(partitions: DataFrame) -> DataFrame:
+    """How many partitions each broker leads."""
+    return partitions.where(F.col("leader") >= 0).groupBy(F.col("leader").alias("broker")).agg(F.count("*").alias("leads"))
+
+
+def owner_changes(received: DataFrame, joins: DataFrame, before_s: float = 1.0, after_s: float = 9.0) -> DataFrame:
+    """For each join (label, at): partition, owner_before and owner_after, the workers that received last up to its window's edges.
+
+    received: worker, partition, at_s. Joins are few and broadcast; the newest record before an edge is a maximum, made in
+    tasks first.
+    """
+    edges = joins.select("label", F.explode(F.array(F.struct(F.lit(0).alias("late"), (F.col("at") - before_s).alias("edge")), F.struct(F.lit(1).alias("late"), (F.col("at") + after_s).alias("edge")))).alias("e"))
+    upto = received.join(F.broadcast(edges), F.col("at_s") <= F.col("e.edge"))
+    owner = lambda late: F.max(F.when(F.col("e.late") == late, F.struct("at_s", "worker")))["worker"]
+    return upto.groupBy("label", "partition").agg(owner(0).alias("owner_before"), owner(1).alias("owner_after"))
+
+
+def rebalance_summary(pauses: DataFrame, owners: DataFrame, stopped_s: float = 0.5) -> DataFrame:
+    """moved, stopped, longest, mean and lost seconds for each label, from pauses (label, partition, longest) and owner_changes."""
+    both = pauses.join(owners, ["label", "partition"], "left")
+    stopped = F.col("longest") >= stopped_s
+    return both.groupBy("label").agg(
+        F.count_if(~F.col("owner_before").eqNullSafe(F.col("owner_after"))).alias("moved"), F.count_if(stopped).alias("stopped"),
+        F.max("longest").alias("longest"), F.avg("longest").alias("mean"), F.coalesce(F.sum(F.when(stopped, F.col("longest"))), F.lit(0.0)).alias("lost"),
+    )
+
+
+def write_outcomes(sent: DataFrame, present: DataFrame) -> DataFrame:
+    """acked, refused, acked_lost, refused_present and unknown: sent (id, acked) against the ids that are present (id).
+
+    Each id counts once; one shuffle of both on the id.
+    """
+    tried = sent.groupBy("id").agg(F.bool_or("acked").alias("acked"))
+    both = tried.join(present.select("id").distinct().withColumn("there", F.lit(True)), "id", "full")
+    acked, refused, there = F.coalesce("acked", F.lit(False)), F.coalesce(~F.col("acked"), F.lit(False)), F.coalesce("there", F.lit(False))
+    return both.agg(
+        F.count_if(acked).alias("acked"), F.count_if(refused).alias("refused"), F.count_if(acked & ~there).alias("acked_lost"),
+        F.count_if(refused & there).alias("refused_present"), F.count_if(F.col("acked").isNull()).alias("unknown"),
+    )
+
+
+def lag_by_partition(ends: DataFrame, committed: DataFrame) -> DataFrame:
+    """group, partition, end_offset, committed (null: never) and lag."""
+    groups = committed.select("group").distinct()
+    each = groups.crossJoin(ends).join(committed, ["group", "partition"], "left")  # groups by partitions: both few
+    return each.select("group", "partition", "end_offset", "committed", F.greatest(F.col("end_offset") - F.coalesce("committed", F.lit(0)), F.lit(0)).alias("lag"))
+
+
+def health(newest: DataFrame, now_ms: int, late_ms: int = 120_000) -> DataFrame:
+    """newest_ms, age_ms and healthy (an event within late_ms) of events (event_ms); without any, not healthy."""
+    one = newest.agg(F.max("event_ms").alias("newest_ms"))
+    age = F.lit(now_ms) - F.col("newest_ms")
+    return one.select("newest_ms", age.alias("age_ms"), F.coalesce(age <= late_ms, F.lit(False)).alias("healthy"))

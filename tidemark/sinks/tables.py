@@ -21,6 +21,10 @@ from ..operators.dedup import only_new
 from ..operators.trending import keep_largest
 
 
+#: Versions of a part beyond which it is made one again.
+MOST_VERSIONS = 32
+
+
 class Table:
     """A keyed table of rows dealt into ``parts`` hash parts of its key."""
 
@@ -45,7 +49,8 @@ class Table:
         out = self.fs.create(new, True)
         out.write(bytearray(json.dumps(state).encode()))
         out.close()
-        self.fs.rename(new, self._path(f"{self.path}/pointers/pointer-{state['batch']:020}.json"))
+        if not self.fs.rename(new, self._path(f"{self.path}/pointers/pointer-{state['batch']:020}.json")):
+            raise OSError(f"the pointer of batch {state['batch']} under {self.path} could not be renamed")
 
     def _part(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.parts)).cast("int")
@@ -53,7 +58,7 @@ class Table:
     def read(self, parts: list[int] | None = None) -> DataFrame:
         """The current rows, of these parts only if given."""
         state = self._pointer()
-        wanted = [f"{self.path}/{v}/part={p}" for p, v in state["parts"].items() if parts is None or int(p) in parts]
+        wanted = [f"{self.path}/{v}/part={p}" for p, versions in state["parts"].items() if parts is None or int(p) in parts for v in versions]
         return self.spark.read.schema(self.schema).parquet(*wanted) if wanted else self.spark.createDataFrame([], self.schema)
 
     def merge(self, batch: DataFrame, batch_id: int, merged: Callable[[DataFrame, DataFrame], DataFrame]) -> bool:
@@ -67,15 +72,69 @@ class Table:
         if touched:
             rows = merged(self.read(touched), batch).withColumn("part", self._part())
             rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/{version}")
-        self._move_pointer({"batch": batch_id, "parts": state["parts"] | {str(p): version for p in touched}})
+        self._move_pointer({"batch": batch_id, "parts": state["parts"] | {str(p): [version] for p in touched}})
+        return True
+
+    def append(self, batch: DataFrame, batch_id: int) -> bool:
+        """Adds the rows of batch whose key (one column) is new, one for each key. False: the batch was there already.
+
+        Only keys are read of the parts that batch has rows in, and only new rows are written.
+        """
+        state = self._pointer()
+        if batch_id <= state["batch"]:
+            return False
+        (key,), version = self.key, f"v{batch_id}"
+        dealt = batch.withColumn("part", self._part())
+        touched = [r.part for r in dealt.select("part").distinct().collect()]  # at most ``parts`` numbers
+        parts = dict(state["parts"])
+        if touched:
+            fresh = only_new(dealt, self.read(touched).select(key), key)
+            fresh.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/{version}")
+            for p in touched:
+                if self.fs.exists(self._path(f"{self.path}/{version}/part={p}")):
+                    parts[str(p)] = [*parts.get(str(p), []), version]
+        self._move_pointer({"batch": batch_id, "parts": parts})
         return True
 
+    def compacted(self, most: int = MOST_VERSIONS) -> int:
+        """Makes each part of more than so many versions one again; returns how many it did. The rows stay the same."""
+        state = self._pointer()
+        crowded = [int(p) for p, versions in state["parts"].items() if len(versions) > most]
+        if crowded:
+            version = f"c{state['batch']}-{uuid.uuid4().hex[:8]}"
+            self.read(crowded).withColumn("part", self._part()).repartition("part").write.partitionBy("part").parquet(f"{self.path}/{version}")
+            pointer = self._path(f"{self.path}/pointers/pointer-{state['batch']:020}.json")
+            self.fs.delete(pointer, False)
+            self._move_pointer(state | {"parts": state["parts"] | {str(p): [version] for p in crowded}})
+        return len(crowded)
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Deletes pointers but the newest ``keep``, and versions that none of these names; returns how many versions went.
+
+        Readers of an older version than that must have ended.
+        """
+        folder = self._path(f"{self.path}/pointers")
+        names = sorted(x.getPath().getName() for x in self.fs.listStatus(folder) if x.getPath().getName().startswith("pointer-")) if self.fs.exists(folder) else []
+        named = set()
+        for n in names[-keep:]:
+            state = json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/pointers/{n}").collect()))
+            named |= {v for versions in state["parts"].values() for v in versions}
+        for n in names[:-keep]:
+            self.fs.delete(self._path(f"{self.path}/pointers/{n}"), False)
+        there = [x.getPath().getName() for x in self.fs.listStatus(self._path(self.path))] if names else []
+        gone = [v for v in there if v != "pointers" and v not in named]
+        for v in gone:
+            self.fs.delete(self._path(f"{self.path}/{v}"), True)
+        return len(gone)
+
 
 def insert_if_absent(table: Table, batch: DataFrame, batch_id: int) -> bool:
     """Adds rows whose key is new; of repeats within the batch, one."""
-    key = table.key[0]
     names = table.read([]).columns
-    return table.merge(batch.select(*names), batch_id, lambda old, new: old.unionByName(only_new(new, old, key)))
+    done = table.append(batch.select(*names), batch_id)
+    if done and table.compacted():
+        table.vacuum()
+    return done
 
 
 def upsert_largest(table: Table, batch: DataFrame, batch_id: int) -> bool:

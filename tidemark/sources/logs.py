@@ -18,6 +18,12 @@ def json_lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(F.length(F.trim("value")) > 0)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows dealt out to all cores where the input has fewer splits, for costly projections over a small input."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows._jdf.queryExecution().toRdd().getNumPartitions() < cores else rows
+
+
 def stream_lines(spark: SparkSession, path: str, files_a_batch: int = 16) -> DataFrame:
     """The same as a stream over files that are added."""
     rows = spark.readStream.format("text").option("maxFilesPerTrigger", files_a_batch).load(path)
@@ -28,6 +34,29 @@ def stream_parquet(spark: SparkSession, path: str, schema: str, files_a_batch: i
     return spark.readStream.format("parquet").schema(schema).option("maxFilesPerTrigger", files_a_batch).load(path)
 
 
+def kafka_scan(spark: SparkSession, servers: str, topic: str, rows: int = SCAN_ROWS, starting: str = "earliest") -> DataFrame:
+    """At most so many rows of a topic, from an offset (JSON by partition, or earliest) up to its present end."""
+    return kafka(spark, servers, topic, False).limit(rows) if starting == "earliest" else kafka_since(spark, servers, topic, starting).limit(rows)
+
+
+def kafka_since(spark: SparkSession, servers: str, topic: str, starting: str) -> DataFrame:
+    """A bounded read from offsets or, as startingOffsetsByTimestamp, a time: the initial state of a replay."""
+    options = KAFKA_READ | {"kafka.bootstrap.servers": servers, "subscribe": topic, "endingOffsets": "latest", "startingOffsets": starting}
+    return spark.read.format("kafka").options(**options).load()
+
+
+def to_kafka(rows: DataFrame, servers: str, topic: str, checkpoint: str):
+    """Writes a stream of key and value by an idempotent producer that waits for all replicas; needs the Kafka connector."""
+    options = KAFKA_WRITE | {"kafka.bootstrap.servers": servers, "topic": topic, "checkpointLocation": checkpoint}
+    return rows.select("key", "value").writeStream.format("kafka").options(**options).start()
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """lines and bad_lines (no JSON objects) of JSON lines (value)."""
+    whole = F.schema_of_variant(F.try_parse_json("value"))
+    return lines.agg(F.count("*").alias("lines"), F.count_if(F.coalesce(~F.startswith(whole, F.lit("OBJECT")), F.lit(True))).alias("bad_lines"))
+
+
 def kafka(spark: SparkSession, servers: str, topic: str, stream: bool = True, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """key, value, topic, partition, offset and timestamp of a topic, committed rows only; needs the Kafka connector."""
     reader = spark.readStream if stream else spark.read
