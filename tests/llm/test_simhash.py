@@ -60,7 +60,7 @@ def test_keys_grow_finer_with_the_number_of_nodes():
     assert [simhash.agreeing(n) for n in (0, 10, 10_000, 235_000, 10**7, 10**10)] == sorted(simhash.agreeing(n) for n in (0, 10, 10_000, 235_000, 10**7, 10**10))
 
 
-@pytest.mark.parametrize("most_members", [2, 6, 4096])
+@pytest.mark.parametrize("most_members", [4, 4096])
 def test_components_against_all_pairs(spark, most_members):
     r = random.Random(7)
     centres = [r.getrandbits(64) for _ in range(8)]

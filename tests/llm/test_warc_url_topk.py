@@ -20,9 +20,11 @@ def test_archives_round_trip(spark, tmp_path):
     got = sorted(map(tuple, warc.through_archives(pages).collect()), key=str)
     first = {"same": 1, "": 2, "é" * 5000: 5, "only": 6}
     expected = []
+    seen = set()
     for p, _, h in PAGES:
         body = (h or "").encode()
-        again = p != first[h or ""]
+        again = p != first[h or ""] or h in seen and p == 6  # of equal rows, one is the response
+        seen.add(h)
         expected.append((p, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "revisit" if again else "response", first[h or ""] if again else None))
     assert got == sorted(expected, key=str)
     assert warc.through_archives(pages.limit(0)).collect() == []
@@ -44,6 +46,61 @@ def test_payloads_pushdown_and_plain_gzip(spark, tmp_path):
     assert [len(r.payload) for r in rows] == [9000]
 
 
+def plain(kind, block, **more):
+    head = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:{kind}>", "Content-Length": len(block)} | more
+    return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+HTTP = {"Content-Type": "application/http;msgtype=response"}
+FOREIGN = [
+    plain("warcinfo", b"software: x\r\n"), plain("resource", b"a file", **{"Content-Type": "text/plain"}), plain("response", b"HTTP/1.1 200 OK\r\n\r\nbody", **HTTP),
+    plain("response", b"HTTP/1.1 200 OK\r\nno blank line", **HTTP), plain("conversion", b"", **{"Content-Type": "text/plain"}), plain("metadata", b"m" * 200_000),
+    plain("response", b"HTTP/1.1 200 OK\r\n\r\nlow").replace(b"Content-Length", b"content-length").replace(b"WARC-Type", b"warc-type") , plain("revisit", b"HTTP/1.1 200 OK\r\n\r\n", **HTTP),
+]
+PAYLOADS = [b"software: x\r\n", b"a file", b"body", b"", b"", b"m" * 200_000, b"HTTP/1.1 200 OK\r\n\r\nlow", None]
+
+
+@pytest.mark.parametrize("name, made", [
+    ("x.warc", b"".join(FOREIGN)), ("x.warc.gz", b"".join(map(gzip.compress, FOREIGN))), ("y.warc.gz", gzip.compress(b"".join(FOREIGN))), ("z.warc.gz", b"".join(map(warc.member, FOREIGN))),
+])
+def test_foreign_archives(tmp_path, name, made):
+    (tmp_path / name).write_bytes(made)
+    path = str(tmp_path / name)
+    kinds = ["warcinfo", "resource", "response", "response", "conversion", "metadata", "response", "revisit"]
+    for payloads in (True, False):
+        got = list(warc.WarcReader(path, payloads).records(path))
+        assert [h["warc-type"] for h, _ in got] == kinds and [p for _, p in got] == (PAYLOADS if payloads else [None] * len(kinds))
+    reader = warc.WarcReader(path, True)
+    assert list(reader.pushFilters([warc.EqualTo(("record_type",), "response")])) == []
+    assert [p for _, p in reader.records(path)] == [PAYLOADS[2], PAYLOADS[3], PAYLOADS[6]]
+
+
+@pytest.mark.parametrize("cut", [1, 30, 150_000])
+def test_archives_that_are_cut_off(tmp_path, cut):
+    body = random.Random(3).randbytes(200_000)
+    whole = [plain("response", b"HTTP/1.1 200 OK\r\n\r\nfirst", **HTTP), plain("response", b"HTTP/1.1 200 OK\r\n\r\n" + body, **HTTP)]
+    for name, made in (("a.warc", b"".join(whole)), ("b.warc.gz", b"".join(map(gzip.compress, whole))), ("c.warc.gz", b"".join(map(warc.member, whole)))):
+        (tmp_path / name).write_bytes(made[:-cut])
+        for payloads in (True, False):
+            got = list(warc.WarcReader(str(tmp_path), payloads).records(str(tmp_path / name)))
+            assert len(got) == 2
+            if payloads:
+                assert got[0][1] == b"first" and got[1][1] == body[: len(got[1][1])] and (cut > 1 or len(got[1][1]) == len(body))
+    (tmp_path / "empty.warc").write_bytes(b"")
+    (tmp_path / "other.warc").write_bytes(b"no archive\r\n\r\n")
+    assert not any(list(warc.WarcReader("", True).records(str(tmp_path / n))) for n in ("empty.warc", "other.warc"))
+
+
+def test_foreign_rows_in_spark(spark, tmp_path):
+    warc.registered(spark)
+    (tmp_path / "x.warc").write_bytes(b"".join(FOREIGN))
+    (tmp_path / "y.warc.gz").write_bytes(b"".join(map(gzip.compress, FOREIGN)))
+    rows = spark.read.format("warc").load(str(tmp_path)).collect()
+    expected = [("warcinfo", 13), ("resource", 6), ("response", 4), ("response", 0), ("conversion", 0), ("metadata", 200_000), ("response", 22), ("revisit", None)]
+    assert Counter((r.record_type, r.payload_length) for r in rows) == Counter(2 * expected)
+    assert {bytes(r.payload) for r in rows if r.record_type == "resource"} == {b"a file"}
+
+
 def test_rows_tell_the_payloads_that_were_written(spark, monkeypatch):
     """Payloads damaged on writing, under headers as they should be, show in length and digest."""
     real = warc.archived

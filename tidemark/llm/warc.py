@@ -3,7 +3,9 @@
 Each record is a gzip member of its own whose header says how long the member is, so a reader can parse a record's headers
 and leap over the rest without inflating it. Reading plans a partition for each file, takes predicates on record_type and
 other headers to where headers are parsed, and inflates a payload only if the record is wanted and payloads are asked
-for. Writing is one file a task, named uniquely, and committed by a manifest, so that what failed attempts leave is never read.
+for. Members without that length, files that are not compressed, header names in any case, all record types and a last
+record that is cut off are read as well; a payload that is not wanted is inflated in pieces and never held. Writing is one
+file a task, named uniquely, and committed by a manifest, so that what failed attempts leave is never read.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ HEADERS = {
 MANIFEST = "_MANIFEST.json"
 #: Bytes inflated at first, in which headers mostly end, and records in a batch handed to Spark.
 HEAD, AT_ONCE = 2048, 128
+#: Bytes read of a member at a time; a member of more bytes than the field can tell is written without it.
+PIECE, MOST_TOLD = 1 << 16, (1 << 32) - 1
 
 
 def file_system(path: str):
@@ -61,8 +65,110 @@ def member(data: bytes, level: int = 6) -> bytes:
     deflate = zlib.compressobj(level, zlib.DEFLATED, -zlib.MAX_WBITS)
     body = deflate.compress(data) + deflate.flush()
     size = 20 + len(body) + 8
-    extra = struct.pack("<H2sHI", 8, b"TM", 4, size)
-    return b"\x1f\x8b\x08\x04" + bytes(6) + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+    tail = body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+    if size > MOST_TOLD:
+        return b"\x1f\x8b\x08\x00" + bytes(6) + tail
+    return b"\x1f\x8b\x08\x04" + bytes(6) + struct.pack("<H2sHI", 8, b"TM", 4, size) + tail
+
+
+def told_length(begun: bytes) -> int | None:
+    """The length of a member as its extra field tells it."""
+    if len(begun) < 12 or not begun[3] & 4:
+        return None
+    at, end = 12, 12 + struct.unpack("<H", begun[10:12])[0]
+    while at + 4 <= min(end, len(begun)):
+        name, size = begun[at : at + 2], struct.unpack("<H", begun[at + 2 : at + 4])[0]
+        if name == b"TM" and size == 4 and at + 8 <= len(begun):
+            return struct.unpack("<I", begun[at + 4 : at + 8])[0]
+        at += 4 + size
+    return None
+
+
+class Stream:
+    """The bytes of the records of a file, inflated piece by piece; ended where the file ends or a member is cut off or broken."""
+
+    def __init__(self, f, size: int):
+        self.f, self.size = f, size
+        self.zipped = f.read(2) == b"\x1f\x8b"
+        self.data, self.ended = b"", False
+        self._member(0)
+
+    def _member(self, at: int) -> None:
+        """Goes to the member (or, of a plain file, the byte) at a place."""
+        self.begun, self.data = at, b""
+        self.inflate = zlib.decompressobj(zlib.MAX_WBITS | 16) if self.zipped else None
+        self.f.seek(at)
+        self.ended = at >= self.size
+        self.told = None
+        if self.zipped and not self.ended:
+            head = self.f.read(HEAD)
+            self.told = told_length(head)
+            self._feed(head)
+
+    def _feed(self, raw: bytes) -> None:
+        if not self.zipped:
+            self.data += raw
+            self.ended = not raw
+            return
+        try:
+            while raw:
+                self.data += self.inflate.decompress(raw)
+                if not self.inflate.eof:
+                    return
+                raw = self.inflate.unused_data
+                if raw[:1] == b"\x00":  # padding
+                    raw = raw.lstrip(b"\x00")
+                if raw or self.f.tell() < self.size:
+                    self.inflate = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        except zlib.error:
+            self.ended = True
+
+    def more(self) -> bool:
+        """Reads on; whether there was anything."""
+        if not self.ended:
+            raw = self.f.read(PIECE)
+            if raw:
+                self._feed(raw)
+            else:
+                self.ended = True
+        return not self.ended
+
+    def upto(self, mark: bytes, most: int = 1 << 24) -> bytes | None:
+        """What comes before the mark, which is taken as well; None if the file ends first or headers have no end."""
+        seen = 0
+        while (at := self.data.find(mark, max(0, seen - len(mark)))) < 0:
+            seen = len(self.data)
+            if seen > most or not self.more():
+                return None
+        found, self.data = self.data[:at], self.data[at + len(mark) :]
+        return found
+
+    def take(self, n: int, keep: bool) -> bytes | None:
+        """The next n bytes, or as many as there are; without keep they are let go as they come."""
+        parts, left = [], n
+        while left:
+            if not self.data and not self.more() and not self.data:
+                break
+            own, self.data = self.data[:left], self.data[left:]
+            left -= len(own)
+            if keep:
+                parts.append(own)
+        return b"".join(parts) if keep else None
+
+    def skip(self, n: int) -> None:
+        """Leaves a record of whose block n bytes are left: leaps over its member if that tells its length."""
+        if self.told is not None:
+            self._member(self.begun + self.told)
+        elif not self.zipped:
+            here = self.f.tell() - len(self.data) + n
+            self._member(min(here, self.size))
+        else:
+            self.take(n, False)
+
+    def follow(self) -> None:
+        """After a block that was read: on to the next member if its place is known."""
+        if self.told is not None:
+            self._member(self.begun + self.told)
 
 
 def record(row: dict) -> bytes:
@@ -156,12 +262,12 @@ class WarcReader(DataSourceReader):
             return [WarcFile(self.path)]
         names = listed(fs, folder)
         if names is None:
-            names = sorted(x.base_name for x in fs.get_file_info(pfs.FileSelector(folder)) if x.base_name.endswith(".warc.gz"))
+            names = sorted(x.base_name for x in fs.get_file_info(pfs.FileSelector(folder)) if x.base_name.endswith((".warc.gz", ".warc")))
         return [WarcFile(f"{self.path.rstrip('/')}/{n}") for n in names]
 
     def _keeps(self, head: dict[str, str]) -> bool:
         for column, kind, values in self.wanted:
-            value = head.get(HEADERS[column])
+            value = head.get(HEADERS[column].lower())
             if value is None or kind in ("EqualTo", "In") and value not in values or kind == "StringStartsWith" and not value.startswith(values[0]):
                 return False
         return True
@@ -175,8 +281,9 @@ class WarcReader(DataSourceReader):
         rows: list[dict] = []
         held = 0
         for head, payload in self.records(partition.path):
-            row = {c: head.get(h) for c, h in HEADERS.items()}
-            row["payload_length"] = int(row["payload_length"]) if row["payload_length"] is not None else None
+            row = {c: head.get(h.lower()) for c, h in HEADERS.items()}
+            told = row["payload_length"]
+            row["payload_length"] = int(told) if told is not None and told.isdigit() else None if payload is None else len(payload)
             rows.append(row | {"payload": payload})
             held += len(payload or b"")
             if len(rows) >= AT_ONCE or held > 16 << 20:
@@ -186,33 +293,37 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     def records(self, path: str) -> Iterator[tuple[dict[str, str], bytes | None]]:
-        """The headers, and the payload if it is asked for, of each wanted record of a file."""
+        """The headers (by lower-case name), and the payload if it is asked for, of each wanted record of a file.
+
+        The payload is what follows the HTTP header of an HTTP message, if it has one, and else the whole block. A record
+        whose headers are cut off ends the file; of a block that is cut off what there is counts.
+        """
         fs, path = file_system(path)
         with fs.open_input_file(path) as f:
-            at, end = 0, f.size()
-            while at < end:
-                f.seek(at)
-                begun = f.read(HEAD)
-                size = struct.unpack("<I", begun[16:20])[0] if begun[3:4] == b"\x04" and begun[12:14] == b"TM" else None
-                inflate = zlib.decompressobj(zlib.MAX_WBITS | 16)
-                data = inflate.decompress(begun)
-                while b"\r\n\r\n" not in data and not inflate.eof and (more := f.read(HEAD)):
-                    data += inflate.decompress(more)
-                head_end = data.index(b"\r\n\r\n")
-                lines = data[:head_end].decode("utf-8", "replace").split("\r\n")[1:]
-                head = dict(x.split(": ", 1) for x in lines if ": " in x)
+            stream = Stream(f, f.size())
+            while (text := stream.upto(b"\r\n\r\n")) is not None:
+                if not text.strip():  # what parts records
+                    continue
+                lines = text.lstrip(b"\r\n").decode("utf-8", "replace").split("\r\n")
+                if not lines[0].startswith("WARC/"):
+                    return
+                head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+                try:
+                    size = max(0, int(head.get("content-length", "0")))
+                except ValueError:
+                    return
                 wanted = self._keeps(head)
-                if size is None or wanted and self.payloads:
-                    while not inflate.eof and (more := f.read(1 << 16)):
-                        data += inflate.decompress(more)
-                    size = f.tell() - at - len(inflate.unused_data) if size is None else size
-                payload = None
-                if wanted and self.payloads and head.get("WARC-Type") == "response":
-                    block = data[head_end + 4 : head_end + 4 + int(head["Content-Length"])]
-                    payload = block[block.index(b"\r\n\r\n") + 4 :] if "application/http" in head.get("Content-Type", "") else block
-                if wanted:
-                    yield head, payload
-                at += size
+                if not (wanted and self.payloads):
+                    if wanted:
+                        yield head, None
+                    stream.skip(size)
+                    continue
+                block = stream.take(size, True)
+                if "application/http" in head.get("content-type", "").lower():
+                    at = block.find(b"\r\n\r\n")
+                    block = block[at + 4 :] if at >= 0 else b""
+                yield head, None if head.get("warc-type") == "revisit" else block
+                stream.follow()
 
 
 class WarcSource(DataSource):
@@ -241,17 +352,18 @@ def registered(spark) -> None:
 def records_of(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """The records to write for pages (page_id, url, html), in the columns of the format, payload_digest as hexadecimal SHA-1.
 
-    Of rows with equal payloads of at least least_bytes, those of the smallest page_id are responses, the others
-    revisits. Only the smallest page_ids of payloads that occur twice are joined: Spark broadcasts them where their
+    Of rows with equal payloads of at least least_bytes, that of the smallest page_id, and of these the first, is a
+    response, the others are revisits. Only the smallest page_ids of payloads that occur twice are joined: Spark broadcasts them where their
     measured size allows, and otherwise splits hot payloads.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("target_uri"), F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload")
     )
-    rows = rows.withColumn("sha1", F.sha1("payload")).withColumn("payload_length", F.octet_length("payload").cast("long"))
-    twice = rows.where(F.col("payload_length") >= least_bytes).groupBy("sha1").agg(F.count("*").alias("n"), F.min("page_id").alias("first")).where("n > 1 AND first IS NOT NULL")
-    joined = rows.join(twice.select("sha1", "first"), "sha1", "left")
-    revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
+    rows = rows.withColumn("sha1", F.sha1("payload")).withColumn("payload_length", F.octet_length("payload").cast("long")).withColumn("row", F.monotonically_increasing_id())
+    least = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "row")))
+    twice = rows.where(F.col("payload_length") >= least_bytes).groupBy("sha1").agg(F.count("*").alias("n"), least.alias("least")).where("n > 1 AND least IS NOT NULL")
+    joined = rows.join(twice.select("sha1", F.col("least.page_id").alias("first"), F.col("least.row").alias("first_row")), "sha1", "left")
+    revisit = F.col("first").isNotNull() & (F.col("first_row") != F.col("row"))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("none")), F.lit(">"))
     return joined.select(
         name("page_id").alias("record_id"), F.when(revisit, "revisit").otherwise("response").alias("record_type"), "target_uri",
@@ -282,8 +394,8 @@ def through_archives(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Writes pages as archives in the shared folder and reads their records back.
 
     page_id, payload_bytes, payload_digest, record_type and refers_to of each row of pages. A null html is the empty
-    payload; a null page_id stays null and is never the smallest, unless all are; rows of the same page_id and payload
-    are records each; an empty table gives no rows; a null url writes no target header; other columns are not read.
+    payload; a null page_id stays null and is never the smallest (where all are null, all are responses); of rows of the
+    same page_id and payload one is a response and the others revisit it; an empty table gives no rows; a null url writes no target header; other columns are not read.
     Length and digest of a response are those of the payload that was read; a revisit has none but its headers'.
     """
     spark = pages.sparkSession
