@@ -113,7 +113,7 @@ class Stream:
         try:
             while raw:
                 self.data += self.inflate.decompress(raw)
-                if not self.inflate.eof:
+                if not self.inflate.eof or self.told is not None:  # a member that tells its length is read alone
                     return
                 raw = self.inflate.unused_data
                 if raw[:1] == b"\x00":  # padding
@@ -126,7 +126,12 @@ class Stream:
     def more(self) -> bool:
         """Reads on; whether there was anything."""
         if not self.ended:
-            raw = self.f.read(PIECE)
+            if self.told is not None and self.inflate.eof:
+                kept = self.data
+                self._member(self.begun + self.told)
+                self.data = kept + self.data
+                return not self.ended
+            raw = self.f.read(PIECE if self.told is None else max(1, min(PIECE, self.begun + self.told - self.f.tell())))
             if raw:
                 self._feed(raw)
             else:
