@@ -151,3 +151,26 @@ def test_delivery_prefix_counts_from_the_first_event(spark, tmp_path):
     rows = [(k, 1, datetime(2024, 1, 1), "view", 1.0) for k in range(101)]
     spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
     assert tuple(catalog.queries()["delivery_prefix"](spark, str(tmp_path)).first()) == ("e76", 77)
+
+
+def test_repeats_do_not_extend_the_window(spark):
+    rows = [("a", m * 60_000, k) for k, m in enumerate([0, 50, 100, 130, 161])] + [("b", 0, 9), ("b", 3_600_000, 10), ("b", 3_600_001, 11), (None, 0, 12), (None, 0, 13)]
+    got = dedup.within_window(spark.createDataFrame(rows, "id string, ms long, seq long").repartition(3), "id", "ms", 3_600_000, "seq").collect()
+    assert sorted(r.seq for r in got) == [0, 2, 4, 9, 11, 12, 13]
+    assert dedup.within_window(spark.createDataFrame([], "id string, ms long, seq long"), "id", "ms", 1, "seq").collect() == []
+
+
+def test_equal_bad_lines_are_dealt_out(spark):
+    from tidemark.operators import clean
+
+    raw = spark.range(4000).selectExpr("'not json' AS value", "id AS seq")
+    out = clean.with_duplicates(clean.parsed(raw), "seq")
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert out.where("outcome = 'rejected'").count() == 4000 and max(sizes) < 2000
+
+
+def test_lateness_does_not_depend_on_the_ranges(spark):
+    rows = [(k % 2, k * 997 % 5000, k, (k * 7919 % 4000) * 1000) for k in range(600)]
+    events = spark.createDataFrame(rows, "partition int, arrived long, seq long, ms long")
+    got = [sorted(map(tuple, trending.with_lateness(events, "partition", ["arrived", "seq"], "ms", 120_000, span).collect())) for span in (1, 700, 10**9)]
+    assert got[0] == got[1] == got[2] and any(r[-1] for r in got[0])

@@ -1,4 +1,7 @@
+import http.server
 import json
+import threading
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -127,3 +130,75 @@ def test_replay(spark):
 def test_json_lines(spark, tmp_path):
     (tmp_path / "x.jsonl").write_text("{}\n\n  \nbad\n")
     assert [r.value for r in logs.json_lines(spark, str(tmp_path)).collect()] == ["{}", "bad"]
+
+
+def test_a_standing_run_counts_and_stops(spark, tmp_path):
+    p = Pipeline(spark, str(tmp_path), "three", 2)
+    put(tmp_path / "three" / "raw", scenario(), "a.jsonl")
+    running = p.run("1 second")
+    until = time.monotonic() + 120
+    seen = {}
+    while time.monotonic() < until and not seen.get("clean"):
+        assert not running.failed()
+        for name, x in running.progress().items():
+            if name.endswith("-clean") and x.get("counters", {}).get("clean", {}).get("lines"):
+                seen = x["counters"]["clean"]
+                seen["clean"] = seen["clean"] or 1
+        time.sleep(0.2)
+    running.stop()
+    assert not any(q.isActive for q in running.queries) and not running.failed()
+    assert seen["lines"] == len(scenario()) and seen["rejected"] == 1
+    p.drain()  # what was left
+    assert p.edits.read().count() == 28
+
+
+class Server(http.server.BaseHTTPRequestHandler):
+    def do_GET(self):
+        first = int(self.headers.get("Last-Event-ID") or 0) + 1
+        self.send_response(200)
+        self.end_headers()
+        for k in range(first, min(first + 5, 21)):
+            self.wfile.write(f"id: {k}\ndata: line {k}\n\n".encode())
+
+    def log_message(self, *args):
+        pass
+
+
+def test_a_feed_runs_as_a_stream(spark, tmp_path):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        sse.registered(spark)
+        feed = spark.readStream.format("sse").option("url", f"http://127.0.0.1:{server.server_port}/").option("events", "4").option("seconds", "2").option("attempts", "2").load()
+        q = feed.writeStream.format("memory").queryName("feed").option("checkpointLocation", str(tmp_path / "c")).start()
+        until = time.monotonic() + 60
+        while time.monotonic() < until and q.isActive and spark.table("feed").count() < 20:
+            time.sleep(0.3)
+        q.stop()
+        assert [r.data for r in spark.table("feed").orderBy(F.col("id").cast("int")).collect()] == [f"line {k}" for k in range(1, 21)]
+    finally:
+        server.shutdown()
+
+
+def test_a_batch_whose_end_is_gone_fails(monkeypatch):
+    reader = sse.FeedReader({"url": "x", "events": "2"}, lambda url, last, timeout: iter([f"id: {int(last or 0) + 1}", "data: d", ""]), lambda s: None)
+    with pytest.raises(OSError, match="gone"):
+        list(reader.readBetweenOffsets({"id": "3"}, {"id": "gone"}))
+
+
+def test_tables_write_what_a_batch_brings(spark, tmp_path):
+    t = tables.Table(spark, str(tmp_path / "t"), "event_id string, n int", ("event_id",), 2)
+    rows = lambda *x: spark.createDataFrame([(f"e{k}", k) for k in x], "event_id string, n int")
+    tables.insert_if_absent(t, rows(*range(500)), 0)
+    for k in range(1, 4):
+        tables.insert_if_absent(t, rows(k, 500 + k), k)
+        assert spark.read.parquet(str(tmp_path / "t" / f"v{k}")).count() == 1
+    assert t.read().count() == 503 and t.compacted(2) >= 1 and t.read().count() == 503
+    assert t.vacuum(1) >= 1 and sorted(r.n for r in t.read().collect()) == list(range(500)) + [501, 502, 503]
+    assert not tables.insert_if_absent(t, rows(900), 3) and tables.insert_if_absent(t, rows(900), 4) and t.read().count() == 504
+    monkey = type("Fs", (), {"__getattr__": lambda self, name: getattr(t_fs, name), "rename": lambda self, a, b: False})()
+    t_fs, t.fs = t.fs, monkey
+    with pytest.raises(OSError, match="renamed"):
+        tables.insert_if_absent(t, rows(901), 5)
+    t.fs = t_fs
+    assert tables.insert_if_absent(t, rows(901), 5) and t.read().count() == 505

@@ -94,10 +94,21 @@ class FeedReader(SimpleDataSourceStreamReader):
         return iter(rows), {"id": last}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        for frame in self._frames(start["id"]) if start != end else ():
+        """A batch that is read again. If the feed no longer holds its end, it fails after ten times a batch's events or seconds."""
+        if start == end:
+            return
+        until = time.monotonic() + 10 * self.seconds
+        for n, frame in enumerate(self._frames(start["id"])):
             yield frame
             if frame[0] == end["id"]:
                 return
+            if n >= 10 * self.most or time.monotonic() > until:
+                raise OSError(f"the feed does not hold the event {end['id']!r} any more, which ends the batch after {start['id']!r}")
+
+
+def registered(spark) -> None:
+    """Makes the format ``sse`` known to the session."""
+    spark.dataSource.register(Feed)
 
 
 class Feed(DataSource):

@@ -6,6 +6,7 @@ idempotent by batch id, so a query that restarts after a crash writes each batch
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,37 @@ PAGES = "wiki string, title string, op string, event_ms long, event_id string, t
 CLEAN_LOG = CLEAN_EVENT + ", batch_id long"
 
 
+class Running:
+    """Standing queries, their counters, and their end."""
+
+    def __init__(self, queries: list[StreamingQuery]):
+        self.queries = queries
+
+    def progress(self) -> dict[str, dict]:
+        """For each query: batch, rows and rows a second of its newest batch, state rows, and counters observed in it."""
+        out = {}
+        for q in self.queries:
+            p = q.lastProgress
+            if p is None:
+                out[q.name] = {}
+                continue
+            counters = {k: r.asDict() for k, r in p.observedMetrics.items()}
+            out[q.name] = {"batch": p.batchId, "rows": p.numInputRows, "rows_per_second": p.processedRowsPerSecond, "state_rows": sum(s.numRowsTotal for s in p.stateOperators), "counters": counters}
+        return out
+
+    def failed(self) -> dict[str, str]:
+        """The queries that ended by a fault, with it."""
+        return {q.name: str(q.exception()) for q in self.queries if not q.isActive and q.exception() is not None}
+
+    def stop(self, seconds: float = 60) -> None:
+        """Waits until no query is within a batch, or for so long, and stops all. A batch that is cut runs again at the next start."""
+        until = time.monotonic() + seconds
+        while time.monotonic() < until and any(q.isActive and (q.status["isTriggerActive"] or q.status["isDataAvailable"]) for q in self.queries):
+            time.sleep(0.05)
+        for q in self.queries:
+            q.stop()
+
+
 class Pipeline:
     """All stages under a base path and a namespace; copies in other namespaces do not meet.
 
@@ -34,6 +66,7 @@ class Pipeline:
 
     def __init__(self, spark: SparkSession, base: str, namespace: str = "main", parts: int = 8, fault: Callable[[str], None] = lambda point: None):
         self.spark, self.base, self.namespace, self.fault = spark, base, namespace, fault
+        self.every: str | None = None  # None: runs end when nothing is left
         root = f"{base.rstrip('/')}/{namespace}"
         self.root = root
         self.edits = tables.Table(spark, f"{root}/edits", STORED, ("event_id",), parts)
@@ -51,7 +84,8 @@ class Pipeline:
             self.fault(f"{name}:after_write")
 
         writer = rows.writeStream.outputMode(mode).option("checkpointLocation", f"{self.root}/_checkpoints/{name}")
-        return writer.foreachBatch(batch).trigger(availableNow=True).queryName(f"{self.namespace}-{name}").start()
+        trigger = {"processingTime": self.every} if self.every else {"availableNow": True}
+        return writer.foreachBatch(batch).trigger(**trigger).queryName(f"{self.namespace}-{name}").start()
 
     def _clean_log(self) -> DataFrame:
         rows = logs.stream_parquet(self.spark, f"{self.path('clean')}/*", CLEAN_EVENT)
@@ -60,6 +94,7 @@ class Pipeline:
     def clean(self) -> StreamingQuery:
         """raw lines to clean events without repeats, and dead letters; a batch is a folder of each, overwritten if it runs again."""
         rows = clean.parsed(logs.stream_lines(self.spark, self.path("raw")).withColumn("arrived", F.current_timestamp()))
+        rows = rows.observe("clean", F.count("*").alias("lines"), *(F.count_if(F.col("outcome") == o).alias(o) for o in ("clean", "rejected", "skipped")))
         keyed = rows.withColumn("event_id", F.coalesce("event.event_id", F.concat(F.lit("\x00"), F.sha2("value", 256), F.uuid())))
 
         def write(df: DataFrame, batch_id: int) -> None:
@@ -96,6 +131,21 @@ class Pipeline:
         """The pages that are not deleted."""
         return self.pages.read().where("op = 'U'").drop("op", "event_ms")
 
+    def stages(self) -> list[StreamingQuery]:
+        """Starts all stages."""
+        return [self.clean(), self.store(), self.trending(), self.wars(), self.page_states()]
+
+    def run(self, every: str = "1 second") -> Running:
+        """All stages as standing queries with a batch so often; ``stop`` of what is returned ends them between batches."""
+        for folder in ("raw", "clean"):
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(folder))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+        self.every = every
+        try:
+            return Running(self.stages())
+        finally:
+            self.every = None
+
     def drain(self) -> None:
         """Runs all stages until nothing is left, the clean stage first."""
         self.clean().awaitTermination()
