@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.common import shared_path
+from tidemark.llm.common import deleted, shared_path
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.packing import best_fit_packing
 from tidemark.llm.pii import redacted
@@ -49,10 +49,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over documents. What stages return is written to the shared folder in between."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage over documents.
+
+    What stages return is written to the shared folder in between, and deleted when the next stage has been written.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = shared_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            deleted(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
