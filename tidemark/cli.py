@@ -1,43 +1,65 @@
-"""``python -m tidemark.cli REPORT --edits PATH [--counts PATH]``: prints a report over stored tables."""
+"""``python -m tidemark.cli REPORT --edits PATH [--counts PATH]``: prints a report over stored tables, or writes one to --to.
+
+snapshot reads a page changelog, replay and record JSON lines, benchmarks a glob of JSON files, each at --edits.
+"""
 
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import trending
 from .plans import dashboard, reports
+from .sinks.tables import backfilled
+from .sources import logs
 
-REPORTS = ("top-pages", "busiest-minutes", "totals", "latency", "duplicates", "per-second", "wikis", "feed")
+REPORTS = ("top-pages", "busiest-minutes", "totals", "latency", "duplicates", "duplicates-by-partition", "worst-duplicates", "partitions", "hot-minutes", "per-second", "wikis", "feed", "snapshot", "backfill")
+FILES = ("benchmarks", "bad-lines", "record")
 
 
-def report(name: str, edits: DataFrame, counts: DataFrame, now: datetime, hours: int = 1, wiki: str | None = None, limit: int = 10) -> DataFrame:
+def report(name: str, edits: DataFrame, counts: DataFrame | None, now: datetime, hours: int = 1, wiki: str | None = None, limit: int = 10) -> DataFrame:
     made = {
         "top-pages": lambda: dashboard.active_pages(counts, now, hours, wiki, limit), "busiest-minutes": lambda: dashboard.busiest_minutes(counts, now, hours, limit),
         "totals": lambda: dashboard.count_totals(counts), "latency": lambda: reports.latency(edits), "duplicates": lambda: reports.duplicates(edits),
         "per-second": lambda: reports.per_second(edits), "wikis": lambda: dashboard.top_wikis(edits, now, 60 * hours, limit), "feed": lambda: dashboard.latest_edits(edits, limit, wiki),
+        "duplicates-by-partition": lambda: reports.duplicates_by_partition(edits), "worst-duplicates": lambda: reports.worst_duplicates(edits, limit=limit), "partitions": lambda: reports.partition_balance(edits),
+        "hot-minutes": lambda: reports.hot_minutes(edits, limit=limit), "snapshot": lambda: reports.changelog_stats(edits), "backfill": lambda: backfilled(edits),
     }
     return made[name]()
 
 
+def file_report(name: str, spark: SparkSession, path: str, limit: int) -> DataFrame:
+    lines = {"benchmarks": lambda: logs.json_results(spark, path)[0], "bad-lines": lambda: logs.bad_lines(logs.json_lines(spark, path)), "record": lambda: logs.json_lines(spark, path).select("value").limit(limit)}
+    return lines[name]()
+
+
 def main(args: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("report", choices=REPORTS)
+    parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    parser.add_argument("report", choices=(*REPORTS, *FILES))
     parser.add_argument("--edits", required=True)
     parser.add_argument("--counts")
+    parser.add_argument("--to", help="a folder that rows are written to, as JSON lines")
     parser.add_argument("--now", type=datetime.fromisoformat)
     parser.add_argument("--hours", type=int, default=1)
     parser.add_argument("--wiki")
     parser.add_argument("--limit", type=int, default=10)
     given = parser.parse_args(args)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    edits = spark.read.parquet(given.edits)
-    if "username" in edits.columns:
-        edits = edits.withColumnRenamed("username", "user")
-    counts = spark.read.parquet(given.counts) if given.counts else trending.minute_counts(edits)
-    report(given.report, edits, counts, given.now or datetime.utcnow(), given.hours, given.wiki, given.limit).show(given.limit, truncate=False)
+    if given.report in FILES:
+        out = file_report(given.report, spark, given.edits, given.limit)
+    else:
+        edits = spark.read.parquet(given.edits)
+        if "username" in edits.columns and given.report != "backfill":
+            edits = edits.withColumnRenamed("username", "user")
+        counts = spark.read.parquet(given.counts) if given.counts else (trending.minute_counts(edits) if given.report in ("top-pages", "busiest-minutes", "totals") else None)
+        now = given.now or datetime.now(timezone.utc).replace(tzinfo=None)
+        out = report(given.report, edits, counts, now, given.hours, given.wiki, given.limit)
+    if given.to:
+        (out.write.text if out.columns == ["value"] else out.write.json)(given.to)
+    else:
+        out.show(given.limit, truncate=False)
 
 
 if __name__ == "__main__":

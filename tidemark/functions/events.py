@@ -140,7 +140,7 @@ def site_url(wiki: Column, title: Column) -> Column:
 
 
 def percent(fraction: Column, digits: int = 0) -> Column:
-    return F.coalesce(F.format_string(f"%.{digits}f%%", fraction * 100), F.lit("n/a"))
+    return F.when(fraction.isNull(), "n/a").otherwise(F.format_string(f"%.{digits}f%%", fraction * 100))
 
 
 def signed_size(change: Column) -> Column:
@@ -154,9 +154,36 @@ def duration(ms: Column) -> Column:
     text = F.format_string("%.1f days", ms / 86_400_000)
     for limit, form, unit in ((86_400_000, "%.1f h", 3_600_000), (3_600_000, "%.0f min", 60_000), (60_000, "%.1f s", 1000), (1000, "%.0f ms", 1)):
         text = F.when(ms < limit, F.format_string(form, (ms / unit).cast("double"))).otherwise(text)
+    return F.when(ms.isNull(), "n/a").otherwise(text)
+
+
+def compact_count(n: Column) -> Column:
+    """A count in full below ten thousand, else in thousands (K), millions (M) and so on to one place."""
+    size = F.abs(n).cast("double")
+    text = F.format_number(F.round(n.cast("double")), 0)
+    for unit, name in ((1e3, "K"), (1e6, "M"), (1e9, "B"), (1e12, "T")):
+        least = 1e4 if unit == 1e3 else 0.99995 * unit  # from there on the smaller unit would round up to 1000
+        short = F.regexp_replace(F.format_string("%.1f", F.round(n / unit, 1).cast("double")), r"\.0$", "")
+        text = F.when(size >= least, F.concat(short, F.lit(name))).otherwise(text)
     return F.coalesce(text, F.lit("n/a"))
 
 
+def rate_text(per_second: Column) -> Column:
+    """A rate to one place, whole from 100 on."""
+    short = F.format_string("%.1f", per_second.cast("double"))
+    return F.when(per_second.isNull(), "n/a").when(per_second >= 100, F.format_number(F.round(per_second), 0)).otherwise(short)
+
+
+def ago(at_ms: Column, now_ms: Column) -> Column:
+    """How long ago a moment was; moments to come and the last 1.5 s are now."""
+    age = F.greatest(now_ms - at_ms, F.lit(0))
+    return F.when(at_ms.isNull(), "never").when(age < 1500, "just now").otherwise(F.concat(duration(age), F.lit(" ago")))
+
+
+def clock(ts: Column) -> Column:
+    return F.coalesce(F.date_format(ts, "HH:mm:ss"), F.lit(""))
+
+
 def group_status(lag: Column, members: Column) -> Column:
     """How a consumer group does: stopped without members, else behind or caught up."""
     return F.when(members.isNull() | (members == 0), "stopped").when(lag > 1, "behind").otherwise("caught up")

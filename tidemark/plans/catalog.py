@@ -8,8 +8,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import charts
+from ..functions import events as fn
 from ..functions.events import from_millis
 from ..operators import clean, dedup, pages, trending, wars
+from ..schema import CLEAN_EVENT
+from ..sources import logs
 from . import adapter, dashboard, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -516,6 +520,93 @@ def page_keys(spark, sf_dir):
     return e.withColumn("first_edit", F.coalesce("first_edit", from_millis(F.col("first_ms"))))
 
 
+@query(f"""{EDITS}, c AS (SELECT event_ms - event_ms % 3600000 AS from_ms, count(*) FILTER (seq % 13 <> 0) AS events, count(*) FILTER (seq % 13 = 0) AS errors FROM e GROUP BY 1),
+  t AS (SELECT *, CAST(sum(events) OVER w AS BIGINT) AS total, CAST(sum(errors) OVER w AS BIGINT) AS bad, (from_ms + 3600000 - min(from_ms) OVER w) / 1000 AS s FROM c WINDOW w AS (ORDER BY from_ms))
+  SELECT from_ms, events, round(events / 3600.0, 6) AS rate, round(total / s, 6) AS mean_rate, total, bad AS errors FROM t""")
+def throughput(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir).select(F.col("event_ms").alias("at_ms"), (F.col("seq") % 13 == 0).alias("failed"))
+    return reports.throughput(e, 3_600_000).withColumn("rate", F.round("rate", 6)).withColumn("mean_rate", F.round("mean_rate", 6))
+
+
+@query(f"""{EDITS}, l AS (SELECT partition, seq // {adapter.PARTITIONS} AS "offset", arrival_ms AS at_ms, event_id FROM e), c AS (SELECT partition, 3 * max("offset") // 4 AS until FROM l GROUP BY 1),
+  a AS (SELECT partition, until, arg_max(at_ms, "offset") - 7200000 AS cutoff FROM l JOIN c USING (partition) WHERE "offset" < until GROUP BY ALL),
+  s AS (SELECT partition, until, greatest(min("offset"), until - 5000) AS start FROM l JOIN a USING (partition) WHERE at_ms >= cutoff GROUP BY partition, until)
+  SELECT l.partition, l."offset", l.at_ms, l.event_id FROM l JOIN s USING (partition) WHERE "offset" >= start AND "offset" < until""")
+def warm_start(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir).select("partition", F.expr(f"seq div {adapter.PARTITIONS}").alias("offset"), F.col("arrival_ms").alias("at_ms"), "event_id")
+    committed = e.groupBy("partition").agg(F.expr("3 * max(offset) div 4").alias("until"))
+    return logs.warm_start(e, committed, 7_200_000, 5000)
+
+
+@query(f"""{EDITS}, f AS (SELECT event_id, event_time FROM e WHERE event_time < TIMESTAMP '2024-01-15 12:00:30' ORDER BY event_time DESC, event_id DESC LIMIT 200),
+  b AS (SELECT event_id FROM e WHERE event_time < TIMESTAMP '2024-01-15 08:00:30' ORDER BY event_time DESC, event_id DESC LIMIT 200)
+  SELECT event_id, event_time FROM f WHERE event_id NOT IN (SELECT event_id FROM b)""")
+def fresh_edits(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    now, earlier = (dashboard.latest_edits(e, 200, before=t) for t in (NOW, NOW.replace(hour=8)))
+    return dashboard.fresh_edits(now.select("event_id", "event_time"), earlier)
+
+
+@query(f"""{EDITS}, d AS (SELECT event_id, event_time, length_new - length_old AS c, greatest(epoch_ms(TIMESTAMP '2024-01-15 12:00:30') - event_ms, 0) AS age, seq * seq AS n, seq / 37.0 AS r FROM e)
+  SELECT event_id, CASE WHEN c IS NULL THEN '' WHEN c = 0 THEN '0' ELSE CASE WHEN c > 0 THEN '+' ELSE '−' END || format('{{:,}}', abs(c)) END AS size, strftime(event_time, '%H:%M:%S') AS clock,
+  strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS iso,
+  CASE WHEN age < 1500 THEN 'just now' WHEN age < 60000 THEN printf('%.1f s ago', round(age / 1000.0, 1)) WHEN age < 3600000 THEN printf('%d min ago', CAST(floor(age / 60000.0 + 0.5) AS BIGINT))
+    WHEN age < 86400000 THEN printf('%.1f h ago', round(age / 3600000.0, 1)) ELSE printf('%.1f days ago', round(age / 86400000.0, 1)) END AS ago,
+  CASE WHEN n < 10000 THEN format('{{:,}}', n) WHEN n < 999950 THEN regexp_replace(printf('%.1f', round(n / 1000.0, 1)), '\\.0$', '') || 'K' WHEN n < 999950000 THEN regexp_replace(printf('%.1f', round(n / 1000000.0, 1)), '\\.0$', '') || 'M'
+    WHEN n < 999950000000 THEN regexp_replace(printf('%.1f', round(n / 1000000000.0, 1)), '\\.0$', '') || 'B' ELSE regexp_replace(printf('%.1f', round(n / 1000000000000.0, 1)), '\\.0$', '') || 'T' END AS n,
+  CASE WHEN r >= 100 THEN format('{{:,}}', CAST(floor(r + 0.5) AS BIGINT)) ELSE printf('%.1f', round(r, 1)) END AS rate FROM d""")
+def feed_display(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    now_ms = fn.millis(F.lit(str(NOW)).cast("timestamp_ntz"))
+    return e.select(
+        "event_id", fn.signed_size(fn.size_change(F.col("length_old"), F.col("length_new"))).alias("size"), fn.clock(F.col("event_time")).alias("clock"), fn.iso(F.col("event_time")).alias("iso"),
+        fn.ago(F.col("event_ms"), now_ms).alias("ago"), fn.compact_count(F.col("seq") * F.col("seq")).alias("n"), fn.rate_text(F.col("seq") / 37.0).alias("rate"),
+    )
+
+
+@query(f"""{EDITS}, c AS (SELECT wiki, title, count(*) AS n FROM e GROUP BY ALL), p AS (SELECT *, pow(10, floor(log10(n / 4.0))) AS m FROM c),
+  s AS (SELECT *, list_min(list_filter([m, 2 * m, 2.5 * m, 5 * m, 10 * m], lambda x: x >= n / 4.0)) AS step FROM p)
+  SELECT wiki, title, list_transform(range(CAST(ceil(n / step) AS BIGINT) + 1), lambda k: round(k * step, 9)) AS ticks FROM s""")
+def chart_ticks(spark, sf_dir):
+    pages_ = adapter.edits(spark, sf_dir).groupBy("wiki", "title").agg(F.count("*").alias("n"))
+    return pages_.select("wiki", "title", charts.nice_ticks(F.col("n")).alias("ticks"))
+
+
+@query(f"""{EDITS} SELECT DISTINCT title, CASE wiki WHEN 'w0' THEN 'https://en.wikipedia.org/wiki/' ELSE 'https://www.wikidata.org/wiki/' END || replace(title, ' ', '_') AS url FROM e""")
+def site_urls(spark, sf_dir):
+    site = F.when(F.col("wiki") == "w0", "enwiki").otherwise("wikidatawiki")
+    return adapter.edits(spark, sf_dir).select("title", fn.site_url(site, F.col("title")).alias("url")).distinct()
+
+
+@query(f"SELECT count(*) AS lines, count(*) FILTER (seq % 50 = 3) AS bad_lines FROM ({adapter.RAW_SQL}) r")
+def bad_lines(spark, sf_dir):
+    return logs.bad_lines(adapter.raw(spark, sf_dir))
+
+
+@query(f"""{EDITS} SELECT wiki || ':' || title AS page, event_id, type, namespace, "user", bot, comment, rev_old, rev_new, length_new, log_type FROM e""")
+def wire_round_trip(spark, sf_dir):
+    names = [c.split()[0] for c in CLEAN_EVENT.split(", ")]
+    e = adapter.edits(spark, sf_dir).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    events, _ = clean.from_wire(clean.to_wire(e.select(*names), fn.page_key(F.col("wiki"), F.col("title"))), CLEAN_EVENT)
+    return events.select(fn.page_key(F.col("wiki"), F.col("title")).alias("page"), "event_id", "type", "namespace", "user", "bot", "comment", "rev_old", "rev_new", "length_new", "log_type")
+
+
+@query(f"""{EDITS}, r AS (SELECT event_id AS id, seq - min(seq) OVER () AS k, count(*) OVER () AS n FROM e), l AS (SELECT unnest([0, 1]) AS loop)
+  SELECT id || '-' || loop AS id, CAST(loop AS INT) AS loop, round((loop * n + k) / 500.0, 6) AS due_s FROM r, l""")
+def replay_schedule(spark, sf_dir):
+    e = adapter.edits(spark, sf_dir)
+    first = e.agg(F.min("seq").alias("_first"))
+    sample = e.crossJoin(F.broadcast(first)).select(F.concat(F.lit("id="), "event_id").alias("value"), F.col("event_id").alias("id"), (F.col("seq") - F.col("_first")).alias("seq"))  # one row
+    return logs.replayed(sample, 2, 500.0, True).where(F.col("value") == F.concat(F.lit("id="), "id")).select("id", "loop", F.round("due_s", 6).alias("due_s"))
+
+
+@query(f"""{EDITS}, g AS (SELECT "user" AS "group", count(*) % 3 AS lag, count(DISTINCT partition) - 1 AS members FROM e GROUP BY 1)
+  SELECT "group", CASE WHEN members = 0 THEN 'stopped' WHEN lag > 1 THEN 'behind' ELSE 'caught up' END AS status FROM g""")
+def group_statuses(spark, sf_dir):
+    g = adapter.edits(spark, sf_dir).groupBy(F.col("user").alias("group")).agg((F.count("*") % 3).alias("lag"), (F.count_distinct("partition") - 1).alias("members"))
+    return g.select("group", fn.group_status(F.col("lag"), F.col("members")).alias("status"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

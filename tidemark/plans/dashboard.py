@@ -189,3 +189,9 @@ def active_pages(counts: DataFrame, now: datetime, hours: int, wiki: str | None
 
 def count_totals(counts: DataFrame) -> DataFrame:
     return counts.agg(F.count("*").alias("rows"), F.coalesce(F.sum("edit_count"), F.lit(0)).cast("long").alias("edits"), F.max("minute").alias("newest_minute"))
+
+
+def fresh_edits(refreshed: DataFrame, before: DataFrame) -> DataFrame:
+    """The rows of a refreshed feed that were not in the one before; none if that had no rows. Feeds are 200 rows at most."""
+    first = before.agg((F.count("*") > 0).alias("_any"))
+    return refreshed.join(before.select("event_id"), "event_id", "left_anti").crossJoin(F.broadcast(first)).where("_any").drop("_any")  # one row

@@ -229,3 +229,16 @@ def health(newest: DataFrame, now_ms: int, late_ms: int = 120_000) -> DataFrame:
     one = newest.agg(F.max("event_ms").alias("newest_ms"))
     age = F.lit(now_ms) - F.col("newest_ms")
     return one.select("newest_ms", age.alias("age_ms"), F.coalesce(age <= late_ms, F.lit(False)).alias("healthy"))
+
+
+def throughput(events: DataFrame, interval_ms: int = 10_000) -> DataFrame:
+    """from_ms, events, rate, mean_rate, total and errors at the end of each interval that has events (at_ms, failed).
+
+    rate is that of the interval, mean_rate that of all time since the first interval; a failed event counts as an error
+    only. Events are counted in tasks first; what is summed in order is a row for each interval.
+    """
+    counts = events.groupBy((F.col("at_ms") - F.pmod("at_ms", F.lit(interval_ms))).alias("from_ms")).agg(F.count_if(~F.col("failed")).alias("events"), F.count_if("failed").alias("errors"))
+    so_far = Window.orderBy("from_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum("events").over(so_far)
+    elapsed = (F.col("from_ms") + interval_ms - F.min("from_ms").over(so_far)) / 1000
+    return counts.select("from_ms", "events", (F.col("events") / (interval_ms / 1000)).alias("rate"), (total / elapsed).alias("mean_rate"), total.alias("total"), F.sum("errors").over(so_far).alias("errors"))

@@ -10,6 +10,8 @@ KAFKA_READ = {"startingOffsets": "earliest", "failOnDataLoss": "true", "kafka.is
 KAFKA_WRITE = {"kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.compression.type": "lz4", "kafka.linger.ms": "20"}
 #: Rows of a micro-batch, and rows of a bounded scan.
 BATCH_ROWS, SCAN_ROWS = 2000, 100_000
+#: Rows of a partition that a state is rebuilt from at most.
+WARM_ROWS = 200_000
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -69,6 +71,49 @@ def jdbc(spark: SparkSession, url: str, table: str, timeout_s: int = 5) -> DataF
     return spark.read.format("jdbc").options(url=url, dbtable=table, queryTimeout=str(timeout_s), fetchsize="10000").load()
 
 
+def _with_own_ids(rows: DataFrame) -> DataFrame:
+    """rows (value, id, loop) whose id, and the first place of it in value, is the id and its loop."""
+    new_id = F.concat("id", F.lit("-"), F.col("loop").cast("string"))
+    at = F.instr("value", F.col("id"))
+    swapped = F.concat(F.substring("value", F.lit(1), at - 1), new_id, F.substring(F.col("value"), at + F.length("id"), F.length("value")))
+    return rows.withColumn("value", F.when(at > 0, swapped).otherwise(F.col("value"))).withColumn("id", new_id)
+
+
+def replay_stream(sample: DataFrame, rate: int, loops: int = 1, unique_ids: bool = False) -> DataFrame:
+    """sample (value, id, seq from 0) as a stream of so many rows a second, over and over: value, id, seq, loop and at.
+
+    Spark's rate source keeps the pace from the start of the run; its k-th tick is the sample's row k modulo the sample's
+    size. A stream-static join brings the payload.
+    """
+    n = sample.count()
+    ticks = sample.sparkSession.readStream.format("rate").option("rowsPerSecond", rate).load().where(F.col("value") < loops * n)
+    ticks = ticks.select((F.col("value") % max(n, 1)).alias("seq"), F.floor(F.col("value") / max(n, 1)).alias("loop"), F.col("timestamp").alias("at"))
+    rows = ticks.join(sample.select("value", "id", F.col("seq").cast("long").alias("seq")), "seq")
+    return (_with_own_ids(rows) if unique_ids else rows).select("value", "id", "seq", "loop", "at")
+
+
+def warm_start(log: DataFrame, committed: DataFrame, window_ms: int, most: int = WARM_ROWS) -> DataFrame:
+    """The rows of a log (partition, offset, at_ms) that rebuild a state of the last window_ms before what was committed.
+
+    committed: partition and until, the next offset to read, a row each. The window ends at the time of the last committed
+    row, not at the clock's; it begins at the first offset of its time or later, but no more than ``most`` offsets before
+    until. Rows from until on never belong to it. Both aggregations give a row a partition, which is broadcast.
+    """
+    upto = log.join(F.broadcast(committed), "partition")
+    anchors = upto.where("offset < until").groupBy("partition", "until").agg((F.max_by("at_ms", "offset") - window_ms).alias("cutoff"))
+    timed = log.join(F.broadcast(anchors), "partition").where(F.col("at_ms") >= F.col("cutoff"))
+    starts = timed.groupBy("partition", "until").agg(F.greatest(F.min("offset"), F.first("until") - most).alias("start"))
+    inside = log.join(F.broadcast(starts), "partition").where((F.col("offset") >= F.col("start")) & (F.col("offset") < F.col("until")))
+    return inside.select(*log.columns)
+
+
+def json_results(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """name and result (JSON text) of each JSON file under a path or glob, and the names of those that cannot be read."""
+    rows = spark.read.option("wholetext", True).text(path).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.json)?$", 1).alias("name"), F.col("value").alias("result"))
+    known = F.try_parse_json("result").isNotNull()
+    return rows.where(known), rows.where(~known).select("name")
+
+
 def replayed(sample: DataFrame, loops: int = 1, rate: float | None = None, unique_ids: bool = False) -> DataFrame:
     """sample (value, meta id in id, seq) over and over: due_s, the second at which each row is due, and loop.
 
@@ -77,11 +122,7 @@ def replayed(sample: DataFrame, loops: int = 1, rate: float | None = None, uniqu
     """
     n = sample.agg(F.count("*").alias("n"))
     rows = sample.withColumn("loop", F.explode(F.sequence(F.lit(0), F.lit(loops - 1)))).crossJoin(F.broadcast(n))  # one row
-    if unique_ids:
-        new_id = F.concat("id", F.lit("-"), F.col("loop").cast("string"))
-        at = F.instr("value", F.col("id"))
-        swapped = F.concat(F.substring("value", F.lit(1), at - 1), new_id, F.substring(F.col("value"), at + F.length("id"), F.length("value")))
-        rows = rows.withColumn("value", F.when(at > 0, swapped).otherwise(F.col("value"))).withColumn("id", new_id)
+    rows = _with_own_ids(rows) if unique_ids else rows
     due = (F.col("loop") * F.col("n") + F.col("seq")) / F.lit(rate) if rate else F.lit(0.0)
     return rows.withColumn("due_s", due.cast("double")).drop("n")
 

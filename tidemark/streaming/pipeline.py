@@ -17,6 +17,7 @@ from ..functions.events import from_millis, is_revert, millis
 from ..operators import clean, pages
 from ..schema import CLEAN_EVENT, DLQ, stream_path
 from ..sinks import tables
+from ..sinks.retry import retried
 from ..sources import logs
 from . import operators
 
@@ -80,7 +81,7 @@ class Pipeline:
     def _start(self, rows: DataFrame, name: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
         def batch(df: DataFrame, batch_id: int) -> None:
             self.fault(f"{name}:before_write")
-            write(df, batch_id)
+            retried(lambda: write(df, batch_id))
             self.fault(f"{name}:after_write")
 
         writer = rows.writeStream.outputMode(mode).option("checkpointLocation", f"{self.root}/_checkpoints/{name}")
