@@ -28,7 +28,7 @@ SIDE_BY_SIDE = 48
 #: Rows of such a layout.
 ROWS = 4096
 #: A worker's memorised words, and the distinct words that a counting task holds, at most.
-MOST_WORDS, MOST_COUNTED = 1_000_000, 250_000
+MOST_WORDS, MOST_COUNTED = 400_000, 250_000
 #: Words from which a task of expected counts goes over what it has read: many of each length side by side.
 MOST_AT_ONCE = 50_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -297,7 +297,7 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
         memo: dict[bytes, tuple[float, float | None, int]] = {}
         end_base, end_score = math.log10(ends + 1) - divisor, float(logp[-1])
 
-        def learn(new: list[bytes]) -> None:
+        def learn(new: list[bytes], memo: dict[bytes, tuple[float, float | None, int]]) -> None:
             likely = own.likelihoods([w.decode("utf-8", "replace") for w in new], logp).tolist()
             for w, score in zip(new, likely, strict=True):
                 c = known_words.get(w)
@@ -312,10 +312,10 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
             for at in range(0, len(texts), 1024):
                 tallies = [Counter(words_of(t)) for t in texts[at : at + 1024]]
                 new = {w for t in tallies for w in t if w not in memo}
-                if len(memo) + len(new) > MOST_WORDS:
-                    memo.clear()
-                    new = {w for t in tallies for w in t}
-                learn(list(new))
+                if len(memo) + len(new) > MOST_WORDS:  # frequent words stay
+                    memo = {w: m for w, m in memo.items() if w in known_words}
+                    new = {w for t in tallies for w in t if w not in memo}
+                learn(list(new), memo)
                 for t in tallies:
                     base, scored, known = end_base, end_score, 1 if ends else 0
                     for w, k in t.items():
