@@ -108,3 +108,30 @@ def test_pivot_table_discards_far_pairs_and_no_link():
 def test_a_long_text_is_hashed_whole():
     text = " ".join(f"w{k % 7919}" for k in range(150_000))
     assert simhash.fingerprint(text) == fingerprint(text)
+
+
+def test_components_of_stars_chains_and_hot_nodes(spark):
+    """Against a plain search; one centre has more links than HOT_LINKS, another is nobody's smallest."""
+    import random
+
+    from tidemark.llm.components import HOT_LINKS, components
+
+    r = random.Random(2)
+    links = [(5000, 6000 + k) for k in range(HOT_LINKS + 50)] + [(9000, k) for k in range(1000, 1000 + 2 * HOT_LINKS)]
+    links += [(20_000 + k, 20_001 + k) for k in range(60)] + [(r.randint(30_000, 30_400), r.randint(30_000, 30_400)) for _ in range(250)]
+    links += [(6007, 20_030), (7, 7), (None, 1), (2, None)] + [(b, a) for a, b in links[:40]]
+    near: dict[int, set[int]] = {}
+    for a, b in links:
+        if a is not None and b is not None and a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    root: dict[int, int] = {}
+    for node in sorted(near):
+        open_ = [node] if node not in root else []
+        while open_:
+            x = open_.pop()
+            if x not in root:
+                root[x] = node
+                open_ += near[x]
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {x.node: x.root for x in got} == {x: y for x, y in root.items() if x != y} and len(got) == len({x.node for x in got})
