@@ -171,3 +171,17 @@ def test_endpoints(spark, tmp_path):
     for path, given in (("nothing", {}), ("page", {"wiki": "enwiki", "title": "None"}), ("pipeline", {})):
         with pytest.raises(LookupError):
             web.plan(path, NOW, **given)
+
+
+def test_command_line_over_a_log_and_files(spark, tmp_path):
+    from tidemark import cli
+
+    rows = [("a", "w", "P", 0, 1000, 1000, 1, "U", True), ("b", "w", "P", 1, 2000, 2000, 2, "D", True), ("a", "w", "Q", 1, 3000, 3000, 3, "U", True)]
+    log = spark.createDataFrame(rows, "event_id string, wiki string, title string, partition int, event_ms long, arrival_ms long, seq long, op string, applied boolean")
+    got = {name: cli.report(name, log, None, NOW).collect() for name in cli.LOG_REPORTS}
+    assert {(r.partition, r.records, r.repeats) for r in got["duplicates-by-partition"]} == {(0, 1, 0), (1, 2, 1)}
+    assert {r.partition: round(r.share, 3) for r in got["partitions"]} == {0: 0.333, 1: 0.667}
+    assert (got["snapshot"][0].live_pages, got["snapshot"][0].removed_pages) == (1, 1) and got["hot-minutes"] == []
+    (tmp_path / "x.json").write_text('{"a": 1}\nx\n')
+    bad = cli.file_report("bad-lines", spark, f"file://{tmp_path}/x.json", 1).first()
+    assert tuple(bad) == (2, 1) and [r.value for r in cli.file_report("record", spark, f"file://{tmp_path}/x.json", 1).collect()] == ['{"a": 1}']

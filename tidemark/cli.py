@@ -15,7 +15,9 @@ from .plans import dashboard, reports
 from .sinks.tables import backfilled
 from .sources import logs
 
-REPORTS = ("top-pages", "busiest-minutes", "totals", "latency", "duplicates", "duplicates-by-partition", "worst-duplicates", "partitions", "hot-minutes", "per-second", "wikis", "feed", "snapshot", "backfill")
+REPORTS = ("top-pages", "busiest-minutes", "totals", "latency", "duplicates", "worst-duplicates", "per-second", "wikis", "feed", "backfill")
+#: These need columns that stored edits do not have: partition and event_ms, or those of a page changelog.
+LOG_REPORTS = ("duplicates-by-partition", "partitions", "hot-minutes", "snapshot")
 FILES = ("benchmarks", "bad-lines", "record")
 
 
@@ -37,7 +39,7 @@ def file_report(name: str, spark: SparkSession, path: str, limit: int) -> DataFr
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("report", choices=(*REPORTS, *FILES))
+    parser.add_argument("report", choices=(*REPORTS, *LOG_REPORTS, *FILES))
     parser.add_argument("--edits", required=True)
     parser.add_argument("--counts")
     parser.add_argument("--to", help="a folder that rows are written to, as JSON lines")
