@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import wars
 from tidemark.sinks import tables
 from tidemark.sources import logs, sse
-from tidemark.streaming import operators
+from tidemark.streaming import operators, stateful
 from tidemark.streaming.pipeline import Pipeline
 
 START = datetime(2026, 10, 1)
@@ -69,20 +69,6 @@ def test_crash_around_a_write_changes_nothing(spark, tmp_path, point):
     assert hit and p.edits.read().count() == 28
 
 
-def test_streamed_wars_match_batch(spark, tmp_path):
-    rows = [(f"e{k:03}", "w", f"P{k % 2}", "AB"[k % 3 % 2], START + timedelta(minutes=k * (1 + 40 * (k % 11 == 0)))) for k in range(60)]
-    schema = "event_id string, wiki string, title string, user string, event_time timestamp"
-    for k in range(3):
-        spark.createDataFrame(sorted(rows, key=lambda r: r[4])[20 * k : 20 * k + 20], schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"{k}"))
-    with_ms = lambda d: d.withColumn("event_ms", F.unix_millis("event_time"))
-    stream = with_ms(logs.stream_parquet(spark, str(tmp_path / "in" / "*"), schema, 1))
-    q = operators.edit_wars(stream, watermark="1 day").writeStream.format("memory").queryName("wars").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).start()
-    q.processAllAvailable()
-    q.stop()
-    batch = wars.edit_wars(with_ms(spark.createDataFrame(rows, schema)))
-    assert {r.alert_id for r in spark.table("wars").collect()} == {r.alert_id for r in batch.collect()} != set()
-
-
 def test_streamed_lateness(spark, tmp_path):
     rows = [(k % 2, k, "w", "t", 60_000 * m) for k, m in enumerate([30, 0, 0, 1, 31, 2, 28, 6])]
     spark.createDataFrame(rows, "partition int, offset long, wiki string, title string, event_ms long").coalesce(1).write.parquet(str(tmp_path / "in" / "0"))
@@ -184,21 +170,3 @@ def test_a_batch_whose_end_is_gone_fails(monkeypatch):
     reader = sse.FeedReader({"url": "x", "events": "2"}, lambda url, last, timeout: iter([f"id: {int(last or 0) + 1}", "data: d", ""]), lambda s: None)
     with pytest.raises(OSError, match="gone"):
         list(reader.readBetweenOffsets({"id": "3"}, {"id": "gone"}))
-
-
-def test_tables_write_what_a_batch_brings(spark, tmp_path):
-    t = tables.Table(spark, str(tmp_path / "t"), "event_id string, n int", ("event_id",), 2)
-    rows = lambda *x: spark.createDataFrame([(f"e{k}", k) for k in x], "event_id string, n int")
-    tables.insert_if_absent(t, rows(*range(500)), 0)
-    for k in range(1, 4):
-        tables.insert_if_absent(t, rows(k, 500 + k), k)
-        assert spark.read.parquet(str(tmp_path / "t" / f"v{k}")).count() == 1
-    assert t.read().count() == 503 and t.compacted(2) >= 1 and t.read().count() == 503
-    assert t.vacuum(1) >= 1 and sorted(r.n for r in t.read().collect()) == list(range(500)) + [501, 502, 503]
-    assert not tables.insert_if_absent(t, rows(900), 3) and tables.insert_if_absent(t, rows(900), 4) and t.read().count() == 504
-    monkey = type("Fs", (), {"__getattr__": lambda self, name: getattr(t_fs, name), "rename": lambda self, a, b: False})()
-    t_fs, t.fs = t.fs, monkey
-    with pytest.raises(OSError, match="renamed"):
-        tables.insert_if_absent(t, rows(901), 5)
-    t.fs = t_fs
-    assert tables.insert_if_absent(t, rows(901), 5) and t.read().count() == 505

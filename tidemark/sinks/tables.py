@@ -1,157 +1,293 @@
-"""Keyed tables as versioned Parquet folders, with writes that can be repeated.
+"""Keyed tables as runs of rows, merged when they are read; writes can be repeated.
 
-A table is a folder of versions and pointer files, the newest of which names the version of each part. A write makes the version that its batch id
-names, then adds a pointer; a batch that runs again after a crash makes the same version once more, and one whose
-version is current already, or older, does nothing. So each batch takes effect once, like rows and offsets that commit
-together. Large tables are partitioned by ``parts`` and only the partitions that a batch touches are written: the
-others stay in the versions that hold them.
+A table is a folder of runs (immutable Parquet), and of pointers, small files of which the newest names the runs that are
+current. A write makes a run of what its batch brings, reduced to a row for each key, and then adds a pointer; nothing that the table
+holds is read or written again, except that an insert looks for its keys (below). A batch that runs again after a crash
+makes its run once more, and one that a pointer has already does nothing: rows and offsets take effect together, once.
+
+* Upserts: every row carries the number of its write (``_seq``); a reader keeps, of a key's rows, the one that the table's order
+  ranks highest, of equals the latest written. A deletion is a row like any other (a tombstone).
+* Levels: ``fanout`` runs of a level are merged into one of the next, so a row is written again once a level, and fewer than
+  that stay of each. A merged run keeps each key's highest row with its ``_seq``, so what changed after any
+  write is found in it as well (``changes``), however late one asks.
+* Inserts: rows whose key is there are left out. Each run of such a table has Bloom filters over its keys, by hash part, and a
+  batch reads the keys of only those runs whose filters may hold one of its own.
+* Cells: a run is a folder for each cell, a span of a time column if the table has one, else a hash part of the key. The
+  pointer has rows and bounds of each, so a reader of a time range lists only folders that meet it.
+* Projections: rows for which a condition holds, kept beside each run and read instead of it.
+
+A table has one writer at a time; readers need no care, as long as they end before ``KEEP`` more writes.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.events import is_revert
-from ..operators.dedup import only_new
-from ..operators.trending import keep_largest
+
+#: Runs of a level that are merged into one; pointers that are kept.
+FANOUT, KEEP = 8, 24
+#: Bits for each key of a filter, and hashes of each key: less than one key in a million is found by mistake.
+BITS, HASHES = 32, 12
+
+
+def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The places of each hash in a filter of so many bits (a power of two), a row for each."""
+    h = hashes.astype(np.uint64)
+    step = (h >> np.uint64(32)) | np.uint64(1)
+    return (h[:, None] + step[:, None] * np.arange(HASHES, dtype=np.uint64)) & np.uint64(bits - 1)
 
 
-#: Versions of a part beyond which it is made one again.
-MOST_VERSIONS = 32
+def _filter_of(hashes: np.ndarray) -> bytes:
+    bits = max(64, 1 << (len(hashes) * BITS - 1).bit_length())
+    found = np.zeros(bits, dtype=bool)
+    found[_places(hashes, bits).ravel()] = True
+    return np.packbits(found, bitorder="little").tobytes()
+
+
+def _may_hold(kept: bytes, hashes: np.ndarray) -> bool:
+    bits = np.frombuffer(kept, dtype=np.uint8)
+    at = _places(hashes, 8 * len(bits))
+    return bool((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).all(axis=1).any())
 
 
 class Table:
-    """A keyed table of rows dealt into ``parts`` hash parts of its key."""
+    """A keyed table.
+
+    order: columns by which the highest row of a key is the current one; none: rows are inserted if their key is absent.
+    slot: a time column and the milliseconds of a cell. projections: conditions by name. fault: called at points of a write,
+    to let tests crash there.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, key: tuple[str, ...], parts: int = 16):
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: tuple[str, ...], parts: int = 16, order: tuple[str, ...] = (), slot: tuple[str, int] | None = None, projections: dict[str, str] | None = None, fanout: int = FANOUT, fault: Callable[[str], None] = lambda point: None):
         self.spark, self.path, self.schema, self.key, self.parts = spark, path.rstrip("/"), schema, key, parts
+        self.order, self.slot, self.projections, self.fanout, self.fault = order, slot, projections or {}, fanout, fault
+        self.columns = [f.name for f in spark.createDataFrame([], schema).schema]
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self.fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _pointer(self) -> dict:
-        """batch (the last one written) and parts (which version holds each): the newest pointer file."""
-        folder = self._path(f"{self.path}/pointers")
-        names = [x.getPath().getName() for x in self.fs.listStatus(folder)] if self.fs.exists(folder) else []
-        found = max((n for n in names if n.startswith("pointer-")), default=None)
-        if found is None:
-            return {"batch": -1, "parts": {}}
-        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/pointers/{found}").collect()))
+    # Pointers
+
+    def _names(self, folder: str) -> list[str]:
+        p = self._path(f"{self.path}/{folder}")
+        return sorted(x.getPath().getName() for x in self.fs.listStatus(p)) if self.fs.exists(p) else []
+
+    def _told(self, name: str) -> dict:
+        file = self.fs.open(self._path(f"{self.path}/pointers/{name}"))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8"))
+        finally:
+            file.close()
+
+    def manifest(self) -> dict:
+        """seq (of the newest write), batches (the last one of each writer) and runs (level, last seq, cells with rows and bounds): the newest pointer."""
+        names = [n for n in self._names("pointers") if n.startswith("pointer-")]
+        return self._told(names[-1]) if names else {"seq": 0, "batches": {}, "runs": {}}
 
     def _move_pointer(self, state: dict) -> None:
-        """Writes a new pointer under another name and renames it: readers see it whole or not at all."""
+        """Adds a pointer: written under another name and renamed, so that readers see it whole or not at all, beside the one before."""
         new = self._path(f"{self.path}/pointers/.next-{uuid.uuid4().hex}")
         out = self.fs.create(new, True)
         out.write(bytearray(json.dumps(state).encode()))
         out.close()
-        if not self.fs.rename(new, self._path(f"{self.path}/pointers/pointer-{state['batch']:020}.json")):
-            raise OSError(f"the pointer of batch {state['batch']} under {self.path} could not be renamed")
-
-    def _part(self) -> Column:
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.parts)).cast("int")
-
-    def read(self, parts: list[int] | None = None) -> DataFrame:
-        """The current rows, of these parts only if given."""
-        state = self._pointer()
-        wanted = [f"{self.path}/{v}/part={p}" for p, versions in state["parts"].items() if parts is None or int(p) in parts for v in versions]
-        return self.spark.read.schema(self.schema).parquet(*wanted) if wanted else self.spark.createDataFrame([], self.schema)
-
-    def merge(self, batch: DataFrame, batch_id: int, merged: Callable[[DataFrame, DataFrame], DataFrame]) -> bool:
-        """Makes merged(current, batch) current, in the parts that batch has rows in. False: the batch was there already."""
-        state = self._pointer()
-        if batch_id <= state["batch"]:
-            return False
-        dealt = batch.withColumn("part", self._part())
-        touched = [r.part for r in dealt.select("part").distinct().collect()]  # at most ``parts`` numbers
-        version = f"v{batch_id}"
-        if touched:
-            rows = merged(self.read(touched), batch).withColumn("part", self._part())
-            rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/{version}")
-        self._move_pointer({"batch": batch_id, "parts": state["parts"] | {str(p): [version] for p in touched}})
-        return True
+        number = 1 + max((int(n[8:28]) for n in self._names("pointers") if n.startswith("pointer-")), default=0)
+        if not self.fs.rename(new, self._path(f"{self.path}/pointers/pointer-{number:020}.json")):
+            raise OSError(f"pointer {number} under {self.path} could not be renamed")
 
-    def append(self, batch: DataFrame, batch_id: int) -> bool:
-        """Adds the rows of batch whose key (one column) is new, one for each key. False: the batch was there already.
+    # Reading
 
-        Only keys are read of the parts that batch has rows in, and only new rows are written.
-        """
-        state = self._pointer()
-        if batch_id <= state["batch"]:
+    def _cells(self, runs: dict, since_ms: int | None, until_ms: int | None, folder: str = "runs") -> list[str]:
+        meets = lambda c: (since_ms is None or c[2] >= since_ms) and (until_ms is None or c[1] < until_ms)
+        has = lambda c: folder == "runs" or folder.removeprefix("only-") in c[3]
+        return [f"{self.path}/{folder}/{run}/cell={cell}" for run, r in runs.items() for cell, c in r["cells"].items() if meets(c) and has(c)]
+
+    def _rows(self, paths: list[str]) -> DataFrame:
+        schema = f"{self.schema}, _seq long"
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def _merged(self, rows: DataFrame) -> DataFrame:
+        """The highest row of each key, with its _seq; insert-only rows are as they should be."""
+        if not self.order:
+            return rows
+        best = F.max_by(F.struct(*self.columns, "_seq"), F.struct(*self.order, "_seq"))
+        return rows.groupBy(*self.key).agg(best.alias("s")).select("s.*")
+
+    def read(self, since_ms: int | None = None, until_ms: int | None = None, projection: str | None = None) -> DataFrame:
+        """The current rows, or those of a time range [since, until) of the slot's column, or of a projection."""
+        if (since_ms, until_ms) != (None, None) and self.order:
+            raise ValueError("the rows of a key may have several times; only insert-only tables are read by range")
+        runs = self.manifest()["runs"]
+        rows = self._rows(self._cells(runs, since_ms, until_ms, f"only-{projection}" if projection else "runs"))
+        if since_ms is not None:
+            rows = rows.where(self._time() >= since_ms)
+        if until_ms is not None:
+            rows = rows.where(self._time() < until_ms)
+        return self._merged(rows).select(*self.columns)
+
+    def changes(self, after: int, upto: int | None = None) -> DataFrame:
+        """The rows that writes after and up to these numbers made, with ``_seq``: of a key that changed again, the latest only."""
+        runs = {k: r for k, r in self.manifest()["runs"].items() if r["seq"] > after}
+        rows = self._rows(self._cells(runs, None, None)).where(F.col("_seq") > after)
+        rows = rows.where(F.col("_seq") <= upto) if upto is not None else rows
+        return self._merged(rows)
+
+    # Writing
+
+    def _time(self) -> Column:
+        return F.unix_millis(F.col(self.slot[0]).cast("timestamp"))
+
+    def _hash(self) -> Column:
+        return F.xxhash64(*self.key)
+
+    def _cell(self) -> Column:
+        if self.slot:
+            return F.coalesce(F.floor(self._time() / self.slot[1]), F.lit(0)).cast("long")
+        return F.pmod(self._hash(), F.lit(self.parts)).cast("long")
+
+    def _write_run(self, rows: DataFrame, run: str, level: int) -> dict:
+        """Writes rows (with _seq) as a run, with its projections and filters; returns what the pointer tells of it."""
+        path = f"{self.path}/runs/{run}"
+        dealt = rows.select(*self.columns, "_seq").withColumn("cell", self._cell())
+        dealt.repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(path)
+        kept = self.spark.read.schema(f"{self.schema}, _seq long, cell long").parquet(path)
+        time = self._time() if self.slot else F.lit(0)
+        only = F.array_compact(F.array(*(F.when(F.max(F.expr(f"coalesce({c}, false)")), F.lit(name)) for name, c in self.projections.items()))) if self.projections else F.expr("cast(array() as array<string>)")
+        found = kept.groupBy("cell").agg(F.count("*").alias("n"), F.coalesce(F.min(time), F.lit(0)).alias("low"), F.coalesce(F.max(time), F.lit(0)).alias("high"), F.max("_seq").alias("seq"), only.alias("only")).collect()
+        for name, condition in self.projections.items():
+            kept.where(condition).repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/only-{name}/{run}")
+        if not self.order:
+            self._write_filters(kept, run)
+        return {"level": level, "seq": max((r.seq for r in found), default=0), "cells": {str(r.cell): [r.n, r.low, r.high, list(r.only)] for r in found}}
+
+    def _write_filters(self, rows: DataFrame, run: str) -> None:
+        def made(batch: pa.Table) -> pa.Table:
+            bits = _filter_of(batch.column("h").to_numpy().view(np.uint64))
+            return pa.table({"run": pa.array([run]), "part": batch.column("part").slice(0, 1).combine_chunks(), "bits": pa.array([bits], pa.binary())})
+
+        hashes = rows.select(self._hash().alias("h")).withColumn("part", F.pmod("h", F.lit(self.parts)).cast("int"))
+        hashes.groupBy("part").applyInArrow(made, "run string, part int, bits binary").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/filters/{run}")
+
+    def _may_overlap(self, batch: DataFrame, runs: list[str]) -> list[str]:
+        """The runs whose filters may hold a key of batch. Filters meet the batch's hashes by part; only names of runs come back."""
+        if not runs:
+            return []
+
+        def hit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for x in batches:
+                found = {run.as_py() for run, bits, hashes in zip(x.column("run"), x.column("bits"), x.column("hashes"), strict=True) if _may_hold(bits.as_py(), hashes.values.to_numpy().view(np.uint64))}
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["run"])
+
+        filters = self.spark.read.schema("run string, part int, bits binary").parquet(*(f"{self.path}/filters/{r}" for r in runs))
+        hashes = batch.select(self._hash().alias("h")).withColumn("part", F.pmod("h", F.lit(self.parts)).cast("int")).groupBy("part").agg(F.collect_set("h").alias("hashes"))
+        return sorted(r.run for r in filters.join(hashes, "part").select("run", "bits", "hashes").mapInArrow(hit, "run string").distinct().collect())
+
+    def write(self, batch: DataFrame, batch_id: int | None, writer: str = "main") -> bool:
+        """Takes in a batch; False if this writer's batch of that number, or a later one, is there already. Without a number it is always taken in."""
+        state = self.manifest()
+        if batch_id is not None and batch_id <= state["batches"].get(writer, -1):
             return False
-        (key,), version = self.key, f"v{batch_id}"
-        dealt = batch.withColumn("part", self._part())
-        touched = [r.part for r in dealt.select("part").distinct().collect()]  # at most ``parts`` numbers
-        parts = dict(state["parts"])
-        if touched:
-            fresh = only_new(dealt, self.read(touched).select(key), key)
-            fresh.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/{version}")
-            for p in touched:
-                if self.fs.exists(self._path(f"{self.path}/{version}/part={p}")):
-                    parts[str(p)] = [*parts.get(str(p), []), version]
-        self._move_pointer({"batch": batch_id, "parts": parts})
+        seq = state["seq"] + 1
+        rows = batch.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long"))
+        self.last_read: list[str] = []
+        if self.order:
+            rows = self._merged(rows)
+        else:
+            rows = rows.dropDuplicates(list(self.key))
+            self.last_read = self._may_overlap(rows, list(state["runs"]))
+            if self.last_read:
+                stored = self._rows(self._cells({r: state["runs"][r] for r in self.last_read}, None, None)).select(*self.key)
+                rows = rows.join(stored, list(self.key), "left_anti")
+        run = f"{writer}-{batch_id if batch_id is not None else uuid.uuid4().hex[:12]}"
+        self.fault("before_run")
+        told = self._write_run(rows, run, 0)
+        self.fault("before_pointer")
+        runs = state["runs"] | ({run: told} if told["cells"] else {})
+        batches = state["batches"] | ({writer: batch_id} if batch_id is not None else {})
+        self._move_pointer({"seq": seq, "batches": batches, "runs": runs})
+        self.fault("after_pointer")
+        if self.compacted():
+            self.vacuum()
         return True
 
-    def compacted(self, most: int = MOST_VERSIONS) -> int:
-        """Makes each part of more than so many versions one again; returns how many it did. The rows stay the same."""
-        state = self._pointer()
-        crowded = [int(p) for p, versions in state["parts"].items() if len(versions) > most]
-        if crowded:
-            version = f"c{state['batch']}-{uuid.uuid4().hex[:8]}"
-            self.read(crowded).withColumn("part", self._part()).repartition("part").write.partitionBy("part").parquet(f"{self.path}/{version}")
-            pointer = self._path(f"{self.path}/pointers/pointer-{state['batch']:020}.json")
-            self.fs.delete(pointer, False)
-            self._move_pointer(state | {"parts": state["parts"] | {str(p): [version] for p in crowded}})
-        return len(crowded)
-
-    def vacuum(self, keep: int = 2) -> int:
-        """Deletes pointers but the newest ``keep``, and versions that none of these names; returns how many versions went.
-
-        Readers of an older version than that must have ended.
-        """
-        folder = self._path(f"{self.path}/pointers")
-        names = sorted(x.getPath().getName() for x in self.fs.listStatus(folder) if x.getPath().getName().startswith("pointer-")) if self.fs.exists(folder) else []
-        named = set()
-        for n in names[-keep:]:
-            state = json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/pointers/{n}").collect()))
-            named |= {v for versions in state["parts"].values() for v in versions}
+    def compacted(self, most: int | None = None) -> int:
+        """Merges the runs of each level that has so many into one of the next; returns how many levels. The rows stay the same."""
+        done, most = 0, most or self.fanout
+        while True:
+            state = self.manifest()
+            levels = sorted({r["level"] for r in state["runs"].values()})
+            full = next((level for level in levels if sum(r["level"] == level for r in state["runs"].values()) >= most), None)
+            if full is None:
+                return done
+            old = {k: r for k, r in state["runs"].items() if r["level"] == full}
+            run = f"level{full + 1}-{state['seq']}-{uuid.uuid4().hex[:8]}"
+            told = self._write_run(self._merged(self._rows(self._cells(old, None, None))), run, full + 1)
+            self.fault("before_swap")
+            self._move_pointer(state | {"runs": {k: r for k, r in state["runs"].items() if k not in old} | {run: told}})
+            self.fault("after_swap")
+            done += 1
+
+    def vacuum(self, keep: int = KEEP) -> int:
+        """Deletes pointers but the newest ``keep``, and runs that none of these names; returns how many runs went."""
+        names = [n for n in self._names("pointers") if n.startswith("pointer-")]
+        named = {r for n in names[-keep:] for r in self._told(n)["runs"]}
         for n in names[:-keep]:
             self.fs.delete(self._path(f"{self.path}/pointers/{n}"), False)
-        there = [x.getPath().getName() for x in self.fs.listStatus(self._path(self.path))] if names else []
-        gone = [v for v in there if v != "pointers" and v not in named]
-        for v in gone:
-            self.fs.delete(self._path(f"{self.path}/{v}"), True)
+        gone = [r for r in self._names("runs") if r not in named]
+        for r in gone:
+            for folder in ("filters", *(f"only-{p}" for p in self.projections), "runs"):
+                self.fs.delete(self._path(f"{self.path}/{folder}/{r}"), True)
         return len(gone)
 
+    # Following
 
-def insert_if_absent(table: Table, batch: DataFrame, batch_id: int) -> bool:
-    """Adds rows whose key is new; of repeats within the batch, one."""
-    names = table.read([]).columns
-    done = table.append(batch.select(*names), batch_id)
-    if done and table.compacted():
-        table.vacuum()
-    return done
+    def followed(self, name: str) -> int:
+        """The number of the last write that a follower has applied."""
+        done = [n for n in self._names(f"followers/{name}") if n.isdigit()]
+        return int(done[-1]) if done else 0
 
+    def follow(self, name: str, apply: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
+        """A stream that hands what changed to apply, with the number that it reaches to: at first all rows, then what came since.
+
+        The pointers are its source. Changes are counted from what this follower has applied, so one that starts late, or comes
+        back when runs were merged and pointers deleted, misses nothing; after a crash it may get the same changes again,
+        so apply keeps the latest of a key, as another Table does.
+        """
 
-def upsert_largest(table: Table, batch: DataFrame, batch_id: int) -> bool:
-    """Keeps the larger count of each page and minute."""
-    cast = lambda d: d.withColumn("edit_count", F.col("edit_count").cast("int"))
-    return table.merge(cast(batch), batch_id, lambda old, new: cast(keep_largest(old, new)))
+        def step(df: DataFrame, batch_id: int) -> None:
+            after, upto = self.followed(name), self.manifest()["seq"]
+            if upto > after:
+                apply(self.changes(after, upto), upto)
+                self.fs.create(self._path(f"{self.path}/followers/{name}/{upto:020}"), True).close()
+                for n in self._names(f"followers/{name}")[:-1]:
+                    self.fs.delete(self._path(f"{self.path}/followers/{name}/{n}"), False)
+
+        pointers = self.spark.readStream.format("text").option("ignoreMissingFiles", "true").load(f"{self.path}/pointers")
+        trigger = {"processingTime": every} if every else {"availableNow": True}
+        return pointers.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger).queryName(f"follow-{name}-{uuid.uuid4().hex[:6]}").start()
+
+
+def insert_if_absent(table: Table, batch: DataFrame, batch_id: int | None, writer: str = "main") -> bool:
+    """Adds rows whose key is new; of repeats within the batch, one."""
+    return table.write(batch, batch_id, writer)
 
 
-def upsert_latest(table: Table, batch: DataFrame, batch_id: int) -> bool:
-    """Keeps the row of latest event_ms, of equals the batch's; rows whose op is D stay as tombstones."""
+def upsert_largest(table: Table, batch: DataFrame, batch_id: int | None, writer: str = "main") -> bool:
+    """Keeps the larger count of each page and minute (a table ordered by edit_count)."""
+    return table.write(batch.withColumn("edit_count", F.col("edit_count").cast("int")), batch_id, writer)
 
-    def newest(old: DataFrame, new: DataFrame) -> DataFrame:
-        both = old.withColumn("_new", F.lit(0)).unionByName(new.select(*old.columns).withColumn("_new", F.lit(1)))
-        kept = both.groupBy(*table.key).agg(F.max_by(F.struct(*old.columns), F.struct("event_ms", "_new")).alias("s"))
-        return kept.select("s.*")
 
-    return table.merge(batch, batch_id, newest)
+def upsert_latest(table: Table, batch: DataFrame, batch_id: int | None, writer: str = "main") -> bool:
+    """Keeps the row of latest event_ms (a table ordered by it), of equals the one written last; rows whose op is D stay as tombstones."""
+    return table.write(batch, batch_id, writer)
 
 
 def backfilled(edits: DataFrame) -> DataFrame:

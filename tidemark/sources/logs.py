@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,29 @@ def stream_lines(spark: SparkSession, path: str, files_a_batch: int = 16) -> Dat
     return rows.where(F.length(F.trim("value")) > 0)
 
 
+def stream_numbered_lines(spark: SparkSession, path: str, files_a_batch: int = 16) -> DataFrame:
+    """The same with arrived_ms, when the file was last modified, and line, a number that rises along each file.
+
+    A task reads splits one after the other, and a split's lines in order. A line's number is the place of its split in the file
+    plus its place in the split, which is less than the split has bytes; so numbers rise over splits as well.
+    """
+
+    def numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, at = None, 0
+        for x in batches:
+            lines = []
+            for file, start in zip(x.column("file").to_pylist(), x.column("start").to_pylist(), strict=True):
+                at = at + 1 if split == (file, start) else 0
+                split = (file, start)
+                lines.append(start + at)
+            yield pa.RecordBatch.from_arrays([x.column("value"), x.column("arrived_ms"), pa.array(lines, pa.int64())], ["value", "arrived_ms", "line"])
+
+    rows = spark.readStream.format("text").option("maxFilesPerTrigger", files_a_batch).load(path)
+    rows = rows.select("value", F.unix_millis("_metadata.file_modification_time").alias("arrived_ms"), F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    rows = rows.mapInArrow(numbered, "value string, arrived_ms long, line long")
+    return rows.where(F.length(F.trim("value")) > 0)
+
+
 def stream_parquet(spark: SparkSession, path: str, schema: str, files_a_batch: int = 16) -> DataFrame:
     return spark.readStream.format("parquet").schema(schema).option("maxFilesPerTrigger", files_a_batch).load(path)
 

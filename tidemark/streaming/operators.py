@@ -1,32 +1,13 @@
-"""Stateful operators over streams of clean events, keyed by page, id or input partition."""
+"""Exact lateness of each event of a stream, by input partition."""
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-ALERT_ROWS = "alert_id string, wiki string, title string, revert_count int, users array<string>, event_ids array<string>, start_ms long, end_ms long"
-WAR_STATE = "times array<long>, ids array<string>, users array<string>, alerted_until long"
-
-
-def without_repeats(events: DataFrame, arrived: str = "arrived", window: str = "1 hour") -> DataFrame:
-    """The first event of each id within window of arrival.
-
-    The watermark is on the time of arrival, not of the event: an old event that arrives for the first time is kept.
-    """
-    return events.withWatermark(arrived, window).dropDuplicatesWithinWatermark(["event_id"])
-
-
-def minute_counts(events: DataFrame, lateness: str = "2 minutes") -> DataFrame:
-    """wiki, title, minute and edit_count. In update mode counts grow until their minute closes; the sink keeps the largest."""
-    windowed = events.withWatermark("event_time", lateness).groupBy("wiki", "title", F.window("event_time", "1 minute").alias("w"))
-    return windowed.agg(F.count("*").alias("edit_count")).select("wiki", "title", F.col("w.start").alias("minute"), "edit_count")
-
 
 def with_lateness(events: DataFrame, lateness_ms: int = 120_000) -> DataFrame:
     """events (partition, offset, wiki, title, event_ms) with watermark_ms and late, exactly as by input partition.
@@ -45,36 +26,3 @@ def with_lateness(events: DataFrame, lateness_ms: int = 120_000) -> DataFrame:
     out = "partition int, offset long, wiki string, title string, event_ms long, watermark_ms long, late boolean"
     rows = events.select("partition", "offset", "wiki", "title", "event_ms")
     return rows.groupBy("partition").applyInPandasWithState(run, out, "mark long", "append", GroupStateTimeout.NoTimeout)
-
-
-def edit_wars(reverts: DataFrame, window_ms: int = 30 * 60_000, min_reverts: int = 3, min_users: int = 2, watermark: str = "30 minutes") -> DataFrame:
-    """Alerts from reverts (event_id, wiki, title, user, event_time, event_ms), a war once.
-
-    A page's state is its reverts of the trailing window and the time until which its war goes on, which never moves
-    back. State goes when both have passed the watermark. On reverts in order the alerts are those of the batch operator.
-    """
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        times, ids, users, until = state.get if state.exists else ([], [], [], -(1 << 62))
-        near, out = list(zip(times, ids, users, strict=True)), []
-        for r in pd.concat(list(batches)).sort_values(["event_ms", "event_id"]).itertuples():
-            near.append((r.event_ms, r.event_id, r.user))
-            near = [x for x in near if x[0] >= r.event_ms - window_ms]
-            who = sorted({u for *_, u in near})
-            if r.event_ms <= until:
-                until = max(until, r.event_ms + window_ms)
-            elif len(near) >= min_reverts and len(who) >= min_users:
-                until = r.event_ms + window_ms
-                war = sorted(near)
-                name = hashlib.sha256("\x00".join((*key, war[0][1])).encode()).hexdigest()[:32]
-                out.append((name, *key, len(war), who, [i for _, i, _ in war], war[0][0], war[-1][0]))
-        state.update(([int(t) for t, *_ in near], [i for _, i, _ in near], [u for *_, u in near], int(until)))
-        last = max(until, max((t for t, *_ in near), default=0) + window_ms)
-        state.setTimeoutTimestamp(max(int(last), state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in ALERT_ROWS.split(", ")])
-
-    rows = reverts.withWatermark("event_time", watermark).select("event_id", "wiki", "title", "user", "event_time", "event_ms")
-    return rows.groupBy("wiki", "title").applyInPandasWithState(run, ALERT_ROWS, WAR_STATE, "append", GroupStateTimeout.EventTimeTimeout)
