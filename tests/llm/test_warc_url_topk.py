@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import math
 import random
+import zlib
 from collections import Counter
 from pathlib import Path
 
@@ -109,6 +110,7 @@ def test_rows_tell_the_payloads_that_were_written(spark, monkeypatch):
         real(pages, path, least_bytes)
         for f in Path(path.removeprefix("file:")).glob("*.gz"):
             records = gzip.decompress(f.read_bytes()).split(b"WARC/1.1\r\n")[1:] if f.stat().st_size else []
+            records.sort(key=lambda r: b"cut" in r)  # a record that is cut off ends its file, whichever rows share it
             f.write_bytes(b"".join(warc.member(b"WARC/1.1\r\n" + r.replace(b"whole", b"wh0le").replace(b"cut\r\n\r\n", b"cu")) for r in records))
 
     monkeypatch.setattr(warc, "archived", damaged)
@@ -197,11 +199,37 @@ def test_models_do_not_read_what_rules_look_at():
     assert hidden == (2, 1)
     assert url_filter.model_text("http://A.b.example.net/en/x/1?q=2#f", hidden) == "a.b/x/1?q=2#f" == url_filter.model_text("http://a.b.c.org/fr/x/1?q=2#f", hidden)
     assert [url_filter.model_text(u, hidden) for u in ("", "no scheme", "http://net", "x://h?://a")] == ["/", "/", "/", "/?://a"]
-    # Rules that differ by nothing else teach nothing: everything else is allowed.
-    r = random.Random(6)
-    same = [(f"http://h{r.randint(1, 50)}.example.{tld}/{path}/{r.randint(1, 999)}", action, rule) for action, rule, tld, path in (("allow", "example.net/en/", "net", "en"), ("allow", "org/fr/", "org", "fr"), ("block", "net/", "net", "es"), ("block", "example.com/de/", "com", "de")) for _ in range(200)]
-    models = url_filter.fitted(same)
-    assert all(share <= 0.02 or models.threshold < math.inf for share in models.left_out.values()) and max(models.left_out[k] for k in ("example.net/en/", "org/fr/")) <= 0.02
+
+
+def alike(r, n):
+    """URLs of rules that differ by nothing that models may read."""
+    kinds = (("allow", "example.net/en/", "net", "en"), ("allow", "org/fr/", "org", "fr"), ("block", "net/", "net", "es"), ("block", "example.com/de/", "com", "de"))
+    return [(f"http://h{r.randint(1, 50)}.example.{tld}/{path}/{r.randint(1, 999)}", action, rule) for action, rule, tld, path in kinds for _ in range(n)]
+
+
+@pytest.mark.parametrize("sample", [sampled(random.Random(8), 15), alike(random.Random(6), 15)])
+def test_threshold_against_brute_force(sample):
+    hidden = (2, 1)
+    host = lambda u: u.split("://")[1].split("/")[0]
+    fold = lambda u: zlib.crc32(host(u).encode()) % url_filter.FOLDS
+
+    def ratios(apart):
+        kept = {kind: [url_filter.model_text(u, hidden) for u, a, rule in sample if a == kind and not apart(u, rule)] for kind in ("allow", "block")}
+        texts = [url_filter.model_text(u, hidden) for u, a, rule in sample if a == "allow" and apart(u, rule)]
+        return [by_hand(kept["block"], t) - by_hand(kept["allow"], t) for t in texts]
+
+    least = lambda found: min(x for x in found if sum(y > x for y in found) <= 0.02 * len(found))
+    rules = [least(ratios(lambda u, rule, name=name: rule == name)) for name in ("example.net/en/", "org/fr/")]
+    hosts = least([x for k in range(url_filter.FOLDS) for x in ratios(lambda u, rule, k=k: fold(u) == k)])
+    models = url_filter.fitted(sample)
+    assert models.threshold == pytest.approx(max(0.0, hosts, *rules), abs=1e-9) and models.threshold < math.inf
+    assert models.held_out["allow"] <= 0.02 and max(models.left_out[k] for k in ("example.net/en/", "org/fr/")) <= 0.02
+
+
+def test_a_threshold_needs_both_kinds_only():
+    one = [("http://a.org/fr/x", "allow", "org/fr/")]
+    assert url_filter.fitted([]).threshold == url_filter.fitted(one).threshold == math.inf
+    assert 0 <= url_filter.fitted([*one, ("http://a.net/y", "block", "net/")]).threshold < math.inf
 
 
 def test_verdicts_and_ratios_against_brute_force(spark):

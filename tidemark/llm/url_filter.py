@@ -4,14 +4,17 @@ Rules name a host and the beginning of a path; the longest that fits wins. URLs
 variable-order Markov models, of accepted and of rejected URLs, on a bounded sample; a URL that no rule fits is blocked if
 the rejected model's log likelihood exceeds the accepted one's, per character, by more than a calibrated threshold. The
 models never read what rules look at: as many last labels of the host and first segments of the path as any rule names are
-hidden. Calibration leaves out one rule at a time: models of the other rules judge its URLs. The threshold is the least at
-which no left-out accepting rule has more than the stated share of false blocks; if too few URLs of left-out rejecting
-rules exceed it, what rules teach does not carry over to other URLs, and all of them are allowed.
+hidden. The threshold is calibrated on accepted URLs that the models have not seen, in two ways: folds by host, and one rule
+at a time left out, whose URLs models of the other rules judge. It is the higher of the two quantiles at which no more than
+the stated share of these is blocked, and no less than 0. It is finite whenever there are both kinds of URLs; where models tell
+nothing apart, it blocks about that share.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
@@ -29,8 +32,8 @@ SAMPLE = 10_000
 ORDER, SMOOTHING = 4, 0.5
 #: Bytes of a URL that models are fitted on, at most; longer ones are judged whole, but teach nothing.
 LONGEST = 2_048
-#: Share of a left-out accepting rule's URLs that may be blocked, and least share of left-out rejecting rules' that must be.
-FALSE_BLOCKS, LEAST_BLOCKS = 0.02, 0.2
+#: Share of held-out accepted URLs that may be blocked, and folds of hosts that are held out in turn.
+FALSE_BLOCKS, FOLDS = 0.02, 3
 START, END = "\x02", "\x03"
 
 
@@ -93,13 +96,14 @@ class CharacterModel:
 
 
 class Fitted(NamedTuple):
-    """Both models, what is hidden from them, the threshold, and the share blocked of each rule's URLs when it was left out."""
+    """Both models, what is hidden from them, the threshold, the share blocked of each rule's URLs when it was left out, and of either kind's in folds by host."""
 
     good: CharacterModel
     bad: CharacterModel
     hidden: tuple[int, int]
     threshold: float
     left_out: dict[str, float]
+    held_out: dict[str, float]
 
     def ratio(self, url: str) -> float:
         text = model_text(url, self.hidden)
@@ -120,26 +124,47 @@ def model_text(url: str, hidden: tuple[int, int]) -> str:
     return ".".join(labels[: max(0, len(labels) - hidden[0])]) + "/" + "/".join(segments[1 + hidden[1] :]) + rest[end:]
 
 
+def fold_of(url: str) -> int:
+    """The fold of a URL's host."""
+    rest = url.partition("://")[2] or url
+    return zlib.crc32(re.split("[/?#]", rest, maxsplit=1)[0].lower().encode()) % FOLDS
+
+
+def within_share(ratios: list[float]) -> float:
+    """The least of ratios which no more than FALSE_BLOCKS of them exceed."""
+    return sorted(ratios)[math.ceil(len(ratios) * (1 - FALSE_BLOCKS)) - 1]
+
+
 def fitted(sample: list[tuple[str, str, str]], rules: tuple[tuple[str, str, str], ...] = RULES) -> Fitted:
-    """Models and threshold from a sample of url, action and rule. Without both kinds, or without a rule to leave out, all is allowed."""
+    """Models and threshold from a sample of url, action and rule. Only without both kinds of URLs is there no threshold: all is allowed."""
     hidden = hidden_by(rules)
-    of: dict[tuple[str, str], list[str]] = {}
-    for url, action, rule in sample:
-        of.setdefault((action, rule), []).append(model_text(url, hidden))
-    models = lambda without: [CharacterModel(t for (action, rule), own in of.items() if action == kind and rule != without for t in own) for kind in ("allow", "block")]
-    kinds = lambda without: {action for action, rule in of if rule != without}
-    ratios: dict[tuple[str, str], list[float]] = {}
-    for action, rule in of:
-        if len(kinds(rule)) == 2:
-            good, bad = models(rule)
-            ratios[action, rule] = sorted(bad.mean_log(t) - good.mean_log(t) for t in of[action, rule])
-    accepted = [r for (action, _), r in ratios.items() if action == "allow"]
-    rejected = [x for (action, _), r in ratios.items() if action == "block" for x in r]
-    threshold = max([0.0, *(r[math.ceil(len(r) * (1 - FALSE_BLOCKS)) - 1] for r in accepted)])
-    if not accepted or not rejected or sum(x > threshold for x in rejected) < LEAST_BLOCKS * len(rejected):
+    known = [(model_text(url, hidden), action, rule, fold_of(url)) for url, action, rule in sample]
+
+    def models(rows: list[tuple]) -> list[CharacterModel]:
+        return [CharacterModel(t for t, action, *_ in rows if action == kind) for kind in ("allow", "block")]
+
+    def judged(apart: list[bool]) -> list[tuple[str, float]]:
+        """Action and ratio of the rows apart, by models of the others; nothing if these lack a kind."""
+        rest = [x for x, out in zip(known, apart, strict=True) if not out]
+        if len({action for _, action, *_ in rest}) < 2:
+            return []
+        good, bad = models(rest)
+        return [(x[1], bad.mean_log(x[0]) - good.mean_log(x[0])) for x, out in zip(known, apart, strict=True) if out]
+
+    by_rule = {rule: judged([x[2] == rule for x in known]) for rule in dict.fromkeys(x[2] for x in known)}
+    by_host = [r for k in range(FOLDS) for r in judged([x[3] == k for x in known])]
+    accepted = [[r for action, r in own if action == "allow"] for own in (*by_rule.values(), by_host)]
+    good, bad = models(known)
+    if {action for _, action, *_ in known} != {"allow", "block"}:
         threshold = math.inf
-    good, bad = models(None)
-    return Fitted(good, bad, hidden, threshold, {rule: sum(x > threshold for x in r) / len(r) for (_, rule), r in ratios.items()})
+    else:
+        # Where nothing can be held out, as with one host and one rule of a kind, the sample itself has to do.
+        own = [bad.mean_log(t) - good.mean_log(t) for t, action, *_ in known if action == "allow"]
+        threshold = max([0.0, *(within_share(r) for r in accepted if r)] if any(accepted) else [0.0, within_share(own)])
+    over = lambda rows: sum(r > threshold for r in rows) / len(rows)
+    left_out = {rule: over([r for _, r in own]) for rule, own in by_rule.items() if own}
+    held_out = {kind: over(own) for kind in ("allow", "block") if (own := [r for action, r in by_host if action == kind])}
+    return Fitted(good, bad, hidden, threshold, left_out, held_out)
 
 
 def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, sample: int = SAMPLE) -> DataFrame:
