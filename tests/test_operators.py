@@ -1,5 +1,5 @@
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -174,3 +174,72 @@ def test_lateness_does_not_depend_on_the_ranges(spark):
     events = spark.createDataFrame(rows, "partition int, arrived long, seq long, ms long")
     got = [sorted(map(tuple, trending.with_lateness(events, "partition", ["arrived", "seq"], "ms", 120_000, span).collect())) for span in (1, 700, 10**9)]
     assert got[0] == got[1] == got[2] and any(r[-1] for r in got[0])
+
+
+def test_a_page_with_all_events_is_spread_over_blocks(spark):
+    """Wars over many blocks of time, with ties, on the bounds of windows and across blocks, equal a fold over the page."""
+    r = random.Random(11)
+    for window in (30 * 60_000, 1_000):
+        at, rows = 0, []
+        for k in range(400):
+            at += r.choice([0, 0, 1, window // 3, window // 2, window - 1, window, window + 1, 3 * window])
+            rows.append((f"e{k:03}", "w", "Hot", r.choice("ABC"), at))
+        df = spark.createDataFrame(rows, "event_id string, wiki string, title string, user string, event_ms long")
+        got = wars.edit_wars(df.repartition(4), window).collect()
+        expected, near, until = set(), [], -1
+        for i, _, _, u, t in rows:
+            near = [x for x in near if x[0] >= t - window] + [(t, i, u)]
+            if t <= until:
+                until = t + window
+            elif len(near) >= 3 and len({x[2] for x in near}) >= 2:
+                until = t + window
+                expected.add((tuple(x[1] for x in near), tuple(sorted({x[2] for x in near}))))
+        assert {(tuple(x.event_ids), tuple(x.users)) for x in got} == expected and len(got) == len(expected) > 3
+    three = wars.edit_wars(df, window, 3, 3).collect()
+    assert three and all(len(x.users) == 3 for x in three)
+
+
+def test_changelog_of_one_page_by_ranges(spark):
+    r = random.Random(12)
+    rows = [("w", "Hot", "edit", r.randrange(1000), k) for k in range(300)]
+    events = spark.createDataFrame([(*x, None, None) for x in rows], "wiki string, title string, type string, event_ms long, n long, log_type string, log_action string").withColumn("rev_new", F.lit(1)).withColumn("length_new", F.lit(1))
+    for span in (7, 50, 10_000):
+        got = {x.n: x.applied for x in pages.changelog(events, "n", span=span).collect()}
+        most = -1
+        for *_, ms, n in rows:
+            assert got[n] == (ms >= most)
+            most = max(most, ms)
+
+
+def test_search_by_index_equals_the_scan(spark, tmp_path):
+    r = random.Random(13)
+    titles = {"".join(r.choice("abAB ßé") for _ in range(r.randrange(1, 12))) for _ in range(300)} | {"ababab", "C++ (language)", "漢字かな"}
+    found = spark.createDataFrame([(f"w{k % 3}", t, datetime(2026, 1, 1) + timedelta(minutes=k)) for k, t in enumerate(sorted(titles))], "wiki string, title string, event_time timestamp")
+    pages.write_title_index(found, str(tmp_path / "i"), 8)
+    for query in ["", " ", "a", "ab", "aba", "ABAB", " bab ", "ababababab", "(lang", "漢字か", "c++", "zzz", *("".join(r.choice("ab ") for _ in range(r.randrange(2, 6))) for _ in range(6))]:
+        for wiki in (None, "w1"):
+            whole = pages.search(found, query, wiki, 100).collect()
+            assert pages.search_index(found, str(tmp_path / "i"), query, wiki, 100, 8).collect() == whole, query
+    assert pages.search(found, "aba", limit=100).count() > 5
+
+
+def test_rolled_minutes_add_up(spark):
+    from tidemark.plans import dashboard, rollups
+
+    r, now = random.Random(14), datetime(2026, 1, 1, 12, 0, 30)
+    rows = [(f"w{r.randrange(3)}", f"P{r.randrange(400)}", r.random() < 0.2, now - timedelta(seconds=r.randrange(4000), microseconds=r.randrange(10**6)), r.randrange(1, 5000)) for _ in range(3000)]
+    edits = spark.createDataFrame([(*x[:4], x[3] + timedelta(milliseconds=x[4])) for x in rows], "wiki string, title string, bot boolean, event_time timestamp_ntz, ingested_at timestamp_ntz")
+    alerts = spark.createDataFrame([(now - timedelta(minutes=9), now - timedelta(minutes=3))], "window_start timestamp_ntz, window_end timestamp_ntz")
+    halves = rollups.by_minute(edits.where("bot")).unionByName(rollups.by_minute(edits.where("NOT bot")))  # as two writes left them
+    for minutes in (5, 30):
+        one, exact = rollups.overview(halves, edits, alerts, now, minutes).first(), dashboard.overview(edits, alerts, now, minutes).first()
+        for c in ("edits", "bot_edits", "bot_share", "edits_per_second", "rows", "newest_ingested", "newest_event", "alerts", "per_minute"):
+            assert one[c] == exact[c], c
+        assert abs(one.pages - exact.pages) <= 0.03 * exact.pages and one.wikis == exact.wikis
+    times = sorted(x[4] for x in rows)
+    got = rollups.latency(halves).first()
+    for name, q in (("p50_ms", 0.5), ("p95_ms", 0.95), ("p99_ms", 0.99)):
+        assert times[int((q - 0.006) * 3000)] <= got[name] <= times[min(2999, int((q + 0.006) * 3000))]
+    assert (got.rows, got.max_ms) == (3000, times[-1])
+    none = rollups.overview(rollups.by_minute(edits.limit(0)), edits.limit(0), alerts, now, 30).first()
+    assert (none.edits, none.pages, sum(none.per_minute)) == (0, 0, 0) and rollups.latency(rollups.by_minute(edits.limit(0))).first().p50_ms is None

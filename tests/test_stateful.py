@@ -206,3 +206,30 @@ def test_crashes_between_steps_change_nothing(spark, tmp_path, point):
     p.drain()
     assert hit and p.edits.read().count() == 30 and spark.read.parquet(f"{p.path('dlq')}/*").count() == 1
     assert p.counts.read().agg(F.sum("edit_count")).first()[0] == 30 and p.live_pages().count() == 3
+
+
+def test_rollups_follow_the_stored_edits(spark, tmp_path):
+    from tidemark.plans import rollups
+
+    hit = []
+
+    def fault(point):
+        if point == "minutes:after_pointer" and not hit:
+            hit.append(point)
+            raise RuntimeError("crash")
+
+    p = Pipeline(spark, str(tmp_path), "five", 2, fault)
+    put(tmp_path / "five" / "raw", [raw_event(k, 10 * k, f"P{k % 9}") for k in range(40)], "a.jsonl")
+    p.clean().awaitTermination()
+    p.store().awaitTermination()
+    with pytest.raises(Exception, match="crash"):
+        p.rollup().awaitTermination()  # what was written is not added again
+    put(tmp_path / "five" / "raw", [raw_event(k, 10 * k, f"P{k % 11}") for k in range(35, 60)], "b.jsonl")
+    p.clean().awaitTermination()
+    p.store().awaitTermination()
+    p.rollup().awaitTermination()
+    p.rollup().awaitTermination()
+    rows = rollups.merged(p.minutes.read()).first()
+    assert rows.n == 60 == p.edits.read().count()
+    by_minute = {r.minute: r.n for r in rollups.merged(p.minutes.read(), "minute").collect()}
+    assert sum(by_minute.values()) == 60 and len(by_minute) == 10

@@ -144,10 +144,12 @@ def test_latest_edits_over_stored_tables(spark, tmp_path):
 
     p = Pipeline(spark, str(tmp_path), "x", 2)
     names = p.edits.columns
-    rows = spark.range(400).select(F.concat(F.lit("e"), F.col("id")).alias("event_id"), F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit(DAY)).alias("event_time"), (F.col("id") % 5 == 0).alias("is_revert"))
+    rows = spark.range(4000).select(F.concat(F.lit("e"), F.col("id")).alias("event_id"), F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit(DAY)).alias("event_time"), (F.col("id") % 5 == 0).alias("is_revert"))
     whole = rows.select(*(F.col(c) if c in rows.columns else F.lit(None).cast(p.edits.read().schema[c].dataType).alias(c) for c in names))
-    tables.insert_if_absent(p.edits, whole, 0)
-    now = millis(DAY + timedelta(minutes=400))
+    tables.insert_if_absent(p.edits, whole.where("event_id < 'e2'"), 0)
+    tables.insert_if_absent(p.edits, whole.where("event_id >= 'e2'"), 1)
+    assert p.edits.compacted(2) == 1 and p.edits.read().count() == 4000
+    now = millis(DAY + timedelta(minutes=1500))
     assert p.stored(now - 3_600_000, now).count() == 60 and p.stored(now - 3_600_000, now, True).count() == 12
     assert len(p.stored(now - 3_600_000, now).inputFiles()) <= 2 < len(p.stored().inputFiles())
 

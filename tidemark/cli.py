@@ -1,6 +1,7 @@
 """``python -m tidemark.cli REPORT --edits PATH [--counts PATH]``: prints a report over stored tables, or writes one to --to.
 
-snapshot reads a page changelog, replay and record JSON lines, benchmarks a glob of JSON files, each at --edits.
+snapshot reads a page changelog, record JSON lines, benchmarks a glob of JSON files, each at --edits. replay writes the
+JSON lines at --edits to the folder --to again, --rate of them a second, --loops times; with --unique-ids no id comes twice.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ import argparse
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators import trending
 from .plans import dashboard, reports
@@ -37,9 +39,32 @@ def file_report(name: str, spark: SparkSession, path: str, limit: int) -> DataFr
     return lines[name]()
 
 
+def replay(spark: SparkSession, sample: str, to: str, rate: int, loops: int, unique_ids: bool) -> int:
+    """Writes a sample's lines as files of a folder at a pace, as a feed would; returns how many. Ends when all loops are written."""
+    lines = logs.numbered(logs.json_lines(spark, sample).select("value", F.coalesce(F.get_json_object("value", "$.meta.id"), F.lit("")).alias("id")))
+    lines.write.mode("overwrite").parquet(f"{to.rstrip('/')}/_sample")  # a stream's batches read it as it was numbered
+    lines = spark.read.parquet(f"{to.rstrip('/')}/_sample")
+    due = lines.count() * loops
+    done = []
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        n = df.count()
+        if n:
+            df.orderBy("loop", "seq").select("value").write.mode("append").text(to)
+        df.unpersist()
+        done.append(n)
+
+    query = logs.replay_stream(lines, rate, loops, unique_ids).writeStream.foreachBatch(write).option("checkpointLocation", f"{to.rstrip('/')}/_checkpoint").trigger(processingTime="1 second").start()
+    while query.isActive and sum(done) < due:
+        query.awaitTermination(0.2)
+    query.stop()
+    return sum(done)
+
+
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("report", choices=(*REPORTS, *LOG_REPORTS, *FILES))
+    parser.add_argument("report", choices=(*REPORTS, *LOG_REPORTS, *FILES, "replay"))
     parser.add_argument("--edits", required=True)
     parser.add_argument("--counts")
     parser.add_argument("--to", help="a folder that rows are written to, as JSON lines")
@@ -47,8 +72,14 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--hours", type=int, default=1)
     parser.add_argument("--wiki")
     parser.add_argument("--limit", type=int, default=10)
+    parser.add_argument("--rate", type=int, default=50)
+    parser.add_argument("--loops", type=int, default=1)
+    parser.add_argument("--unique-ids", action="store_true")
     given = parser.parse_args(args)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if given.report == "replay":
+        print(replay(spark, given.edits, given.to, given.rate, given.loops, given.unique_ids))
+        return
     if given.report in FILES:
         out = file_report(given.report, spark, given.edits, given.limit)
     else:

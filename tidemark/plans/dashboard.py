@@ -136,6 +136,16 @@ def trending(counts: DataFrame, now: datetime, minutes: int, wiki: str | None =
     return by_minute.groupBy("wiki", "title", "edits").agg(entries.alias("entries")).select("wiki", "title", "edits", series_of(F.col("entries"), now, minutes).alias("per_minute"))
 
 
+def trending_answer(counts: DataFrame, now: datetime, minutes: int, wiki: str | None = None, limit: int = 20) -> DataFrame:
+    """The answer in one row: the clamped minutes, the wiki asked for, newest_minute of all counts, and the pages by edits (wiki, title, edits, per_minute)."""
+    rows = trending(counts, now, minutes, wiki, limit)
+    order = F.struct((-F.col("edits")).alias("k"), "wiki", "title", "edits", "per_minute")
+    pages = F.transform(F.array_sort(F.collect_list(order)), lambda p: F.struct(p["wiki"].alias("wiki"), p["title"].alias("title"), p["edits"].alias("edits"), p["per_minute"].alias("per_minute")))
+    newest = counts.agg(F.max("minute").alias("newest_minute"))
+    asked = newest.select(F.lit(clamped(minutes, LEAST_MINUTES, MOST_MINUTES)).alias("minutes"), F.lit(wiki or None).cast("string").alias("wiki"), "newest_minute")
+    return asked.crossJoin(rows.agg(pages.alias("pages")))  # one row each, of 50 pages at most
+
+
 def top_wikis(edits: DataFrame, now: datetime, minutes: int, limit: int = 20) -> DataFrame:
     rows = in_window(edits, "event_time", now, minutes).groupBy("wiki").agg(F.count("*").alias("edits"), F.count_if("bot").alias("bot_edits"))
     return rows.withColumn("bot_share", share(F.col("bot_edits"), F.col("edits"))).orderBy(F.desc("edits"), "wiki").limit(clamped(limit, 1, 100))

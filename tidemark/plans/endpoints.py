@@ -5,6 +5,7 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Callable, Hashable
+from concurrent.futures import Future
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Row
@@ -17,26 +18,45 @@ from . import dashboard, reports
 
 
 class ResultCache:
-    """Results by key for so many seconds, at most so many: the oldest goes first."""
+    """Answers to questions, each worked out once for all who ask within so many seconds.
+
+    What is kept of a question is a future: whoever asks first fulfils it, and others who ask meanwhile wait for the same
+    plan instead of starting another. A fault reaches all who wait and is not kept. Each new question sweeps out those
+    that have run out and, of more than ``most``, those that would run out first.
+    """
 
     def __init__(self, seconds: float = 5.0, most: int = 256, clock: Callable[[], float] = time.monotonic):
         self.seconds, self.most, self.clock = seconds, most, clock
-        self._kept: dict[Hashable, tuple[float, object]] = {}
-        self._lock = threading.Lock()
-
-    def get(self, key: Hashable, make: Callable[[], object]) -> object:
-        """The result kept for key, or a new one. Two callers may make the same; neither waits for the other."""
-        with self._lock:
-            at, result = self._kept.get(key, (None, None))
-            if at is not None and self.clock() - at < self.seconds:
-                return result
-        result = make()
-        with self._lock:
-            self._kept.pop(key, None)
-            self._kept[key] = (self.clock(), result)
-            while len(self._kept) > self.most:
-                del self._kept[next(iter(self._kept))]
-        return result
+        self._asked: dict[Hashable, Future] = {}
+        self._ends: dict[Hashable, float] = {}
+        self._changing = threading.Lock()
+
+    def _swept(self, now: float) -> None:
+        over = sorted((end, k) for k, end in enumerate(self._ends.values()))
+        keys = list(self._ends)
+        for rank, (end, k) in enumerate(over):
+            if end <= now or rank < len(over) - self.most:
+                self._asked.pop(keys[k], None)
+                self._ends.pop(keys[k], None)
+
+    def get(self, question: Hashable, answer: Callable[[], object]) -> object:
+        with self._changing:
+            self._swept(self.clock())
+            waiting = self._asked.get(question)
+            mine = None if waiting else self._asked.setdefault(question, Future())
+        if waiting:
+            return waiting.result()
+        try:
+            mine.set_result(answer())
+        except BaseException as e:
+            with self._changing:
+                del self._asked[question]
+            mine.set_exception(e)
+            raise
+        with self._changing:
+            self._ends[question] = self.clock() + self.seconds
+            self._swept(self.clock())
+        return mine.result()
 
 
 class Endpoints:
@@ -71,7 +91,7 @@ class Endpoints:
         made: dict[str, Callable[[], DataFrame]] = {
             "health": lambda: self._health(now),
             "overview": lambda: dashboard.overview(self.edits, self.alerts, now, minutes),
-            "trending": lambda: dashboard.trending(self.counts, now, minutes, given.get("wiki"), limit),
+            "trending": lambda: dashboard.trending_answer(self.counts, now, minutes, given.get("wiki"), limit),
             "wikis": lambda: dashboard.top_wikis(self.edits, now, minutes, limit),
             "edits": lambda: dashboard.latest_edits(self.edits, limit, **given),
             "alerts": lambda: dashboard.latest_alerts(self.alerts, limit),

@@ -84,13 +84,14 @@ def source_gaps(events: DataFrame, partition: str = "partition", offset: str = "
 
 
 def changelog_stats(log: DataFrame) -> DataFrame:
-    """records, tombstones, live pages and superseded records of a page changelog (wiki, title, op, applied, event_ms)."""
+    """records, tombstones, live pages and superseded records of a page changelog (wiki, title, op, applied, event_ms), and records a live page (null without any)."""
     applied = log.where("applied")
     pages = applied.groupBy("wiki", "title").agg(F.count("*").alias("n"), F.count_if(F.col("op") == "D").alias("d"), F.max_by("op", F.struct("event_ms", "arrival_ms", "seq")).alias("last"))
-    return pages.agg(
+    out = pages.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("records"), F.coalesce(F.sum("d"), F.lit(0)).cast("long").alias("tombstones"), F.count_if(F.col("last") == "U").alias("live_pages"),
         F.count_if(F.col("last") == "D").alias("removed_pages"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("superseded"),
     )
+    return out.withColumn("records_per_page", F.round(F.try_divide("records", "live_pages"), 2))
 
 
 def pages_per_wiki(pages: DataFrame, limit: int = 8) -> DataFrame:

@@ -12,8 +12,9 @@ makes its run once more, and one that a pointer has already does nothing: rows a
   write is found in it as well (``changes``), however late one asks.
 * Inserts: rows whose key is there are left out. Each run of such a table has Bloom filters over its keys, by hash part, and a
   batch reads the keys of only those runs whose filters may hold one of its own.
-* Cells: a run is a folder for each cell, a span of a time column if the table has one, else a hash part of the key. The
-  pointer has rows and bounds of each, so a reader of a time range lists only folders that meet it.
+* Cells: a run is a folder for each cell, a hash part of the key, or, if the table has a time column, a span of time; but a
+  run of level 0, which a batch makes, is one cell then. The pointer has rows and time bounds of each cell, so a reader of
+  a time range lists only folders that meet it, and within them rows are in the order of time.
 * Projections: rows for which a condition holds, kept beside each run and read instead of it.
 
 A table has one writer at a time; readers need no care, as long as they end before ``KEEP`` more writes.
@@ -128,9 +129,9 @@ class Table:
         runs = self.manifest()["runs"]
         rows = self._rows(self._cells(runs, since_ms, until_ms, f"only-{projection}" if projection else "runs"))
         if since_ms is not None:
-            rows = rows.where(self._time() >= since_ms)
+            rows = rows.where(F.col(self.slot[0]) >= F.timestamp_millis(F.lit(since_ms)))
         if until_ms is not None:
-            rows = rows.where(self._time() < until_ms)
+            rows = rows.where(F.col(self.slot[0]) < F.timestamp_millis(F.lit(until_ms)))
         return self._merged(rows).select(*self.columns)
 
     def changes(self, after: int, upto: int | None = None) -> DataFrame:
@@ -148,7 +149,9 @@ class Table:
     def _hash(self) -> Column:
         return F.xxhash64(*self.key)
 
-    def _cell(self) -> Column:
+    def _cell(self, level: int) -> Column:
+        if self.slot and not level:
+            return F.lit(0).cast("long")
         if self.slot:
             return F.coalesce(F.floor(self._time() / self.slot[1]), F.lit(0)).cast("long")
         return F.pmod(self._hash(), F.lit(self.parts)).cast("long")
@@ -156,14 +159,16 @@ class Table:
     def _write_run(self, rows: DataFrame, run: str, level: int) -> dict:
         """Writes rows (with _seq) as a run, with its projections and filters; returns what the pointer tells of it."""
         path = f"{self.path}/runs/{run}"
-        dealt = rows.select(*self.columns, "_seq").withColumn("cell", self._cell())
-        dealt.repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(path)
+        dealt = rows.select(*self.columns, "_seq").withColumn("cell", self._cell(level))
+        dealt = dealt.repartition("cell") if level or not self.slot else dealt
+        dealt = dealt.sortWithinPartitions("cell", self.slot[0]) if self.slot else dealt
+        dealt.write.mode("overwrite").partitionBy("cell").parquet(path)
         kept = self.spark.read.schema(f"{self.schema}, _seq long, cell long").parquet(path)
         time = self._time() if self.slot else F.lit(0)
         only = F.array_compact(F.array(*(F.when(F.max(F.expr(f"coalesce({c}, false)")), F.lit(name)) for name, c in self.projections.items()))) if self.projections else F.expr("cast(array() as array<string>)")
         found = kept.groupBy("cell").agg(F.count("*").alias("n"), F.coalesce(F.min(time), F.lit(0)).alias("low"), F.coalesce(F.max(time), F.lit(0)).alias("high"), F.max("_seq").alias("seq"), only.alias("only")).collect()
         for name, condition in self.projections.items():
-            kept.where(condition).repartition("cell").write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/only-{name}/{run}")
+            kept.where(condition).coalesce(1 if not level else 64).sortWithinPartitions("cell", self.slot[0] if self.slot else "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/only-{name}/{run}")
         if not self.order:
             self._write_filters(kept, run)
         return {"level": level, "seq": max((r.seq for r in found), default=0), "cells": {str(r.cell): [r.n, r.low, r.high, list(r.only)] for r in found}}
@@ -254,18 +259,20 @@ class Table:
         done = [n for n in self._names(f"followers/{name}") if n.isdigit()]
         return int(done[-1]) if done else 0
 
-    def follow(self, name: str, apply: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
+    def follow(self, name: str, apply: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None, position: Callable[[], int] | None = None) -> StreamingQuery:
         """A stream that hands what changed to apply, with the number that it reaches to: at first all rows, then what came since.
 
         The pointers are its source. Changes are counted from what this follower has applied, so one that starts late, or comes
         back when runs were merged and pointers deleted, misses nothing; after a crash it may get the same changes again,
-        so apply keeps the latest of a key, as another Table does.
+        so apply keeps the latest of a key, as another Table does; or position tells what was applied, from where apply
+        writes it together with its rows, and each change comes once.
         """
 
         def step(df: DataFrame, batch_id: int) -> None:
-            after, upto = self.followed(name), self.manifest()["seq"]
+            after, upto = position() if position else self.followed(name), self.manifest()["seq"]
             if upto > after:
                 apply(self.changes(after, upto), upto)
+            if upto > after and not position:
                 self.fs.create(self._path(f"{self.path}/followers/{name}/{upto:020}"), True).close()
                 for n in self._names(f"followers/{name}")[:-1]:
                     self.fs.delete(self._path(f"{self.path}/followers/{name}/{n}"), False)

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.events import from_millis, is_revert, millis
 from ..operators import clean, pages
+from ..plans import rollups
 from ..schema import CLEAN_EVENT, DLQ, STREAMS, stream_path
 from ..sinks import tables
 from ..sinks.retry import retried
@@ -32,7 +33,7 @@ CLEAN_LOG = CLEAN_EVENT + ", partition int, offset long"
 #: What the clean stage holds of a line while repeats are found: text, so that nothing is lost on the way through Python.
 HELD = f"outcome string, reason string, value string, event struct<{', '.join(c.replace(' ', ': ', 1) for c in CLEAN_EVENT.replace('event_time timestamp', 'event_time long').split(', '))}>"
 #: Milliseconds of a cell of stored edits.
-EDITS_SPAN = 3_600_000
+EDITS_SPAN = 24 * 3_600_000
 
 
 def arrange_stored(df: DataFrame) -> DataFrame:
@@ -88,6 +89,7 @@ class Pipeline:
         self.edits = tables.Table(spark, f"{root}/edits", STORED, ("event_id",), parts, slot=("event_time", EDITS_SPAN), projections={"reverts": "is_revert"}, fault=at("edits"))
         self.counts = tables.Table(spark, f"{root}/trending_minutes", COUNTS, ("wiki", "title", "minute"), parts, ("edit_count",), fault=at("counts"))
         self.alerts = tables.Table(spark, f"{root}/alerts_table", ALERTS, ("alert_id",), parts, fault=at("alerts"))
+        self.minutes = tables.Table(spark, f"{root}/minute_rollups", f"{rollups.ROLLUP}, upto long", ("minute", "upto"), parts, slot=("minute", EDITS_SPAN), fault=at("minutes"))
         self.pages = tables.Table(spark, f"{root}/pages", PAGES, ("wiki", "title"), parts, ("event_ms",), fault=at("pages"))
 
     def path(self, name: str) -> str:
@@ -231,6 +233,12 @@ class Pipeline:
         writer = self._writer("pages")
         return self._start(pages.updates(self._clean_log()), "pages", lambda df, n: tables.upsert_latest(self.pages, df, n, writer))
 
+    def rollup(self) -> StreamingQuery:
+        """Follows the stored edits and keeps what each write adds to each minute. The rows and the position are written together."""
+        position = lambda: self.minutes.manifest()["batches"].get("rollup", 0)
+        apply = lambda changes, upto: tables.insert_if_absent(self.minutes, rollups.by_minute(changes).withColumn("upto", F.lit(upto).cast("long")), upto, "rollup")
+        return self.edits.follow("rollup", apply, self._checkpoint("rollup"), self.every, position)
+
     def live_pages(self) -> DataFrame:
         """The pages that are not deleted."""
         return self.pages.read().where("op = 'U'").drop("op", "event_ms")
