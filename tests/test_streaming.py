@@ -150,18 +150,21 @@ class Server(http.server.BaseHTTPRequestHandler):
         pass
 
 
-def test_a_feed_runs_as_a_stream(spark, tmp_path):
+@pytest.mark.parametrize("ahead", [None, "9"])
+def test_a_feed_runs_as_a_stream(spark, tmp_path, ahead):
     server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Server)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     try:
         sse.registered(spark)
-        feed = spark.readStream.format("sse").option("url", f"http://127.0.0.1:{server.server_port}/").option("events", "4").option("seconds", "2").option("attempts", "2").load()
-        q = feed.writeStream.format("memory").queryName("feed").option("checkpointLocation", str(tmp_path / "c")).start()
+        feed = spark.readStream.format("sse").option("url", f"http://127.0.0.1:{server.server_port}/").option("events", "4").option("seconds", "2").option("attempts", "2")
+        feed = (feed.option("prefetch", ahead) if ahead else feed).load()
+        name = f"feed{ahead or ''}"
+        q = feed.writeStream.format("memory").queryName(name).option("checkpointLocation", str(tmp_path / "c")).start()
         until = time.monotonic() + 60
-        while time.monotonic() < until and q.isActive and spark.table("feed").count() < 20:
+        while time.monotonic() < until and q.isActive and spark.table(name).count() < 20:
             time.sleep(0.3)
         q.stop()
-        assert [r.data for r in spark.table("feed").orderBy(F.col("id").cast("int")).collect()] == [f"line {k}" for k in range(1, 21)]
+        assert [r.data for r in spark.table(name).orderBy(F.col("id").cast("int")).collect()] == [f"line {k}" for k in range(1, 21)]
     finally:
         server.shutdown()
 
@@ -170,3 +173,71 @@ def test_a_batch_whose_end_is_gone_fails(monkeypatch):
     reader = sse.FeedReader({"url": "x", "events": "2"}, lambda url, last, timeout: iter([f"id: {int(last or 0) + 1}", "data: d", ""]), lambda s: None)
     with pytest.raises(OSError, match="gone"):
         list(reader.readBetweenOffsets({"id": "3"}, {"id": "gone"}))
+
+
+class Line:
+    """A feed that tells which ids it was asked from, and breaks after so many events of a connection."""
+
+    def __init__(self, total, breaks=1000):
+        self.total, self.breaks, self.asked, self.sent = total, breaks, [], 0
+
+    def __call__(self, url, last, timeout):
+        self.asked.append(last)
+        for k, n in enumerate(range(int(last or 0) + 1, self.total + 1)):
+            if k == self.breaks:
+                raise OSError("lost")
+            self.sent = max(self.sent, n)
+            yield from (f"id: {n}", f"data: d{n}", "")
+
+
+def until_true(what, seconds=10):
+    end = time.monotonic() + seconds
+    while time.monotonic() < end and not what():
+        time.sleep(0.01)
+    return what()
+
+
+def test_a_feed_is_read_ahead_within_bounds():
+    line = Line(100, breaks=7)
+    reader = sse.PrefetchingReader({"url": "x", "events": "5", "prefetch": "12", "stall": "60", "seconds": "2"}, line, lambda s: None)
+    offset, seen = reader.initialOffset(), []
+    rows, end = reader.read(offset)
+    first = list(rows)
+    assert until_true(lambda: line.sent >= 12) and len(reader.ahead) + len(reader.given) <= 12  # a slow sink: no more is taken
+    time.sleep(0.1)
+    assert line.sent <= 13 and [r[2] for r in reader.readBetweenOffsets(offset, end)] == [r[2] for r in first]  # again, from the buffer
+    seen += first
+    while len(seen) < 100:
+        reader.commit(end)
+        rows, end = reader.read(end)
+        seen += list(rows)
+        assert len(reader.given) <= 5
+    reader.commit(end)
+    assert [r[2] for r in seen] == [f"d{k}" for k in range(1, 101)] and reader.released == 100  # over lost connections, each once
+
+
+def test_a_full_buffer_gives_up_the_connection_before_a_gap():
+    line = Line(30)
+    reader = sse.PrefetchingReader({"url": "x", "events": "4", "prefetch": "8", "stall": "0.05", "seconds": "2", "attempts": "2"}, line, lambda s: None)
+    rows, end = reader.read({"id": ""})
+    seen = list(rows)
+    assert until_true(lambda: not reader.filling)
+    while len(seen) < 30:
+        reader.commit(end)
+        rows, end = reader.read(end)
+        seen += list(rows)
+    assert [r[2] for r in seen] == [f"d{k}" for k in range(1, 31)] and len(line.asked) > 2
+
+
+def test_a_restarted_reader_begins_at_the_offset():
+    reader = sse.PrefetchingReader({"url": "x", "events": "3", "prefetch": "9", "seconds": "2", "attempts": "1"}, Line(20), lambda s: None)
+    for start in (10, 2):  # a batch takes what is there, three events at most
+        got = [r[2] for r in reader.read({"id": str(start)})[0]]
+        assert got and got == [f"d{start + k}" for k in range(1, len(got) + 1)]
+    import pickle
+
+    other = pickle.loads(pickle.dumps(sse.PrefetchingReader({"url": "x", "prefetch": "9"})))
+    assert other.most_held == 9 and not other.ahead
+    lost = sse.PrefetchingReader({"url": "x", "prefetch": "9", "attempts": "1", "seconds": "5"}, lambda *a: (_ for _ in ()).throw(OSError("down")), lambda s: None)
+    with pytest.raises(OSError, match="down"):
+        lost.read({"id": ""})

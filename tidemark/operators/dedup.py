@@ -20,7 +20,7 @@ def within_window(events: DataFrame, key: str, time_ms: str, window_ms: int, *ar
 
     Only accepted rows count, so that a repeat does not extend the window: which rows are accepted follows from row to row.
     Each task folds its keys in order and holds no more than the time last accepted, however often a key repeats. Rows
-    without a key or a time are all kept.
+    without a key or a time are all kept; those without a key are dealt out by their arrival.
     """
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -34,7 +34,8 @@ def within_window(events: DataFrame, key: str, time_ms: str, window_ms: int, *ar
                 keep.append(fresh)
             yield x.filter(pa.array(keep, pa.bool_()))
 
-    return events.repartition(key).sortWithinPartitions(key, *arrival).mapInArrow(fold, events.schema)
+    dealt = F.when(F.col(key).isNotNull(), F.xxhash64(key)).otherwise(F.xxhash64(*arrival))
+    return events.repartition(dealt).sortWithinPartitions(key, *arrival).mapInArrow(fold, events.schema)
 
 
 def only_new(batch: DataFrame, table: DataFrame, key: str) -> DataFrame:

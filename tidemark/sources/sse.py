@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import time
 import urllib.request
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
@@ -106,13 +108,105 @@ class FeedReader(SimpleDataSourceStreamReader):
                 raise OSError(f"the feed does not hold the event {end['id']!r} any more, which ends the batch after {start['id']!r}")
 
 
+class PrefetchingReader(FeedReader):
+    """Reads the feed ahead of batches, into a buffer of ``prefetch`` events.
+
+    A thread takes events off the connection while a batch is written, so that slow sinks do not leave the feed waiting. What the
+    buffer holds is waiting for a batch, or was given to one that is not confirmed; the longest confirmed prefix is
+    let go. While it is full the thread takes nothing, for ``stall`` seconds at most: then it gives up the connection, before any gap,
+    and the next batch resumes from the last event in the buffer. A batch that is read again comes from the buffer, if it still holds it.
+    """
+
+    def __init__(self, options: dict[str, str], lines=http_lines, sleep=time.sleep):
+        super().__init__(options, lines, sleep)
+        self.options = options
+        self.most_held, self.stall = int(options.get("prefetch", 10_000)), float(options.get("stall", 60))
+        self.changed = threading.Condition()
+        self.ahead: deque = deque()
+        self.given: deque = deque()  # in flight: read by a batch, not confirmed
+        self.filled_to: str | None = None  # the id up to which the feed was taken
+        self.read_to: str | None = None
+        self.let_go: str | None = None  # the id up to which all is confirmed
+        self.fault: BaseException | None = None
+        self.run, self.filling, self.released = 0, False, 0
+
+    def __reduce__(self):
+        return PrefetchingReader, (self.options,)
+
+    def _fill(self, run: int, start: str) -> None:
+        try:
+            for frame in self._frames(start):
+                with self.changed:
+                    while run == self.run and len(self.ahead) + len(self.given) >= self.most_held:
+                        if not self.changed.wait(self.stall):
+                            return
+                    if run != self.run:
+                        return
+                    self.ahead.append(frame)
+                    self.filled_to = frame[0] or self.filled_to
+                    self.changed.notify_all()
+        except OSError as e:
+            self.fault = e
+        finally:
+            with self.changed:
+                if run == self.run:
+                    self.filling = False
+                self.changed.notify_all()
+
+    def _started(self, start: str) -> None:
+        """The thread runs, and what it brings follows start."""
+        if start != self.read_to:
+            self.run += 1
+            self.ahead.clear()
+            self.given.clear()
+            self.filled_to = self.read_to = self.let_go = start
+            self.filling = False
+        if not self.filling and len(self.ahead) + len(self.given) < self.most_held:
+            self.filling, self.fault = True, None
+            threading.Thread(target=self._fill, args=(self.run, self.filled_to or ""), daemon=True).start()
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        with self.changed:
+            self._started(start["id"])
+            self.changed.wait_for(lambda: self.ahead or not self.filling, self.seconds)
+            if not self.ahead and self.fault:
+                raise self.fault
+            rows = [self.ahead.popleft() for _ in range(min(self.most, len(self.ahead)))]
+            self.given.extend(rows)
+            self.read_to = next((i for i, *_ in reversed(rows) if i), start["id"])
+            self.changed.notify_all()
+            return iter(rows), {"id": self.read_to}
+
+    def commit(self, end: dict) -> None:
+        """Lets go of what the batch up to end was given; an id that the buffer does not know changes nothing."""
+        with self.changed:
+            if any(i == end["id"] for i, *_ in self.given):
+                while self.given:
+                    i = self.given.popleft()[0]
+                    self.released += 1
+                    if i == end["id"] and not any(j == i for j, *_ in self.given):
+                        break
+                self.let_go = end["id"]
+            self.changed.notify_all()
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        with self.changed:
+            ids = [i for i, *_ in self.given]
+            known = start["id"] in ids or start["id"] == self.let_go
+            if end["id"] in ids and known:
+                last = len(ids) - 1 - ids[::-1].index(end["id"])
+                first = len(ids) - ids[::-1].index(start["id"]) if start["id"] in ids else 0
+                return iter(list(self.given)[first : last + 1])
+        return super().readBetweenOffsets(start, end)
+
+
 def registered(spark) -> None:
     """Makes the format ``sse`` known to the session."""
     spark.dataSource.register(Feed)
 
 
 class Feed(DataSource):
-    """Options: url; events and seconds (of a batch); attempts; timeout."""
+    """Options: url; events and seconds (of a batch); attempts; timeout; prefetch (events in a buffer; none: no buffer) and stall."""
 
     @classmethod
     def name(cls) -> str:
@@ -122,4 +216,4 @@ class Feed(DataSource):
         return SCHEMA
 
     def simpleStreamReader(self, schema) -> FeedReader:
-        return FeedReader(dict(self.options))
+        return (PrefetchingReader if "prefetch" in self.options else FeedReader)(dict(self.options))
