@@ -121,3 +121,35 @@ def test_three_rounds_against_all_segmentations(spark):
     got = {r.doc_id: r.score for r in score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for k, own_words in words.items():
         assert math.isclose(got[k], (sum(by_hand(own, logp, w) for w in own_words) + logp[-1]) / math.log(10), rel_tol=1e-9)
+
+
+def test_words_by_themselves_equal_words_side_by_side(monkeypatch):
+    import random
+
+    from tidemark.llm import lattice
+
+    r, own = random.Random(3), Lattice("piece_bpe_32k.model")
+    logp = own.initial()
+    words = ["".join(r.choice("thinge漢é😀 \x00"[:10]) for _ in range(n)) for n in (1, 2, 7, 40, 200) for _ in range(6)]
+    weights = np.array([r.random() for _ in words])
+    got = []
+    for few in (0, 1000):
+        monkeypatch.setattr(lattice, "FEW", few)
+        counts = np.zeros(own.size)
+        got.append((own.likelihoods(words, logp, weights, counts), counts))
+    assert np.allclose(got[0][0], got[1][0], rtol=1e-12) and np.allclose(got[0][1], got[1][1], rtol=1e-9, atol=1e-12)
+
+
+def test_a_hundred_thousand_letters_without_a_space(spark):
+    import random
+    import time
+
+    r, own = random.Random(4), Lattice("piece_bpe_32k.model")
+    word, logp, counts = "".join(r.choice("etaoinshr漢") for _ in range(100_000)), own.initial(), np.zeros(own.size)
+    began = time.perf_counter()
+    whole = own.likelihoods([word], logp, np.ones(1), counts)[0]
+    took = time.perf_counter() - began
+    assert took < 5 and whole < 0 and 20_000 < counts.sum() <= 300_001  # pieces of a character or more, bytes of some
+    docs = [(k, (word[:3000] if k % 2 else "short words") if k != 3 else word) for k in range(6)]
+    got = {x.doc_id: x for x in score(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(math.isfinite(x.score) and x.score < 0 for x in got.values()) and got[3].n_tokens == 2 and got[3].score < got[1].score

@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from .common import text_of, tokenizer_path, written
 
 SPACE = "▁"
-#: Words longer than this have a lattice of their own; shorter ones are laid out side by side by length.
+#: Words of one length are laid out side by side: ROWS of up to this length, fewer of longer ones.
 SIDE_BY_SIDE = 48
 #: Rows of such a layout.
 ROWS = 4096
+#: With fewer words of a length than this, each is gone along by itself, which costs a few microseconds a character, however long it is.
+FEW = 24
 #: A worker's memorised words, and the distinct words that a counting task holds, at most.
 MOST_WORDS, MOST_COUNTED = 400_000, 250_000
 #: Words from which a task of expected counts goes over what it has read: many of each length side by side.
@@ -35,6 +37,18 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.uint64(46)  # slots: 2 ** (64 - 46)
 
 
+def _summed(edges: list[tuple[int, int, float]], n: int) -> list[float]:
+    """For each place up to n the log of the sum over all ways of edges (from, to, log) from 0 to it; edges are ordered by where they begin."""
+    log, exp = math.log1p, math.exp
+    ways = [0.0] + [-math.inf] * n
+    for i, e, v in edges:
+        a, b = ways[i] + v, ways[e]
+        if a > b:
+            a, b = b, a
+        ways[e] = b + log(exp(a - b)) if a > b - 40 else b
+    return ways
+
+
 class Lattice:
     """The vocabulary's pieces, found in many words at a time."""
 
@@ -138,12 +152,53 @@ class Lattice:
             step = ROWS if length <= SIDE_BY_SIDE else max(1, ROWS * SIDE_BY_SIDE // length)
             for at in range(0, len(own), step):
                 part = own[at : at + step]
+                if len(part) < FEW:
+                    for k in part:
+                        out[k] = self._along(words[k], logp, None if weights is None else weights[k], counts)
+                    continue
                 text = "".join(SPACE + words[k] for k in part)
                 codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(len(part), length).astype(np.uint64)
                 some = None if weights is None else weights[part]
                 out[part] = self._forward(codes, logp, some, counts)
         return out
 
+    def _along(self, word: str, logp: np.ndarray, weight: float | None, counts: np.ndarray | None) -> float:
+        """The same for one word of any length: pieces from all places are found at once, and only the recursion goes from one to the next."""
+        codes = np.frombuffer((SPACE + word).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        n, columns = len(codes), codes + np.uint64(1)
+        own, h = np.arange(n), np.zeros(n, dtype=np.uint64)
+        starts, ends, pieces = [], [], []
+        for size in range(1, min(n, self.longest) + 1):
+            inside = own + size <= n
+            own, h = own[inside], h[inside]
+            h = h * _MULTIPLIER + columns[own + size - 1]
+            begun, piece = self._find(h)
+            own, h, whole = own[begun], h[begun], piece >= 0
+            at, found = own[whole], piece[whole]
+            if size == 1:  # what is no piece is bytes
+                alone = np.setdiff1d(np.arange(n), at, assume_unique=True)
+                at, found = np.concatenate([at, alone]), np.concatenate([found, np.full(len(alone), -1, dtype=np.int64)])
+            starts.append(at)
+            ends.append(at + size)
+            pieces.append(found)
+            if not own.size:
+                break
+        start, end, piece = np.concatenate(starts), np.concatenate(ends), np.concatenate(pieces)
+        order = np.argsort(start, kind="stable")
+        start, end, piece = start[order], end[order], piece[order]
+        value, as_bytes = logp[piece], piece < 0
+        if as_bytes.any():
+            value[as_bytes] = self.by_bytes(codes[start[as_bytes]], logp)
+        edges = list(zip(start.tolist(), end.tolist(), value.tolist(), strict=True))
+        alpha = _summed(edges, n)
+        if weight is not None:
+            beta = _summed([(n - e, n - i, v) for i, e, v in sorted(edges, key=lambda x: -x[1])], n)[::-1]
+            used = np.exp(np.array(alpha)[start] + value + np.array(beta)[end] - alpha[n]) * weight
+            counts += np.bincount(piece[~as_bytes], used[~as_bytes], self.size)
+            for c, u in zip(codes[start[as_bytes]].tolist(), used[as_bytes].tolist(), strict=True):
+                np.add.at(counts, self.bytes_at[list(chr(c).encode("utf-8", "surrogatepass"))], u)
+        return alpha[n]
+
     def _forward(self, codes: np.ndarray, logp: np.ndarray, weights: np.ndarray | None, counts: np.ndarray | None) -> np.ndarray:
         rows, length = codes.shape
         alpha = np.full((length + 1, rows), -np.inf)
@@ -274,6 +329,8 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
     Rows whose crc32 of doc_id as text is 2 modulo 7 are held out, the others train. A null text is empty and scores its
     end alone; a null doc_id is hashed as the empty text; repeated rows count and are scored each; without a training row
     counts are 0 and pieces keep their initial probabilities; an empty table gives no rows; other columns are not read.
+    Words and texts of any length are scored whole: a word costs a few microseconds a character and memory in proportion,
+    whether it is among many of its length or a line of a script without spaces.
 
     Counts of the ``frequent`` words that occur most are broadcast (a bound on their number, and words over 64 bytes are
     left out, so their size is bounded); all other words of a document are joined by word, so no vocabulary is ever in
