@@ -27,8 +27,9 @@ SPACE = "▁"
 SIDE_BY_SIDE = 48
 #: Rows of such a layout.
 ROWS = 4096
-#: With fewer words of a length than this, each is gone along by itself, which costs a few microseconds a character, however long it is.
-FEW = 24
+#: A word by itself costs as much to begin as so many of its characters do, and a character so much less than a place of words
+#: side by side: with few words of a length, and long ones above all, each is gone along by itself.
+FEW = 40
 #: A worker's memorised words, and the distinct words that a counting task holds, at most.
 MOST_WORDS, MOST_COUNTED = 400_000, 250_000
 #: Words from which a task of expected counts goes over what it has read: many of each length side by side.
@@ -152,7 +153,7 @@ class Lattice:
             step = ROWS if length <= SIDE_BY_SIDE else max(1, ROWS * SIDE_BY_SIDE // length)
             for at in range(0, len(own), step):
                 part = own[at : at + step]
-                if len(part) < FEW:
+                if len(part) * (FEW + length) < FEW * length:
                     for k in part:
                         out[k] = self._along(words[k], logp, None if weights is None else weights[k], counts)
                     continue
