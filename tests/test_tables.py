@@ -94,6 +94,17 @@ def test_filters_choose_the_runs_that_are_read(spark, tmp_path):
     assert len(t.last_read) == 1 and t.read().count() == 2001
 
 
+def test_large_runs_have_filters_of_more_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "FILTER_KEYS", 10)
+    t = inserts(spark, tmp_path / "t")
+    for k, n in enumerate((5, 300, 2000)):
+        tables.insert_if_absent(t, rows_of(spark, *range(10_000 * k, 10_000 * k + n)), k)
+    filters = spark.read.parquet(f"{t.path}/filters/*")
+    assert {r.run: r.parts for r in filters.select("run", "parts").distinct().collect()} == {"main-0": 2, "main-1": 32, "main-2": 256}
+    tables.insert_if_absent(t, rows_of(spark, 3, 20_500, 77), 3)
+    assert t.last_read == ["main-0", "main-2"] and t.read().count() == 2306
+
+
 def test_a_filter_holds_its_keys_and_few_others():
     import numpy as np
 

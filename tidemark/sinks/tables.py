@@ -38,6 +38,11 @@ from ..functions.events import is_revert
 FANOUT, KEEP = 8, 24
 #: Bits for each key of a filter, and hashes of each key: less than one key in a million is found by mistake.
 BITS, HASHES = 32, 12
+#: Keys of a filter, about: larger runs have their keys in more hash parts, so that a task makes 4 MB of bits at a time.
+FILTER_KEYS = 1 << 20
+
+
+_FILTER = "run string, parts int, part int, bits binary"
 
 
 def _places(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -72,6 +77,7 @@ class Table:
         self.spark, self.path, self.schema, self.key, self.parts = spark, path.rstrip("/"), schema, key, parts
         self.order, self.slot, self.projections, self.fanout, self.fault = order, slot, projections or {}, fanout, fault
         self.columns = [f.name for f in spark.createDataFrame([], schema).schema]
+        self.last_read: list[str] = []  # the runs whose keys the last insert read
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self.fs = self._path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -170,16 +176,19 @@ class Table:
         for name, condition in self.projections.items():
             kept.where(condition).coalesce(1 if not level else 64).sortWithinPartitions("cell", self.slot[0] if self.slot else "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{self.path}/only-{name}/{run}")
         if not self.order:
-            self._write_filters(kept, run)
+            self._write_filters(kept, run, sum(r.n for r in found))
         return {"level": level, "seq": max((r.seq for r in found), default=0), "cells": {str(r.cell): [r.n, r.low, r.high, list(r.only)] for r in found}}
 
-    def _write_filters(self, rows: DataFrame, run: str) -> None:
+    def _write_filters(self, rows: DataFrame, run: str, n: int) -> None:
+        parts = self.parts << max(0, (n // (self.parts * FILTER_KEYS)).bit_length())
+
         def made(batch: pa.Table) -> pa.Table:
             bits = _filter_of(batch.column("h").to_numpy().view(np.uint64))
-            return pa.table({"run": pa.array([run]), "part": batch.column("part").slice(0, 1).combine_chunks(), "bits": pa.array([bits], pa.binary())})
+            return pa.table({"run": pa.array([run]), "parts": pa.array([parts], pa.int32()), "part": batch.column("part").slice(0, 1).combine_chunks(), "bits": pa.array([bits], pa.binary())})
 
-        hashes = rows.select(self._hash().alias("h")).withColumn("part", F.pmod("h", F.lit(self.parts)).cast("int"))
-        hashes.groupBy("part").applyInArrow(made, "run string, part int, bits binary").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/filters/{run}")
+        hashes = rows.select(self._hash().alias("h")).withColumn("part", F.pmod("h", F.lit(parts)).cast("int"))
+        filters = hashes.groupBy("part").applyInArrow(made, _FILTER)
+        (filters.coalesce(1) if parts == self.parts else filters).write.mode("overwrite").parquet(f"{self.path}/filters/{run}")
 
     def _may_overlap(self, batch: DataFrame, runs: list[str]) -> list[str]:
         """The runs whose filters may hold a key of batch. Filters meet the batch's hashes by part; only names of runs come back."""
@@ -191,9 +200,11 @@ class Table:
                 found = {run.as_py() for run, bits, hashes in zip(x.column("run"), x.column("bits"), x.column("hashes"), strict=True) if _may_hold(bits.as_py(), hashes.values.to_numpy().view(np.uint64))}
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["run"])
 
-        filters = self.spark.read.schema("run string, part int, bits binary").parquet(*(f"{self.path}/filters/{r}" for r in runs))
-        hashes = batch.select(self._hash().alias("h")).withColumn("part", F.pmod("h", F.lit(self.parts)).cast("int")).groupBy("part").agg(F.collect_set("h").alias("hashes"))
-        return sorted(r.run for r in filters.join(hashes, "part").select("run", "bits", "hashes").mapInArrow(hit, "run string").distinct().collect())
+        filters = self.spark.read.schema(_FILTER).parquet(*(f"{self.path}/filters/{r}" for r in runs))
+        dealt = [r.parts for r in filters.select("parts").distinct().collect()]  # one for each doubling of a run's size
+        hashes = batch.select(self._hash().alias("h"), F.explode(F.array(*map(F.lit, dealt))).alias("parts")).withColumn("part", F.pmod("h", "parts").cast("int"))
+        hashes = hashes.groupBy("parts", "part").agg(F.collect_set("h").alias("hashes"))
+        return sorted(r.run for r in filters.join(hashes, ["parts", "part"]).select("run", "bits", "hashes").mapInArrow(hit, "run string").distinct().collect())
 
     def write(self, batch: DataFrame, batch_id: int | None, writer: str = "main") -> bool:
         """Takes in a batch; False if this writer's batch of that number, or a later one, is there already. Without a number it is always taken in."""
@@ -202,7 +213,7 @@ class Table:
             return False
         seq = state["seq"] + 1
         rows = batch.select(*self.columns).withColumn("_seq", F.lit(seq).cast("long"))
-        self.last_read: list[str] = []
+        self.last_read = []
         if self.order:
             rows = self._merged(rows)
         else:
