@@ -7,7 +7,7 @@ import pytest
 
 from tidemark.llm import packing
 from tidemark.llm.common import tokenizer_path
-from tidemark.llm.packing import WordIds, best_fit_packing, sweep, whole_ids
+from tidemark.llm.packing import RUN, WordIds, best_fit_packing, matched, supersteps, whole_ids
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -32,17 +32,41 @@ def test_ids_are_the_librarys(library, monkeypatch):
 
 def packed(plan):
     out = []
-    for length, first, end, sequence, at, places in plan:
-        out += [(sequence + (r - first) // places, at + (r - first) % places * length, length) for r in range(first, end)]
+    for p in plan.collect():
+        assert (p.end - p.first) % p.places == 0
+        out += [(p.sequence + (r - p.first) // p.places, p.offset + (r - p.first) % p.places * p.length, p.length) for r in range(p.first, p.end)]
     return out
 
 
+def test_matched_is_one_sweep(spark):
+    """Over ranges and then across them, as for one document after another, from the longest: the smallest free gap."""
+    r = random.Random(5)
+    runs = [(True, r.randint(1, 60), 1000 * k, r.randint(1, 4)) for k in range(60)] + [(False, n, 0, r.randint(1, 5)) for n in range(20, 41)]
+    got = matched(spark.createDataFrame(runs, RUN).repartition(3), 40).collect()
+    gaps = sorted(size for is_gap, size, _, count in runs if is_gap for _ in range(count))
+    wanted, alone = Counter(), Counter()
+    for n in sorted((size for is_gap, size, _, count in runs if not is_gap for _ in range(count)), reverse=True):
+        gap = min((g for g in gaps if g >= n), default=None)
+        if gap is None:
+            alone[n] += 1
+        else:
+            gaps.remove(gap)
+            wanted[gap, n] += 1
+    found = Counter()
+    for x in got:
+        if x.length is not None:
+            found[x.size, x.length] += x.free
+    assert found == wanted and Counter({x.size: x.free for x in got if x.length is None and not x.is_gap}) == alone
+    assert sum(x.free for x in got if x.is_gap and x.length is None) == len(gaps)
+
+
 @pytest.mark.parametrize("seed", range(6))
-def test_sweep_packs_all_without_gaps(seed):
+def test_supersteps_pack_all_without_gaps(spark, seed):
     r = random.Random(seed)
     capacity = r.choice([10, 100, 4096])
     lengths = [r.randint(1, r.choice([3, capacity])) for _ in range(2000)]
-    places = packed(sweep(list(Counter(lengths).items()), capacity))
+    places = packed(supersteps(spark.createDataFrame(list(Counter(lengths).items()), "length long, n long"), capacity))
+    assert len({(s, at) for s, at, _ in places}) == len(lengths)
     assert Counter(x for *_, x in places) == Counter(lengths)
     used = {}
     for s, at, n in places:

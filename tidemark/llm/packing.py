@@ -1,26 +1,27 @@
 """Bulk-synchronous best-fit packing of tokenised documents into sequences of a fixed capacity.
 
-Documents are range-sorted by length, sequences by their gap. In each superstep all documents of the longest length left
-look for their successor among the gaps, the smallest gap that holds them. Rank settles conflicts: the document of rank r
-in its length takes the r-th place of that gap, those that find no place go on to the next gap, and where no gap is left
-they open sequences. Then gaps are updated and the next superstep begins. As lengths and gaps are whole numbers up to the
-capacity, documents of a length and sequences of a gap are runs, told by a count; the sweep is over runs, of which there
-are at most as many as the capacity has values, however many rows there are. It yields intervals of ranks with the
-sequence and offset that each begins at. Ranks are found and intervals are looked up in parallel for each row.
+Documents of one length and neighbouring sequences of one gap are runs, told by a count. A superstep takes the class of the
+longest documents left and all gaps that may hold one of them. Both are range-sorted by size, and each range is swept from
+the largest size on: a document's successor is the smallest gap before it that is still free. What finds no partner in
+its range is swept again across ranges, so that the whole is the match that one sweep would find. Within a length rank settles
+which document gets which place. A gap that is a multiple of the longest document offers as many places. Then gaps are
+updated and written, and the next superstep begins. Where no gap is left that holds any document of the class, as many sequences
+are opened as these need at least. A superstep cuts no more runs than its class has lengths, whatever the number of rows.
+Documents' ranks are found and their places looked up in parallel for each row.
 """
 
 from __future__ import annotations
 
-import bisect
 import os
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_of, tokenizer_path, written
@@ -201,57 +202,131 @@ def pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, task long, own_rank long")
 
 
-def sweep(runs: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
-    """Best-fit over runs (length, count), longest first.
+#: Runs: gaps of a size (at: their first sequence) or documents of a length (at: the first rank that is left).
+RUN = "is_gap boolean, size long, at long, count long"
+#: Runs in a sweep: places (or documents) begin to begin + free of the run; for what met, the documents' length and first rank.
+SWEPT = RUN + ", slots long, begin long, free long, length long, rank long"
+#: Lengths of a class reach down to a share of its longest; where up to NARROW fit into a sequence, so far as no more do.
+NARROW, WIDE = 3, 4
 
-    Intervals (length, first rank, end rank, sequence, offset, places): rank r of the interval goes to the sequence plus
-    (r - first) // places, at the offset plus (r - first) % places * length.
+
+def class_below(longest: int, capacity: int) -> int:
+    """The length above which documents belong to the class of the longest."""
+    fit = capacity // longest
+    return capacity // (fit + 1) if fit <= NARROW else longest // WIDE
+
+
+def sweep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What meets among runs that come by size from the largest, gaps before documents of their size; then what is left.
+
+    Each document takes the last place that came before it and is still free, which is of the smallest gap that holds it.
+    """
+    met: list[tuple] = []
+    left: list[tuple] = []
+    free_gaps: list[list[int]] = []
+    for x in batches:
+        for is_gap, size, at, count, slots, begin, free in zip(*(x.column(c).to_pylist() for c in ("is_gap", "size", "at", "count", "slots", "begin", "free")), strict=True):
+            if is_gap:
+                free_gaps.append([size, at, count, slots, begin, free])
+                continue
+            while free and free_gaps:
+                gap = free_gaps[-1]
+                n = min(free, gap[5])
+                met.append((True, *gap[:5], n, size, begin))
+                gap[4], gap[5], begin, free = gap[4] + n, gap[5] - n, begin + n, free - n
+                if not gap[5]:
+                    free_gaps.pop()
+            if free:
+                left.append((False, size, at, count, slots, begin, free, None, None))
+    left += [(True, *gap, None, None) for gap in free_gaps]
+    if met or left:
+        names = [c.split()[0] for c in SWEPT.split(", ")]
+        columns = [pa.array(c, pa.bool_() if k == 0 else pa.int64()) for k, c in enumerate(zip(*met, *left, strict=True))]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def matched(runs: DataFrame, longest: int) -> DataFrame:
+    """Which documents of runs get which places of gaps (length and rank are set), and what is left of either; written."""
+    slots = F.when(F.col("is_gap"), F.greatest(F.lit(1).cast("long"), F.expr(f"size div {longest}"))).otherwise(F.lit(1).cast("long"))
+    begin = F.when(F.col("is_gap"), F.lit(0).cast("long")).otherwise(F.col("at"))
+    items = runs.withColumn("slots", slots).withColumn("begin", begin).withColumn("free", F.col("slots") * F.col("count"))
+    order = [F.desc("size"), F.desc("is_gap"), F.asc("at")]
+    own = written(items.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(sweep, SWEPT), "swept")
+    # What is left of ranges are runs, a bounded number: they are swept across ranges.
+    across = own.where("length IS NULL").repartition(1).sortWithinPartitions(*order).mapInArrow(sweep, SWEPT)
+    return written(own.where("length IS NOT NULL").unionByName(across), "matched")
+
+
+def filled(found: DataFrame, capacity: int) -> DataFrame:
+    """gap, sequence, many, places, length, first, offset: documents of a length from rank first on go to many sequences, places to each."""
+    head = F.least(F.pmod(-F.col("begin"), F.col("slots")), F.col("free"))  # to the end of a sequence that has begun
+    parts = found.where("length IS NOT NULL").withColumn("head", head).withColumn("many", F.expr("(free - head) div slots"))
+    tail = F.col("free") - F.col("head") - F.col("many") * F.col("slots")
+
+    def part(unit: Column, many: Column, places: Column, rank: Column) -> Column:
+        sequence = F.col("at") + F.floor(unit / F.col("slots")).cast("long")
+        return F.struct(sequence.alias("sequence"), F.pmod(unit, F.col("slots")).alias("slot"), many.alias("many"), places.alias("places"), rank.alias("first"))
+
+    one, after = F.lit(1).cast("long"), F.col("head") + F.col("many") * F.col("slots")
+    each = F.array(
+        part(F.col("begin"), one, F.col("head"), F.col("rank")),
+        part(F.col("begin") + F.col("head"), F.col("many"), F.col("slots"), F.col("rank") + F.col("head")),
+        part(F.col("begin") + after, one, tail, F.col("rank") + after),
+    )
+    rows = parts.select(F.col("size").alias("gap"), "length", F.inline(each)).where("many > 0 AND places > 0")
+    earlier = Window.partitionBy("sequence").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.coalesce(F.sum(F.col("places") * F.col("length")).over(earlier), F.lit(0))
+    return rows.withColumn("offset", capacity - F.col("gap") + taken)
+
+
+def supersteps(lengths: DataFrame, capacity: int) -> DataFrame | None:
+    """Packs documents told by lengths (length, n): length, first, end, sequence, offset, places; None if there are none.
+
+    Rank r from first to end goes to the sequence plus (r - first) div places, at the offset plus (r - first) % places * length.
     """
-    plan, gaps, open_gaps, sequences = [], {}, [], 0
-
-    def add(gap: int, sequence: int, count: int) -> None:
-        if gap and count:
-            if gap not in gaps:
-                gaps[gap] = []
-                bisect.insort(open_gaps, gap)
-            gaps[gap].append((sequence, count))
-
-    for length, count in sorted(runs, reverse=True):
-        rank = 0
-        while rank < count:
-            k = bisect.bisect_left(open_gaps, length)
-            if k == len(open_gaps):  # no gap holds it
-                places = capacity // length
-                opened = -(-(count - rank) // places)
-                gap, sequence, there = capacity, sequences, opened
-                sequences += opened
-            else:
-                gap = open_gaps[k]
-                sequence, there = gaps[gap].pop()
-                if not gaps[gap]:
-                    del gaps[gap], open_gaps[k]
-                places = gap // length
-            filled, more = divmod(min(count - rank, there * places), places)
-            took = filled * places + more
-            plan.append((length, rank, rank + took, sequence, capacity - gap, places))
-            rank += took
-            add(gap - places * length, sequence, filled)
-            add(gap - more * length, sequence + filled, 1 if more else 0)
-            add(gap, sequence + filled + (more > 0), there - filled - (more > 0))
-    return plan
+    spark = lengths.sparkSession
+    long = lambda x: F.lit(x).cast("long")
+    runs = written(lengths.select(F.lit(False).alias("is_gap"), F.col("length").cast("long").alias("size"), long(0).alias("at"), F.col("n").alias("count")), "runs")
+    plan, sequences = None, 0
+    while True:
+        most = runs.agg(F.max(F.when(~F.col("is_gap"), F.col("size"))).alias("longest"), F.max(F.when(F.col("is_gap"), F.col("size"))).alias("gap")).first()
+        if most.longest is None:
+            return plan
+        below = class_below(most.longest, capacity)
+        own = runs.where(F.col("size") > below)
+        need = own.where("NOT is_gap").agg(F.min("size").alias("least"), F.sum("count").alias("n"), F.sum(F.col("size") * F.col("count")).alias("total")).first()
+        if most.gap is None or most.gap < need.least:
+            opened = max(-(-need.total // capacity), -(-need.n // (capacity // (below + 1))))
+            fresh = spark.range(1).select(F.lit(True).alias("is_gap"), long(capacity).alias("size"), long(sequences).alias("at"), long(opened).alias("count"))
+            own, sequences = own.unionByName(fresh), sequences + opened
+        found = matched(own, most.longest)
+        fills = written(filled(found, capacity), "fills")
+        rows = fills.select("length", "first", (F.col("first") + F.col("many") * F.col("places")).alias("end"), "sequence", "offset", "places")
+        plan = rows if plan is None else plan.unionByName(rows)
+        begun = F.ceil(F.col("begin") / F.col("slots")).cast("long")
+        left = found.where("length IS NULL")
+        now = [
+            runs.where(F.col("size") <= below),
+            left.where("NOT is_gap").select("is_gap", "size", F.col("begin").alias("at"), F.col("free").alias("count")),
+            left.where("is_gap").select("is_gap", "size", (F.col("at") + begun).alias("at"), (F.col("count") - begun).alias("count")),
+            fills.groupBy("sequence").agg((F.max("gap") - F.sum(F.col("places") * F.col("length"))).alias("size"), F.max("many").alias("count")).select(F.lit(True).alias("is_gap"), "size", F.col("sequence").alias("at"), "count"),
+        ]
+        runs = written(reduce(DataFrame.unionByName, now).where("size > 0 AND count > 0"), "runs")
 
 
 def packed(parts: DataFrame, capacity: int = 4096) -> DataFrame:
     """parts, as pieces() gives them and once written, with sequence_id and offset in place of task and own_rank."""
     context = parts.sparkSession.sparkContext
-    counts = parts.groupBy("length", "task").agg(F.count("*").alias("n"))
-    runs = [(r.length, r.n) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()]  # a row for each length
+    counts = written(parts.groupBy("length", "task").agg(F.count("*").alias("n")), "counts")
     # A piece's rank in its length is its rank in its task after the pieces of earlier tasks.
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("length", "task", F.coalesce(before, F.lit(0)).alias("before"))
     ranked = parts.join(offsets, ["length", "task"]).withColumn("rank", F.col("before") + F.col("own_rank"))
-    # The intervals number a few for each length up to the capacity, whatever the rows: their size is bounded.
-    plan = np.array(sorted(sweep(runs, capacity)), dtype=np.int64).reshape(-1, 6)
+    # The intervals number a few for each length up to the capacity and superstep, whatever the rows: their size is bounded.
+    found = supersteps(counts.groupBy("length").agg(F.sum("n").alias("n")), capacity)
+    names = ["length", "first", "end", "sequence", "offset", "places"]
+    table = found.select(names).toArrow().sort_by([("length", "ascending"), ("first", "ascending")]) if found is not None else None
+    plan = np.stack([table.column(c).to_numpy() for c in names], axis=1) if table is not None else np.empty((0, 6), dtype=np.int64)
     sent = context.broadcast(plan)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
