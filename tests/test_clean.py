@@ -75,3 +75,27 @@ def test_wire_round_trip_and_old_records(spark):
     good, bad = clean.from_wire(wire.unionByName(old), CLEAN_EVENT)
     assert {(r.event_id, r.user, r.log_type) for r in good.collect()} == {("evt-9", "Zoë", None), ("o", None, None)} and bad.count() == 1
     assert wire.first().key == "frwiki:Lyon"
+
+
+def test_odd_shapes_around_fields(spark):
+    payloads = [
+        changed(meta=5), changed(meta=None), changed(meta=[{"id": "a"}]), changed(META=1, Type="x", extra={"type": "log"}), changed(length="5", revision=0), changed(length={"OLD": "x", "old": 3}),
+        '{"type": "edit", "type": "new"}', "null", changed(title={"a": 1}), changed(meta={"id": "q", "domain": ["canary"]}),
+    ]
+    got = run(spark, payloads)
+    assert [r.reason for r in got] == ["missing meta.id", "missing meta.id", "missing meta.id", None, "length is not an object", None, "invalid json", "event is not a json object", "missing title", None]
+    assert (got[3].event.type, got[5].event.length_old, got[9].outcome) == ("edit", 3, "clean")
+
+
+def test_tasks_that_parse_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    """A row group is one split's, so that by splits alone a task would take it whole."""
+    from tidemark.plans import adapter, catalog
+    from tidemark.sources import logs
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    outcome = lambda: sorted(map(tuple, catalog.queries()["clean_events"](spark, str(tmp_path)).collect()))
+    before = outcome()
+    monkeypatch.setattr(logs, "TASK_ROWS", 40, raising=False)
+    sizes = adapter.raw(spark, str(tmp_path)).where("copy = 0").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 1000 and max(sizes) <= 50
+    assert outcome() == before and len(before) > 800

@@ -14,13 +14,10 @@ from ..schema import EVENT_TYPES
 KINDS = {"STRING": "str", "BOOLEAN": "bool", "DOUBLE": "float", "FLOAT": "float", "VOID": "NoneType"}
 
 
-#: Paths that are read, and the columns that hold their type (t_), text (s_) and number (n_).
-PATHS = {
-    "id": "$.meta.id", "dt": "$.meta.dt", "domain": "$.meta.domain", "type": "$.type", "wiki": "$.wiki", "title": "$.title", "namespace": "$.namespace",
-    "timestamp": "$.timestamp", "user": "$.user", "bot": "$.bot", "minor": "$.minor", "comment": "$.comment", "server_name": "$.server_name",
-    "log_type": "$.log_type", "log_action": "$.log_action", "revision": "$.revision", "rev_old": "$.revision.old", "rev_new": "$.revision.new",
-    "length": "$.length", "length_old": "$.length.old", "length_new": "$.length.new",
-}
+#: Fields that are read, by the object that holds them: each gets columns of its type (t_), text (s_) and, if NUMBERS has it, number (n_).
+TOP = ("type", "wiki", "title", "namespace", "timestamp", "user", "bot", "minor", "comment", "server_name", "log_type", "log_action", "revision", "length")
+META = ("id", "dt", "domain")
+PAIRS = {"rev": "revision", "length": "length"}
 NUMBERS = {"namespace": 32, "timestamp": 64, "rev_old": 64, "rev_new": 64, "length_old": 32, "length_new": 32}
 
 
@@ -87,10 +84,15 @@ def _event_time() -> Column:
 
 
 def _extracted(rows: DataFrame) -> DataFrame:
-    """rows (with v, a variant) and the type and text of every path, then numbers, title and time: each read once."""
-    kinds = {f"t_{n}": F.schema_of_variant(F.try_variant_get("v", p, "variant")) for n, p in PATHS.items()}
-    texts = {f"s_{n}": F.try_variant_get("v", p, "string") for n, p in PATHS.items()}
-    rows = rows.withColumns({"t_whole": F.schema_of_variant("v")} | kinds | texts)
+    """rows (with v, a variant) and the type and text of every field, then numbers, title and time: each object is gone through once.
+
+    Fields of what is no object are null, like those it lacks.
+    """
+    variants = lambda names: ", ".join(f"{n} variant" for n in names)
+    rows = rows.withColumn("x", F.try_variant_get("v", "$", f"struct<meta struct<{variants(META)}>, {variants(TOP)}>"))
+    rows = rows.withColumns({f"x_{prefix}": F.try_variant_get(F.col(f"x.{n}"), "$", f"struct<{variants(('old', 'new'))}>") for prefix, n in PAIRS.items()})
+    fields = {n: F.col(f"x.meta.{n}") for n in META} | {n: F.col(f"x.{n}") for n in TOP} | {f"{p}_{n}": F.col(f"x_{p}.{n}") for p in PAIRS for n in ("old", "new")}
+    rows = rows.withColumns({f"t_{n}": F.schema_of_variant(f) for n, f in fields.items()} | {f"s_{n}": F.try_variant_get(f, "$", "string") for n, f in fields.items()})
     numbers = {f"n_{n}": F.when(_whole(n), _s(n).try_cast("long" if bits == 64 else "int")) for n, bits in NUMBERS.items()}
     return rows.withColumns(numbers).withColumns({"c_title": collapsed(F.coalesce(_name("title"), F.lit(""))), "c_time": _event_time()})
 
@@ -104,12 +106,12 @@ def parsed(rows: DataFrame, value: str = "value") -> DataFrame:
     names, column = rows.columns, F.col(value)
     text = column if dict(rows.dtypes)[value] == "string" else F.try_validate_utf8(column.cast("string"))
     rows = _extracted(rows.withColumn("body", text).withColumn("v", F.try_parse_json("body")))
-    is_object = F.startswith(F.col("t_whole"), F.lit("OBJECT"))
+    no_object = _t("id").isNull() & ~F.startswith(F.schema_of_variant("v"), F.lit("OBJECT"))
     known_type = F.coalesce((_t("type") == "STRING") & _s("type").isin(*EVENT_TYPES), F.lit(False))
     reason = F.coalesce(
         F.when(F.col("body").isNull(), "value is not valid utf-8"),
         F.when(F.col("v").isNull(), "invalid json"),
-        F.when(~is_object, "event is not a json object"),
+        F.when(no_object, "event is not a json object"),
         F.when(_t("id").isNull(), "missing meta.id"),
         F.when(_name("id").isNull(), "meta.id is not a non-empty string"),
         F.when(~known_type, F.concat(F.lit("unknown event type: "), F.coalesce(_s("type"), F.lit("None")))),
@@ -120,7 +122,7 @@ def parsed(rows: DataFrame, value: str = "value") -> DataFrame:
         _container_fault("revision"), _number_fault("rev_old"), _number_fault("rev_new"),
         _container_fault("length"), _number_fault("length_old"), _number_fault("length_new"),
     )
-    canary = F.coalesce(is_object & (_t("domain") == "STRING") & (_s("domain") == "canary"), F.lit(False))
+    canary = F.coalesce((_t("domain") == "STRING") & (_s("domain") == "canary"), F.lit(False))
     event = F.struct(
         _s("id").alias("event_id"), _s("wiki").alias("wiki"), F.col("c_title").alias("title"), _s("type").alias("type"), F.col("n_namespace").alias("namespace"),
         _text("user").alias("user"), _truthy("bot").alias("bot"), _truthy("minor").alias("minor"), stripped(_text("comment")).alias("comment"), F.col("c_time").alias("event_time"),

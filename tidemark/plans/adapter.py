@@ -29,7 +29,10 @@ FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'new' WHEN 'purchase' THEN CA
 
 def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean events with is_revert, event_ms, arrival_ms, seq, partition and ingested_at; timestamps without a zone."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return _edits(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def _edits(e: DataFrame) -> DataFrame:
     kind = F.expr("CASE event_type WHEN 'signup' THEN 'new' WHEN 'purchase' THEN CASE WHEN event_id % 4 = 0 THEN 'log' ELSE 'categorize' END ELSE 'edit' END")
     comment = F.expr("CASE event_type WHEN 'error' THEN 'Reverted edits by X' WHEN 'click' THEN 'Undid revision 1 by Y' ELSE 'copyedit' END")
     site = F.concat(F.lit("w"), (F.col("user_id") % 2).cast("string"))
@@ -50,7 +53,7 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON events as value, with seq and arrival_ms: every 50th is malformed, every 40th a heartbeat, every 30th twice, others lack a field."""
-    e = spread(edits(spark, sf_dir))
+    e = _edits(spread(spark.read.parquet(f"{sf_dir}/events.parquet")))
     number = lambda a, b: F.struct(F.col(a).alias("old"), F.col(b).alias("new"))
     body = F.to_json(F.struct(
         F.struct(F.col("event_id").alias("id"), F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("dt"), F.when(F.col("seq") % 40 == 7, "canary").otherwise("site.example.org").alias("domain")).alias("meta"),

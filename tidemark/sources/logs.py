@@ -15,6 +15,8 @@ KAFKA_WRITE = {"kafka.acks": "all", "kafka.enable.idempotence": "true", "kafka.c
 BATCH_ROWS, SCAN_ROWS = 2000, 100_000
 #: Rows of a partition that a state is rebuilt from at most.
 WARM_ROWS = 200_000
+#: Rows of a task that parses or writes JSON.
+TASK_ROWS = 50_000
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -24,9 +26,12 @@ def json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """rows dealt out to all cores where the input has fewer splits, for costly projections over a small input."""
+    """rows dealt out for costly projections: a small input to all cores, a large one to more tasks of TASK_ROWS each, so that no task grows with it.
+
+    Splits would not do: a row group is read by one task, however many splits it spans. Counting a table reads its footers only.
+    """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows._jdf.queryExecution().toRdd().getNumPartitions() < cores else rows
+    return rows.repartition(max(cores, -(-rows.count() // TASK_ROWS)))
 
 
 def stream_lines(spark: SparkSession, path: str, files_a_batch: int = 16) -> DataFrame:
