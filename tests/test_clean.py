@@ -99,3 +99,14 @@ def test_tasks_that_parse_do_not_grow_with_the_table(spark, tmp_path, monkeypatc
     sizes = adapter.raw(spark, str(tmp_path)).where("copy = 0").rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert sum(sizes) == 1000 and max(sizes) <= 50
     assert outcome() == before and len(before) > 800
+
+
+def test_outcomes_need_no_more_than_the_id(spark):
+    from tidemark.plans import catalog
+
+    rows = spark.createDataFrame([(0, changed()), (1, changed()), (2, "bad"), (3, changed(wiki=""))], "n int, value string")
+    few, whole = clean.parsed(rows, fields=("event_id",)), clean.parsed(rows)
+    assert few.select("n", "outcome", "reason", "event.event_id").collect() == whole.select("n", "outcome", "reason", "event.event_id").collect()
+    assert few.schema["event"].dataType.names == ["event_id"] and len(whole.schema["event"].dataType) == 17
+    plan = catalog.queries()["clean_outcomes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "s_wiki" in plan and "s_comment" not in plan and "s_user" not in plan

@@ -97,8 +97,8 @@ def _extracted(rows: DataFrame) -> DataFrame:
     return rows.withColumns(numbers).withColumns({"c_title": collapsed(F.coalesce(_name("title"), F.lit(""))), "c_time": _event_time()})
 
 
-def parsed(rows: DataFrame, value: str = "value") -> DataFrame:
-    """rows with outcome (clean, rejected or skipped), reason and event, a struct of a clean event's fields.
+def parsed(rows: DataFrame, value: str = "value", fields: tuple[str, ...] = ()) -> DataFrame:
+    """rows with outcome (clean, rejected or skipped), reason and event, a struct of a clean event's fields, or of those asked for.
 
     The first fault in the order of validation is the reason. Heartbeats (meta.domain canary) are skipped before they
     are validated. value may be binary or a string; null is rejected. Timestamps need a session in UTC.
@@ -123,12 +123,13 @@ def parsed(rows: DataFrame, value: str = "value") -> DataFrame:
         _container_fault("length"), _number_fault("length_old"), _number_fault("length_new"),
     )
     canary = F.coalesce((_t("domain") == "STRING") & (_s("domain") == "canary"), F.lit(False))
-    event = F.struct(
-        _s("id").alias("event_id"), _s("wiki").alias("wiki"), F.col("c_title").alias("title"), _s("type").alias("type"), F.col("n_namespace").alias("namespace"),
-        _text("user").alias("user"), _truthy("bot").alias("bot"), _truthy("minor").alias("minor"), stripped(_text("comment")).alias("comment"), F.col("c_time").alias("event_time"),
-        *(F.col(f"n_{n}").alias(n) for n in ("rev_old", "rev_new", "length_old", "length_new")),
-        _text("server_name").alias("server_name"), _name("log_type").alias("log_type"), _name("log_action").alias("log_action"),
-    )
+    every = {
+        "event_id": _s("id"), "wiki": _s("wiki"), "title": F.col("c_title"), "type": _s("type"), "namespace": F.col("n_namespace"),
+        "user": _text("user"), "bot": _truthy("bot"), "minor": _truthy("minor"), "comment": stripped(_text("comment")), "event_time": F.col("c_time"),
+        **{n: F.col(f"n_{n}") for n in ("rev_old", "rev_new", "length_old", "length_new")},
+        "server_name": _text("server_name"), "log_type": _name("log_type"), "log_action": _name("log_action"),
+    }
+    event = F.struct(*(every[n].alias(n) for n in fields or every))
     rows = rows.withColumn("reason", F.when(~canary, reason)).withColumn("canary", canary)
     outcome = F.when(F.col("canary"), "skipped").when(F.col("reason").isNotNull(), "rejected").otherwise("clean")
     rows = rows.withColumn("outcome", outcome).withColumn("event", F.when(F.col("outcome") == "clean", event))

@@ -75,13 +75,14 @@ def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.latest(adapter.edits(spark, sf_dir), *ARRIVAL)
 
 
-def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.with_duplicates(clean.parsed(adapter.raw(spark, sf_dir)), "arrival_ms", "seq", "copy")
+def _parsed(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    return clean.with_duplicates(clean.parsed(adapter.raw(spark, sf_dir), fields=fields), "arrival_ms", "seq", "copy")
 
 
 @query(f"SELECT outcome, reason, count(*) AS n FROM ({adapter.RAW_SQL}) GROUP BY ALL")
 def clean_outcomes(spark, sf_dir):
-    return _parsed(spark, sf_dir).groupBy("outcome", "reason").agg(F.count("*").alias("n"))
+    """Repeats are told by their id; no other field of an event is read for its outcome."""
+    return _parsed(spark, sf_dir, "event_id").groupBy("outcome", "reason").agg(F.count("*").alias("n"))
 
 
 @query(f"""SELECT event_id, wiki, title, type, namespace, "user", bot, minor, comment, event_ms, rev_old, rev_new, length_old, length_new, server_name, log_type, log_action
