@@ -110,3 +110,12 @@ def test_outcomes_need_no_more_than_the_id(spark):
     assert few.schema["event"].dataType.names == ["event_id"] and len(whole.schema["event"].dataType) == 17
     plan = catalog.queries()["clean_outcomes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "s_wiki" in plan and "s_comment" not in plan and "s_user" not in plan
+
+
+def test_dead_letters_read_no_more_than_the_id_and_reasons_once(spark):
+    from tidemark.plans import catalog
+
+    letters = catalog.queries()["dead_letters"](spark, "/root/testdata/sf0.001")
+    plan = letters._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("missing wiki") == 1 and "s_comment" not in plan and "s_user" not in plan
+    assert 0 < letters.where("seq % 50 = 3 AND reason = 'invalid json'").count() < letters.count()

@@ -94,7 +94,8 @@ def clean_events(spark, sf_dir):
 
 @query(f"SELECT 'clean' AS stage, reason, seq FROM ({adapter.RAW_SQL}) WHERE outcome = 'rejected'")
 def dead_letters(spark, sf_dir):
-    letters = clean.dead_letters(_parsed(spark, sf_dir), "clean", "raw", position=("seq",))
+    """Of an event only its id is read. The rows are filtered behind the shuffle: in front of it, reasons would be evaluated twice, in more code than one method holds."""
+    letters = clean.dead_letters(_parsed(spark, sf_dir, "event_id"), "clean", "raw", position=("seq",))
     return letters.select("stage", "reason", F.col("position")["seq"].cast("long").alias("seq"))
 
 
