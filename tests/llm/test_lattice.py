@@ -153,3 +153,60 @@ def test_a_hundred_thousand_letters_without_a_space(spark):
     docs = [(k, (word[:3000] if k % 2 else "short words") if k != 3 else word) for k in range(6)]
     got = {x.doc_id: x for x in score(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert all(math.isfinite(x.score) and x.score < 0 for x in got.values()) and got[3].n_tokens == 2 and got[3].score < got[1].score
+
+
+def test_each_word_is_scored_once_wherever_it_stands(spark, tmp_path, monkeypatch):
+    from pyspark import cloudpickle
+
+    from tidemark.llm import lattice
+
+    log, likelihoods = str(tmp_path / "scored"), Lattice.likelihoods
+
+    def logged(self, words, logp, weights=None, counts=None):
+        if weights is None:
+            with open(log, "a") as f:
+                f.writelines(f"{w}\n" for w in words)
+        return likelihoods(self, words, logp, weights, counts)
+
+    docs = spark.createDataFrame([(k, "the cat sat", k) for k in range(40)] + [(99, "x" * 300 + " dog", 0)], "doc_id long, text string, n long").repartition(8, "n")
+    monkeypatch.setattr(Lattice, "likelihoods", logged)
+    cloudpickle.register_pickle_by_value(lattice)  # tasks too then log what they score
+    try:
+        got = score(docs, frequent=2).collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(lattice)
+    assert len(got) == 41 and len({r.score for r in got if r.doc_id < 40}) == 1
+    assert Counter(open(log).read().split()) == Counter(["the", "cat", "sat", "x" * 300, "dog"])
+
+
+def test_words_of_texts_in_slices(monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.llm import lattice
+
+    texts = ["", " \t\n", "The  CAT\x0bsat\x0c", "\u00a0É漢 \x1cz\x00 ẞ", "a" * 50, "x\r\ny", "", " end"]
+    for most in (1, 7, 1 << 22):
+        monkeypatch.setattr(lattice, "MOST_BYTES", most)
+        got = [(r["doc_id"], w) for some, words, row in lattice.words_of(pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})) for r, w in [(some.to_pylist()[k], w) for k, w in zip(row, words.to_pylist(), strict=True)]]
+        assert got == [(k, w) for k, t in enumerate(texts) for w in t.encode().lower().split()]
+    nothing = pa.RecordBatch.from_pydict({"text": pa.array([], pa.string())})
+    assert [len(words) for _, words, _ in lattice.words_of(nothing)] == [0]
+
+
+@pytest.mark.parametrize("most", [1, 4, 250_000])
+def test_counts_of_words_in_flushes(spark, monkeypatch, most):
+    from pyspark import cloudpickle
+
+    from tidemark.llm import lattice
+
+    monkeypatch.setattr(lattice, "MOST_COUNTED", most)
+    monkeypatch.setattr(lattice, "MOST_BYTES", 10)
+    rows = spark.createDataFrame([(k % 3 == 0, t or "") for k, t in ROWS], "held_out boolean, text string")
+    cloudpickle.register_pickle_by_value(lattice)
+    try:
+        got = {bytes(r.word): (r.n, r.n_all) for r in lattice.word_counts(rows).collect()}
+    finally:
+        cloudpickle.unregister_pickle_by_value(lattice)
+    every = [(k % 3 != 0, w) for k, t in ROWS for w in (t or "").encode().lower().split()]
+    n_all, n = Counter(w for _, w in every), Counter(w for trained, w in every if trained)
+    assert got == {w: (n[w], n_all[w]) for w in n_all}

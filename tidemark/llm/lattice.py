@@ -5,22 +5,23 @@ pieces. The document's probability is the sum over all segmentations of the prod
 forward recursion in log space. As no piece holds a space after another character, the lattice falls apart at spaces:
 the sum for a document is the product of the sums for its words, and of the probability that the document ends.
 The pieces' probabilities start from their ranks in the vocabulary and are re-estimated on the training rows by expected
-counts over all segmentations (forward and backward), computed once for each distinct word and weighted by its count.
+counts over all segmentations (forward and backward), computed once for each distinct word and weighted by its count; so
+is a word's sum in the end, and documents only look up or join what their words have.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, tokenizer_path, written
+from .common import appended, text_of, tokenizer_path, written
 
 SPACE = "▁"
 #: Words of one length are laid out side by side: ROWS of up to this length, fewer of longer ones.
@@ -30,9 +31,9 @@ ROWS = 4096
 #: A word by itself costs as much to begin as so many of its characters do, and a character so much less than a place of words
 #: side by side: with few words of a length, and long ones above all, each is gone along by itself.
 FEW = 40
-#: A worker's memorised words, and the distinct words that a counting task holds, at most.
-MOST_WORDS, MOST_COUNTED = 400_000, 250_000
-#: Words from which a task of expected counts goes over what it has read: many of each length side by side.
+#: Bytes of texts from which their words are taken out together, and the counted words that a task then holds, about.
+MOST_BYTES, MOST_COUNTED = 1 << 22, 250_000
+#: Distinct words from which a task goes over what it has read: many of each length side by side.
 MOST_AT_ONCE = 50_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _BITS = np.uint64(46)  # slots: 2 ** (64 - 46)
@@ -239,35 +240,53 @@ def lattice(vocabulary: str) -> Lattice:
     return _lattices[vocabulary]
 
 
-def words_of(text: str) -> list[bytes]:
-    """Words between ASCII white space, with A-Z in lower case."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+def words_of(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray]]:
+    """For some rows of a batch after the other, the words of their texts between ASCII white space, with A-Z in lower case, and each word's row among them."""
+    upto = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+    for a, b in pairwise([0, *(np.flatnonzero(np.diff(upto // MOST_BYTES)) + 1).tolist(), batch.num_rows]):
+        some = batch.slice(a, b - a)
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(some.column("text")))
+        words = lists.flatten()
+        inside = pc.greater(pc.binary_length(words), 0)
+        yield some, words.filter(inside).cast(pa.binary()), pc.list_parent_indices(lists).filter(inside).to_numpy()
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
     """word, n (in training rows), n_all for each distinct word of rows (held_out, text), counted in tasks first."""
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: tuple[Counter, Counter] = Counter(), Counter()
-
-        def flushed() -> pd.DataFrame:
-            trained, held = seen
-            out = pd.DataFrame({"word": [*trained, *held], "n": [*trained.values(), *[0] * len(held)], "n_all": [*trained.values(), *held.values()]})
-            trained.clear()
-            held.clear()
-            return out
+    def summed(seen: list[pa.Table]) -> pa.Table:
+        sums = pa.concat_tables(seen).group_by("word", use_threads=False).aggregate([("n", "sum"), ("n_all", "sum")])
+        return pa.table({"word": sums["word"], "n": sums["n_sum"], "n_all": sums["n_all_sum"]})
 
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[pa.Table] = []
         for x in batches:
-            for held, text in zip(x["held_out"], x["text"], strict=True):
-                seen[bool(held)].update(words_of(text))
-                if len(seen[0]) + len(seen[1]) > MOST_COUNTED:
-                    yield flushed()
-        yield flushed()
-
-    each = rows.select("held_out", "text").mapInPandas(count, "word binary, n long, n_all long")
+            for some, words, row in words_of(x):
+                trained = ~some.column("held_out").to_numpy(zero_copy_only=False)
+                seen.append(summed([pa.table({"word": words, "n": trained[row].astype(np.int64), "n_all": np.ones(len(row), dtype=np.int64)})]))
+                if sum(map(len, seen)) > MOST_COUNTED:
+                    seen = [summed(seen)]
+                    if 2 * len(seen[0]) > MOST_COUNTED:
+                        yield from seen.pop().to_batches()
+        if seen:
+            yield from (summed(seen) if len(seen) > 1 else seen[0]).to_batches()
+
+    each = rows.select("held_out", "text").mapInArrow(count, "word binary, n long, n_all long")
     return each.groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all"))
 
 
+def at_once(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[str]]]:
+    """Batches put together until they have MOST_AT_ONCE words or MOST_BYTES, and the words."""
+    held: list[pa.RecordBatch] = []
+    for x in batches:
+        held.append(x)
+        if sum(h.num_rows for h in held) >= MOST_AT_ONCE or sum(h.nbytes for h in held) >= MOST_BYTES:
+            yield pa.Table.from_batches(held), [w.decode("utf-8", "replace") for h in held for w in h.column("word").to_pylist()]
+            held = []
+    if held:
+        yield pa.Table.from_batches(held), [w.decode("utf-8", "replace") for h in held for w in h.column("word").to_pylist()]
+
+
 def learnt(counts: DataFrame, ends: int, vocabulary: str, rounds: int, smoothing: float) -> np.ndarray:
     """The pieces' log probabilities after so many rounds of expectation and maximisation over counts (word, n)."""
     own = lattice(vocabulary)
@@ -276,28 +295,15 @@ def learnt(counts: DataFrame, ends: int, vocabulary: str, rounds: int, smoothing
         context = counts.sparkSession.sparkContext
         sent = context.broadcast(logp)  # as long as the vocabulary
 
-        def expect(batches: Iterable[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+        def expect(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             here = lattice(vocabulary)
             total = np.zeros(here.size)
-            words: list[str] = []
-            times: list[np.ndarray] = []
-
-            def add() -> None:
-                if words:
-                    here.likelihoods(words, sent.value, np.concatenate(times), total)
-                    words.clear()
-                    times.clear()
-
-            for x in batches:
-                words += [w.decode("utf-8", "replace") for w in x["word"]]
-                times.append(x["n"].to_numpy(dtype=float))
-                if len(words) >= MOST_AT_ONCE:
-                    add()
-            add()
+            for some, words in at_once(batches):
+                here.likelihoods(words, sent.value, some["n"].to_numpy().astype(float), total)
             at = np.flatnonzero(total)
-            yield pd.DataFrame({"piece": at, "expected": total[at]})
+            yield pa.RecordBatch.from_pydict({"piece": at.astype(np.int32), "expected": total[at]})
 
-        each = counts.where("n > 0").select("word", "n").mapInPandas(expect, "piece int, expected double")
+        each = counts.where("n > 0").select("word", "n").mapInArrow(expect, "piece int, expected double")
         expected = np.full(own.size, smoothing)
         for r in each.groupBy("piece").agg(F.sum("expected").alias("expected")).collect():  # as many as the vocabulary has
             expected[r.piece] += r.expected
@@ -306,8 +312,20 @@ def learnt(counts: DataFrame, ends: int, vocabulary: str, rounds: int, smoothing
     return logp
 
 
-def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
-    """word to n of the words that occur most in all rows: all with at least so many that there are ``most`` at most.
+def with_likelihoods(counts: DataFrame, vocabulary: str, logp: np.ndarray) -> DataFrame:
+    """counts (word, n, n_all) with each word's log probability over all its segmentations."""
+    sent = counts.sparkSession.sparkContext.broadcast(logp)
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = lattice(vocabulary)
+        for some, words in at_once(batches):
+            yield from some.append_column("likely", pa.array(here.likelihoods(words, sent.value))).to_batches()
+
+    return counts.select("word", "n", "n_all").mapInArrow(add, "word binary, n long, n_all long, likely double")
+
+
+def most_frequent(counts: DataFrame, most: int) -> pa.Table:
+    """word, n and likely of the words that occur most in all rows: all with at least so many that there are ``most`` at most.
 
     The number comes from a histogram, so that no task sends more than these words. Words over 64 bytes are left out.
     """
@@ -318,10 +336,7 @@ def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
         if total > most:
             break
         least = r.bin
-    if least is None:
-        return {}
-    found = short.where(F.col("bin") >= least).select("word", "n").toArrow()
-    return dict(zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True))
+    return short.where(F.lit(False) if least is None else F.col("bin") >= least).select("word", "n", "likely").toArrow()
 
 
 def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int = 3, smoothing: float = 0.1, frequent: int = 200_000) -> DataFrame:
@@ -331,11 +346,11 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
     end alone; a null doc_id is hashed as the empty text; repeated rows count and are scored each; without a training row
     counts are 0 and pieces keep their initial probabilities; an empty table gives no rows; other columns are not read.
     Words and texts of any length are scored whole: a word costs a few microseconds a character and memory in proportion,
-    whether it is among many of its length or a line of a script without spaces.
+    whether it is among many of its length or a line of a script without spaces, once for all places where it stands.
 
-    Counts of the ``frequent`` words that occur most are broadcast (a bound on their number, and words over 64 bytes are
-    left out, so their size is bounded); all other words of a document are joined by word, so no vocabulary is ever in
-    one place. Texts are not shuffled. The result is the same for any such number.
+    Counts and likelihoods of the ``frequent`` words that occur most are broadcast (a bound on their number, and words over
+    64 bytes are left out, so their size is bounded); all other words of a document are joined by word, so no vocabulary is
+    ever in one place. Texts are not shuffled. The result is the same for any such number.
     """
     spark = docs.sparkSession
     doc_id = F.col("doc_id").cast("long")
@@ -346,66 +361,48 @@ def score(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", rounds: int
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
     n, v = n + ends, v + (ends > 0)
     logp = learnt(counts, ends, vocabulary, rounds, smoothing)
-    sent = spark.sparkContext.broadcast((most_frequent(counts, frequent), logp))
-    divisor = math.log10(n + v + 1)
+    scored = written(with_likelihoods(counts, vocabulary, logp), "word-scores")
+    divisor, end = math.log10(n + v + 1), float(logp[-1])
+    sent = spark.sparkContext.broadcast(most_frequent(scored, frequent))
 
     def begin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_words, logp = sent.value
-        own, ten = lattice(vocabulary), math.log(10)
-        memo: dict[bytes, tuple[float, float | None, int]] = {}
-        end_base, end_score = math.log10(ends + 1) - divisor, float(logp[-1])
-
-        def learn(new: list[bytes], memo: dict[bytes, tuple[float, float | None, int]]) -> None:
-            likely = own.likelihoods([w.decode("utf-8", "replace") for w in new], logp).tolist()
-            for w, score in zip(new, likely, strict=True):
-                c = known_words.get(w)
-                memo[w] = (score, None, 0) if c is None else (score, math.log10(c + 1) - divisor, 1 if c else 0)
-
+        known_words = sent.value["word"].combine_chunks()
+        c, likely = (np.append(sent.value[name].to_numpy(), 0) for name in ("n", "likely"))  # the last place is for all other words
+        base = np.append(np.log10(c[:-1] + 1.0) - divisor, 0)
         for x in batches:
-            texts = x.column("text").to_pylist()
-            out: list[tuple] = []
-            words: list[bytes] = []
-            times: list[int] = []
-            cuts = [0]
-            for at in range(0, len(texts), 1024):
-                tallies = [Counter(words_of(t)) for t in texts[at : at + 1024]]
-                new = {w for t in tallies for w in t if w not in memo}
-                if len(memo) + len(new) > MOST_WORDS:  # frequent words stay
-                    memo = {w: m for w, m in memo.items() if w in known_words}
-                    new = {w for t in tallies for w in t if w not in memo}
-                learn(list(new), memo)
-                for t in tallies:
-                    base, scored, known = end_base, end_score, 1 if ends else 0
-                    for w, k in t.items():
-                        score, b, is_known = memo[w]
-                        scored += k * score
-                        if b is None:
-                            words.append(w)
-                            times.append(k)
-                        else:
-                            base += k * b
-                            known += k * is_known
-                    out.append((t.total() + 1, known, base, scored / ten))
-                    cuts.append(len(words))
-            columns = list(zip(*out, strict=True)) if out else [()] * 4
-            rest = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int64())], ["word", "k"])
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            made = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)] + [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rest)]
-            yield pa.RecordBatch.from_arrays([x.column(c) for c in ("row", "doc_id", "held_out")] + made, ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rest"])
-
-    kept = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<struct<word: binary, k: long>>"
+            for some, words, row in words_of(x):
+                rows = some.num_rows
+                found = pc.index_in(words, value_set=known_words)
+                at = found.fill_null(len(known_words)).to_numpy()
+                other = found.is_null()
+                rest = pa.table({"row": row[other.to_numpy(zero_copy_only=False)], "word": words.filter(other)}).group_by(["row", "word"], use_threads=False).aggregate([([], "count_all")])
+                rest = rest.sort_by("row")
+                cuts = np.searchsorted(rest["row"].to_numpy(), np.arange(rows + 1)).astype(np.int32)
+                pairs = pa.StructArray.from_arrays([rest["word"].combine_chunks(), rest["count_all"].combine_chunks()], ["word", "k"])
+                made = {
+                    "n_tokens": np.bincount(row, minlength=rows) + 1,
+                    "known": np.bincount(row, c[at] > 0, rows).astype(np.int64) + (ends > 0),
+                    "base": np.bincount(row, base[at], rows) + (math.log10(ends + 1) - divisor),
+                    "likely": np.bincount(row, likely[at], rows) + end,
+                }
+                yield appended(some, ("row", "doc_id", "held_out"), **{k: pa.array(a) for k, a in made.items()}, rest=pa.ListArray.from_arrays(pa.array(cuts), pairs))
+
+    kept = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, likely double, rest array<struct<word: binary, k: long>>"
     begun = written(rows.select(F.monotonically_increasing_id().alias("row"), "*").mapInArrow(begin, kept), "scores")
     rest = begun.select("row", F.explode("rest").alias("w")).select("row", F.col("w.word").alias("word"), F.col("w.k").alias("k"))
-    c = F.coalesce(F.col("n"), F.lit(0))
     sums = (
-        rest.join(counts.select("word", "n"), "word", "left")
+        rest.join(scored.select("word", "n", "likely"), "word")
         .groupBy("row")
-        .agg(F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("rest_known"), F.sum(F.col("k") * (F.log10(c + 1.0) - F.lit(divisor))).alias("rest_base"))
+        .agg(
+            F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("rest_known"),
+            F.sum(F.col("k") * (F.log10(F.col("n") + 1.0) - F.lit(divisor))).alias("rest_base"),
+            F.sum(F.col("k") * F.col("likely")).alias("rest_likely"),
+        )
     )
     return begun.drop("rest").join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("rest_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest_base", F.lit(0.0))).alias("base_score"),
-        "score",
+        ((F.col("likely") + F.coalesce("rest_likely", F.lit(0.0))) / math.log(10)).alias("score"),
     )
